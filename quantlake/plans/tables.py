@@ -29,6 +29,7 @@ class DerivedFrame:
     where: str | None = None
     join: str | None = None     # optional second table, inner-joined ...
     on: str | None = None       # ... on this condition
+    group_by: tuple[str, ...] = ()   # aliases in ``cols`` that are group keys; the rest aggregate
 
     def select_sql(self) -> str:
         body = ", ".join(f"{expr} AS {alias}" for alias, expr in self.cols)
@@ -36,6 +37,9 @@ class DerivedFrame:
         sql = f"SELECT {body} FROM {src}"
         if self.where:
             sql += f" WHERE {self.where}"
+        if self.group_by:
+            exprs = dict(self.cols)
+            sql += " GROUP BY " + ", ".join(exprs[g] for g in self.group_by)
         return sql
 
     def cte(self) -> str:
@@ -45,6 +49,12 @@ class DerivedFrame:
         src = self._source_frame(spark, sf_dir)
         if self.where:
             src = src.where(F.expr(self.where))
+        if self.group_by:
+            keys = [F.expr(e).alias(a) for a, e in self.cols if a in self.group_by]
+            aggs = [F.expr(e).alias(a) for a, e in self.cols if a not in self.group_by]
+            if not aggs:
+                return src.select(*keys).distinct()
+            return src.groupBy(*keys).agg(*aggs).select(*[a for a, _ in self.cols])
         return src.selectExpr(*[f"{expr} AS {alias}" for alias, expr in self.cols])
 
     def _source_frame(self, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,5 +64,7 @@ class DerivedFrame:
         return src
 
 
-def with_ctes(*frames: DerivedFrame, body: str) -> str:
-    return "WITH " + ",\n".join(f.cte() for f in frames) + "\n" + body
+def with_ctes(*frames: DerivedFrame, body: str, extra: str | None = None) -> str:
+    """``WITH <frames>[, <extra CTEs>] <body>`` for the DuckDB oracle."""
+    ctes = [f.cte() for f in frames] + ([extra] if extra else [])
+    return "WITH " + ",\n".join(ctes) + "\n" + body
