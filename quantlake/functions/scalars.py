@@ -88,12 +88,12 @@ def parse_date(c, patterns: Sequence[str] = DATE_PATTERNS) -> Column:
     2020-01-01.  ``try_to_date`` with explicit layouts is NULL on failure.
     """
     s = F.trim(_c(c).cast("string"))
-    return F.coalesce(*[F.try_to_date(s, F.lit(p)) for p in patterns])
+    return F.coalesce(*[F.try_to_date(s, p) for p in patterns])
 
 
 def yyyymmdd_to_date(c) -> Column:
     """Integer ``YYYYMMDD`` → date (NULL if not a real calendar day)."""
-    return F.try_to_date(F.lpad(_c(c).cast("string"), 8, "0"), F.lit("yyyyMMdd"))
+    return F.try_to_date(F.lpad(_c(c).cast("string"), 8, "0"), "yyyyMMdd")
 
 
 def date_to_yyyymmdd(c) -> Column:
@@ -172,10 +172,10 @@ def filename_range(path_col) -> tuple[Column, Column, Column]:
     p = _c(path_col)
     start = F.try_to_date(F.concat_ws("-", F.regexp_extract(p, FILENAME_RANGE_RE, 1),
                                       F.regexp_extract(p, FILENAME_RANGE_RE, 2), F.lit("01")),
-                          F.lit("yyyy-MM-dd"))
+                          "yyyy-MM-dd")
     end = F.try_to_date(F.concat_ws("-", F.regexp_extract(p, FILENAME_RANGE_RE, 3),
                                     F.regexp_extract(p, FILENAME_RANGE_RE, 4), F.lit("01")),
-                        F.lit("yyyy-MM-dd"))
+                        "yyyy-MM-dd")
     dim = F.when(F.lower(p).contains("actdats"), F.lit("ACTDATS")).otherwise(F.lit("ANNDATS"))
     return start, F.last_day(end), dim
 

@@ -1 +1,105 @@
-"""placeholder"""
+"""Ingest queries (T1, S1–S9, S21, S22) over ``orders`` rendered as a vendor CSV.
+
+The extract is written from ``orders`` into the shared scratch folder with
+the columns in a different order than the spec, three date layouts, and
+rows broken on purpose (chosen by customer key): one field too many or too
+few, an unparseable number (``12.3.4``, ``5F``), an unparseable date, and an
+empty price (a valid NULL).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quantlake.plans.catalog import query
+from quantlake.plans.tables import table
+from quantlake.session import scratch_path
+from quantlake.sources import ingest as I
+from quantlake.sources.specs import spec
+
+ORDERS_SPEC = spec("vendor.orders",
+                   "o_orderkey:long! o_custkey:long! o_orderstatus o_totalprice:double "
+                   "o_orderdate:date! o_orderpriority",
+                   natural_key=("o_orderkey",), budget_rows=100, budget_ratio=0.001)
+HEADER_ORDER = ["o_totalprice", "o_orderdate", "o_orderkey", "o_orderstatus", "o_custkey", "o_orderpriority"]
+
+_WIDE = "o_custkey = 7 AND o_orderstatus = 'F'"
+_SHORT = "o_custkey = 11 AND o_orderstatus = 'O'"
+_RENDER = {
+    "o_totalprice": "case when o_custkey = 13 then '12.3.4' when o_custkey = 23 then '5F' "
+                    "when o_custkey = 19 then '' else cast(o_totalprice as string) end",
+    "o_orderdate": "case when o_custkey = 17 then 'notadate' "
+                   "when o_orderpriority = '1-URGENT' then date_format(o_orderdate, 'yyyyMMdd') "
+                   "when o_orderpriority = '2-HIGH' then date_format(o_orderdate, 'M/d/yyyy') "
+                   "else date_format(o_orderdate, 'yyyy-MM-dd') end",
+    "o_orderkey": "cast(o_orderkey as string)",
+    "o_orderstatus": "o_orderstatus",
+    "o_custkey": "cast(o_custkey as string)",
+    "o_orderpriority": "o_orderpriority",
+}
+
+
+def write_extract(spark, sf, sep=","):
+    """Render orders as CSV text with a header per file; returns the folder."""
+    o = table(spark, sf, "orders")
+    line = F.concat_ws(sep, *[F.expr(_RENDER[c]) for c in HEADER_ORDER])
+    full = F.when(F.expr(_WIDE), F.concat(line, F.lit(sep), F.lit("surplus"))) \
+        .when(F.expr(_SHORT), F.substring_index(line, sep, len(HEADER_ORDER) - 1)) \
+        .otherwise(line)
+    path = scratch_path(spark, "extract")
+    # one string column whose name is the header line; a separator that never
+    # occurs keeps the writer from quoting the commas inside each line
+    (o.select(full.alias(sep.join(HEADER_ORDER)))
+      .write.option("header", "true").option("sep", "\u0001").option("quote", "\u0000")
+      .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
+    return path
+
+
+_GOOD_SQL = f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_custkey = 19 THEN NULL ELSE o_totalprice END AS o_totalprice,
+       CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority
+FROM orders
+WHERE NOT (o_custkey IN (13, 17, 23) OR ({_WIDE}) OR ({_SHORT}))"""
+
+
+@query("csv_ingest_by_name", ops="T1 S1 S2 S5 S6 S8 F6", sql=_GOOD_SQL)
+def csv_ingest_by_name(spark, sf):
+    good, _, _ = I.ingest(spark, ORDERS_SPEC, write_extract(spark, sf))
+    return good
+
+
+@query("csv_ingest_rejects", ops="S3 T1", sql=f"""
+SELECT reason, count(*) AS n FROM (
+  SELECT CASE WHEN ({_WIDE}) OR ({_SHORT}) THEN 'width'
+              WHEN o_custkey IN (13, 23) THEN 'o_totalprice'
+              WHEN o_custkey = 17 THEN 'o_orderdate' END AS reason FROM orders)
+WHERE reason IS NOT NULL GROUP BY 1""")
+def csv_ingest_rejects(spark, sf):
+    _, rejects, _ = I.ingest(spark, ORDERS_SPEC, write_extract(spark, sf))
+    return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("csv_ingest_report", ops="S3 S4 S22", sql=f"""
+WITH r AS (SELECT count(*) AS rows_read,
+                  count(*) FILTER (WHERE o_custkey IN (13, 17, 23) OR ({_WIDE}) OR ({_SHORT})) AS rows_rejected
+           FROM orders)
+SELECT rows_read, rows_read - rows_rejected AS rows_good, rows_rejected,
+       round(rows_rejected / rows_read, 6) AS reject_ratio, 100 AS budget_rows, 0.001 AS budget_ratio,
+       NOT (rows_rejected > 100 AND rows_rejected / rows_read > 0.001) AS within_budget
+FROM r""")
+def csv_ingest_report(spark, sf):
+    _, _, report = I.ingest(spark, ORDERS_SPEC, write_extract(spark, sf))
+    return report
+
+
+@query("csv_ingest_tab", ops="S7 S1 T1", sql=_GOOD_SQL)
+def csv_ingest_tab(spark, sf):
+    good, _, _ = I.ingest(spark, ORDERS_SPEC, write_extract(spark, sf, sep="\t"))
+    return good
+
+
+@query("csv_load_staged", ops="T1 S9 S11 S14 S22", sql=_GOOD_SQL)
+def csv_load_staged(spark, sf):
+    target = scratch_path(spark, "table")
+    I.load(spark, ORDERS_SPEC, write_extract(spark, sf), target, scratch_path(spark, "stage"), mode="overwrite")
+    return spark.read.parquet(target)
