@@ -34,13 +34,15 @@ def _inside(at: Column, s: Column, e: Column, closed: str) -> Column:
 
 def interval_join(fact: DataFrame, dim: DataFrame, on: Sequence[str] | dict, at: str, start: str, end: str,
                   closed: str = "both", how: str = "left", open_values: Sequence[str] = LINK_OPEN_VALUES,
-                  dim_cols: Sequence[str] | None = None, broadcast_rows: int = 2_000_000) -> DataFrame:
+                  dim_cols: Sequence[str] | None = None, broadcast_rows: int | None = None) -> DataFrame:
     """Fact rows joined to the dim row whose [start, end] holds ``at``.
 
     ``on`` maps fact key columns to dim key columns (a list means same names).
     ``how`` is ``left``/``inner`` (attach attributes) or ``left_semi`` /
     ``left_anti`` (membership filter).  Overlapping dim intervals fan out,
-    exactly as the SQL join would.
+    exactly as the SQL join would.  ``broadcast_rows`` broadcasts a stored
+    dim after a row-count check; by default AQE picks the strategy at run
+    time from measured sizes (and splits a skewed fact key).
     """
     pairs = dict(on) if isinstance(on, dict) else {k: k for k in on}
     keep = list(dim_cols or [c for c in dim.columns if c not in pairs.values()])

@@ -21,23 +21,30 @@ TOL_CLOSE = 0.10
 OUTLIER_THRESHOLD = 0.50
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int | None = 1_000_000) -> DataFrame:
     """Mark ``df`` for broadcast only after proving it has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows.  Above the bound the frame is
-    returned unmarked and Spark (with AQE) picks a shuffle join.
+    The check reads at most ``max_rows + 1`` rows, so use it on stored
+    tables (a Parquet count is answered from footers), not on frames derived
+    from big inputs.  With ``max_rows=None`` no hint is set and the choice is
+    left to AQE, which turns a shuffle join into a broadcast join at run time
+    only when the measured shuffle output is below
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
     """
+    if max_rows is None:
+        return df
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 
 def align(a: DataFrame, b: DataFrame, mapping: DataFrame | None = None,
           a_code: str = "contract", b_code: str = "ric", on: str = "date",
-          max_mapping_rows: int = 100_000) -> DataFrame:
+          max_mapping_rows: int | None = None) -> DataFrame:
     """Join source A and B on (contract, date), A's codes mapped to B's.
 
-    ``mapping`` (contract → ric) is a code list; it is broadcast after its
-    size is checked.  Without a mapping both sides share ``a_code``.
+    ``mapping`` (contract → ric) is a code list.  Pass ``max_mapping_rows``
+    for a stored mapping table to broadcast it after a size check; by default
+    AQE decides at run time.  Without a mapping both sides share ``a_code``.
     """
     if mapping is not None:
         a = a.join(broadcast_if_small(mapping, max_mapping_rows), a_code, "inner")
@@ -52,8 +59,7 @@ def side_counts(a: DataFrame, b: DataFrame, mapping: DataFrame, a_code: str = "c
     cb = b.groupBy(b_code).agg(F.count(F.lit(1)).alias("b_rows"))
     m = align(a.select(a_code, on), b.select(b_code, on), mapping, a_code, b_code, on)
     cm = m.groupBy(a_code).agg(F.count(F.lit(1)).alias("matched_rows"))
-    mp = broadcast_if_small(mapping)
-    return (mp.join(ca, a_code, "left").join(cb, b_code, "left").join(cm, a_code, "left")
+    return (mapping.join(ca, a_code, "left").join(cb, b_code, "left").join(cm, a_code, "left")
               .select(a_code, b_code,
                       F.coalesce("a_rows", F.lit(0)).alias("a_rows"),
                       F.coalesce("b_rows", F.lit(0)).alias("b_rows"),
