@@ -25,25 +25,40 @@ PROMOTE_KEY = ("TICKER", "MEASURE", "FPI", "FPEDATS", "ESTIMATOR", "ANALYS",
 QC_KEY = PROMOTE_KEY[:8]
 
 
-def _keys(main: DataFrame, key: Sequence[str]) -> DataFrame:
-    return main.select(*key)
+def _keys(main: DataFrame, key: Sequence[str], staging: DataFrame | None = None,
+          prune_on: str | None = None) -> DataFrame:
+    """Key columns of main, optionally limited to the staged chunk's range of ``prune_on``.
+
+    Main rows outside [min, max] of a key column in staging cannot match, so
+    the range filter is exact; it reaches the Parquet scan (partition and
+    row-group pruning on a table laid out by that column).  The two bounds
+    are one aggregate row, not data.
+    """
+    keys = main.select(*key)
+    if prune_on and staging is not None:
+        lo, hi = staging.agg(F.min(prune_on), F.max(prune_on)).first()
+        if lo is None:
+            return keys.limit(0)
+        keys = keys.where(F.col(prune_on).between(F.lit(lo), F.lit(hi)))
+    return keys
 
 
-def overlap_count(staging: DataFrame, main: DataFrame, key: Sequence[str]) -> DataFrame:
+def overlap_count(staging: DataFrame, main: DataFrame, key: Sequence[str], prune_on: str | None = None) -> DataFrame:
     """Staging rows whose key already exists in main (``EXISTS``, no fan-out)."""
-    return (staging.select(*key).join(_keys(main, key), list(key), "left_semi")
+    return (staging.select(*key).join(_keys(main, key, staging, prune_on), list(key), "left_semi")
                    .agg(F.count(F.lit(1)).alias("rows_already_in_main")))
 
 
 def new_rows(staging: DataFrame, main: DataFrame, key: Sequence[str], dedupe_within: bool = False,
-             order: Sequence[str] | None = None) -> DataFrame:
+             order: Sequence[str] | None = None, prune_on: str | None = None) -> DataFrame:
     """Staging rows whose key is not in main (``LEFT ANTI JOIN``).
 
     ``dedupe_within=True`` also keeps one row per key inside the chunk (the
     reference does not; rows duplicated inside a chunk are appended twice).
-    NULL key parts never match, as with SQL equality.
+    NULL key parts never match, as with SQL equality.  ``prune_on`` names a
+    key column (a date) to limit the main side to the chunk's range.
     """
-    out = staging.join(_keys(main, key), list(key), "left_anti")
+    out = staging.join(_keys(main, key, staging, prune_on), list(key), "left_anti")
     if dedupe_within:
         out = keep_one(out, list(key), list(order or out.columns))
     return out
@@ -77,7 +92,7 @@ def promote_plan(staging: DataFrame, main: DataFrame, key: Sequence[str],
 
 def promote(spark: SparkSession, staging: DataFrame, main_path: str, key: Sequence[str],
             date_cols: Sequence[str] = ("ACTDATS", "ANNDATS"), dedupe_within: bool = False,
-            partition_by: Sequence[str] | None = None) -> DataFrame:
+            partition_by: Sequence[str] | None = None, prune_on: str | None = None) -> DataFrame:
     """Append the new rows of ``staging`` to the Parquet table at ``main_path``.
 
     Order of work: new rows are written to a fresh folder under the shared
@@ -92,7 +107,7 @@ def promote(spark: SparkSession, staging: DataFrame, main_path: str, key: Sequen
     except AnalysisException:  # first chunk: main does not exist yet
         main = spark.createDataFrame([], staging.schema)
     pre = pre_promote(main, staging).first()
-    new = new_rows(staging, main, key, dedupe_within).select(*staging.columns)
+    new = new_rows(staging, main, key, dedupe_within, prune_on=prune_on).select(*staging.columns)
     stage_path = scratch_path(spark, "promote")
     new.write.mode("overwrite").parquet(stage_path)
     landed = spark.read.parquet(stage_path)

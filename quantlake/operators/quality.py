@@ -301,7 +301,8 @@ def histogram(df: DataFrame, col: str, bins: int = 50, by=None) -> DataFrame:
     x = df.select(*by, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
     rng = x.groupBy(*by).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi")) if by else \
         x.agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-    j = x.join(F.broadcast(rng), by, "inner") if by else x.crossJoin(rng)
+    # one row per group; AQE broadcasts it when small (a one-row frame when ungrouped)
+    j = x.join(rng, by, "inner") if by else x.crossJoin(rng)
     width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
     b = F.when(F.col("_hi") == F.col("_lo"), F.lit(1)) \
         .otherwise(F.least(F.width_bucket(F.col("_x"), F.col("_lo"), F.col("_hi"), F.lit(bins)), F.lit(bins)))
@@ -331,3 +332,14 @@ def end_status_counts(df: DataFrame, end_col: str) -> DataFrame:
     status = F.when(S.is_open_end(end_col), F.lit("open")) \
         .when(S.parse_date(end_col).isNotNull(), F.lit("dated")).otherwise(F.lit("invalid"))
     return df.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- A11, O2, O3 ----------------------------------------------------------------
+def sorted_codes(df: DataFrame, col: str) -> DataFrame:
+    """The distinct codes of a column, sorted (a distributed sort, not a driver list)."""
+    return df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col)
+
+
+def spot_check(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
+    """O3: first ``n`` rows in a stated order (deterministic; planned as a top-k)."""
+    return df.orderBy(*order).limit(n)

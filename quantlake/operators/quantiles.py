@@ -23,16 +23,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quantlake.session import materialize
+
 
 def exact_percentile(df: DataFrame, col: str, by: Sequence[str] | str | None = None, p: float = 0.5,
-                     name: str | None = None, cuts: int = 64, accuracy: int = 10000) -> DataFrame:
+                     name: str | None = None, cuts: int = 64, accuracy: int = 10000,
+                     materialize_input: bool = True) -> DataFrame:
     """Interpolated percentile of ``col`` per group (NULL/NaN dropped).
 
     Returns one row per group with at least one value: ``by... , name``.
+    The narrow (group, value) input is read three times; with
+    ``materialize_input`` it is written once to the shared checkpoint folder
+    so an expensive upstream plan is not recomputed (this runs a job).
     """
     by = [by] if isinstance(by, str) else list(by or [])
     name = name or f"p{int(round(p * 100))}_{col}"
     x = df.select(*by, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    if materialize_input:
+        x = materialize(x, "percentile-input")
 
     probs = [i / cuts for i in range(1, cuts)]
     sketch = (x.groupBy(*by).agg(F.percentile_approx("_x", probs, accuracy).alias("_cuts"),

@@ -12,7 +12,10 @@ bucket is a coarse, order-preserving function of the time (a month, say):
 4. the carry is joined back on (key, bucket) and combined.
 
 The data side is shuffled once, by (key, bucket); the join in step 4 reuses
-that partitioning, only the summary side moves again.
+that partitioning, only the summary side moves again.  The summary branch
+reads the input a second time (a pruned columnar scan) but shuffles only
+its partial aggregate — one row per (key, bucket) per map task — which is
+far less than re-shuffling rows.
 """
 
 from __future__ import annotations

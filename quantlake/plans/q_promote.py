@@ -38,14 +38,14 @@ SELECT count(*) AS rows_already_in_main FROM staging s
 WHERE EXISTS (SELECT 1 FROM main m WHERE {_ON})"""))
 def qc_overlap_with_main(spark, sf):
     s, m = _sm(spark, sf)
-    return P.overlap_count(s, m, KEY)
+    return P.overlap_count(s, m, KEY, prune_on="ACTDATS")
 
 
 @query("promote_new_rows", ops="J2 U2 T2 S14", sql=with_ctes(STAGING, MAIN, body=f"""
 SELECT s.* FROM staging s WHERE NOT EXISTS (SELECT 1 FROM main m WHERE {_ON})"""))
 def promote_new_rows(spark, sf):
     s, m = _sm(spark, sf)
-    return P.new_rows(s, m, KEY)
+    return P.new_rows(s, m, KEY, prune_on="ACTDATS")
 
 
 @query("promote_audit", ops="D7 J7 A1 A2", sql=with_ctes(STAGING, MAIN, extra=f"""

@@ -286,3 +286,16 @@ FROM b GROUP BY l_returnflag, bin, b.lo, b.hi""")
 def value_histogram(spark, sf):
     h = Q.histogram(table(spark, sf, "lineitem"), "l_discount", bins=20, by="l_returnflag")
     return h.select("l_returnflag", "bin", F.round("lo", 6).alias("lo"), F.round("hi", 6).alias("hi"), "n")
+
+
+@query("sorted_codes", ops="A11 O2", sql="""
+SELECT DISTINCT o_orderpriority FROM orders WHERE o_orderpriority IS NOT NULL ORDER BY 1""")
+def sorted_codes(spark, sf):
+    return Q.sorted_codes(table(spark, sf, "orders"), "o_orderpriority")
+
+
+@query("spot_check", ops="O3", sql="""
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10""")
+def spot_check(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return Q.spot_check(o, 10, [F.col("o_totalprice").desc(), "o_orderkey"])

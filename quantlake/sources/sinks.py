@@ -133,3 +133,13 @@ def expand_ranges(spark: SparkSession, spec: Sequence[str | int | tuple[str, str
             rows.append((str(a), str(b)))
     df = spark.createDataFrame(rows, "start string, end string")
     return df.select(F.col("start").cast("date").alias("start"), F.col("end").cast("date").alias("end"))
+
+
+def files_by_size(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """The files of a folder, largest first, so big chunks start early.
+
+    Only file metadata is read (the binary source skips the content column
+    when it is not selected).
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    return files.select("path", "length", "modificationTime").orderBy(F.col("length").desc(), "path")

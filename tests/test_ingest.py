@@ -73,3 +73,11 @@ def test_header_check_and_sniff(spark, tmp):
     hc = {r["column"]: r["status"] for r in I.header_check(spark, SPEC, path).collect()}
     assert hc["PERMNO"] == "missing" and hc["permno"] == "case" and hc["EXTRA"] == "extra"
     assert hc["date"] == "ok" and hc["PRC"] == "missing"
+
+
+def test_files_by_size(spark, tmp):
+    from quantlake.sources.sinks import files_by_size
+    _csv(tmp, "a\n1\n", name="small.csv")
+    _csv(tmp, "a\n" + "1\n" * 100, name="big.csv")
+    rows = files_by_size(spark, os.path.join(tmp, "in"), "*.csv").collect()
+    assert rows[0]["path"].endswith("big.csv") and rows[0]["length"] > rows[1]["length"]
