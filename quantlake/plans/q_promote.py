@@ -103,8 +103,8 @@ def promote_gate(spark, sf):
 
 
 @query("missing_counterpart", ops="J6 U5", sql="""
-SELECT 'customer_without_orders' AS side, CAST(c_custkey AS BIGINT) AS key FROM customer c
-WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)
+SELECT 'customer_without_2001_orders' AS side, CAST(c_custkey AS BIGINT) AS key FROM customer c
+WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderdate >= DATE '2001-01-01')
 UNION ALL
 SELECT 'supplier_without_lines', s_suppkey FROM supplier s
 WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_suppkey = s.s_suppkey)
@@ -112,10 +112,12 @@ UNION ALL
 SELECT 'part_without_lines', p_partkey FROM part p
 WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_partkey = p.p_partkey)""")
 def missing_counterpart(spark, sf):
-    def side(name, dim, dkey, fact, fkey):
+    def side(name, dim, dkey, fact, fkey, where=None):
         d = table(spark, sf, dim).select(F.col(dkey).cast("long").alias("key"))
-        f = table(spark, sf, fact).select(F.col(fkey).cast("long").alias("key"))
+        f = table(spark, sf, fact)
+        f = (f.where(where) if where is not None else f).select(F.col(fkey).cast("long").alias("key"))
         return d.join(f, "key", "left_anti").select(F.lit(name).alias("side"), "key")
-    return (side("customer_without_orders", "customer", "c_custkey", "orders", "o_custkey")
+    return (side("customer_without_2001_orders", "customer", "c_custkey", "orders", "o_custkey",
+                 F.col("o_orderdate") >= F.lit("2001-01-01").cast("date"))
             .unionByName(side("supplier_without_lines", "supplier", "s_suppkey", "lineitem", "l_suppkey"))
             .unionByName(side("part_without_lines", "part", "p_partkey", "lineitem", "l_partkey")))
