@@ -124,14 +124,14 @@ def reconcile_histogram(spark, sf):
 
 
 @query("reconcile_series", ops="D15 O1 P2 P3 P14", sql=with_ctes(*_CTES, extra=_ALIGNED, body="""
-SELECT contract, date, a_price AS bbg_price, b_last AS lseg_last, b_settle AS lseg_settle,
-       a_oi AS bbg_oi, b_oi AS lseg_oi
+SELECT contract, date, a_price AS price_a, b_last AS last_b, b_settle AS settle_b,
+       a_oi AS oi_a, b_oi AS oi_b
 FROM aligned WHERE regexp_matches(contract, '^c[AR]') ORDER BY contract, date"""))
 def reconcile_series(spark, sf):
     m = _aligned(spark, sf).where(F.col("contract").rlike("^c[AR]"))
-    m = m.withColumnsRenamed({"a_price": "bbg_price", "b_last": "lseg_last", "b_settle": "lseg_settle",
-                              "a_oi": "bbg_oi", "b_oi": "lseg_oi"})
-    return R.series(m, ["bbg_price", "lseg_last", "lseg_settle", "bbg_oi", "lseg_oi"])
+    m = m.withColumnsRenamed({"a_price": "price_a", "b_last": "last_b", "b_settle": "settle_b",
+                              "a_oi": "oi_a", "b_oi": "oi_b"})
+    return R.series(m, ["price_a", "last_b", "settle_b", "oi_a", "oi_b"])
 
 
 @query("corr_matrix", ops="D16 A12 A13 U1", sql=with_ctes(*_CTES, extra=_ALIGNED, body="""

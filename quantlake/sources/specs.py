@@ -65,7 +65,7 @@ def spec(name: str, cols: str, **kw) -> TableSpec:
 
 # --- declared tables (vendor header names; types after ingest) ------------------
 ESTIMATE_HISTORY = spec(
-    "lseg_ibes.history_unadjusted",
+    "estimates.history",
     "TICKER:string! CUSIP OFTIC CNAME ACTDATS:date! ESTIMATOR:string! ANALYS:string! CURRFL PDF "
     "FPI:string! MEASURE:string! VALUE:double CURR FPEDATS:date! ACTTIMS:string! REVDATS:date REVTIMS "
     "ANNDATS:date! ANNTIMS:string! USFIRM:short report_curr",
@@ -76,50 +76,50 @@ ESTIMATE_HISTORY = spec(
     comment="analyst estimates; ACTDATS is the point-in-time stamp")
 
 LINK = spec(
-    "crsp.compustat_link",
+    "equity.firm_security_link",
     "gvkey:string! LINKPRIM LIID LINKTYPE LPERMNO:int! LINKDT:date LINKENDDT:string",
     sort_key=("gvkey", "LPERMNO"), budget_rows=100, budget_ratio=0.001,
     comment="LINKENDDT 'E' or empty = still active")
 
 SECURITY_NAMES = spec(
-    "crsp.security_names",
+    "equity.security_names",
     "PERMNO:long! SecInfoStartDt:date! SecInfoEndDt:date Ticker IssuerNm",
     sort_key=("PERMNO", "SecInfoStartDt"), budget_rows=100, budget_ratio=0.001)
 
 CONSTITUENTS = spec(
-    "crsp.sp500_constituents",
+    "equity.index_constituents",
     "INDNO:long PERMNO:long! MbrStartDt:date MbrEndDt:date DlyCalDt:date! DlyCap:double DlyRet:double",
     sort_key=("PERMNO", "DlyCalDt"), budget_rows=100, budget_ratio=0.001)
 
 DAILY_STOCK_OLD = spec(
-    "crsp.daily_stock_price_old",
+    "equity.daily_stock_old",
     "PERMNO:long! date:date! SICCD PRC:double VOL:long RET RETX DLRET DLRETX CFACPR:double",
     sort_key=("PERMNO", "date"), budget_rows=100, budget_ratio=0.001,
     comment="RET/RETX carry B/C codes, DLRET/DLRETX A/S, SICCD Z")
 
 DAILY_STOCK_NEW = spec(
-    "crsp.daily_stock_annual_update",
+    "equity.daily_stock_new",
     "PERMNO:long! DlyCalDt:date! YYYYMMDD:long DlyPrc:double DlyRet:double DlyRetx:double DlyVol:long "
     "ShrOut:long DlyCap:double DisPERMCO:int",
     sort_key=("PERMNO", "DlyCalDt"), budget_rows=100, budget_ratio=0.001)
 
 FORWARD_PRICE = spec(
-    "option_metrics.forward_price",
+    "options.forward_price",
     "secid:long! date:date! expiration:date! AMSettlement:short ForwardPrice:double",
     sort_key=("secid", "date", "expiration"), budget_rows=100, budget_ratio=0.001)
 
 ZERO_CURVE = spec(
-    "option_metrics.zero_coupon_yield_curve",
+    "options.zero_curve",
     "date:date! days:int! rate:double!",
     sort_key=("date", "days"), budget_rows=100, budget_ratio=0.001)
 
 ADJUSTMENTS = spec(
-    "lseg_ibes.adjustments",
+    "estimates.adjustments",
     "TICKER:string! SPDATES:date! ADJ:double!",
     sort_key=("TICKER", "SPDATES"), budget_rows=100, budget_ratio=0.001)
 
 SECURITY_PRICES = spec(
-    "option_metrics.security_prices",
+    "options.security_prices",
     "secid:long! date:date! open:double high:double low:double close:double volume:long return:double "
     "cfadj:double",
     sort_key=("secid", "date"), budget_rows=100, budget_ratio=0.001,
