@@ -1,41 +1,62 @@
 """Zero-curve interpolation and Greeks from implied volatility.
 
 The rate for an expiry is read off the same day's curve: the nearest tenor
-at or below and at or above the days to expiry (two as-of joins on the
-date, ordered by days), blended linearly, flat beyond the first and last
-tenor.  Greeks use Black's model on the forward price with a polynomial
-normal CDF (Spark has no ``erf``), so they stay JVM-side expressions.
+at or below and at or above the days to expiry, blended linearly, flat
+beyond the first and last tenor.  The curve is turned into per-date tenor
+segments once, and the options find their segment with one broadcast join.
+Greeks use Black's model on the forward price with a polynomial normal CDF
+(Spark has no ``erf``), so they stay JVM-side expressions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quantlake.functions.scalars import norm_cdf, norm_pdf
-from quantlake.operators.asof import asof_join
+from quantlake.operators.reconcile import broadcast_if_small
 
 
-def _tenor_bucket(c: Column) -> Column:
-    # about one bucket per month of tenor: splits a busy date over tenors
-    return F.floor(c / F.lit(30))
+def curve_segments(curve: DataFrame, date: str = "date", days: str = "days", rate: str = "rate") -> DataFrame:
+    """Each day's curve as tenor segments ``[lo_days, hi_days)`` with the rates at both ends.
+
+    Segments run between consecutive tenors; the open segment before the
+    first tenor and after the last carry that tenor's rate (flat ends).  The
+    window is per date over the curve itself (a few dozen tenors a day).
+    Tenors must be unique per date.
+    """
+    c = curve.select(F.col(date).alias("_d"), F.col(days).alias("_lo_days"), F.col(rate).alias("_lo_rate"))
+    w = Window.partitionBy("_d").orderBy("_lo_days")
+    c = c.withColumns({"_hi_days": F.lead("_lo_days").over(w), "_hi_rate": F.lead("_lo_rate").over(w),
+                       "_first": F.row_number().over(w) == 1})
+    inner = c.select("_d", "_lo_days", "_lo_rate", "_hi_days", "_hi_rate")
+    # before the first tenor: flat at the first rate
+    head = c.where("_first").select("_d", F.lit(None).cast("int").alias("_lo_days"), F.lit(None).cast("double").alias("_lo_rate"),
+                                    F.col("_lo_days").alias("_hi_days"), F.col("_lo_rate").alias("_hi_rate"))
+    return inner.unionByName(head)
 
 
 def curve_rate(df: DataFrame, curve: DataFrame, date: str = "date", days: str = "dte",
                curve_date: str = "date", curve_days: str = "days", rate: str = "rate",
-               out: str = "rate") -> DataFrame:
-    """Linearly interpolated zero rate at ``days`` on ``date``; flat at the ends."""
-    c = curve.select(F.col(curve_date).alias(date), F.col(curve_days).alias("_cd"), F.col(rate).alias("_cr"))
-    lo = c.select(date, F.col("_cd").alias("_lo_days"), F.col("_cr").alias("_lo_rate"))
-    hi = c.select(date, F.col("_cd").alias("_hi_days"), F.col("_cr").alias("_hi_rate"))
-    j = asof_join(df, lo, [date], days, "_lo_days", ["_lo_days", "_lo_rate"], bucket=_tenor_bucket)
-    j = asof_join(j, hi, [date], days, "_hi_days", ["_hi_days", "_hi_rate"], direction="forward",
-                  bucket=_tenor_bucket)
-    t, ld, lr, hd, hr = F.col(days), F.col("_lo_days"), F.col("_lo_rate"), F.col("_hi_days"), F.col("_hi_rate")
+               out: str = "rate", max_curve_rows: int | None = 5_000_000) -> DataFrame:
+    """Linearly interpolated zero rate at ``days`` on ``date``; flat at the ends.
+
+    One equi join on the date with the segment as a range condition: every
+    row falls into exactly one segment, so there is no fan-out and no
+    grouping.  The segment table (about one row per curve point) is
+    broadcast after its row count is checked against ``max_curve_rows``, so
+    the (large) option side is never shuffled.
+    """
+    seg = curve_segments(curve, curve_date, curve_days, rate)
+    seg = broadcast_if_small(seg, max_curve_rows)
+    t = F.col(days)
+    inside = (seg["_lo_days"].isNull() | (t >= seg["_lo_days"])) & (seg["_hi_days"].isNull() | (t < seg["_hi_days"]))
+    j = df.join(seg, (df[date] == seg["_d"]) & inside, "left")
+    ld, lr, hd, hr = F.col("_lo_days"), F.col("_lo_rate"), F.col("_hi_days"), F.col("_hi_rate")
     val = (F.when(ld.isNull(), hr)
-            .when(hd.isNull() | (hd == ld), lr)
+            .when(hd.isNull(), lr)
             .otherwise(lr + (hr - lr) * (t - ld) / (hd - ld)))
-    return j.withColumn(out, val).drop("_lo_days", "_lo_rate", "_hi_days", "_hi_rate")
+    return j.withColumn(out, val).drop("_d", "_lo_days", "_lo_rate", "_hi_days", "_hi_rate")
 
 
 def greeks(df: DataFrame, forward: str = "forward_price", strike: str = "strike", years: str = "t",
@@ -47,16 +68,24 @@ def greeks(df: DataFrame, forward: str = "forward_price", strike: str = "strike"
     """
     Fw, K, T, s, r = F.col(forward), F.col(strike), F.col(years), F.col(vol), F.col(rate)
     ok = s.isNotNull() & (s > 0) & (T > 0) & (Fw > 0) & (K > 0)
+    # staged so each sub-result is evaluated once (one flat expression tree is
+    # too large for generated code to stay fast)
     srt = s * F.sqrt(T)
     d1 = (F.log(Fw / K) + F.lit(0.5) * s * s * T) / srt
-    d2 = d1 - srt
-    disc = F.exp(-r * T)
+    out = df.withColumns({"_ok": ok, "_d1": d1, "_disc": F.exp(-r * T), "_sqt": F.sqrt(T)})
+    out = out.withColumn("_d2", F.col("_d1") - F.col(vol) * F.col("_sqt"))
+    out = out.withColumns({"_n1": norm_cdf(F.col("_d1")), "_n1m": norm_cdf(-F.col("_d1")),
+                           "_n2": norm_cdf(F.col("_d2")), "_n2m": norm_cdf(-F.col("_d2")),
+                           "_p1": norm_pdf(F.col("_d1"))})
+    disc, n1, n1m, n2, n2m, p1 = (F.col(c) for c in ("_disc", "_n1", "_n1m", "_n2", "_n2m", "_p1"))
     call = F.col(cp) == "C"
-    delta = F.when(call, disc * norm_cdf(d1)).otherwise(disc * (norm_cdf(d1) - F.lit(1.0)))
-    gamma = disc * norm_pdf(d1) / (Fw * srt)
-    vega = Fw * disc * norm_pdf(d1) * F.sqrt(T)
-    decay = -Fw * disc * norm_pdf(d1) * s / (F.lit(2.0) * F.sqrt(T))
-    theta = F.when(call, decay + r * Fw * disc * norm_cdf(d1) - r * K * disc * norm_cdf(d2)) \
-        .otherwise(decay - r * Fw * disc * norm_cdf(-d1) + r * K * disc * norm_cdf(-d2))
-    return df.withColumns({"bs_delta": F.when(ok, delta), "bs_gamma": F.when(ok, gamma),
+    delta = F.when(call, disc * n1).otherwise(disc * (n1 - F.lit(1.0)))
+    gamma = disc * p1 / (Fw * (s * F.col("_sqt")))
+    vega = Fw * disc * p1 * F.col("_sqt")
+    decay = -Fw * disc * p1 * s / (F.lit(2.0) * F.col("_sqt"))
+    theta = F.when(call, decay + r * Fw * disc * n1 - r * K * disc * n2) \
+        .otherwise(decay - r * Fw * disc * n1m + r * K * disc * n2m)
+    ok = F.col("_ok")
+    out = out.withColumns({"bs_delta": F.when(ok, delta), "bs_gamma": F.when(ok, gamma),
                            "bs_vega": F.when(ok, vega), "bs_theta": F.when(ok, theta)})
+    return out.drop("_ok", "_d1", "_d2", "_disc", "_sqt", "_n1", "_n1m", "_n2", "_n2m", "_p1")
