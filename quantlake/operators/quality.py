@@ -207,22 +207,21 @@ def gaps(cov: DataFrame, start: int, end: int, period: str = "period") -> DataFr
     """Missing years in ``[start, end]`` merged into runs ``(gap_start, gap_end, years)``.
 
     Works on the per-period coverage table (one row per year), never on the
-    raw data.  Runs are found without a window: a gap year starts a run when
-    the year before is present, ends it when the year after is present.
+    raw data: the expected years are ``range(start, end + 1)``, the missing
+    ones an anti join, and runs the classic ``year − row_number()`` islands.
+    The window has no partition key, but its input is bounded by the
+    requested year range, not by the data.
     """
+    from pyspark.sql import Window as W
     spark = cov.sparkSession
     present = cov.select(F.col(period).cast("int").alias("y")).distinct()
     expected = spark.range(start, end + 1).select(F.col("id").cast("int").alias("y"))
     missing = expected.join(present, "y", "left_anti")
-    starts = missing.join(missing.select((F.col("y") + 1).alias("y")), "y", "left_anti") \
-        .select(F.col("y").alias("gap_start"))
-    ends = missing.join(missing.select((F.col("y") - 1).alias("y")), "y", "left_anti") \
-        .select(F.col("y").alias("gap_end"))
-    # each run start pairs with the smallest run end at or after it
-    return (starts.join(ends, F.col("gap_end") >= F.col("gap_start"))
-                  .groupBy("gap_start").agg(F.min("gap_end").alias("gap_end"))
-                  .select("gap_start", "gap_end",
-                          (F.col("gap_end") - F.col("gap_start") + 1).cast("int").alias("years")))
+    runs = missing.withColumn("_grp", F.col("y") - F.row_number().over(W.orderBy("y")))
+    return (runs.groupBy("_grp")
+                .agg(F.min("y").alias("gap_start"), F.max("y").alias("gap_end"),
+                     F.count(F.lit(1)).cast("int").alias("years"))
+                .drop("_grp"))
 
 
 def anomalies(cov: DataFrame, metric: str = "rows", ratio: float = 0.5, period: str = "period",

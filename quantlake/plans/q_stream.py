@@ -51,7 +51,8 @@ def stream_promote(spark, sf):
     src, schema = write_chunks(spark, sf)
     main = scratch_path(spark, "stream-main")
     q = X.stream_promote(X.file_stream(spark, src, schema, max_files=4), main, ["event_id"],
-                         scratch_path(spark, "ckpt"), qc_path=scratch_path(spark, "qc"), date_cols=["ts"])
+                         scratch_path(spark, "ckpt"), qc_path=scratch_path(spark, "qc"), date_cols=["ts"],
+                         prune_on="event_id")
     q.awaitTermination()
     return _out(spark.read.parquet(main))
 

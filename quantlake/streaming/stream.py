@@ -42,13 +42,14 @@ def _read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFr
 
 def stream_promote(stream: DataFrame, main_path: str, key: Sequence[str], checkpoint: str,
                    qc_path: str | None = None, date_cols: Sequence[str] = (), dedupe_within: bool = True,
-                   order: Sequence[str] | None = None) -> StreamingQuery:
+                   order: Sequence[str] | None = None, prune_on: str | None = None) -> StreamingQuery:
     """Promote every micro-batch into the Parquet table at ``main_path``.
 
     Per batch: (optional) fused QC row appended to ``qc_path`` with the
     batch id; then new rows = batch ⋉̸ main on ``key`` (duplicates inside the
     batch collapsed when ``dedupe_within``), appended.  A replayed batch
-    finds its rows already in main and appends nothing.
+    finds its rows already in main and appends nothing.  ``prune_on`` limits
+    the main side of each anti join to the batch's range of that key column.
     """
     schema = stream.schema
     spark = stream.sparkSession
@@ -58,7 +59,7 @@ def stream_promote(stream: DataFrame, main_path: str, key: Sequence[str], checkp
             qc = Q.row_count_and_range(batch, list(date_cols), check=None)
             qc.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(qc_path)
         main = _read_or_empty(spark, main_path, schema)
-        new = P.new_rows(batch, main, key, dedupe_within, order)
+        new = P.new_rows(batch, main, key, dedupe_within, order, prune_on=prune_on)
         new.select(*schema.names).write.mode("append").parquet(main_path)
 
     return (stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
