@@ -84,7 +84,7 @@ WITH r AS (SELECT count(*) AS rows_read,
                   count(*) FILTER (WHERE o_custkey IN (13, 17, 23) OR ({_WIDE}) OR ({_SHORT})) AS rows_rejected
            FROM orders)
 SELECT rows_read, rows_read - rows_rejected AS rows_good, rows_rejected,
-       round(rows_rejected / rows_read, 6) AS reject_ratio, 100 AS budget_rows, 0.001 AS budget_ratio,
+       round(rows_rejected / rows_read, 6) AS reject_ratio, 100 AS budget_rows, CAST(0.001 AS DOUBLE) AS budget_ratio,
        NOT (rows_rejected > 100 AND rows_rejected / rows_read > 0.001) AS within_budget
 FROM r""")
 def csv_ingest_report(spark, sf):

@@ -174,7 +174,7 @@ CURVE = DerivedFrame("curve", "orders", (
 @query("option_features", ops="T13 F14", sql=with_ctes(CHAIN, body="""
 SELECT optionid, (best_bid + best_offer) / 2.0 AS mid, best_offer - best_bid AS spread,
        strike_price / 1000.0 AS strike, (strike_price / 1000.0) / forward_price AS moneyness,
-       datediff('day', date, exdate) AS dte
+       CAST(datediff('day', date, exdate) AS INTEGER) AS dte
 FROM chain"""))
 def option_features(spark, sf):
     ch = P.option_features(CHAIN.frame(spark, sf).withColumnRenamed("dte", "_dte"), underlying="forward_price")

@@ -80,9 +80,9 @@ checks AS (
   UNION ALL SELECT 'overlap_with_main', 'rows_already_in_main', CAST(count(*) AS DOUBLE)
             FROM staging s WHERE EXISTS (SELECT 1 FROM main m WHERE {_ON}))""", body="""
 SELECT "check", metric, value,
-  CASE WHEN "check" = 'row_count_and_range' AND metric = 'rows' THEN 0.0
+  CAST(CASE WHEN "check" = 'row_count_and_range' AND metric = 'rows' THEN 0.0
        WHEN metric = 'pct_value_null' THEN 0.01 WHEN metric = 'dup_rows' THEN 0.0
-       WHEN metric = 'rows_already_in_main' THEN 2000.0 END AS "limit",
+       WHEN metric = 'rows_already_in_main' THEN 2000.0 END AS DOUBLE) AS "limit",
   CASE WHEN "check" = 'row_count_and_range' AND metric = 'rows' THEN '>'
        WHEN metric = 'pct_value_null' THEN '<=' WHEN metric = 'dup_rows' THEN '=='
        WHEN metric = 'rows_already_in_main' THEN '<=' END AS op,

@@ -6,7 +6,7 @@ import pytest
 from conftest import SF0001
 from quantlake.plans.catalog import load_all
 from quantlake.plans.tables import TABLES
-from tools.check_oracle import _rows
+from tools.check_oracle import _rows, type_mismatches
 
 REG = load_all()
 
@@ -31,6 +31,7 @@ def test_query_matches_oracle(spark, con, name):
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(df.columns) == sorted(dcols)
+    assert type_mismatches(df, res) == []
     assert len(rows) == len(drows)
     assert _rows(df.columns, rows, True) == _rows(dcols, drows, True)
 

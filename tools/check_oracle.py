@@ -45,6 +45,23 @@ def _rows(cols, rows, approx):
     return sorted(out, key=lambda t: tuple((x is None, str(type(x)), x if x is not None else 0) for x in t))
 
 
+_SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "double": "DOUBLE",
+                  "float": "FLOAT", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN",
+                  "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def type_mismatches(sdf, res):
+    """Columns whose Spark type does not map to the DuckDB result type."""
+    duck = {d[0]: str(d[1]).upper() for d in res.description}
+    out = []
+    for f in sdf.schema.fields:
+        want = _SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString().upper())
+        got = duck.get(f.name)
+        if got is not None and got != want:
+            out.append(f"{f.name}: spark {f.dataType.simpleString()} vs duck {got}")
+    return out
+
+
 def main():
     args = sys.argv[1:]
     sf = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
@@ -81,6 +98,9 @@ def main():
             bad += 1
             continue
         msgs = []
+        tm = type_mismatches(sdf, res)
+        if tm:
+            msgs.append("types " + "; ".join(tm))
         if sorted(scols) != sorted(dcols):
             msgs.append(f"cols spark={sorted(scols)} duck={sorted(dcols)}")
         if len(srows) != len(drows):
