@@ -42,6 +42,26 @@ def get_spark(master: str | None = None, partitions: int = 8, app: str = "quantl
     return spark
 
 
+def scale_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20,
+               max_partitions: int = 200_000) -> dict:
+    """Session settings sized to the input: ~``partition_bytes`` per scan split and shuffle partition.
+
+    The shuffle starts with about one partition per ``partition_bytes`` of
+    input (at least two per core, at most ``max_partitions``); AQE coalesces
+    small ones and splits skewed join partitions at run time.  For 100 TB and
+    256 MB that is the 200,000 cap, i.e. ~500 MB per shuffle partition.
+    """
+    n = max(2 * cores, min(max_partitions, -(-input_bytes // partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset.
 

@@ -143,3 +143,19 @@ def files_by_size(spark: SparkSession, path: str, pattern: str = "*") -> DataFra
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
     return files.select("path", "length", "modificationTime").orderBy(F.col("length").desc(), "path")
+
+
+def write_bucketed(df: DataFrame, table: str, key: Sequence[str], buckets: int, path: str,
+                   mode: str = "overwrite") -> None:
+    """Write ``df`` as a catalog table bucketed and sorted by ``key`` at ``path``.
+
+    Later joins and anti joins on exactly ``key`` read the table with its
+    bucket layout and shuffle only the other side — the big table never
+    moves again.  ``path`` should be in shared storage.
+    """
+    (df.write.mode(mode).bucketBy(buckets, *key).sortBy(*key)
+       .option("path", path).saveAsTable(table))
+
+
+def table_exists(spark: SparkSession, table: str) -> bool:
+    return spark.catalog.tableExists(table)

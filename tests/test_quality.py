@@ -61,3 +61,31 @@ def test_promote_twice_equals_once(spark, tmp):
     assert audit["rows_promoted"] == 0
     assert spark.read.parquet(main).count() == 15
     assert P.overlap_count(chunk2, spark.read.parquet(main), ["id", "k"]).first()[0] == 10
+
+
+def test_promote_to_bucketed_table_no_main_exchange(spark, tmp):
+    import io
+    import contextlib
+    chunk = spark.createDataFrame([(i, f"k{i}", float(i)) for i in range(20)], "id int, k string, v double")
+    path = os.path.join(tmp, "bucketed")
+    P.promote_to_table(spark, chunk, "t_bucketed_main", ["id", "k"], 4, path)
+    audit = {r.metric: r.value for r in P.promote_to_table(spark, chunk, "t_bucketed_main", ["id", "k"], 4, path).collect()}
+    assert audit["rows_promoted"] == 0 and spark.table("t_bucketed_main").count() == 20
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            P.new_rows(chunk, spark.table("t_bucketed_main"), ["id", "k"]).explain()
+        plan = buf.getvalue()
+        assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1   # staging side only
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    spark.sql("DROP TABLE t_bucketed_main")
+
+
+def test_scale_conf():
+    from quantlake.session import scale_conf
+    c = scale_conf(100 * 2**40, cores=8000)
+    assert c["spark.sql.shuffle.partitions"] == "200000"
+    assert scale_conf(10 * 2**20, cores=8)["spark.sql.shuffle.partitions"] == "16"
