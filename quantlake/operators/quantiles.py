@@ -1,19 +1,22 @@
-"""Exact per-group percentiles that do not gather a group into one task.
+"""Exact per-group percentiles that do not gather a large group into one task.
 
 Spark's ``percentile``/``median`` aggregate holds every value of a group in
 one task's memory, so a group with a third of all rows would sit on one
-executor.  Here the work is split:
-
-1. ``percentile_approx`` per group gives up to ``cuts`` cut points (a
-   bounded sketch, merged map-side);
-2. each value gets the bucket between two cut points (order-preserving);
-3. row counts per (group, bucket) are a partial aggregate;
-4. a running sum over the (small) bucket table finds the bucket that holds
-   the wanted rank;
-5. only that bucket's rows are looked at, and they are first collapsed to
-   (value, count) pairs, so even a bucket of identical values is one row.
-
-The result is exact and equals SQL ``percentile_cont`` / DuckDB ``median``.
+executor.  Here the candidates are narrowed level by level:
+
+1. the two ranks to interpolate between are known from the group count;
+2. ``percentile_approx`` per group gives up to ``cuts`` cut points (a
+   bounded sketch, merged map-side); each value gets the bucket between two
+   cut points (order-preserving, equal values share a bucket);
+3. row counts per (group, bucket) are a partial aggregate; a running sum over
+   that small table finds the buckets holding the two ranks, and only rows in
+   that contiguous bucket range stay candidates (ranks shift accordingly);
+4. this repeats while the largest candidate group has more than
+   ``max_group_rows`` rows — each level keeps about 1/``cuts`` of a group;
+5. the remaining candidates are collapsed to (value, count) pairs and a
+   running count picks the two values exactly.
+
+The result equals SQL ``percentile_cont`` / DuckDB ``median``.
 """
 
 from __future__ import annotations
@@ -26,15 +29,27 @@ from pyspark.sql import functions as F
 from quantlake.session import materialize
 
 
+def _join(a: DataFrame, b: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
+    return a.join(b, by, how) if by else a.crossJoin(b)
+
+
+def _largest_group(cand: DataFrame, by: list[str]) -> int:
+    """Row count of the largest candidate group (one scalar)."""
+    counts = cand.groupBy(*by).agg(F.count(F.lit(1)).alias("_c")) if by else cand.agg(F.count(F.lit(1)).alias("_c"))
+    v = counts.agg(F.max("_c")).first()[0]
+    return int(v or 0)
+
+
 def exact_percentile(df: DataFrame, col: str, by: Sequence[str] | str | None = None, p: float = 0.5,
-                     name: str | None = None, cuts: int = 64, accuracy: int = 10000,
+                     name: str | None = None, cuts: int = 256, accuracy: int = 20000,
+                     max_group_rows: int = 1_000_000, max_levels: int = 6,
                      materialize_input: bool = True) -> DataFrame:
     """Interpolated percentile of ``col`` per group (NULL/NaN dropped).
 
     Returns one row per group with at least one value: ``by... , name``.
-    The narrow (group, value) input is read three times; with
-    ``materialize_input`` it is written once to the shared checkpoint folder
-    so an expensive upstream plan is not recomputed (this runs a job).
+    With ``materialize_input`` the narrow (group, value) input and each
+    level's candidates are written to the shared checkpoint folder, so an
+    expensive upstream plan is not recomputed (this runs jobs eagerly).
     """
     by = [by] if isinstance(by, str) else list(by or [])
     name = name or f"p{int(round(p * 100))}_{col}"
@@ -42,37 +57,44 @@ def exact_percentile(df: DataFrame, col: str, by: Sequence[str] | str | None = N
     if materialize_input:
         x = materialize(x, "percentile-input")
 
-    probs = [i / cuts for i in range(1, cuts)]
-    sketch = (x.groupBy(*by).agg(F.percentile_approx("_x", probs, accuracy).alias("_cuts"),
-                                 F.count(F.lit(1)).alias("_n")))
-    # ranks (0-based) of the two values to interpolate between
+    n = x.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")) if by else x.agg(F.count(F.lit(1)).alias("_n"))
     pos = (F.col("_n") - 1) * F.lit(float(p))
-    sketch = sketch.select(*by, "_cuts", "_n",
-                           F.floor(pos).cast("long").alias("_r_lo"),
-                           F.ceil(pos).cast("long").alias("_r_hi"),
-                           (pos - F.floor(pos)).alias("_frac"))
-
-    keyed = x.join(sketch.select(*by, "_cuts"), by, "inner") if by else x.crossJoin(sketch.select("_cuts"))
-    bucket = F.size(F.filter("_cuts", lambda c: c < F.col("_x")))
-    keyed = keyed.select(*by, "_x", bucket.alias("_b"))
-
-    per_bucket = keyed.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    w = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy("_b")
-    per_bucket = per_bucket.withColumn("_before", F.sum("_cnt").over(w) - F.col("_cnt"))
-    # buckets that hold rank lo or rank hi
-    s = sketch.select(*by, "_r_lo", "_r_hi", "_frac")
-    wanted = (per_bucket.join(s, by, "inner") if by else per_bucket.crossJoin(s)) \
-        .where(((F.col("_r_lo") >= F.col("_before")) & (F.col("_r_lo") < F.col("_before") + F.col("_cnt")))
-               | ((F.col("_r_hi") >= F.col("_before")) & (F.col("_r_hi") < F.col("_before") + F.col("_cnt")))) \
-        .select(*by, "_b", "_before", "_r_lo", "_r_hi", "_frac")
-
-    vals = (keyed.join(wanted.select(*by, "_b"), by + ["_b"], "left_semi")
-                 .groupBy(*by, "_b", "_x").agg(F.count(F.lit(1)).alias("_k")))
-    wv = Window.partitionBy(*by, "_b").orderBy("_x")
-    vals = (vals.withColumn("_end", F.sum("_k").over(wv))
-                .join(wanted, by + ["_b"], "inner")
-                .withColumn("_first", F.col("_before") + F.col("_end") - F.col("_k"))
-                .withColumn("_last", F.col("_before") + F.col("_end") - 1))
+    # 0-based ranks, relative to the first candidate of the group
+    ranks = n.where(F.col("_n") > 0).select(*by, F.floor(pos).cast("long").alias("_r_lo"),
+                                            F.ceil(pos).cast("long").alias("_r_hi"),
+                                            (pos - F.floor(pos)).alias("_frac"))
+    cand = x
+    probs = [i / cuts for i in range(1, cuts)]
+    biggest = _largest_group(cand, by)
+    for _ in range(max_levels):
+        if biggest <= max_group_rows:
+            break
+        sketch = cand.groupBy(*by).agg(F.percentile_approx("_x", probs, accuracy).alias("_cuts")) if by \
+            else cand.agg(F.percentile_approx("_x", probs, accuracy).alias("_cuts"))
+        keyed = _join(cand, sketch, by).select(*by, "_x", F.size(F.filter("_cuts", lambda c: c < F.col("_x"))).alias("_b"))
+        per_bucket = keyed.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
+        w = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy("_b")
+        per_bucket = per_bucket.withColumn("_before", F.sum("_cnt").over(w) - F.col("_cnt"))
+        holds = lambda r: (F.col(r) >= F.col("_before")) & (F.col(r) < F.col("_before") + F.col("_cnt"))
+        hit = _join(per_bucket, ranks, by).where(holds("_r_lo") | holds("_r_hi"))
+        span = hit.groupBy(*by).agg(F.min("_b").alias("_b0"), F.max("_b").alias("_b1"), F.min("_before").alias("_off")) \
+            if by else hit.agg(F.min("_b").alias("_b0"), F.max("_b").alias("_b1"), F.min("_before").alias("_off"))
+        nxt = _join(keyed, span, by).where(F.col("_b").between(F.col("_b0"), F.col("_b1"))).select(*by, "_x")
+        nxt = materialize(nxt, "percentile-level") if materialize_input else nxt
+        ranks = _join(ranks, span.select(*by, "_off"), by).select(
+            *by, (F.col("_r_lo") - F.col("_off")).alias("_r_lo"), (F.col("_r_hi") - F.col("_off")).alias("_r_hi"), "_frac")
+        if materialize_input:
+            ranks = materialize(ranks, "percentile-ranks")
+        shrunk = _largest_group(nxt, by)
+        cand = nxt
+        if shrunk * 2 > biggest:       # no real progress (e.g. one repeated value): finish exactly
+            break
+        biggest = shrunk
+
+    vals = cand.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_k"))
+    wv = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy("_x")
+    vals = _join(vals.withColumn("_end", F.sum("_k").over(wv)), ranks, by) \
+        .withColumn("_first", F.col("_end") - F.col("_k")).withColumn("_last", F.col("_end") - 1)
     hit_lo = (F.col("_r_lo") >= F.col("_first")) & (F.col("_r_lo") <= F.col("_last"))
     hit_hi = (F.col("_r_hi") >= F.col("_first")) & (F.col("_r_hi") <= F.col("_last"))
     agg = [F.max(F.when(hit_lo, F.col("_x"))).alias("_lo"), F.max(F.when(hit_hi, F.col("_x"))).alias("_hi"),
@@ -85,5 +107,5 @@ def exact_percentile(df: DataFrame, col: str, by: Sequence[str] | str | None = N
 
 
 def exact_median(df: DataFrame, col: str, by: Sequence[str] | str | None = None,
-                 name: str | None = None) -> DataFrame:
-    return exact_percentile(df, col, by, 0.5, name or f"median_{col}")
+                 name: str | None = None, **kw) -> DataFrame:
+    return exact_percentile(df, col, by, 0.5, name or f"median_{col}", **kw)
