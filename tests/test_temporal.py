@@ -86,3 +86,18 @@ def test_split_day_is_strict_and_roundtrip(spark):
     assert un == {("T", "2020-01-01"): 36.0, ("T", "2020-06-01"): 18.0, ("T", "2021-06-01"): 6.0, ("X", "2020-01-01"): 6.0}
     back = ADJ.adjust(ADJ.unadjust(vals, splits, ["TICKER"], "d", ["v"]).drop("cum_adj"), splits, ["TICKER"], "d", ["v"])
     assert all(abs(r.v - 6.0) < 1e-12 for r in back.collect())
+
+
+def test_asof_grain_does_not_change_results(spark):
+    from quantlake.operators.scan import time_bucket
+    rnd = random.Random(5)
+    base = dt.datetime(2020, 1, 1)
+    L = [("HOT" if i % 4 else "c", base + dt.timedelta(hours=rnd.randrange(2000)), i) for i in range(600)]
+    R = [("HOT" if i % 3 else "c", base + dt.timedelta(hours=rnd.randrange(2000)), i) for i in range(300)]
+    left = spark.createDataFrame(L, "k string, t timestamp_ntz, lid int")
+    right = spark.createDataFrame(R, "k string, rt timestamp_ntz, rid int")
+    results = []
+    for grain in ("month", "day", "hour"):
+        j = A.asof_join(left, right, ["k"], "t", "rt", ["rid"], tie_break=["rid"], bucket=time_bucket(grain))
+        results.append(sorted((r.lid, r.rid) for r in j.collect()))
+    assert results[0] == results[1] == results[2]
