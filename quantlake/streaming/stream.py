@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType, TimestampNTZType
@@ -67,15 +67,27 @@ def stream_promote(stream: DataFrame, main_path: str, key: Sequence[str], checkp
 
 
 def event_time(df: DataFrame, time: str) -> DataFrame:
-    """Watermarks need ``TIMESTAMP``; a ``TIMESTAMP_NTZ`` column is read as session-zone wall time."""
+    """Watermarks need ``TIMESTAMP``: a ``TIMESTAMP_NTZ`` wall time becomes that instant in UTC.
+
+    ``convert_timezone`` keeps this independent of the session time zone, so
+    tumbling windows (aligned to UTC) match wall-clock days in any session.
+    """
     if isinstance(df.schema[time].dataType, TimestampNTZType):
-        return df.withColumn(time, F.col(time).cast("timestamp"))
+        return df.withColumn(time, F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col(time))
+                             .cast("timestamp"))
     return df
 
 
+def wall_time(c: Column) -> Column:
+    """Inverse of :func:`event_time`: an instant back to its UTC wall time (``TIMESTAMP_NTZ``)."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), c.cast("timestamp_ntz"))
+
+
 def stream_dedupe(stream: DataFrame, key: Sequence[str], time: str, delay: str) -> DataFrame:
     """Drop repeats of a key seen within ``delay`` of event time (bounded state)."""
-    return event_time(stream, time).withWatermark(time, delay).dropDuplicatesWithinWatermark(list(key))
+    ntz = isinstance(stream.schema[time].dataType, TimestampNTZType)
+    out = event_time(stream, time).withWatermark(time, delay).dropDuplicatesWithinWatermark(list(key))
+    return out.withColumn(time, wall_time(F.col(time))) if ntz else out
 
 
 def stream_qc(stream: DataFrame, time: str, width: str, delay: str, value: str,
@@ -85,12 +97,14 @@ def stream_qc(stream: DataFrame, time: str, width: str, delay: str, value: str,
     Append mode: a window is emitted once the watermark passes its end.
     """
     w = F.window(time, width)
+    ntz = isinstance(stream.schema[time].dataType, TimestampNTZType)
+    edge = (lambda c: wall_time(c)) if ntz else (lambda c: c)
     return (event_time(stream, time).withWatermark(time, delay).groupBy(w.alias("w"), *by)
                   .agg(F.count(F.lit(1)).alias("rows"),
                        F.round(F.try_divide(F.count_if(F.col(value).isNull()).cast("double"),
                                             F.count(F.lit(1)).cast("double")), 4).alias("pct_null"),
                        F.min(value).alias("minv"), F.max(value).alias("maxv"))
-                  .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by,
+                  .select(edge(F.col("w.start")).alias("window_start"), edge(F.col("w.end")).alias("window_end"), *by,
                           "rows", "pct_null", "minv", "maxv"))
 
 

@@ -27,3 +27,20 @@ def test_stream_promote_equals_batch(spark, tmp):
     # replaying the stream from a fresh checkpoint adds nothing
     X.stream_promote(X.file_stream(spark, src, schema), main, ["event_id"], os.path.join(tmp, "ckpt2")).awaitTermination()
     assert spark.read.parquet(main).count() == streamed.count()
+
+
+def test_stream_windows_independent_of_session_zone(spark):
+    import duckdb
+    from quantlake.plans.catalog import load_all
+    q = load_all()["stream_window_qc"]
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{SF0001}/events.parquet')")
+    want = sorted(con.execute(q.sql).fetchall())
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            got = sorted(tuple(r) for r in q.fn(spark, SF0001).collect())
+            assert got == want, tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -67,6 +67,8 @@ def main():
     sf = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in args if not a.startswith("/")]
     spark = get_spark("local[8]", 8)
+    if os.environ.get("CHECK_TZ"):          # run the Spark side under another session zone
+        spark.conf.set("spark.sql.session.timeZone", os.environ["CHECK_TZ"])
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
