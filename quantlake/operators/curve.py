@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quantlake.functions.scalars import norm_cdf, norm_pdf
-from quantlake.operators.reconcile import broadcast_if_small
+from quantlake.operators.joins import broadcast_if_small
 
 
 def curve_segments(curve: DataFrame, date: str = "date", days: str = "days", rate: str = "rate") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from quantlake.functions.scalars import LINK_OPEN_VALUES, OPEN_END_DATE, link_end
-from quantlake.operators.reconcile import broadcast_if_small
+from quantlake.operators.joins import broadcast_if_small
 from quantlake.operators.scan import ordered_scan
 
 

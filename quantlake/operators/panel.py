@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from quantlake.functions.scalars import strike as strike_scale
 from quantlake.operators.quality import keep_one
-from quantlake.operators.reconcile import broadcast_if_small
+from quantlake.operators.joins import broadcast_if_small
 from quantlake.operators.scan import ordered_scan
 
 # fixed values: old-format → new-format daily stock column names

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quantlake.operators.quantiles import exact_median
+from quantlake.operators.joins import broadcast_if_small
 from quantlake.operators.quality import histogram  # noqa: F401  (re-exported: D14)
 
 # fixed values: tolerances used by the reconciliation report (price units)
@@ -21,22 +22,6 @@ TOL_CLOSE = 0.10
 OUTLIER_THRESHOLD = 0.50
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int | None = 1_000_000) -> DataFrame:
-    """Mark ``df`` for broadcast only after proving it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows, so use it on stored
-    tables (a Parquet count is answered from footers), not on frames derived
-    from big inputs.  With ``max_rows=None`` no hint is set and the choice is
-    left to AQE, which turns a shuffle join into a broadcast join at run time
-    only when the measured shuffle output is below
-    ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
-    """
-    if max_rows is None:
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def align(a: DataFrame, b: DataFrame, mapping: DataFrame | None = None,
           a_code: str = "contract", b_code: str = "ric", on: str = "date",
           max_mapping_rows: int | None = None) -> DataFrame:

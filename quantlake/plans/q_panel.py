@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from quantlake.functions import scalars as S
 from quantlake.operators import asof as A
 from quantlake.operators import curve as C
-from quantlake.operators import intervals as IV  # noqa: F401
 from quantlake.operators import panel as P
 from quantlake.operators.quality import keep_one
 from quantlake.plans.catalog import query

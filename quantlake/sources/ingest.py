@@ -200,3 +200,31 @@ def load(spark: SparkSession, spec: TableSpec, path: str, table_path: str, stage
                              f"(budget {spec.budget_rows} rows / {spec.budget_ratio})")
     good.write.mode(mode).parquet(table_path)
     return report
+
+
+def load_chunks(spark: SparkSession, spec: TableSpec, folder: str, table_path: str,
+                pattern: str = "*.csv", opts: LoadOptions = LoadOptions(), on_error: str = "skip") -> DataFrame:
+    """Load every extract in ``folder`` as its own chunk, largest first.
+
+    Each file is one :func:`load` (one parse, its own budget verdict); a file
+    over budget is skipped with ``status = 'over_budget'`` (or raises with
+    ``on_error='raise'``).  The loop runs over files — the list is file
+    metadata — never over rows.  Returns one report row per file.
+    """
+    from quantlake.session import scratch_path
+    from quantlake.sources.sinks import files_by_size
+
+    paths = [r["path"] for r in files_by_size(spark, folder, pattern).select("path").collect()]
+    rows = []
+    for p in paths:
+        try:
+            r = load(spark, spec, p, table_path, scratch_path(spark, "stage"), opts, mode="append").first()
+            rows.append((p, "loaded", r["rows_read"], r["rows_good"], r["rows_rejected"]))
+        except BudgetExceeded:
+            if on_error == "raise":
+                raise
+            raw, cols, _ = read_raw(spark, p, opts)
+            r = budget_report(typed(raw, spec, cols), spec).first()
+            rows.append((p, "over_budget", r["rows_read"], 0, r["rows_rejected"]))
+    return spark.createDataFrame(rows, "file string, status string, rows_read long, rows_written long, "
+                                       "rows_rejected long")

@@ -3,7 +3,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import write_text
 from quantlake.sources import ingest as I
@@ -81,3 +80,18 @@ def test_files_by_size(spark, tmp):
     _csv(tmp, "a\n" + "1\n" * 100, name="big.csv")
     rows = files_by_size(spark, os.path.join(tmp, "in"), "*.csv").collect()
     assert rows[0]["path"].endswith("big.csv") and rows[0]["length"] > rows[1]["length"]
+
+
+def test_load_chunks_largest_first_with_budgets(spark, tmp):
+    s = spec("t.x", "a:long b:double", budget_rows=1, budget_ratio=0.2)
+    _csv(tmp, "a,b\n" + "".join(f"{i},{i}.5\n" for i in range(50)), name="big.csv")
+    _csv(tmp, "a,b\n1,x\n2,y\n3,3\n", name="bad.csv")
+    _csv(tmp, "b,a\n9.5,9\n", name="small.csv")           # other column order
+    table = os.path.join(tmp, "table")
+    rep = I.load_chunks(spark, s, os.path.join(tmp, "in"), table).collect()
+    assert [(r["file"].rsplit("/", 1)[1], r["status"]) for r in rep] == \
+        [("big.csv", "loaded"), ("bad.csv", "over_budget"), ("small.csv", "loaded")]
+    by_file = {r["file"].rsplit("/", 1)[1]: r for r in rep}
+    assert by_file["big.csv"]["rows_written"] == 50 and by_file["small.csv"]["rows_written"] == 1
+    assert by_file["bad.csv"]["status"] == "over_budget"
+    assert spark.read.parquet(table).count() == 51
