@@ -65,10 +65,11 @@ def new_rows(staging: DataFrame, main: DataFrame, key: Sequence[str], dedupe_wit
 
 
 def pre_promote(main: DataFrame, staging: DataFrame) -> DataFrame:
-    """D7 pre-promote row: main and staging counts (two one-row aggregates)."""
-    m = main.agg(F.count(F.lit(1)).alias("main_rows_before"))
-    s = staging.agg(F.count(F.lit(1)).alias("staging_rows"))
-    return m.crossJoin(s).select(F.lit("pre_promote").alias("check"), "main_rows_before", "staging_rows")
+    """D7 pre-promote row: main and staging counts, one aggregate over a tagged union."""
+    t = main.select(F.lit("m").alias("_src")).unionByName(staging.select(F.lit("s").alias("_src")))
+    return t.agg(F.count_if(F.col("_src") == "m").alias("main_rows_before"),
+                 F.count_if(F.col("_src") == "s").alias("staging_rows")) \
+        .select(F.lit("pre_promote").alias("check"), "main_rows_before", "staging_rows")
 
 
 def post_promote(main: DataFrame, date_cols: Sequence[str] = ("ACTDATS", "ANNDATS")) -> DataFrame:
@@ -81,13 +82,24 @@ def post_promote(main: DataFrame, date_cols: Sequence[str] = ("ACTDATS", "ANNDAT
 
 def promote_plan(staging: DataFrame, main: DataFrame, key: Sequence[str],
                  date_cols: Sequence[str], dedupe_within: bool = False) -> DataFrame:
-    """The whole promote as one lazy audit row (no write): before, new, after."""
+    """The whole promote as one lazy audit row (no write): before, new, after.
+
+    Main, staging and the new rows are tagged and unioned (date columns
+    only), and one aggregate yields every figure — no join of one-row frames.
+    """
     new = new_rows(staging, main, key, dedupe_within)
-    after = main.unionByName(new.select(*main.columns))
-    pre = pre_promote(main, staging).drop("check")
-    n_new = new.agg(F.count(F.lit(1)).alias("rows_promoted"))
-    post = post_promote(after, date_cols).drop("check")
-    return pre.crossJoin(n_new).crossJoin(post)
+    cols = list(date_cols)
+    t = (main.select(F.lit("m").alias("_src"), *cols)
+         .unionByName(staging.select(F.lit("s").alias("_src"), *cols))
+         .unionByName(new.select(F.lit("n").alias("_src"), *cols)))
+    src = F.col("_src")
+    after = src.isin("m", "n")
+    exprs = [F.count_if(src == "m").alias("main_rows_before"), F.count_if(src == "s").alias("staging_rows"),
+             F.count_if(src == "n").alias("rows_promoted"), F.count_if(after).alias("main_rows_after")]
+    for c in cols:
+        exprs += [F.min(F.when(after, F.col(c))).alias(f"main_min_{c.lower()}"),
+                  F.max(F.when(after, F.col(c))).alias(f"main_max_{c.lower()}")]
+    return t.agg(*exprs)
 
 
 def promote(spark: SparkSession, staging: DataFrame, main_path: str, key: Sequence[str],
