@@ -163,3 +163,37 @@ def promote_to_table(spark: SparkSession, staging: DataFrame, table: str, key: S
             ("post_promote", "rows_promoted", float(landed.count())),
             ("post_promote", "main_rows_after", float(spark.table(table).count()))]
     return spark.createDataFrame(rows, "check string, metric string, value double")
+
+
+def chunk_job(spark: SparkSession, spec, csv_path: str, staging_path: str, main_path: str,
+              key: Sequence[str] | None = None, date_cols: Sequence[str] = (),
+              null_rules=None, value_col: str | None = None, code_cols: Sequence[str] = (),
+              thresholds=None, prune_on: str | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """C2 end to end: land a chunk, check it, promote it only if the gate passes.
+
+    1. the CSV is parsed once into ``staging_path`` (overwritten: the truncate
+       of the staging table), rejecting rows under the spec's error budget;
+    2. D1–D5 run as one fused aggregate over staging, D6 as a semi join;
+    3. the gate (D8) compares them with ``thresholds``;
+    4. only if every check passes are the new rows promoted (T2).
+    Returns ``(gate, audit)``; ``audit`` is None when the gate failed.
+    """
+    from quantlake.operators import quality as Q
+    from quantlake.sources.ingest import load
+
+    key = list(key or spec.natural_key)
+    good_path = staging_path.rstrip("/") + "_table"
+    load(spark, spec, csv_path, good_path, staging_path.rstrip("/") + "_parse", mode="overwrite")
+    staging = spark.read.parquet(good_path)
+    wide = Q.staging_qc(staging, list(date_cols), null_rules or {}, value_col or key[0], list(code_cols), key) \
+        if value_col else Q.row_count_and_range(staging, list(date_cols), check=None)
+    checks = Q.tidy(wide, "staging_qc")
+    try:
+        main = spark.read.parquet(main_path)
+        checks = checks.unionByName(Q.tidy(overlap_count(staging, main, key, prune_on), "overlap_with_main"))
+    except Exception:  # noqa: BLE001  (no main table yet)
+        pass
+    gate_df = Q.gate(checks, thresholds or {("staging_qc", "rows"): (">", 0)})
+    if gate_df.where(~F.col("passed")).limit(1).count() > 0:
+        return gate_df, None
+    return gate_df, promote(spark, staging, main_path, key, date_cols=list(date_cols), prune_on=prune_on)

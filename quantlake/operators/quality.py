@@ -137,12 +137,25 @@ def staging_qc(df: DataFrame, date_cols: Sequence[str], null_rules: Mapping[str,
     return _agg(df, by, exprs + [dup])
 
 
+def _as_number(df: DataFrame, c: str) -> Column:
+    t = df.schema[c].dataType.simpleString()
+    if t == "date":
+        return F.unix_date(F.col(c)).cast("double")          # days since 1970-01-01
+    if t.startswith("timestamp"):
+        return F.unix_micros(F.col(c).cast("timestamp")).cast("double") / 1e6
+    return F.col(c).cast("double")
+
+
 def tidy(wide: DataFrame, check: str, by=None) -> DataFrame:
-    """Wide one-row-per-group check output → rows ``(check, metric, value)``."""
+    """Wide one-row-per-group check output → rows ``(check, metric, value)``.
+
+    Values are doubles; dates become days since 1970-01-01 so limits can be
+    set on them too.
+    """
     by = _by(by)
     metrics = [c for c in wide.columns if c not in by and c != "check"]
     stacked = F.explode(F.array(*[
-        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics]))
+        F.struct(F.lit(m).alias("metric"), _as_number(wide, m).alias("value")) for m in metrics]))
     return wide.select(*by, F.lit(check).alias("check"), stacked.alias("_m")) \
         .select(*by, "check", "_m.metric", "_m.value")
 

@@ -72,3 +72,24 @@ def test_old_format_codes(spark, tmp):
     assert census == {("SICCD", "Z"): 1, ("RET", "B"): 1, ("RETX", "C"): 1, ("DLRET", "A"): 1, ("RET", "5F"): 1}
     usable = good.where(~F.col("RET").isin("B", "C", ""))     # P6: NULL also drops
     assert usable.count() == 2
+
+
+def test_chunk_job_gate_and_idempotent_promote(spark, tmp):
+    from quantlake.operators.promote import chunk_job
+    hdr = ("TICKER,CUSIP,OFTIC,CNAME,ACTDATS,ESTIMATOR,ANALYS,CURRFL,PDF,FPI,MEASURE,VALUE,CURR,FPEDATS,"
+           "ACTTIMS,REVDATS,REVTIMS,ANNDATS,ANNTIMS,USFIRM,report_curr")
+    rows = [f"T{i % 3},1,A,Co,2020-01-{1 + i % 28:02d},00012{i % 5},00045{i % 7},,,1,EPS,{i}.5,USD,2020-12-31,"
+            f"10:00:00,,,2020-01-{1 + i % 28:02d},09:00:00,1,USD" for i in range(40)]
+    csv = write_text(os.path.join(tmp, "chunk", "c.csv"), "\n".join([hdr] + rows) + "\n")
+    main = os.path.join(tmp, "main")
+    args = dict(date_cols=["ACTDATS", "ANNDATS"], value_col="VALUE", code_cols=["MEASURE", "FPI", "CURR", "TICKER"],
+                null_rules=Q.default_null_rules("VALUE", ["ACTDATS"], ["ESTIMATOR", "ANALYS"]),
+                thresholds={("staging_qc", "rows"): (">", 0), ("staging_qc", "dup_rows"): ("==", 0)})
+    gate, audit = chunk_job(spark, specs.ESTIMATE_HISTORY, os.path.dirname(csv), os.path.join(tmp, "stg"), main, **args)
+    assert audit is not None and {r.metric: r.value for r in audit.collect()}["rows_promoted"] == 40
+    gate, audit = chunk_job(spark, specs.ESTIMATE_HISTORY, os.path.dirname(csv), os.path.join(tmp, "stg"), main, **args)
+    assert {r.metric: r.value for r in audit.collect()}["rows_promoted"] == 0       # re-run adds nothing
+    assert {(r.check, r.metric): r.value for r in gate.collect()}[("overlap_with_main", "rows_already_in_main")] == 40
+    strict = dict(args, thresholds={("staging_qc", "pct_value_null"): ("<", -1)})
+    gate, audit = chunk_job(spark, specs.ESTIMATE_HISTORY, os.path.dirname(csv), os.path.join(tmp, "stg"), main, **strict)
+    assert audit is None and spark.read.parquet(main).count() == 40                 # failed gate: no promote
