@@ -125,5 +125,70 @@ SECURITY_PRICES = spec(
     sort_key=("secid", "date"), budget_rows=100, budget_ratio=0.001,
     comment="`return` is a reserved word: quote it")
 
+RESTATED_ACTUALS = spec(
+    "estimates.restated_actuals",
+    "TICKER:string! MEASURE:string! PDICITY:string! PENDS:date! VALUE:double ACTDATS:date! ACTTIMS:string! "
+    "ANNDATS:date",
+    sort_key=("TICKER", "MEASURE", "PDICITY", "PENDS", "ACTDATS"), budget_rows=100, budget_ratio=0.001)
+
+EXCLUDED_ESTIMATES = spec(
+    "estimates.excluded",
+    "TICKER:string! ESTIMATOR:string! ANALYS:string FPI:string! MEASURE:string! FPEDATS:date! ACTDATS:date! "
+    "EXCFLA EXCDATS:date EXCENDS:date",
+    sort_key=("TICKER", "MEASURE", "FPI", "FPEDATS", "ACTDATS", "ESTIMATOR"), budget_rows=1000, budget_ratio=0.001,
+    comment="exclusion window [EXCDATS, EXCENDS]; far-future or missing end = still excluded")
+
+STOPPED_ESTIMATES = spec(
+    "estimates.stopped",
+    "TICKER:string! ESTIMATOR:string! PDICITY:string! MEASURE:string! FPEDATS:date! ASTPDATS:date! ASTPTIMS",
+    sort_key=("TICKER", "MEASURE", "PDICITY", "FPEDATS", "ASTPDATS", "ESTIMATOR"), budget_rows=1000,
+    budget_ratio=0.001)
+
+PRICE_TARGETS = spec(
+    "estimates.price_targets",
+    "TICKER:string! ESTIMID:string! AMASKCD HORIZON:int VALUE:double ACTDATS:date! ANNDATS:date",
+    sort_key=("TICKER", "ACTDATS", "ESTIMID"), budget_rows=1000, budget_ratio=0.001)
+
+STOP_PRICE_TARGETS = spec(
+    "estimates.stop_price_targets",
+    "TICKER:string! ESTIMID:string! STPDATS:date!",
+    sort_key=("TICKER", "STPDATS", "ESTIMID"), budget_rows=100, budget_ratio=0.001)
+
+IDENTIFIER = spec(
+    "estimates.identifier",
+    "TICKER:string! SDATES:date! PDI DILFAC:double!",
+    sort_key=("TICKER", "SDATES"), budget_rows=100, budget_ratio=0.001)
+
+OPTION_PRICING = spec(
+    "options.option_pricing",
+    "optionid:long! date:date! secid:long! exdate:date! cp_flag:string! strike_price:long! best_bid:double "
+    "best_offer:double volume:long open_interest:long impl_volatility:double delta:double gamma:double "
+    "vega:double theta:double forward_price:double",
+    sort_key=("secid", "date", "optionid"), natural_key=("optionid", "date"), budget_rows=100, budget_ratio=0.001,
+    comment="strike_price is strike x 1000")
+
+RATIOS = spec(
+    "fundamentals.ratios",
+    "gvkey:string! permno:long public_date:date! divyield",
+    sort_key=("gvkey", "public_date"), comment="divyield is text with a percent sign")
+
+SEGMENTS = spec(
+    "fundamentals.segments",
+    "gvkey:string! datadate:date! stype:string! sales:double",
+    sort_key=("gvkey", "datadate", "stype"))
+
+MARKET_RETURNS = spec(
+    "equity.market_returns",
+    "DlyCalDt:date! vwretd:double ewretd:double",
+    sort_key=("DlyCalDt",), budget_rows=100, budget_ratio=0.001)
+
+DISTRIBUTIONS = spec(
+    "equity.distributions",
+    "PERMNO:long! DisExDt:date! DisDivAmt:double",
+    sort_key=("PERMNO", "DisExDt"), budget_rows=100, budget_ratio=0.001)
+
 CATALOG = {s.name: s for s in (ESTIMATE_HISTORY, LINK, SECURITY_NAMES, CONSTITUENTS, DAILY_STOCK_OLD,
-                               DAILY_STOCK_NEW, FORWARD_PRICE, ZERO_CURVE, ADJUSTMENTS, SECURITY_PRICES)}
+                               DAILY_STOCK_NEW, FORWARD_PRICE, ZERO_CURVE, ADJUSTMENTS, SECURITY_PRICES,
+                               RESTATED_ACTUALS, EXCLUDED_ESTIMATES, STOPPED_ESTIMATES, PRICE_TARGETS,
+                               STOP_PRICE_TARGETS, IDENTIFIER, OPTION_PRICING, RATIOS, SEGMENTS, MARKET_RETURNS,
+                               DISTRIBUTIONS)}

@@ -93,3 +93,23 @@ def test_chunk_job_gate_and_idempotent_promote(spark, tmp):
     strict = dict(args, thresholds={("staging_qc", "pct_value_null"): ("<", -1)})
     gate, audit = chunk_job(spark, specs.ESTIMATE_HISTORY, os.path.dirname(csv), os.path.join(tmp, "stg"), main, **strict)
     assert audit is None and spark.read.parquet(main).count() == 40                 # failed gate: no promote
+
+
+def test_catalog_specs_build_schemas():
+    for name, s in specs.CATALOG.items():
+        assert s.schema.names == s.names and len(set(s.names)) == len(s.names), name
+        assert set(s.sort_key) <= set(s.names) and set(s.natural_key) <= set(s.names), name
+    assert not specs.OPTION_PRICING.schema["optionid"].nullable
+
+
+def test_excluded_windows_from_spec(spark, tmp):
+    from quantlake.operators import intervals as IV
+    lines = ["TICKER,ESTIMATOR,ANALYS,FPI,MEASURE,FPEDATS,ACTDATS,EXCFLA,EXCDATS,EXCENDS",
+             "T,001,9,1,EPS,2020-12-31,2020-01-01,1,2020-02-01,2099-12-31",    # far-future end
+             "T,002,9,1,EPS,2020-12-31,2020-01-01,1,2020-01-01,2020-01-15",    # ended before
+             "T,003,9,1,EPS,2020-12-31,2020-01-01,1,2020-03-01,"]              # missing end = open
+    excl, _, _ = _load(spark, tmp, specs.EXCLUDED_ESTIMATES, lines, "excl")
+    est = spark.createDataFrame([("T", e, "2020-06-30") for e in ("001", "002", "003", "004")],
+                                "TICKER string, ESTIMATOR string, d string").withColumn("d", F.col("d").cast("date"))
+    kept = IV.exclude_windows(est, excl, ["TICKER", "ESTIMATOR"], "d", "EXCDATS", "EXCENDS")
+    assert sorted(r.ESTIMATOR for r in kept.collect()) == ["002", "004"]
