@@ -224,3 +224,9 @@ def norm_cdf(x) -> Column:
 def norm_pdf(x) -> Column:
     x = _c(x)
     return F.exp(-x * x / 2.0) / F.lit(2.5066282746310002)
+
+
+def periodicity_1char(c) -> Column:
+    """Periodicity as one letter: the actuals tables write ``ANN``/``QTR``/``SAN``,
+    the stop tables ``A``/``Q``/``S``; the first letter is the common key."""
+    return F.upper(F.substring(F.trim(_c(c).cast("string")), 1, 1))

@@ -89,3 +89,13 @@ def greeks(df: DataFrame, forward: str = "forward_price", strike: str = "strike"
     out = out.withColumns({"bs_delta": F.when(ok, delta), "bs_gamma": F.when(ok, gamma),
                            "bs_vega": F.when(ok, vega), "bs_theta": F.when(ok, theta)})
     return out.drop("_ok", "_d1", "_d2", "_disc", "_sqt", "_n1", "_n1m", "_n2", "_n2m", "_p1")
+
+
+def greeks_qc(df: DataFrame, stored: dict[str, str] | None = None, tol: float = 0.05) -> DataFrame:
+    """F21 QC: recomputed vs stored Greeks — absolute difference and a within-``tol`` flag each."""
+    stored = stored or {"bs_delta": "delta", "bs_gamma": "gamma", "bs_vega": "vega", "bs_theta": "theta"}
+    out = df
+    for mine, theirs in stored.items():
+        d = F.abs(F.col(mine) - F.col(theirs))
+        out = out.withColumns({f"{theirs}_absdiff": d, f"{theirs}_ok": d <= F.lit(tol)})
+    return out

@@ -65,8 +65,17 @@ def cumulative_return(df: DataFrame, key: Sequence[str], time: str, ret: str,
     return out.withColumn("cum_ret", F.exp(F.col("_lsum")) - F.lit(1.0)).drop("_lsum")
 
 
-def index_returns(panel: DataFrame, date: str, ret: str, weight: str, digits: int = 6) -> DataFrame:
-    """Value-weighted and equal-weighted mean return per date."""
+def index_returns(panel: DataFrame, date: str, ret: str, weight: str, digits: int = 6,
+                  lag_by: Sequence[str] | None = None) -> DataFrame:
+    """Value-weighted and equal-weighted mean return per date.
+
+    With ``lag_by`` (the security key) the weight is the security's previous
+    observation of ``weight`` (lagged market cap), found with the bucketed
+    scan, so a day's return is weighted by the cap known before that day.
+    """
+    if lag_by:
+        panel = ordered_scan(panel, list(lag_by), [date], F.col(weight), "last", "_w_lag", inclusive=False)
+        weight = "_w_lag"
     w, r = F.col(weight), F.col(ret)
     return panel.groupBy(date).agg(
         F.round(F.try_divide(F.sum(w * r), F.sum(F.when(r.isNotNull(), w))), digits).alias("vwret"),
@@ -82,6 +91,13 @@ def distribution_rollup(d: DataFrame, key: Sequence[str], date: str, amount: str
         F.max(F.col(date).cast("date")).alias("last_ex_date"))
 
 
+def distribution_prices(dist: DataFrame, prices: DataFrame, key: Sequence[str], exdate: str, date: str,
+                        cols: Sequence[str]) -> DataFrame:
+    """Each distribution with the security's price row on its ex-date (left equi join)."""
+    p = prices.select(*key, F.col(date).alias(exdate), *cols)
+    return dist.join(p, list(key) + [exdate], "left")
+
+
 def segment_totals(seg: DataFrame, firm: DataFrame, key: Sequence[str], seg_value: str, firm_value: str,
                    digits: int = 2) -> DataFrame:
     """Sum of segment values per firm-period vs the firm's own total."""

@@ -320,3 +320,32 @@ def parse_filename(spark, sf):
     f = FILES.frame(spark, sf)
     start, end, dim = S.filename_range(F.col("fname"))
     return f.select("o_orderkey", start.alias("start"), end.alias("end"), dim.alias("filter_col"))
+
+
+# --- daily security panel: one row per (part, ship day) ---------------------------------------
+DAILY = DerivedFrame("daily", "lineitem", (
+    ("PERMNO", "l_partkey"),
+    ("date", "cast(l_shipdate as date)"),
+    ("ret", "min(l_discount) - 0.05"),
+    ("cap", "cast(sum(cast(l_extendedprice as decimal(18,2))) as double)")),
+    group_by=("PERMNO", "date"))
+
+
+@query("index_returns_lagged_cap", ops="T10 W8", sql=with_ctes(DAILY, extra="""
+w AS (SELECT *, lag(cap) OVER (PARTITION BY PERMNO ORDER BY date) AS w FROM daily)""", body="""
+SELECT date, round(sum(w * ret) / sum(CASE WHEN ret IS NOT NULL THEN w END), 6) AS vwret,
+       round(avg(ret), 6) AS ewret, count(ret) AS n
+FROM w GROUP BY date"""))
+def index_returns_lagged_cap(spark, sf):
+    return P.index_returns(DAILY.frame(spark, sf), "date", "ret", "cap", lag_by=["PERMNO"])
+
+
+@query("distribution_prices", ops="T11", sql=with_ctes(DAILY, body="""
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey AS PERMNO, CAST(l.l_shipdate AS DATE) AS DisExDt, d.cap AS price
+FROM lineitem l LEFT JOIN daily d ON d.PERMNO = l.l_partkey AND d.date = CAST(l.l_shipdate AS DATE)
+WHERE l.l_returnflag = 'R'"""))
+def distribution_prices(spark, sf):
+    dist = table(spark, sf, "lineitem").where(F.col("l_returnflag") == "R").select(
+        "l_orderkey", "l_linenumber", F.col("l_partkey").alias("PERMNO"), F.col("l_shipdate").cast("date").alias("DisExDt"))
+    prices = DAILY.frame(spark, sf).withColumnRenamed("cap", "price")
+    return P.distribution_prices(dist, prices, ["PERMNO"], "DisExDt", "date", ["price"])

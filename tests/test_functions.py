@@ -47,3 +47,19 @@ def test_vendor_codes(spark):
     p = S.vendor_code_parts("c")
     rows = df.select(p["root"], p["month_code"], p["year_digits"], p["decade_flag"]).collect()
     assert [tuple(r) for r in rows] == [("SDA", "Z", "24", "2"), ("SDA", "Z", "3", "2"), ("SDA", "Z", "26", None)]
+
+
+def test_greeks_known_values_and_qc(spark):
+    from quantlake.operators.curve import greeks, greeks_qc
+    phi = math.exp(-0.1 ** 2 / 2) / math.sqrt(2 * math.pi)          # pdf at d1 = 0.1
+    n = 0.5 * (1 + math.erf(0.1 / math.sqrt(2)))
+    df = spark.createDataFrame([("C", 100.0, 100.0, 1.0, 0.2, 0.0, n, 0.9), ("P", 100.0, 100.0, 1.0, 0.2, 0.0, n - 1, 0.0),
+                                ("C", 100.0, 100.0, 1.0, None, 0.0, None, None)],
+                               "cp_flag string, forward_price double, strike double, t double, impl_volatility double, "
+                               "r double, delta double, gamma double")
+    rows = greeks(df).collect()
+    assert abs(rows[0].bs_delta - n) < 1e-7 and abs(rows[1].bs_delta - (n - 1)) < 1e-7
+    assert abs(rows[0].bs_gamma - phi / 20) < 1e-9 and abs(rows[0].bs_vega - 100 * phi) < 1e-6
+    assert abs(rows[0].bs_theta - (-100 * phi * 0.2 / 2)) < 1e-6 and rows[2].bs_delta is None
+    qc = greeks_qc(greeks(df), {"bs_delta": "delta", "bs_gamma": "gamma"}).collect()
+    assert qc[0].delta_ok and not qc[0].gamma_ok and qc[1].gamma_ok

@@ -101,3 +101,24 @@ def test_asof_grain_does_not_change_results(spark):
         j = A.asof_join(left, right, ["k"], "t", "rt", ["rid"], tie_break=["rid"], bucket=time_bucket(grain))
         results.append(sorted((r.lid, r.rid) for r in j.collect()))
     assert results[0] == results[1] == results[2]
+
+
+def test_stops_join_on_mapped_periodicity(spark):
+    from quantlake.functions.scalars import periodicity_1char
+    est = spark.createDataFrame([("T", "ANN", D(2020, 1, 1)), ("T", "QTR", D(2020, 1, 1))], "k string, p string, act date")
+    stops = spark.createDataFrame([("T", "A", D(2020, 5, 1))], "k string, p string, stop date")
+    e = est.withColumn("p1", periodicity_1char("p"))
+    s = stops.withColumn("p1", periodicity_1char("p")).drop("p")
+    got = {r.p: r.valid_to for r in A.apply_stops(e, s, ["k", "p1"], "act", "stop").collect()}
+    assert str(got["ANN"]) == "2020-05-01" and got["QTR"] is None
+
+
+def test_index_returns_with_lagged_cap(spark):
+    from quantlake.operators.panel import index_returns
+    rows = [("a", D(2020, 1, 1), 0.1, 100.0), ("b", D(2020, 1, 1), 0.2, 300.0),
+            ("a", D(2020, 1, 2), 0.0, 110.0), ("b", D(2020, 1, 2), 0.1, 360.0)]
+    df = spark.createDataFrame(rows, "k string, d date, r double, cap double")
+    got = {str(x.d): x for x in index_returns(df, "d", "r", "cap", lag_by=["k"]).collect()}
+    assert got["2020-01-01"].vwret is None                      # no earlier cap known
+    assert abs(got["2020-01-02"].vwret - (0.0 * 100 + 0.1 * 300) / 400) < 1e-12
+    assert abs(got["2020-01-02"].ewret - 0.05) < 1e-12
