@@ -43,14 +43,20 @@ def union_formats(old: DataFrame, new: DataFrame, column_map: Mapping[str, str],
 
 
 def lagged(df: DataFrame, key: Sequence[str], time: str, col: str, tie_break: Sequence[str] = (),
-           stored_ret: str | None = None, tol: float = 1e-6) -> DataFrame:
+           stored_ret: str | None = None, tol: float = 1e-6, factor: str | None = None) -> DataFrame:
     """Previous value per key and the implied return ``col / prev − 1``.
 
-    With ``stored_ret`` given, ``ret_matches`` compares the implied return
-    with the stored one (within ``tol``).
+    With ``factor`` (a cumulative price-adjustment factor column) the return
+    uses adjusted prices ``col / factor``, so a split day does not show up as
+    a price jump.  With ``stored_ret`` given, ``ret_matches`` compares the
+    implied return with the stored one (within ``tol``).
     """
-    out = ordered_scan(df, key, [time, *tie_break], F.col(col), "last", f"prev_{col}", inclusive=False)
-    out = out.withColumn(f"ret_{col}", F.try_divide(F.col(col), F.col(f"prev_{col}")) - F.lit(1.0))
+    px = F.col(col) if factor is None else F.try_divide(F.col(col), F.col(factor))
+    out = ordered_scan(df.withColumn("_px", px), key, [time, *tie_break], F.col("_px"), "last", "_prev_px",
+                       inclusive=False)
+    out = ordered_scan(out, key, [time, *tie_break], F.col(col), "last", f"prev_{col}", inclusive=False)
+    out = out.withColumn(f"ret_{col}", F.try_divide(F.col("_px"), F.col("_prev_px")) - F.lit(1.0)) \
+        .drop("_px", "_prev_px")
     if stored_ret:
         out = out.withColumn("ret_matches", F.abs(F.col(f"ret_{col}") - F.col(stored_ret)) <= F.lit(tol))
     return out

@@ -95,3 +95,23 @@ def test_load_chunks_largest_first_with_budgets(spark, tmp):
     assert by_file["big.csv"]["rows_written"] == 50 and by_file["small.csv"]["rows_written"] == 1
     assert by_file["bad.csv"]["status"] == "over_budget"
     assert spark.read.parquet(table).count() == 51
+
+
+def test_table_management_sinks(spark, tmp):
+    import pyarrow.parquet as pq
+    from quantlake.sources import sinks
+    sinks.ensure_schema(spark, "ql_test_schema")
+    assert spark.catalog.databaseExists("ql_test_schema")
+    path = os.path.join(tmp, "t")
+    schema = spark.createDataFrame([(1, "x")], "a long, b string").schema
+    sinks.ensure_table(spark, path, schema)
+    spark.createDataFrame([(1, "x")], schema).write.mode("append").parquet(path)
+    assert sinks.ensure_table(spark, path, schema).count() == 1           # existing data is kept
+    assert sinks.clone_schema(spark.read.parquet(path)) == schema
+    big = spark.range(0, 2500).selectExpr("id", "cast(id as date) as d") if False else \
+        spark.range(0, 2500).selectExpr("id", "date_add(date'2020-01-01', cast(id % 100 as int)) as d")
+    out = sinks.write_clustered(big.coalesce(1), os.path.join(tmp, "c"), ["id"], partitions=1, row_group_rows=1000)
+    files = [f for f in os.listdir(out) if f.endswith(".parquet")]
+    md = pq.ParquetFile(os.path.join(out, files[0])).metadata
+    assert [md.row_group(i).num_rows for i in range(md.num_row_groups)] == [1000, 1000, 500]
+    assert md.row_group(0).column(0).compression == "ZSTD"

@@ -122,3 +122,15 @@ def test_index_returns_with_lagged_cap(spark):
     assert got["2020-01-01"].vwret is None                      # no earlier cap known
     assert abs(got["2020-01-02"].vwret - (0.0 * 100 + 0.1 * 300) / 400) < 1e-12
     assert abs(got["2020-01-02"].ewret - 0.05) < 1e-12
+
+
+def test_lagged_return_with_split_factor(spark):
+    from quantlake.operators.panel import lagged
+    # cumulative factor: 2 before a 2:1 split, 1 after (adjusted price = price / factor)
+    rows = [("a", D(2020, 1, 1), 100.0, 2.0, None), ("a", D(2020, 1, 2), 51.0, 1.0, 0.02),
+            ("a", D(2020, 1, 3), 76.5, 1.0, 0.5)]
+    df = spark.createDataFrame(rows, "k string, d date, p double, f double, ret double")
+    got = {str(r.d): r for r in lagged(df, ["k"], "d", "p", stored_ret="ret", factor="f").collect()}
+    assert got["2020-01-01"].ret_p is None and got["2020-01-02"].prev_p == 100.0
+    assert abs(got["2020-01-02"].ret_p - 0.02) < 1e-12 and got["2020-01-02"].ret_matches   # 2:1 split
+    assert got["2020-01-03"].ret_matches is True
