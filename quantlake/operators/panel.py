@@ -169,3 +169,25 @@ def call_put_pairs(chain_df: DataFrame, key: Sequence[str] = ("secid", "date", "
     c = calls.select(*key, *[F.col(x).alias(f"call_{x}") for x in cols])
     p = puts.select(*key, *[F.col(x).alias(f"put_{x}") for x in cols])
     return c.join(p, key, "inner")
+
+
+def fundamentals_panel(prices: DataFrame, fundamentals: DataFrame, link: DataFrame, known_at: str,
+                       price_id: str = "PERMNO", date: str = "date", link_id: str = "LPERMNO",
+                       firm: str = "gvkey", link_start: str = "LINKDT", link_end: str = "LINKENDDT",
+                       cols: Sequence[str] | None = None, tie_break: Sequence[str] = ()) -> DataFrame:
+    """Each price row with the firm's newest fundamentals known at the price date.
+
+    1. the security-to-firm link is an interval join on the security id and
+       the price date (open ends per the link rules);
+    2. fundamentals are attached with a backward as-of join on the firm id,
+       keyed by ``known_at`` (the report date), so nothing is used before it
+       was published.  Rows without a link or without an earlier report keep
+       NULLs.
+    """
+    from quantlake.operators.asof import asof_join
+    from quantlake.operators.intervals import interval_join
+
+    cols = list(cols or [c for c in fundamentals.columns if c not in (firm, known_at)])
+    linked = interval_join(prices, link, {price_id: link_id}, date, link_start, link_end, dim_cols=[firm])
+    f = fundamentals.select(firm, known_at, *[c for c in cols if c not in (firm, known_at)])
+    return asof_join(linked, f, [firm], date, known_at, cols, tie_break=tie_break)

@@ -255,3 +255,26 @@ def split_unadjust(spark, sf):
         F.col("value").alias("unadjusted"))
     out = ADJ.unadjust(vals, splits, ["user_id"], "ts", ["unadjusted"], tie_break=["split_id"])
     return out.select("user_id", "view_id", "adjusted", "unadjusted")
+
+
+@query("fundamentals_via_link", ops="T9 J10 J14 J8", sql=f"""
+WITH {_LINKS_SQL},
+fund AS (SELECT o_custkey AS gvkey, o_orderkey AS report_id, CAST(o_orderdate AS DATE) + 45 AS rdq,
+                o_totalprice AS report_value FROM orders
+         QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey DESC) = 1),
+px AS (SELECT l_orderkey AS PERMNO, l_linenumber, CAST(l_shipdate AS DATE) AS date FROM lineitem),
+linked AS (SELECT px.*, k.gvkey FROM px LEFT JOIN links k ON k.LPERMNO = px.PERMNO AND px.date >= k.LINKDT
+           AND px.date <= CASE WHEN k.LINKENDDT IN ('', 'E') THEN DATE '9999-12-31' ELSE CAST(k.LINKENDDT AS DATE) END)
+SELECT l.PERMNO, l.l_linenumber, l.gvkey, f.report_id, f.report_value
+FROM linked l ASOF LEFT JOIN fund f ON l.gvkey = f.gvkey AND l.date >= f.rdq""")
+def fundamentals_via_link(spark, sf):
+    from quantlake.operators.panel import fundamentals_panel
+    from quantlake.operators.quality import keep_one
+    o = table(spark, sf, "orders")
+    fund = o.select(F.col("o_custkey").alias("gvkey"), F.col("o_orderkey").alias("report_id"),
+                    F.date_add(F.col("o_orderdate").cast("date"), 45).alias("rdq"), F.col("o_totalprice").alias("report_value"))
+    fund = keep_one(fund, ["gvkey", "rdq"], [-F.col("report_id")])
+    px = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("PERMNO"), "l_linenumber",
+                                             F.col("l_shipdate").cast("date").alias("date"))
+    j = fundamentals_panel(px, fund, _links(spark, sf), "rdq", cols=["report_id", "report_value"], tie_break=["report_id"])
+    return j.select("PERMNO", "l_linenumber", "gvkey", "report_id", "report_value")
