@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from quantlake.functions.scalars import strike as strike_scale
 from quantlake.operators.quality import keep_one
 from quantlake.operators.joins import broadcast_if_small
-from quantlake.operators.scan import ordered_scan
+from quantlake.operators.scan import ordered_scan, ordered_scans
 
 # fixed values: old-format → new-format daily stock column names
 OLD_TO_NEW = {"date": "DlyCalDt", "PRC": "DlyPrc", "RET": "DlyRet", "RETX": "DlyRetx", "VOL": "DlyVol",
@@ -51,12 +51,17 @@ def lagged(df: DataFrame, key: Sequence[str], time: str, col: str, tie_break: Se
     a price jump.  With ``stored_ret`` given, ``ret_matches`` compares the
     implied return with the stored one (within ``tol``).
     """
-    px = F.col(col) if factor is None else F.try_divide(F.col(col), F.col(factor))
-    out = ordered_scan(df.withColumn("_px", px), key, [time, *tie_break], F.col("_px"), "last", "_prev_px",
-                       inclusive=False)
-    out = ordered_scan(out, key, [time, *tie_break], F.col(col), "last", f"prev_{col}", inclusive=False)
-    out = out.withColumn(f"ret_{col}", F.try_divide(F.col("_px"), F.col("_prev_px")) - F.lit(1.0)) \
-        .drop("_px", "_prev_px")
+    order = [time, *tie_break]
+    if factor is None:
+        out = ordered_scan(df, key, order, F.col(col), "last", f"prev_{col}", inclusive=False)
+        out = out.withColumn(f"ret_{col}", F.try_divide(F.col(col), F.col(f"prev_{col}")) - F.lit(1.0))
+    else:
+        px = F.try_divide(F.col(col), F.col(factor))
+        out = ordered_scans(df.withColumn("_px", px), key, order,
+                            [(F.col("_px"), "last", "_prev_px"), (F.col(col), "last", f"prev_{col}")],
+                            inclusive=False)
+        out = out.withColumn(f"ret_{col}", F.try_divide(F.col("_px"), F.col("_prev_px")) - F.lit(1.0)) \
+            .drop("_px", "_prev_px")
     if stored_ret:
         out = out.withColumn("ret_matches", F.abs(F.col(f"ret_{col}") - F.col(stored_ret)) <= F.lit(tol))
     return out
@@ -66,8 +71,8 @@ def cumulative_return(df: DataFrame, key: Sequence[str], time: str, ret: str,
                       tie_break: Sequence[str] = ()) -> DataFrame:
     """Running compounded return ``exp(Σ log1p(r)) − 1``; NULL returns skipped and counted."""
     order = [time, *tie_break]
-    out = ordered_scan(df, key, order, F.log1p(F.col(ret)), "sum", "_lsum")
-    out = ordered_scan(out, key, order, F.col(ret).isNull().cast("int"), "sum", "n_missing")
+    out = ordered_scans(df, key, order, [(F.log1p(F.col(ret)), "sum", "_lsum"),
+                                         (F.col(ret).isNull().cast("int"), "sum", "n_missing")])
     return out.withColumn("cum_ret", F.exp(F.col("_lsum")) - F.lit(1.0)).drop("_lsum")
 
 

@@ -64,11 +64,13 @@ def _combine(op: str, within: Column, carry: Column) -> Column:
     raise ValueError(op)
 
 
-def ordered_scan(df: DataFrame, key: Sequence[str], order: Sequence[str], value: Column | str, op: str,
-                 out: str, inclusive: bool = True, descending: bool = False,
-                 bucket: Column | None = None) -> DataFrame:
-    """Add ``out`` = ``op`` of ``value`` over the rows of the same key before each row.
+def ordered_scans(df: DataFrame, key: Sequence[str], order: Sequence[str],
+                  aggs: Sequence[tuple[Column | str, str, str]], inclusive: bool = True,
+                  descending: bool = False, bucket: Column | None = None) -> DataFrame:
+    """Several running values over the same key and order in one pass.
 
+    ``aggs`` = [(value, op, out), ...].  One exchange by (key, bucket), one
+    summary aggregate and one join back serve all of them.
     ``order`` must be a total order inside a key (end it with a tie-break).
     ``op``: ``last`` (newest non-NULL value), ``first``, ``sum``, ``count``,
     ``max``, ``min``.  ``inclusive`` includes the row itself.  ``descending``
@@ -77,29 +79,44 @@ def ordered_scan(df: DataFrame, key: Sequence[str], order: Sequence[str], value:
     the month of ``order[0]``.
     """
     key = list(key)
-    v = F.col(value) if isinstance(value, str) else value
     b = bucket if bucket is not None else month_bucket(order[0])
-    d = df.withColumn("_bk", b).withColumn("_v", v)
+    vals = {f"_v{i}": (F.col(v) if isinstance(v, str) else v) for i, (v, _, _) in enumerate(aggs)}
+    d = df.withColumn("_bk", b).withColumns(vals)
     sort = [F.col(o).desc_nulls_last() if descending else F.col(o).asc_nulls_first() for o in order]
     frame_end = Window.currentRow if inclusive else -1
     w_in = Window.partitionBy(*key, "_bk").orderBy(*sort).rowsBetween(Window.unboundedPreceding, frame_end)
-    d = d.withColumn("_within", _within_agg(op, F.col("_v"), w_in))
+    d = d.withColumns({f"_w{i}": _within_agg(op, F.col(f"_v{i}"), w_in) for i, (_, op, _) in enumerate(aggs)})
 
-    # one summary per (key, bucket): what the whole bucket passes on
+    # one summary row per (key, bucket): what the whole bucket passes on
     order_struct = F.struct(*[F.col(o) for o in order])
-    if op in ("last", "first"):
-        pick_last = (op == "last") != descending
-        nn = F.col("_v").isNotNull()
-        ordv = F.when(nn, order_struct)
-        total = (F.max_by if pick_last else F.min_by)(F.col("_v"), ordv)
-    else:
-        total = {"sum": F.sum, "max": F.max, "min": F.min, "count": F.count}[op](F.col("_v"))
-    summary = d.groupBy(*key, "_bk").agg(total.alias("_tot"))
+    totals = []
+    for i, (_, op, _) in enumerate(aggs):
+        v = F.col(f"_v{i}")
+        if op in ("last", "first"):
+            pick_last = (op == "last") != descending
+            ordv = F.when(v.isNotNull(), order_struct)
+            totals.append((F.max_by if pick_last else F.min_by)(v, ordv).alias(f"_t{i}"))
+        else:
+            totals.append({"sum": F.sum, "max": F.max, "min": F.min, "count": F.count}[op](v).alias(f"_t{i}"))
+    summary = d.groupBy(*key, "_bk").agg(*totals)
     bsort = F.col("_bk").desc() if descending else F.col("_bk").asc()
     w_c = Window.partitionBy(*key).orderBy(bsort).rowsBetween(Window.unboundedPreceding, -1)
-    carry_op = "sum" if op == "count" else op
-    summary = summary.withColumn("_carry", _within_agg(carry_op, F.col("_tot"), w_c)).select(*key, "_bk", "_carry")
+    summary = summary.select(*key, "_bk", *[
+        _within_agg("sum" if op == "count" else op, F.col(f"_t{i}"), w_c).alias(f"_c{i}")
+        for i, (_, op, _) in enumerate(aggs)])
 
     res = d.join(summary, key + ["_bk"], "left")
-    return res.withColumn(out, _combine(op, F.col("_within"), F.col("_carry"))) \
-        .drop("_bk", "_v", "_within", "_carry")
+    res = res.withColumns({out: _combine(op, F.col(f"_w{i}"), F.col(f"_c{i}"))
+                           for i, (_, op, out) in enumerate(aggs)})
+    tmp = ["_bk"] + [f"_{p}{i}" for i in range(len(aggs)) for p in ("v", "w", "c")]
+    return res.drop(*tmp)
+
+
+def ordered_scan(df: DataFrame, key: Sequence[str], order: Sequence[str], value: Column | str, op: str,
+                 out: str, inclusive: bool = True, descending: bool = False,
+                 bucket: Column | None = None) -> DataFrame:
+    """Add ``out`` = ``op`` of ``value`` over the rows of the same key before each row.
+
+    A single-value :func:`ordered_scans`; see there for the arguments.
+    """
+    return ordered_scans(df, key, order, [(value, op, out)], inclusive, descending, bucket)

@@ -95,3 +95,17 @@ def test_keep_one_is_min_per_key(spark, rows):
     got = {r.k: (r.o, r.v) for r in keep_one(df, ["k"], ["o", "v"]).collect()}
     for k in {r[0] for r in rows}:
         assert got[k] == min((o, v) for kk, o, v in rows if kk == k)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(keys, days, vals), min_size=1, max_size=50), st.booleans())
+def test_multi_scan_equals_single_scans(spark, rows, descending):
+    from quantlake.operators.scan import ordered_scans
+    data = [(k, BASE + dt.timedelta(days=d), i, v) for i, (k, d, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k string, d date, i int, v int")
+    multi = {r.i: (r.a, r.b, r.c) for r in ordered_scans(
+        df, ["k"], ["d", "i"], [(F.col("v"), "last", "a"), (F.col("v"), "sum", "b"), (F.col("v"), "count", "c")],
+        inclusive=False, descending=descending).collect()}
+    for op, pos in (("last", 0), ("sum", 1), ("count", 2)):
+        single = {r.i: r.o for r in ordered_scan(df, ["k"], ["d", "i"], F.col("v"), op, "o", False, descending).collect()}
+        assert all(multi[i][pos] == single[i] for i in single), op
