@@ -238,19 +238,26 @@ def gaps(cov: DataFrame, start: int, end: int, period: str = "period") -> DataFr
 
 
 def anomalies(cov: DataFrame, metric: str = "rows", ratio: float = 0.5, period: str = "period",
-              by=None) -> DataFrame:
+              by=None, trailing: int | None = None) -> DataFrame:
     """Year-over-year change of a coverage metric; flag drops and spikes.
 
-    ``flag`` is ``drop`` when the metric falls below ``ratio`` × previous,
-    ``spike`` when above previous / ``ratio``.  The window runs over the
-    coverage table (one row per period), not over raw rows.
+    ``flag`` is ``drop`` when the metric falls below ``ratio`` × baseline,
+    ``spike`` when above baseline / ``ratio``.  The baseline is the previous
+    period, or with ``trailing=k`` the median of the previous k periods.  The
+    window runs over the coverage table (one row per period), not raw rows.
     """
     from pyspark.sql import Window as W
     by = _by(by)
     w = W.partitionBy(*by).orderBy(period) if by else W.orderBy(period)
-    prev = F.lag(metric).over(w)
+    if trailing:
+        # baseline = median of the previous ``trailing`` periods (exact, over the small coverage table)
+        prev = F.percentile(F.col(metric).cast("double"), F.lit(0.5)).over(w.rowsBetween(-trailing, -1))
+        name = f"trailing_median_{metric}"
+    else:
+        prev = F.lag(metric).over(w)
+        name = f"prev_{metric}"
     chg = F.try_divide(F.col(metric).cast("double"), prev.cast("double"))
-    return (cov.select(*by, period, metric, prev.alias(f"prev_{metric}"), F.round(chg, 4).alias("ratio"))
+    return (cov.select(*by, period, metric, prev.alias(name), F.round(chg, 4).alias("ratio"))
                .withColumn("flag", F.when(F.col("ratio") < ratio, F.lit("drop"))
                            .when(F.col("ratio") > 1.0 / ratio, F.lit("spike"))))
 

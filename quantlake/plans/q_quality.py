@@ -299,3 +299,15 @@ SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DES
 def spot_check(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     return Q.spot_check(o, 10, [F.col("o_totalprice").desc(), "o_orderkey"])
+
+
+@query("coverage_anomalies_trailing", ops="W5 D9", sql="""
+WITH cov AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS period, count(*) AS rows FROM orders GROUP BY 1),
+b AS (SELECT period, rows, median(CAST(rows AS DOUBLE)) OVER (ORDER BY period ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS m
+      FROM cov)
+SELECT period, rows, m AS trailing_median_rows, round(rows / m, 4) AS ratio,
+       CASE WHEN round(rows / m, 4) < 0.8 THEN 'drop' WHEN round(rows / m, 4) > 1 / 0.8 THEN 'spike' END AS flag
+FROM b""")
+def coverage_anomalies_trailing(spark, sf):
+    cov = Q.coverage(table(spark, sf, "orders"), "o_orderdate", "o_custkey", grain="month")
+    return Q.anomalies(cov, "rows", 0.8, trailing=3)
