@@ -159,3 +159,26 @@ def write_bucketed(df: DataFrame, table: str, key: Sequence[str], buckets: int,
 
 def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
+
+
+def ensure_catalog_table(spark: SparkSession, spec, path: str, name: str | None = None,
+                         column_comments: dict[str, str] | None = None) -> str:
+    """``CREATE TABLE IF NOT EXISTS … USING parquet`` from a ``TableSpec``.
+
+    Column names are back-quoted (``return`` is a reserved word), NOT NULL and
+    comments come from the spec; an existing table is left as it is.
+    Returns the table name (dots in the spec name become ``_``).
+    """
+    name = name or spec.name.replace(".", "_")
+    comments = dict(column_comments or {})
+    cols = []
+    for c in spec.columns:
+        ddl = f"`{c.name}` {c.spark_type.simpleString()}{'' if c.nullable else ' NOT NULL'}"
+        text = comments.get(c.name, c.comment)
+        if text:
+            ddl += " COMMENT '" + text.replace("'", "\\'") + "'"
+        cols.append(ddl)
+    table_comment = (" COMMENT '" + spec.comment.replace("'", "\\'") + "'") if spec.comment else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS `{name}` ({', '.join(cols)}) USING parquet "
+              f"LOCATION '{path}'{table_comment}")
+    return name

@@ -113,3 +113,19 @@ def test_excluded_windows_from_spec(spark, tmp):
                                 "TICKER string, ESTIMATOR string, d string").withColumn("d", F.col("d").cast("date"))
     kept = IV.exclude_windows(est, excl, ["TICKER", "ESTIMATOR"], "d", "EXCDATS", "EXCENDS")
     assert sorted(r.ESTIMATOR for r in kept.collect()) == ["002", "004"]
+
+
+def test_catalog_table_with_comments_and_reserved_names(spark, tmp):
+    from quantlake.sources.sinks import ensure_catalog_table
+    name = ensure_catalog_table(spark, specs.SECURITY_PRICES, os.path.join(tmp, "sp"),
+                                column_comments={"return": "daily total return", "cfadj": "vendor's cumulative factor"})
+    assert name == "options_security_prices"
+    desc = {r.col_name: r.comment for r in spark.sql(f"DESCRIBE TABLE {name}").collect()}
+    assert desc["return"] == "daily total return" and desc["cfadj"] == "vendor's cumulative factor"
+    spark.createDataFrame([(1, None, None, None, None, None, None, 0.5, None)],
+                          spark.table(name).schema).write.insertInto(name)
+    ensure_catalog_table(spark, specs.SECURITY_PRICES, os.path.join(tmp, "sp"))     # no-op, keeps the row
+    assert spark.table(name).count() == 1
+    assert "reserved word" in (spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
+                               .where("col_name = 'Comment'").first().data_type)
+    spark.sql(f"DROP TABLE {name}")
