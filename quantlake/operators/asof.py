@@ -39,12 +39,14 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: s
         return df.select(col.alias("x")).schema["x"].dataType
 
     ptype, ltype, tbtype = dtype(right, payload), dtype(left, lrow), dtype(right, tb)
-    ttype = left.schema[left_time].dataType
+    lt, rt = left.schema[left_time].dataType.simpleString(), right.schema[right_time].dataType.simpleString()
+    # order both sides on a common type; a date meets a timestamp as its midnight, as in SQL
+    ttype = "timestamp_ntz" if lt != rt and "date" in (lt, rt) and "timestamp" in lt + rt else lt
     # side order at equal time: the side that must be seen first gets 0
     r_side, l_side = (0, 1) if not strict else (1, 0)
     if direction == "forward":
         r_side, l_side = l_side, r_side
-    L = left.select(*on, F.col(left_time).alias("_t"), F.lit(l_side).alias("_s"),
+    L = left.select(*on, F.col(left_time).cast(ttype).alias("_t"), F.lit(l_side).alias("_s"),
                     F.lit(None).cast(tbtype).alias("_tb"), lrow.alias("_l"), F.lit(None).cast(ptype).alias("_p"))
     R = right.select(*on, F.col(right_time).cast(ttype).alias("_t"), F.lit(r_side).alias("_s"),
                      tb.alias("_tb"), F.lit(None).cast(ltype).alias("_l"), payload.alias("_p"))

@@ -38,6 +38,7 @@ def interval_join(fact: DataFrame, dim: DataFrame, on: Sequence[str] | dict, at:
     """Fact rows joined to the dim row whose [start, end] holds ``at``.
 
     ``on`` maps fact key columns to dim key columns (a list means same names).
+    Validity is in days: ``at`` and the interval bounds are compared as dates.
     ``how`` is ``left``/``inner`` (attach attributes) or ``left_semi`` /
     ``left_anti`` (membership filter).  Overlapping dim intervals fan out,
     exactly as the SQL join would.  ``broadcast_rows`` broadcasts a stored

@@ -293,7 +293,8 @@ def keep_one(df: DataFrame, key: Sequence[str], order: Sequence[Column | str]) -
     map-side partial step, so a hot key is reduced before the shuffle —
     unlike ``row_number()`` over a window partitioned by the key, which
     sends every row of that key to one task.  ``order`` should end in a
-    total tie-break for a deterministic result.
+    total tie-break for a deterministic result.  Inside the order struct a
+    NULL field sorts before any value.
     """
     cols = [c for c in df.columns]
     order_struct = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])

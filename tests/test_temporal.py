@@ -134,3 +134,12 @@ def test_lagged_return_with_split_factor(spark):
     assert got["2020-01-01"].ret_p is None and got["2020-01-02"].prev_p == 100.0
     assert abs(got["2020-01-02"].ret_p - 0.02) < 1e-12 and got["2020-01-02"].ret_matches   # 2:1 split
     assert got["2020-01-03"].ret_matches is True
+
+
+def test_asof_date_against_timestamp_uses_midnight(spark):
+    left = spark.createDataFrame([("k", D(2020, 1, 2))], "k string, d date")
+    right = spark.createDataFrame([("k", dt.datetime(2020, 1, 1, 23, 0), 1), ("k", dt.datetime(2020, 1, 2, 10, 0), 2)],
+                                  "k string, rt timestamp_ntz, rid int")
+    assert A.asof_join(left, right, ["k"], "d", "rt", ["rid"]).first().rid == 1      # 10:00 on the 2nd is later
+    fw = A.asof_join(left, right, ["k"], "d", "rt", ["rid"], direction="forward").first()
+    assert fw.rid == 2 and str(fw.d) == "2020-01-02"                                # left keeps its own type
