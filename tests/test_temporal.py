@@ -143,3 +143,25 @@ def test_asof_date_against_timestamp_uses_midnight(spark):
     assert A.asof_join(left, right, ["k"], "d", "rt", ["rid"]).first().rid == 1      # 10:00 on the 2nd is later
     fw = A.asof_join(left, right, ["k"], "d", "rt", ["rid"], direction="forward").first()
     assert fw.rid == 2 and str(fw.d) == "2020-01-02"                                # left keeps its own type
+
+
+def test_estimate_panel_with_stops_and_exclusions(spark):
+    est = spark.createDataFrame([
+        ("EPS", "a1", D(2020, 1, 15), 1.0, 1), ("EPS", "a1", D(2020, 5, 20), 2.0, 2),   # revision in May
+        ("EPS", "a2", D(2020, 2, 1), 5.0, 3),                                            # stopped in August
+        ("EPS", "a3", D(2020, 1, 1), 9.0, 4)],                                           # excluded Q2 start
+        "measure string, est string, d date, v double, id int")
+    stops = spark.createDataFrame([("EPS", "a2", D(2020, 8, 1))], "measure string, est string, stop date")
+    excl = spark.createDataFrame([("EPS", "a3", D(2020, 3, 15), D(2020, 4, 15))],
+                                 "measure string, est string, xs date, xe date")
+    panel = A.estimate_panel(est, ["measure"], "est", "d", "v", end="2020-12-31", stops=stops, stop_at="stop",
+                             excluded=excl, exc_start="xs", exc_end="xe", tie_break=["id"])
+    got = sorted((r.est, str(r.obs_date), r.value) for r in panel.collect())
+    q = ["2020-04-01", "2020-07-01", "2020-10-01"]
+    want = sorted([("a1", q[0], 1.0), ("a1", q[1], 2.0), ("a1", q[2], 2.0),
+                   ("a2", q[0], 5.0), ("a2", q[1], 5.0),
+                   ("a3", "2020-01-01", 9.0), ("a3", q[1], 9.0), ("a3", q[2], 9.0)])   # live on its own quarter start
+    assert got == want
+    cons = {str(r.obs_date): r for r in A.consensus(panel, ["measure", "obs_date"]).collect()}
+    assert cons["2020-07-01"].n_est == 3 and cons["2020-07-01"].median_est == 5.0
+    assert cons["2020-10-01"].n_est == 2 and cons["2020-10-01"].mean_est == 5.5
