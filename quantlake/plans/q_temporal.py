@@ -278,3 +278,43 @@ def fundamentals_via_link(spark, sf):
                                              F.col("l_shipdate").cast("date").alias("date"))
     j = fundamentals_panel(px, fund, _links(spark, sf), "rdq", cols=["report_id", "report_value"], tie_break=["report_id"])
     return j.select("PERMNO", "l_linenumber", "gvkey", "report_id", "report_value")
+
+
+@query("consensus_panel_full", ops="T6 A24 J16 J17 W6", sql="""
+WITH est AS (
+  SELECT o_orderpriority AS measure, o_custkey AS estimator, CAST(o_orderdate AS DATE) AS d, o_totalprice AS value,
+         lead(CAST(o_orderdate AS DATE)) OVER (PARTITION BY o_orderpriority, o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS vt
+  FROM orders),
+stops AS (SELECT o_orderpriority AS measure, o_custkey AS estimator, CAST(o_orderdate AS DATE) + 200 AS stop
+          FROM orders WHERE o_orderstatus = 'F'),
+excl AS (SELECT o_orderpriority AS measure, o_custkey AS estimator, CAST(o_orderdate AS DATE) + 30 AS xs,
+                CAST(o_orderdate AS DATE) + 120 AS xe FROM orders WHERE o_orderstatus = 'P'),
+est_s AS (SELECT e.*, s.stop FROM est e ASOF LEFT JOIN stops s
+          ON e.measure = s.measure AND e.estimator = s.estimator AND e.d <= s.stop),
+est2 AS (SELECT *, least(coalesce(vt, DATE '2001-12-31'), coalesce(stop - 1, DATE '2001-12-31'), DATE '2001-12-31') AS vt2,
+                CASE WHEN CAST(date_trunc('quarter', d) AS DATE) < d
+                     THEN CAST(date_trunc('quarter', d) + INTERVAL 3 MONTH AS DATE)
+                     ELSE CAST(date_trunc('quarter', d) AS DATE) END AS q0 FROM est_s),
+panel AS (SELECT measure, estimator, value, CAST(unnest(generate_series(q0, vt2, INTERVAL 3 MONTH)) AS DATE) AS obs_date
+          FROM est2 WHERE q0 <= vt2),
+kept AS (SELECT * FROM panel p WHERE NOT EXISTS (
+           SELECT 1 FROM excl x WHERE x.measure = p.measure AND x.estimator = p.estimator
+             AND p.obs_date BETWEEN x.xs AND x.xe))
+SELECT measure, obs_date, count(value) AS n_est, round(avg(value), 6) AS mean_est,
+       round(stddev_samp(value), 6) AS std_est, max(value) AS high_est, min(value) AS low_est,
+       round(median(value), 6) AS median_est
+FROM kept GROUP BY measure, obs_date""")
+def consensus_panel_full(spark, sf):
+    o = table(spark, sf, "orders")
+    est = o.select(F.col("o_orderpriority").alias("measure"), F.col("o_custkey").alias("estimator"), "o_orderkey",
+                   F.col("o_orderdate").cast("date").alias("d"), F.col("o_totalprice").alias("value"))
+    stops = o.where(F.col("o_orderstatus") == "F").select(
+        F.col("o_orderpriority").alias("measure"), F.col("o_custkey").alias("estimator"),
+        F.date_add(F.col("o_orderdate").cast("date"), 200).alias("stop"))
+    excl = o.where(F.col("o_orderstatus") == "P").select(
+        F.col("o_orderpriority").alias("measure"), F.col("o_custkey").alias("estimator"),
+        F.date_add(F.col("o_orderdate").cast("date"), 30).alias("xs"),
+        F.date_add(F.col("o_orderdate").cast("date"), 120).alias("xe"))
+    panel = A.estimate_panel(est, ["measure"], "estimator", "d", "value", end="2001-12-31", stops=stops,
+                             stop_at="stop", excluded=excl, exc_start="xs", exc_end="xe", tie_break=["o_orderkey"])
+    return A.consensus(panel, ["measure", "obs_date"])
