@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quantlake.operators.quantiles import exact_median
-from quantlake.operators.scan import month_bucket, ordered_scan
+from quantlake.operators.scan import auto_grain, month_bucket, ordered_scan, time_bucket
 
 
 def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str,
@@ -26,7 +26,8 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: s
     when ``strict``).  ``forward``: earliest right row with ``right_time >=
     left_time`` (``>`` when strict).  Right rows at the same time are ordered
     by ``tie_break`` (the last one wins backward, the first forward).  Left
-    rows without a match keep NULLs (a left as-of join).
+    rows without a match keep NULLs (a left as-of join).  ``bucket`` is a
+    bucket function, a grain name, or ``"auto"`` to size it to the hottest key.
     """
     on = list(on)
     right_cols = list(right_cols or [c for c in right.columns if c not in on])
@@ -51,6 +52,8 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: s
     R = right.select(*on, F.col(right_time).cast(ttype).alias("_t"), F.lit(r_side).alias("_s"),
                      tb.alias("_tb"), F.lit(None).cast(ltype).alias("_l"), payload.alias("_p"))
     u = L.unionByName(R)
+    if isinstance(bucket, str):          # a grain name, or "auto" (measured on the union)
+        bucket = time_bucket(auto_grain(u, on, "_t") if bucket == "auto" else bucket)
     scanned = ordered_scan(u, on, ["_t", "_s", "_tb"], "_p", "last", "_m", inclusive=True,
                            descending=(direction == "forward"), bucket=bucket(F.col("_t")))
     out = scanned.where(F.col("_l").isNotNull())

@@ -42,6 +42,27 @@ def time_bucket(grain: str = "month"):
 
 month_bucket = time_bucket("month")
 
+# fixed values: candidate grains from coarse to fine, with their length in seconds
+_GRAINS = (("month", 31 * 86400), ("day", 86400), ("hour", 3600), ("minute", 60))
+
+
+def auto_grain(df: DataFrame, key: Sequence[str], time: str, target_rows: int = 2_000_000) -> str:
+    """The coarsest grain whose buckets hold at most ``target_rows`` rows of the hottest key.
+
+    One two-stage aggregate (rows and time span per key, then the densest
+    key) returns a single row; density is assumed even inside a key's span.
+    """
+    t = F.col(time)
+    secs = F.unix_timestamp(t.cast("timestamp")) if df.schema[time].dataType.simpleString() != "date" \
+        else F.unix_date(t).cast("long") * 86400
+    per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), (F.max(secs) - F.min(secs)).alias("_span"))
+    row = per_key.select(F.max(F.col("_n") / F.greatest(F.col("_span"), F.lit(60))).alias("_dens")).first()
+    density = float(row["_dens"] or 0.0)             # rows per second of the densest key
+    for grain, length in _GRAINS:
+        if density * length <= target_rows:
+            return grain
+    return _GRAINS[-1][0]
+
 
 def _within_agg(op: str, v: Column, w) -> Column:
     if op == "last":
@@ -76,9 +97,12 @@ def ordered_scans(df: DataFrame, key: Sequence[str], order: Sequence[str],
     ``max``, ``min``.  ``inclusive`` includes the row itself.  ``descending``
     scans from the end (so ``last`` becomes "the next non-NULL value").
     ``bucket`` must be a non-decreasing function of ``order[0]``; by default
-    the month of ``order[0]``.
+    the month of ``order[0]``.  A grain name (``"day"``) or ``"auto"`` (see
+    :func:`auto_grain`) is accepted too.
     """
     key = list(key)
+    if isinstance(bucket, str):
+        bucket = time_bucket(auto_grain(df, key, order[0]) if bucket == "auto" else bucket)(order[0])
     b = bucket if bucket is not None else month_bucket(order[0])
     vals = {f"_v{i}": (F.col(v) if isinstance(v, str) else v) for i, (v, _, _) in enumerate(aggs)}
     d = df.withColumn("_bk", b).withColumns(vals)

@@ -165,3 +165,17 @@ def test_estimate_panel_with_stops_and_exclusions(spark):
     cons = {str(r.obs_date): r for r in A.consensus(panel, ["measure", "obs_date"]).collect()}
     assert cons["2020-07-01"].n_est == 3 and cons["2020-07-01"].median_est == 5.0
     assert cons["2020-10-01"].n_est == 2 and cons["2020-10-01"].mean_est == 5.5
+
+
+def test_auto_grain_splits_a_hot_key(spark):
+    from quantlake.operators.scan import auto_grain
+    base = dt.datetime(2020, 1, 1)
+    hot = [("HOT", base + dt.timedelta(minutes=i), i) for i in range(3000)]        # ~2 days, dense
+    cold = [(f"c{i % 7}", base + dt.timedelta(days=i), i) for i in range(300)]
+    df = spark.createDataFrame(hot + cold, "k string, t timestamp_ntz, i int")
+    assert auto_grain(df, ["k"], "t", target_rows=100) == "hour"
+    assert auto_grain(df, ["k"], "t", target_rows=10**7) == "month"
+    right = spark.createDataFrame([(k, t, i) for k, t, i in hot[::7] + cold[::3]], "k string, rt timestamp_ntz, rid int")
+    a = sorted((tuple(r) for r in A.asof_join(df, right, ["k"], "t", "rt", ["rid"], bucket="auto").select("i", "rid").collect()), key=str)
+    b = sorted((tuple(r) for r in A.asof_join(df, right, ["k"], "t", "rt", ["rid"]).select("i", "rid").collect()), key=str)
+    assert a == b
