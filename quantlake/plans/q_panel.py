@@ -115,12 +115,14 @@ def cumulative_return(spark, sf):
 
 @query("index_returns", ops="T10 F20", sql="""
 SELECT CAST(l_shipdate AS DATE) AS date,
-       round(sum(l_quantity * l_discount) / sum(l_quantity), 6) AS vwret,
-       round(avg(l_discount), 6) AS ewret, count(l_discount) AS n
+       round(sum(l_quantity * (l_discount * 0.7071067811865476)) / sum(l_quantity), 6) AS vwret,
+       round(avg(l_discount * 0.7071067811865476), 6) AS ewret, count(l_discount) AS n
 FROM lineitem GROUP BY 1""")
 def index_returns(spark, sf):
+    # returns scaled by 1/sqrt(2) so that no average sits exactly on a rounding tie
     li = table(spark, sf, "lineitem").select(F.col("l_shipdate").cast("date").alias("date"),
-                                             F.col("l_discount").alias("ret"), F.col("l_quantity").alias("w"))
+                                             (F.col("l_discount") * F.lit(0.7071067811865476)).alias("ret"),
+                                             F.col("l_quantity").alias("w"))
     return P.index_returns(li, "date", "ret", "w")
 
 
@@ -326,7 +328,8 @@ def parse_filename(spark, sf):
 DAILY = DerivedFrame("daily", "lineitem", (
     ("PERMNO", "l_partkey"),
     ("date", "cast(l_shipdate as date)"),
-    ("ret", "min(l_discount) - 0.05"),
+    # returns scaled by 1/sqrt(2): averages of hundredths would sit exactly on rounding ties
+    ("ret", "(min(l_discount) - 0.05) * 0.7071067811865476"),
     ("cap", "cast(sum(cast(l_extendedprice as decimal(18,2))) as double)")),
     group_by=("PERMNO", "date"))
 

@@ -4,7 +4,9 @@ Stand-in: vendor A and vendor B publish a daily price per contract.  A
 contract is a (return flag, line status) pair of ``lineitem``; A's price is
 the day's lowest extended price / 100 (exact in both engines), B's last and
 settle prices are A's plus a deterministic offset that depends on the day of
-month (0, 0.004, 0.05 or 0.60).  B misses the first day of each month, A has
+month (0, 0.004, 0.05 or 0.60, each × 1.06066 = 3/(2·sqrt 2), so that no mean
+difference lands exactly on a rounding tie while the offsets stay on the same
+side of the 0.005 / 0.10 / 0.50 tolerances).  B misses the first day of each month, A has
 no price on the 7th, and one mapped code has no B rows at all.
 """
 
@@ -31,11 +33,12 @@ VENDOR_B = DerivedFrame(
           ("date", "cast(l_shipdate as date)"),
           ("b_last", "case when day(cast(l_shipdate as date)) = 13 then null "
                      "else min(l_extendedprice) / 100.0 + case "
-                     "when day(cast(l_shipdate as date)) % 7 = 0 then 0.6 "
-                     "when day(cast(l_shipdate as date)) % 5 = 0 then 0.05 "
-                     "when day(cast(l_shipdate as date)) % 3 = 0 then 0.004 else 0.0 end end"),
+                     "when day(cast(l_shipdate as date)) % 7 = 0 then 0.6 * 1.0606601717798212 "
+                     "when day(cast(l_shipdate as date)) % 5 = 0 then 0.05 * 1.0606601717798212 "
+                     "when day(cast(l_shipdate as date)) % 3 = 0 then 0.004 * 1.0606601717798212 else 0.0 end end"),
           ("b_settle", "min(l_extendedprice) / 100.0 + case "
-                       "when day(cast(l_shipdate as date)) % 4 = 0 then 0.6 else 0.001 end"),
+                       "when day(cast(l_shipdate as date)) % 4 = 0 then 0.6 * 1.0606601717798212 "
+                       "else 0.001 * 1.0606601717798212 end"),
           ("b_oi", "count(*) + day(cast(l_shipdate as date)) % 3")),
     where="day(l_shipdate) <> 1",
     group_by=("ric", "date"),

@@ -216,7 +216,8 @@ def identifier_valid_to(spark, sf):
 # --- estimate panel and consensus ----------------------------------------------------
 @query("consensus_panel", ops="A24 T6 W6", sql="""
 WITH est AS (
-  SELECT o_orderpriority AS measure, o_custkey AS estimator, CAST(o_orderdate AS DATE) AS d, o_totalprice AS value,
+  SELECT o_orderpriority AS measure, o_custkey AS estimator, CAST(o_orderdate AS DATE) AS d,
+         o_totalprice * 0.7071067811865476 AS value,
          least(coalesce(lead(CAST(o_orderdate AS DATE)) OVER (PARTITION BY o_orderpriority, o_custkey
                                                               ORDER BY o_orderdate, o_orderkey) - 1,
                         DATE '2001-12-31'), DATE '2001-12-31') AS vt
@@ -234,7 +235,8 @@ def consensus_panel(spark, sf):
     o = table(spark, sf, "orders").select(F.col("o_orderpriority").alias("measure"),
                                           F.col("o_custkey").alias("estimator"), "o_orderkey",
                                           F.col("o_orderdate").cast("date").alias("d"),
-                                          F.col("o_totalprice").alias("value"))
+                                          # scaled by 1/sqrt(2): no consensus average sits exactly on a rounding tie
+                                          (F.col("o_totalprice") * F.lit(0.7071067811865476)).alias("value"))
     panel = A.estimate_panel(o, ["measure"], "estimator", "d", "value", end="2001-12-31", tie_break=["o_orderkey"])
     return A.consensus(panel, ["measure", "obs_date"])
 
@@ -282,7 +284,8 @@ def fundamentals_via_link(spark, sf):
 
 @query("consensus_panel_full", ops="T6 A24 J16 J17 W6", sql="""
 WITH est AS (
-  SELECT o_orderpriority AS measure, o_custkey AS estimator, CAST(o_orderdate AS DATE) AS d, o_totalprice AS value,
+  SELECT o_orderpriority AS measure, o_custkey AS estimator, CAST(o_orderdate AS DATE) AS d,
+         o_totalprice * 0.7071067811865476 AS value,
          lead(CAST(o_orderdate AS DATE)) OVER (PARTITION BY o_orderpriority, o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS vt
   FROM orders),
 stops AS (SELECT o_orderpriority AS measure, o_custkey AS estimator, CAST(o_orderdate AS DATE) + 200 AS stop
@@ -307,7 +310,8 @@ FROM kept GROUP BY measure, obs_date""")
 def consensus_panel_full(spark, sf):
     o = table(spark, sf, "orders")
     est = o.select(F.col("o_orderpriority").alias("measure"), F.col("o_custkey").alias("estimator"), "o_orderkey",
-                   F.col("o_orderdate").cast("date").alias("d"), F.col("o_totalprice").alias("value"))
+                   F.col("o_orderdate").cast("date").alias("d"),
+                   (F.col("o_totalprice") * F.lit(0.7071067811865476)).alias("value"))
     stops = o.where(F.col("o_orderstatus") == "F").select(
         F.col("o_orderpriority").alias("measure"), F.col("o_custkey").alias("estimator"),
         F.date_add(F.col("o_orderdate").cast("date"), 200).alias("stop"))
