@@ -14,12 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quantlake.operators.quantiles import exact_median
-from quantlake.operators.scan import auto_grain, month_bucket, ordered_scan, time_bucket
+from quantlake.operators.scan import ordered_scan
 
 
 def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str,
               right_cols: Sequence[str] | None = None, strict: bool = False, direction: str = "backward",
-              tie_break: Sequence[str] = (), prefix: str = "", bucket=month_bucket) -> DataFrame:
+              tie_break: Sequence[str] = (), prefix: str = "", bucket="auto") -> DataFrame:
     """Each left row + the right row of the same key nearest in time.
 
     ``backward``: newest right row with ``right_time <= left_time`` (``<``
@@ -52,10 +52,11 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: s
     R = right.select(*on, F.col(right_time).cast(ttype).alias("_t"), F.lit(r_side).alias("_s"),
                      tb.alias("_tb"), F.lit(None).cast(ltype).alias("_l"), payload.alias("_p"))
     u = L.unionByName(R)
-    if isinstance(bucket, str):          # a grain name, or "auto" (measured on the union)
-        bucket = time_bucket(auto_grain(u, on, "_t") if bucket == "auto" else bucket)
+    if callable(bucket):
+        bucket = bucket(F.col("_t"))
+    # "auto" (default) sizes the bucket to the densest key of the union; a grain name also works
     scanned = ordered_scan(u, on, ["_t", "_s", "_tb"], "_p", "last", "_m", inclusive=True,
-                           descending=(direction == "forward"), bucket=bucket(F.col("_t")))
+                           descending=(direction == "forward"), bucket=bucket)
     out = scanned.where(F.col("_l").isNotNull())
     return out.select(*on, *[F.col(f"_l.{c}").alias(c) for c in lcols],
                       *[F.col(f"_m.{c}").alias(prefix + c) for c in right_cols])

@@ -85,9 +85,25 @@ def _combine(op: str, within: Column, carry: Column) -> Column:
     raise ValueError(op)
 
 
+def auto_width(df: DataFrame, key: Sequence[str], col: str, target_rows: int = 2_000_000) -> float:
+    """Bucket width for a numeric order column, sized like :func:`auto_grain`."""
+    per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"),
+                                   (F.max(col) - F.min(col)).cast("double").alias("_span"))
+    row = per_key.select(F.max(F.col("_n") / F.greatest(F.col("_span"), F.lit(1.0))).alias("_dens")).first()
+    density = float(row["_dens"] or 0.0)
+    return max(1.0, target_rows / density) if density > 0 else 1.0
+
+
+def _auto_bucket(df: DataFrame, key: Sequence[str], col: str) -> Column:
+    t = df.schema[col].dataType.simpleString()
+    if t == "date" or t.startswith("timestamp"):
+        return time_bucket(auto_grain(df, key, col))(col)
+    return F.floor(F.col(col) / F.lit(auto_width(df, key, col)))
+
+
 def ordered_scans(df: DataFrame, key: Sequence[str], order: Sequence[str],
                   aggs: Sequence[tuple[Column | str, str, str]], inclusive: bool = True,
-                  descending: bool = False, bucket: Column | None = None) -> DataFrame:
+                  descending: bool = False, bucket: Column | str | None = "auto") -> DataFrame:
     """Several running values over the same key and order in one pass.
 
     ``aggs`` = [(value, op, out), ...].  One exchange by (key, bucket), one
@@ -96,13 +112,16 @@ def ordered_scans(df: DataFrame, key: Sequence[str], order: Sequence[str],
     ``op``: ``last`` (newest non-NULL value), ``first``, ``sum``, ``count``,
     ``max``, ``min``.  ``inclusive`` includes the row itself.  ``descending``
     scans from the end (so ``last`` becomes "the next non-NULL value").
-    ``bucket`` must be a non-decreasing function of ``order[0]``; by default
-    the month of ``order[0]``.  A grain name (``"day"``) or ``"auto"`` (see
-    :func:`auto_grain`) is accepted too.
+    ``bucket`` must be a non-decreasing function of ``order[0]``.  The default
+    ``"auto"`` sizes it to the densest key (:func:`auto_grain`; one small
+    aggregate, run eagerly); a grain name (``"day"``) or ``None`` (months)
+    is accepted too.
     """
     key = list(key)
-    if isinstance(bucket, str):
-        bucket = time_bucket(auto_grain(df, key, order[0]) if bucket == "auto" else bucket)(order[0])
+    if isinstance(bucket, str) and bucket == "auto":
+        bucket = _auto_bucket(df, key, order[0])
+    elif isinstance(bucket, str):
+        bucket = time_bucket(bucket)(order[0])
     b = bucket if bucket is not None else month_bucket(order[0])
     vals = {f"_v{i}": (F.col(v) if isinstance(v, str) else v) for i, (v, _, _) in enumerate(aggs)}
     d = df.withColumn("_bk", b).withColumns(vals)
@@ -138,7 +157,7 @@ def ordered_scans(df: DataFrame, key: Sequence[str], order: Sequence[str],
 
 def ordered_scan(df: DataFrame, key: Sequence[str], order: Sequence[str], value: Column | str, op: str,
                  out: str, inclusive: bool = True, descending: bool = False,
-                 bucket: Column | None = None) -> DataFrame:
+                 bucket: Column | str | None = "auto") -> DataFrame:
     """Add ``out`` = ``op`` of ``value`` over the rows of the same key before each row.
 
     A single-value :func:`ordered_scans`; see there for the arguments.
