@@ -175,7 +175,8 @@ def chunk_job(spark: SparkSession, spec, csv_path: str, staging_path: str, main_
        of the staging table), rejecting rows under the spec's error budget;
     2. D1–D5 run as one fused aggregate over staging, D6 as a semi join;
     3. the gate (D8) compares them with ``thresholds``;
-    4. only if every check passes are the new rows promoted (T2).
+    4. only if every check passes are the new rows promoted (T2), after
+       which staging is truncated (S13); a failed gate leaves it for inspection.
     Returns ``(gate, audit)``; ``audit`` is None when the gate failed.
     """
     from quantlake.operators import quality as Q
@@ -194,6 +195,13 @@ def chunk_job(spark: SparkSession, spec, csv_path: str, staging_path: str, main_
     except Exception:  # noqa: BLE001  (no main table yet)
         pass
     gate_df = Q.gate(checks, thresholds or {("staging_qc", "rows"): (">", 0)})
+    # a few metric rows: keep them as data, so the result outlives the staging files
+    gate_df = spark.createDataFrame(gate_df.collect(), gate_df.schema)
     if gate_df.where(~F.col("passed")).limit(1).count() > 0:
         return gate_df, None
-    return gate_df, promote(spark, staging, main_path, key, date_cols=list(date_cols), prune_on=prune_on)
+    audit = promote(spark, staging, main_path, key, date_cols=list(date_cols), prune_on=prune_on)
+    # the audit is computed; clear staging (S13) only after main holds the rows
+    audit = spark.createDataFrame(audit.collect(), audit.schema)
+    from quantlake.sources.sinks import truncate
+    truncate(spark, good_path, staging.schema)
+    return gate_df, audit

@@ -182,3 +182,8 @@ def ensure_catalog_table(spark: SparkSession, spec, path: str, name: str | None
     spark.sql(f"CREATE TABLE IF NOT EXISTS `{name}` ({', '.join(cols)}) USING parquet "
               f"LOCATION '{path}'{table_comment}")
     return name
+
+
+def truncate(spark: SparkSession, path: str, schema: StructType) -> None:
+    """Empty a staging table in place (overwrite with no rows, schema kept)."""
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)

@@ -87,6 +87,7 @@ def test_chunk_job_gate_and_idempotent_promote(spark, tmp):
                 thresholds={("staging_qc", "rows"): (">", 0), ("staging_qc", "dup_rows"): ("==", 0)})
     gate, audit = chunk_job(spark, specs.ESTIMATE_HISTORY, os.path.dirname(csv), os.path.join(tmp, "stg"), main, **args)
     assert audit is not None and {r.metric: r.value for r in audit.collect()}["rows_promoted"] == 40
+    assert spark.read.parquet(os.path.join(tmp, "stg") + "_table").count() == 0        # staging truncated
     gate, audit = chunk_job(spark, specs.ESTIMATE_HISTORY, os.path.dirname(csv), os.path.join(tmp, "stg"), main, **args)
     assert {r.metric: r.value for r in audit.collect()}["rows_promoted"] == 0       # re-run adds nothing
     assert {(r.check, r.metric): r.value for r in gate.collect()}[("overlap_with_main", "rows_already_in_main")] == 40
