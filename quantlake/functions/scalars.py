@@ -7,7 +7,7 @@ goes through ``try_*`` forms.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -64,12 +64,8 @@ def to_long_or_null(c) -> Column:
     return F.when(s.rlike(INTEGER_RE), s.try_cast("long"))
 
 
-def split_code(c, codes: Iterable[str] | None = None) -> Column:
-    """The non-numeric part of a coded numeric column, else NULL.
-
-    With ``codes`` given, only those codes are returned; other non-numeric
-    text is still reported (as itself) so nothing is lost silently.
-    """
+def split_code(c) -> Column:
+    """The non-numeric text of a coded numeric column (trimmed), else NULL."""
     s = _c(c).cast("string")
     non_numeric = s.isNotNull() & (F.length(s) > 0) & ~s.rlike(NUMERIC_RE)
     return F.when(non_numeric, F.trim(s))

@@ -274,9 +274,17 @@ def sentinel_census(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def split_coded(df: DataFrame, col: str, codes: Sequence[str] | None = None) -> DataFrame:
-    """Add ``<col>_num`` (strict numeric) and ``<col>_code`` (the letter)."""
-    return df.withColumns({f"{col}_num": S.to_double_or_null(col),
-                           f"{col}_code": S.split_code(col, codes)})
+    """Add ``<col>_num`` (strict numeric) and ``<col>_code`` (the non-numeric text).
+
+    With the documented ``codes`` given, ``<col>_known`` tells them apart from
+    other junk (``True`` for a documented code, ``False`` for anything else
+    non-numeric, NULL for numbers and blanks), so nothing is lost silently.
+    """
+    out = df.withColumns({f"{col}_num": S.to_double_or_null(col), f"{col}_code": S.split_code(col)})
+    if codes:
+        code = F.col(f"{col}_code")
+        out = out.withColumn(f"{col}_known", F.when(code.isNotNull(), code.isin(*codes)))
+    return out
 
 
 # --- A22, W1, D11, O5 ---------------------------------------------------------

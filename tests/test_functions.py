@@ -63,3 +63,11 @@ def test_greeks_known_values_and_qc(spark):
     assert abs(rows[0].bs_theta - (-100 * phi * 0.2 / 2)) < 1e-6 and rows[2].bs_delta is None
     qc = greeks_qc(greeks(df), {"bs_delta": "delta", "bs_gamma": "gamma"}).collect()
     assert qc[0].delta_ok and not qc[0].gamma_ok and qc[1].gamma_ok
+
+
+def test_split_coded_known_codes(spark):
+    from quantlake.operators.quality import split_coded
+    df = spark.createDataFrame([("0.1",), ("B",), ("5F",), ("",)], "RET string")
+    rows = split_coded(df, "RET", ["B", "C"]).collect()
+    assert [(r.RET_num, r.RET_code, r.RET_known) for r in rows] == \
+        [(0.1, None, None), (None, "B", True), (None, "5F", False), (None, None, None)]
