@@ -115,3 +115,11 @@ def test_table_management_sinks(spark, tmp):
     md = pq.ParquetFile(os.path.join(out, files[0])).metadata
     assert [md.row_group(i).num_rows for i in range(md.num_row_groups)] == [1000, 1000, 500]
     assert md.row_group(0).column(0).compression == "ZSTD"
+
+
+def test_date_predicates_cover_range_without_overlap():
+    from quantlake.sources.sinks import date_predicates
+    p = date_predicates("date", "2000-01-01", "2000-03-15", step_days=31)
+    assert p == ["date >= DATE '2000-01-01' AND date <= DATE '2000-01-31'",
+                 "date >= DATE '2000-02-01' AND date <= DATE '2000-03-02'",
+                 "date >= DATE '2000-03-03' AND date <= DATE '2000-03-15'"]
