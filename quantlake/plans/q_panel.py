@@ -352,3 +352,13 @@ def distribution_prices(spark, sf):
         "l_orderkey", "l_linenumber", F.col("l_partkey").alias("PERMNO"), F.col("l_shipdate").cast("date").alias("DisExDt"))
     prices = DAILY.frame(spark, sf).withColumnRenamed("cap", "price")
     return P.distribution_prices(dist, prices, ["PERMNO"], "DisExDt", "date", ["price"])
+
+
+@query("id_lookup", ops="J20", sql="""
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, p.p_brand, p.p_type
+FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey""")
+def id_lookup(spark, sf):
+    """Security id on the fact → the other vendor's attributes through a lookup table."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    lookup = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type")
+    return P.enrich(li, lookup, ["l_partkey"])
