@@ -109,3 +109,14 @@ def test_multi_scan_equals_single_scans(spark, rows, descending):
     for op, pos in (("last", 0), ("sum", 1), ("count", 2)):
         single = {r.i: r.o for r in ordered_scan(df, ["k"], ["d", "i"], F.col("v"), op, "o", False, descending).collect()}
         assert all(multi[i][pos] == single[i] for i in single), op
+
+
+@SETTINGS
+@given(st.lists(st.tuples(keys, st.integers(min_value=0, max_value=10**6), vals), min_size=1, max_size=50))
+def test_ordered_scan_numeric_order_auto_bucket(spark, rows):
+    data = [(k, t, i, v) for i, (k, t, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k string, t long, i int, v int")
+    out = {r.i: r.o for r in ordered_scan(df, ["k"], ["t", "i"], F.col("v"), "sum", "o", inclusive=True).collect()}
+    for k, t, i, v in data:
+        xs = [vv for kk, tt, ii, vv in data if kk == k and (tt, ii) <= (t, i) and vv is not None]
+        assert out[i] == (sum(xs) if xs else None)

@@ -104,3 +104,14 @@ def test_exact_percentile_refines_hot_group(spark):
     one = exact_percentile(df.where("g = 'hot'"), "x", None, 0.5, "q", cuts=16, max_group_rows=50,
                            materialize_input=False).first().q
     assert abs(one - float(np.median([x for g, x in rows if g == "hot"]))) < 1e-9
+
+
+def test_staging_qc_approx_close_to_exact(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(0, 20000).select((F.col("id") % 997).cast("string").alias("code"),
+                                      (F.col("id") % 5000).alias("k"), F.col("id").cast("double").alias("v"),
+                                      F.lit(None).cast("date").alias("d"))
+    exact = Q.staging_qc(df, ["d"], {"pct_v_null": F.col("v").isNull()}, "v", ["code"], ["k"]).first()
+    approx = Q.staging_qc(df, ["d"], {"pct_v_null": F.col("v").isNull()}, "v", ["code"], ["k"], approx=True).first()
+    assert exact.n_code == 997 and exact.dup_rows == 15000
+    assert abs(approx.n_code - 997) / 997 < 0.05 and abs(approx.dup_rows - 15000) / 15000 < 0.05
