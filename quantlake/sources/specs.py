@@ -63,7 +63,9 @@ def spec(name: str, cols: str, **kw) -> TableSpec:
     return TableSpec(name, tuple(out), **kw)
 
 
-# --- declared tables (vendor header names; types after ingest) ------------------
+# --- fixed values: declared tables ---------------------------------------------
+# Column names are the vendors' CSV header names (matched by name at ingest) and
+# must stay as written; types are the Spark types after ingest.
 ESTIMATE_HISTORY = spec(
     "estimates.history",
     "TICKER:string! CUSIP OFTIC CNAME ACTDATS:date! ESTIMATOR:string! ANALYS:string! CURRFL PDF "
