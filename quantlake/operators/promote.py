@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from quantlake.operators.quality import keep_one
 from quantlake.session import scratch_path
 
+# fixed values: natural key of the estimate history (promote uses all ten, the QC
+# duplicate/overlap checks the first eight)
 PROMOTE_KEY = ("TICKER", "MEASURE", "FPI", "FPEDATS", "ESTIMATOR", "ANALYS",
                "ACTDATS", "ACTTIMS", "ANNDATS", "ANNTIMS")
 QC_KEY = PROMOTE_KEY[:8]
