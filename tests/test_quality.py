@@ -115,3 +115,23 @@ def test_staging_qc_approx_close_to_exact(spark):
     approx = Q.staging_qc(df, ["d"], {"pct_v_null": F.col("v").isNull()}, "v", ["code"], ["k"], approx=True).first()
     assert exact.n_code == 997 and exact.dup_rows == 15000
     assert abs(approx.n_code - 997) / 997 < 0.05 and abs(approx.dup_rows - 15000) / 15000 < 0.05
+
+
+def test_reconcile_rates_count_null_diffs_as_misses(spark):
+    import datetime as dt
+    from quantlake.operators import reconcile as R
+    d = [dt.date(2024, 1, i) for i in range(1, 6)]
+    a = spark.createDataFrame([("c1", x, 10.0) for x in d], "contract string, date date, a_price double")
+    b = spark.createDataFrame([("r1", d[0], 10.001, 10.0), ("r1", d[1], 10.05, 10.2), ("r1", d[2], None, 10.0),
+                               ("r1", d[3], 11.0, 11.0), ("r1", d[4], 10.0, None)],
+                              "ric string, date date, b_last double, b_settle double")
+    mapping = spark.createDataFrame([("c1", "r1")], "contract string, ric string")
+    m = R.align(a, b, mapping)
+    r = R.reconcile_summary(m).first()
+    assert r.n_matched == 5
+    assert r.vs_last_exact_pct == 0.4 and r.vs_last_close_pct == 0.6        # NULL diff is a miss, stays in n
+    assert r.vs_settle_exact_pct == 0.4 and r.vs_settle_close_pct == 0.4
+    assert all(0.0 <= x <= 1.0 for x in (r.vs_last_exact_pct, r.vs_last_close_pct, r.vs_settle_close_pct))
+    assert r.vs_last_median_diff == -0.0255 and r.vs_last_max_abs_diff == 1.0  # median of -1, -0.05, -0.001, 0
+    out = R.outliers(m, threshold=0.5).collect()
+    assert [str(x.date) for x in out] == ["2024-01-04"]
