@@ -135,3 +135,14 @@ def test_reconcile_rates_count_null_diffs_as_misses(spark):
     assert r.vs_last_median_diff == -0.0255 and r.vs_last_max_abs_diff == 1.0  # median of -1, -0.05, -0.001, 0
     out = R.outliers(m, threshold=0.5).collect()
     assert [str(x.date) for x in out] == ["2024-01-04"]
+
+
+def test_scratch_and_materialize_use_the_checkpoint_folder(spark):
+    from quantlake.session import ensure_checkpoint_dir, materialize, scratch_path
+    base = ensure_checkpoint_dir(spark)
+    assert base == spark.sparkContext.getCheckpointDir()
+    p = scratch_path(spark, "x")
+    assert p.startswith(base) and p != scratch_path(spark, "x")            # fresh folder each time
+    m = materialize(spark.range(10), "m")
+    strip = lambda u: u.replace("file://", "").replace("file:", "")
+    assert m.count() == 10 and strip(m.inputFiles()[0]).startswith(strip(base))
