@@ -69,11 +69,19 @@ def lagged(df: DataFrame, key: Sequence[str], time: str, col: str, tie_break: Se
 
 def cumulative_return(df: DataFrame, key: Sequence[str], time: str, ret: str,
                       tie_break: Sequence[str] = ()) -> DataFrame:
-    """Running compounded return ``exp(Σ log1p(r)) − 1``; NULL returns skipped and counted."""
+    """Running compounded return ``exp(Σ log1p(r)) − 1``; NULL returns skipped and counted.
+
+    A return of −100 % (or below) wipes the position out: from that row on the
+    cumulative return is −1 (``log1p`` alone would turn it into a NULL and
+    silently skip it).
+    """
     order = [time, *tie_break]
-    out = ordered_scans(df, key, order, [(F.log1p(F.col(ret)), "sum", "_lsum"),
-                                         (F.col(ret).isNull().cast("int"), "sum", "n_missing")])
-    return out.withColumn("cum_ret", F.exp(F.col("_lsum")) - F.lit(1.0)).drop("_lsum")
+    r = F.col(ret)
+    out = ordered_scans(df, key, order, [(F.when(r > -1, F.log1p(r)), "sum", "_lsum"),
+                                         (r.isNull().cast("int"), "sum", "n_missing"),
+                                         ((r <= -1).cast("int"), "sum", "_wiped")])
+    cum = F.when(F.coalesce(F.col("_wiped"), F.lit(0)) > 0, F.lit(-1.0)).otherwise(F.exp(F.col("_lsum")) - F.lit(1.0))
+    return out.withColumn("cum_ret", cum).drop("_lsum", "_wiped")
 
 
 def index_returns(panel: DataFrame, date: str, ret: str, weight: str, digits: int = 6,

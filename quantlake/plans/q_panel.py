@@ -90,26 +90,30 @@ def fundamentals_prices(spark, sf):
 
 # --- returns ------------------------------------------------------------------------------
 @query("prev_price", ops="W8 P10 F19", sql="""
-SELECT user_id, event_id, value, lag(value) OVER w AS prev_value, round(value / lag(value) OVER w - 1, 6) AS ret_value
+SELECT user_id, event_id, value, lag(value) OVER w AS prev_value, value / NULLIF(lag(value) OVER w, 0) - 1 AS ret_value
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)""")
 def prev_price(spark, sf):
     e = table(spark, sf, "events").select("user_id", "event_id", "ts", "value")
     out = P.lagged(e, ["user_id"], "ts", "value", tie_break=["event_id"])
-    return out.select("user_id", "event_id", "value", "prev_value", F.round("ret_value", 6).alias("ret_value"))
+    # one IEEE division in both engines: exact, so not rounded (rounding would meet ties on price ratios)
+    return out.select("user_id", "event_id", "value", "prev_value", "ret_value")
 
 
 @query("cumulative_return", ops="W9", sql="""
-WITH r AS (SELECT user_id, event_id, ts, value / lag(value) OVER (PARTITION BY user_id ORDER BY ts) - 1 AS ret
-           FROM events)
-SELECT user_id, event_id, round(ret, 6) AS ret,
-       round(exp(sum(ln(1 + ret)) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING)) - 1, 4) AS cum_ret,
-       count(*) FILTER (WHERE ret IS NULL) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS n_missing
-FROM r""")
+WITH r AS (SELECT user_id, event_id, ts, value / NULLIF(lag(value) OVER (PARTITION BY user_id ORDER BY ts), 0) - 1 AS ret
+           FROM events),
+s AS (SELECT *, sum(CASE WHEN ret > -1 THEN ln(1 + ret) END) OVER w AS lsum,
+             count(*) FILTER (WHERE ret <= -1) OVER w AS wiped,
+             count(*) FILTER (WHERE ret IS NULL) OVER w AS n_missing
+      FROM r WINDOW w AS (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING))
+SELECT user_id, event_id, ret,
+       round(CASE WHEN wiped > 0 THEN -1.0 ELSE exp(lsum) - 1 END, 4) AS cum_ret, n_missing
+FROM s""")
 def cumulative_return(spark, sf):
     e = table(spark, sf, "events").select("user_id", "event_id", "ts", "value")
     r = P.lagged(e, ["user_id"], "ts", "value", tie_break=["event_id"]).withColumnRenamed("ret_value", "ret")
     out = P.cumulative_return(r, ["user_id"], "ts", "ret", tie_break=["event_id"])
-    return out.select("user_id", "event_id", F.round("ret", 6).alias("ret"), F.round("cum_ret", 4).alias("cum_ret"),
+    return out.select("user_id", "event_id", "ret", F.round("cum_ret", 4).alias("cum_ret"),
                       F.col("n_missing").cast("long").alias("n_missing"))
 
 
@@ -185,13 +189,14 @@ def option_features(spark, sf):
 @query("chain_pairs", ops="T13 W1", sql=with_ctes(CHAIN, extra="""
 one AS (SELECT *, (best_bid + best_offer) / 2.0 AS mid,
                row_number() OVER (PARTITION BY secid, date, exdate, strike_price, cp_flag
-                                  ORDER BY optionid) AS rn FROM chain)""", body="""
+                                  ORDER BY optionid, best_bid, best_offer) AS rn FROM chain)""", body="""
 SELECT c.secid, c.date, c.exdate, c.strike_price, c.mid AS call_mid, p.mid AS put_mid
 FROM (SELECT * FROM one WHERE rn = 1 AND cp_flag = 'C') c
 JOIN (SELECT * FROM one WHERE rn = 1 AND cp_flag = 'P') p USING (secid, date, exdate, strike_price)"""))
 def chain_pairs(spark, sf):
     ch = P.option_features(CHAIN.frame(spark, sf).withColumnRenamed("dte", "_dte"), underlying="forward_price")
-    return P.call_put_pairs(ch, order=["optionid"])
+    # optionid repeats (lineitem has duplicate keys): bid and offer complete the order
+    return P.call_put_pairs(ch, order=["optionid", "best_bid", "best_offer"])
 
 
 _RATE_SQL = """

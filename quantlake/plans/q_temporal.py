@@ -132,7 +132,7 @@ def pit_latest_estimate(spark, sf):
 
 @query("surprise", ops="J22 J14", sql="""
 SELECT p.user_id, p.event_id AS purchase_id, p.value AS actual, v.value AS mean_est,
-       round(p.value - v.value, 6) AS surprise, round((p.value - v.value) / abs(v.value), 6) AS surprise_pct
+       p.value - v.value AS surprise, (p.value - v.value) / NULLIF(abs(v.value), 0) AS surprise_pct
 FROM (SELECT * FROM events WHERE event_type = 'purchase') p
 ASOF JOIN (SELECT * FROM events WHERE event_type = 'view') v ON p.user_id = v.user_id AND p.ts >= v.ts""")
 def surprise(spark, sf):
@@ -141,8 +141,8 @@ def surprise(spark, sf):
     est = A.asof_join(left, right, ["user_id"], "ts", "vts", ["mean_est"]).where(F.col("mean_est").isNotNull())
     actual = _ev(spark, sf, "purchase", "purchase_id", extra=[F.col("value").alias("actual")]).drop("ts")
     s = A.surprise(actual, est.drop("ts"), ["user_id", "purchase_id"])
-    return s.select("user_id", "purchase_id", "actual", "mean_est", F.round("surprise", 6).alias("surprise"),
-                    F.round("surprise_pct", 6).alias("surprise_pct"))
+    # single IEEE operations in both engines: exact, so not rounded; a zero estimate gives NULL
+    return s.select("user_id", "purchase_id", "actual", "mean_est", "surprise", "surprise_pct")
 
 
 @query("restatement_latest", ops="W2", sql="""

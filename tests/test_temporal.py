@@ -179,3 +179,14 @@ def test_auto_grain_splits_a_hot_key(spark):
     a = sorted((tuple(r) for r in A.asof_join(df, right, ["k"], "t", "rt", ["rid"], bucket="auto").select("i", "rid").collect()), key=str)
     b = sorted((tuple(r) for r in A.asof_join(df, right, ["k"], "t", "rt", ["rid"]).select("i", "rid").collect()), key=str)
     assert a == b
+
+
+def test_cumulative_return_wipe_out_and_zero_price(spark):
+    from quantlake.operators.panel import cumulative_return, lagged
+    rows = [("a", D(2020, 1, d), p) for d, p in ((1, 10.0), (2, 11.0), (3, 0.0), (4, 5.0), (5, 6.0))]
+    df = lagged(spark.createDataFrame(rows, "k string, d date, p double"), ["k"], "d", "p")
+    out = {str(r.d): r for r in cumulative_return(df, ["k"], "d", "ret_p").collect()}
+    assert abs(out["2020-01-02"].cum_ret - 0.1) < 1e-12
+    assert out["2020-01-03"].cum_ret == -1.0                        # -100 % is not skipped
+    assert out["2020-01-04"].ret_p is None and out["2020-01-04"].cum_ret == -1.0   # return over a zero price: NULL
+    assert out["2020-01-05"].cum_ret == -1.0 and out["2020-01-05"].n_missing == 2
