@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, quality_rules
+from . import bpe, packing, quality_rules, secret_scan
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
@@ -26,10 +26,14 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digests(secret_scan.scan(_table(spark, sf_dir, "documents")))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
                               public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_packing, op8_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_packing, op7_secret_scans, op8_byte_bpe)}
 ORACLES: dict[str, str] = {}
