@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, quality_rules, secret_scan
+from . import bpe, packing, quality_rules, secret_scan, topk
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
@@ -35,5 +35,20 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                               public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_packing, op7_secret_scans, op8_byte_bpe)}
-ORACLES: dict[str, str] = {}
+def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), lambda i: F.pmod(i, F.lit(50)) == 0, k=5)
+
+
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_packing, op7_secret_scans, op8_byte_bpe, op10_exact_topk)}
+ORACLES: dict[str, str] = {
+    "op10_exact_topk": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+ s AS (SELECT DISTINCT a.vec_id AS query_id, b.vec_id,
+    CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda x: x[1] * x[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0),
+ m AS (SELECT query_id, vec_id, max(score) AS score FROM s GROUP BY ALL),
+ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM m)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+}
