@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, quality_rules, secret_scan, topk
+from . import bpe, packing, quality_rules, secret_scan, topk, toxicity
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
@@ -35,11 +35,15 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                               public_tokenizers.PATTERN)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), lambda i: F.pmod(i, F.lit(50)) == 0, k=5)
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_packing, op7_secret_scans, op8_byte_bpe, op10_exact_topk)}
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_packing, op7_secret_scans, op8_byte_bpe, op9_toxicity, op10_exact_topk)}
 ORACLES: dict[str, str] = {
     "op10_exact_topk": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings

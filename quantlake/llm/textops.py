@@ -88,11 +88,11 @@ def joined(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, bounds
 
 
-def word_spans(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_spans(buf: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of every word (maximal run without white space); the buffer ends with a newline."""
     inside = np.empty(len(buf) + 1, dtype=bool)
     inside[0] = False
-    np.logical_not(SPACE[buf], out=inside[1:])
+    np.logical_not(space[buf], out=inside[1:])
     edge = np.flatnonzero(inside[1:] != inside[:-1])
     return edge[0::2], edge[1::2]
 
