@@ -208,12 +208,14 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
         for piece in T.slices(batches):
             label = np.asarray(piece.column(1).to_numpy(zero_copy_only=False), dtype=np.int64)
             x = held.value.features(piece.column(0), label)
-            yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1]), piece.column(1)], names=["a", "b", "label"])
+            yield pa.RecordBatch.from_arrays([*(pa.array(x[:, k]) for k in range(N_FEATURES)), piece.column(1)], names=[*names, "label"])
 
-    fitted = texts.join(some, "doc_id").select("text", "label").mapInArrow(measure, "a double, b double, label int").toPandas()
+    names = [f"x{k}" for k in range(N_FEATURES)]
+    schema = ", ".join(f"{n} double" for n in names) + ", label int"
+    fitted = texts.join(some, "doc_id").select("text", "label").mapInArrow(measure, schema).toPandas()
     held.unpersist()
-    fitted = fitted.sort_values(["a", "b", "label"])
-    model.fit(fitted[["a", "b"]].to_numpy(), fitted["label"].to_numpy(dtype=np.float64))
+    fitted = fitted.sort_values([*names, "label"])
+    model.fit(fitted[names].to_numpy(), fitted["label"].to_numpy(dtype=np.float64))
     return model
 
 
