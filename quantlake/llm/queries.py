@@ -3,21 +3,43 @@
 from __future__ import annotations
 
 import os
-import sys
+import tempfile
+import zipfile
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, quality_rules, secret_scan, topk, toxicity
+from . import bpe, packing, quality_rules, secret_scan, substring_dedup, topk, toxicity
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Spark bring this package to the workers, once for each application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    path = os.path.join(tempfile.mkdtemp(), "quantlake.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(os.path.join(ROOT, "quantlake")):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    z.write(os.path.join(folder, n), os.path.relpath(os.path.join(folder, n), ROOT))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(_table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(_table(spark, sf_dir, "documents"))
 
@@ -43,7 +65,7 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), lambda i: F.pmod(i, F.lit(50)) == 0, k=5)
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_packing, op7_secret_scans, op8_byte_bpe, op9_toxicity, op10_exact_topk)}
+QUERIES = {f.__name__: f for f in (op2_substring_dedup, op3_quality_rules, op4_packing, op7_secret_scans, op8_byte_bpe, op9_toxicity, op10_exact_topk)}
 ORACLES: dict[str, str] = {
     "op10_exact_topk": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
