@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, quality_rules, secret_scan, substring_dedup, suffix_dedup, topk, toxicity
+from . import bpe, jaccard_join, packing, quality_rules, secret_scan, substring_dedup, suffix_dedup, topk, toxicity
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 _shipped: set[str] = set()
@@ -36,6 +36,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"), k=3, num=9, den=10)
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup(_table(spark, sf_dir, "documents")).drop("kept_text")
 
@@ -69,7 +73,7 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), lambda i: F.pmod(i, F.lit(50)) == 0, k=5)
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op3_quality_rules, op4_packing, op5_suffix_dedup, op7_secret_scans, op8_byte_bpe, op9_toxicity, op10_exact_topk)}
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_substring_dedup, op3_quality_rules, op4_packing, op5_suffix_dedup, op7_secret_scans, op8_byte_bpe, op9_toxicity, op10_exact_topk)}
 ORACLES: dict[str, str] = {
     "op10_exact_topk": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
