@@ -16,6 +16,13 @@ def schema(key: str, cols: dict[str, str]) -> str:
     return f"{key} int, " + ", ".join(f"{c} binary" for c in cols)
 
 
+def _raw(v: np.ndarray, kind: str) -> tuple[bytes, int]:
+    if kind == "u5":                       # the low five bytes of a hash
+        return np.ascontiguousarray(v.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes(), 5
+    v = np.ascontiguousarray(v.astype(kind))
+    return v.tobytes(), v.dtype.itemsize
+
+
 def rows(key: str, part: np.ndarray, cols: dict[str, str], values: list[np.ndarray]) -> pa.RecordBatch:
     """A row for each value of part, its entries in their order; cols: name to numpy type."""
     order = np.argsort(part, kind="stable")
@@ -24,16 +31,23 @@ def rows(key: str, part: np.ndarray, cols: dict[str, str], values: list[np.ndarr
     ends = np.append(cut[1:], len(part))
     arrays = [pa.array(part[cut].astype(np.int32))]
     for (name, kind), v in zip(cols.items(), values):
-        raw = np.ascontiguousarray(v[order].astype(kind))
-        size = raw.dtype.itemsize
-        data = raw.tobytes()
+        data, size = _raw(v[order], kind)
         arrays.append(pa.array([data[size * a:size * b] for a, b in zip(cut.tolist(), ends.tolist())], pa.binary()))
     return pa.RecordBatch.from_arrays(arrays, names=[key, *cols])
 
 
 def entries(table: pa.Table, cols: dict[str, str]) -> list[np.ndarray]:
     """The entries of all rows, one array a column."""
-    return [np.frombuffer(b"".join(table.column(c).to_pylist()), dtype=kind) for c, kind in cols.items()]
+    out = []
+    for c, kind in cols.items():
+        data = b"".join(table.column(c).to_pylist())
+        if kind == "u5":
+            wide = np.zeros((len(data) // 5, 8), dtype=np.uint8)
+            wide[:, :5] = np.frombuffer(data, dtype=np.uint8).reshape(-1, 5)
+            out.append(wide.view("<u8").ravel())
+        else:
+            out.append(np.frombuffer(data, dtype=kind))
+    return out
 
 
 def tables(batches: list[pa.RecordBatch], key: str, cols: dict[str, str]) -> pa.Table:

@@ -35,7 +35,8 @@ SPAN, PERIOD = 20, 13
 COVER = (0, 1, 3, 9)
 
 _PLACES = {"doc": "<i8", "pos": "<i4"}
-_ANCHORS = {**_PLACES, "h": "<u8"}
+#: Five bytes of the hash; the part tells more of it, and an accidental match only costs an extension.
+_ANCHORS = {**_PLACES, "h": "u5"}
 _WINDOWS = {**_PLACES, "h": "<u8", "g": "<u4"}
 
 
@@ -82,7 +83,7 @@ def dedup(docs: DataFrame, span: int = SPAN, period: int = PERIOD, cover: tuple[
     own = X.bucketed(docs, buckets)
 
     def part_of(h):
-        return (h >> T.U(33)).astype(np.int64) % parts
+        return (h >> T.U(40)).astype(np.int64) % parts
 
     def bypass(doc):
         """Entries that need no partner: a part below zero for each bucket, so nothing meets in one place."""
@@ -96,7 +97,7 @@ def dedup(docs: DataFrame, span: int = SPAN, period: int = PERIOD, cover: tuple[
             order, new = X.repeated(h)
             known = _in_groups(order, new)                    # these repeat among this task's own texts
             yield X.rows("part", bypass(doc[known]), _ANCHORS, [doc[known], pos[known], h[known]])
-            once = order[new]
+            once = np.sort(order[new])
             yield X.rows("part", part_of(h[once]), _ANCHORS, [doc[once], pos[once], h[once]])
 
     def find_anchors(key: tuple, table: pa.Table) -> pa.Table:
