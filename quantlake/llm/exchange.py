@@ -61,10 +61,17 @@ def sizes(docs: DataFrame) -> tuple[int, int]:
     return max(32, -(-total // PART_BYTES)), max(32, -(-total // BUCKET_BYTES))
 
 
-def bucketed(docs: DataFrame, buckets: int) -> DataFrame:
-    """doc_id, text, bucket; a null id is the last of all."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID))).alias("doc_id"), F.col("text").cast("string").alias("text"),
-                       F.col("doc_id").isNull().alias("no_id")).withColumn("bucket", bucket_of(F.col("doc_id"), buckets))
+def bucketed(docs: DataFrame, buckets: int, carry: list[str] | None = None) -> DataFrame:
+    """doc_id, text, no_id, bucket, and where asked for a struct ``carried`` of other columns; a null id is the last of all."""
+    text, real = F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long")
+    rest = [F.struct(*carry).alias("carried")] if carry else []
+    return (docs.select(F.coalesce(real, F.lit(int(NO_ID))).alias("doc_id"), text, real.isNull().alias("no_id"), *rest)
+            .select("doc_id", "text", "no_id", bucket_of(F.col("doc_id"), buckets).alias("bucket"), *(["carried"] if carry else [])))
+
+
+def carried_type(docs: DataFrame, carry: list[str] | None) -> str:
+    """The struct's column for a result schema, with its comma."""
+    return f", carried {docs.select(F.struct(*carry).alias('c')).schema['c'].dataType.simpleString()}" if carry else ""
 
 
 def bucket_of(doc_id, buckets: int):

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import importlib
 import os
+import sys
 import tempfile
 import zipfile
 
@@ -53,7 +55,7 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.dedup(_table(spark, sf_dir, "documents")).drop("kept")
+    return suffix_dedup.dedup(_table(spark, sf_dir, "documents")).drop("kept_text")
 
 
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +75,16 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), lambda i: F.pmod(i, F.lit(50)) == 0, k=5)
 
 
-QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_substring_dedup, op3_quality_rules, op4_packing, op5_suffix_dedup, op7_secret_scans, op8_byte_bpe, op9_toxicity, op10_exact_topk)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return _pipeline.run(spark, sf_dir)
+
+
+if ROOT not in sys.path:
+    sys.path.insert(0, ROOT)
+_pipeline = importlib.import_module("corpus_pipeline")
+
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_substring_dedup, op3_quality_rules, op4_packing, op5_suffix_dedup, op7_secret_scans, op8_byte_bpe, op9_toxicity, op10_exact_topk, pipeline)}
 ORACLES: dict[str, str] = {
     "op10_exact_topk": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings

@@ -75,8 +75,9 @@ def _in_groups(order: np.ndarray, new: np.ndarray) -> np.ndarray:
     return order[~(new & ends)]
 
 
-def dedup(docs: DataFrame, span: int = SPAN, period: int = PERIOD, cover: tuple[int, ...] = COVER) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256, kept_text of every document."""
+def dedup(docs: DataFrame, span: int = SPAN, period: int = PERIOD, cover: tuple[int, ...] = COVER,
+          carry: list[str] | None = None) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256, kept_text of every document, and ``carried`` columns of its row."""
     if period >= span or {(a - b) % period for a in cover for b in cover} != set(range(period)):
         raise ValueError("cover must be a difference cover modulo a period below the span")
     parts, buckets = X.sizes(docs)
@@ -172,17 +173,17 @@ def dedup(docs: DataFrame, span: int = SPAN, period: int = PERIOD, cover: tuple[
             absent = piece.column(2).to_numpy(zero_copy_only=False)
             out.append(pa.RecordBatch.from_arrays([
                 pa.array(ids, mask=absent), pa.array(np.diff(first)), pa.array(total[first[1:]] - total[first[:-1]]),
-                pa.array([hashlib.sha256(k).hexdigest() for k in kept]), pa.array([k.decode("utf-8", "replace") for k in kept], pa.string())],
-                names=list(_RESULT)))
-        return pa.Table.from_batches(out, pa.schema(_RESULT.items()))
+                pa.array([hashlib.sha256(k).hexdigest() for k in kept]), pa.array([k.decode("utf-8", "replace") for k in kept], pa.string()),
+                *piece.columns[4:]], names=[*_RESULT, *piece.schema.names[4:]]))
+        return pa.Table.from_batches(out) if out else pa.schema([*_RESULT.items(), *list(texts.schema)[4:]]).empty_table()
 
     place = X.schema("bucket", _PLACES)
     found = own.select("doc_id", "text").mapInArrow(send_anchors, X.schema("part", _ANCHORS)).groupBy("part").applyInArrow(find_anchors, place)
-    grouped = own.select("doc_id", "text", "no_id", "bucket")
+    grouped = X.bucketed(docs, buckets, carry)
     windows = (grouped.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(send_windows, X.schema("part", _WINDOWS))
                .groupBy("part").applyInArrow(find_windows, place))
     return (grouped.groupBy("bucket").cogroup(windows.groupBy("bucket"))
-            .applyInArrow(finish, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"))
+            .applyInArrow(finish, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string" + X.carried_type(docs, carry)))
 
 
 _RESULT = {"doc_id": pa.int64(), "n_words": pa.int64(), "n_removed": pa.int64(), "kept_sha256": pa.string(), "kept_text": pa.string()}
