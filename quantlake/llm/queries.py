@@ -12,7 +12,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard_join, packing, quality_rules, secret_scan, substring_dedup, suffix_dedup, topk, toxicity
+from quantlake.session import materialize, scratch_path
+
+from . import bpe, jaccard_join, packing, quality_rules, secret_scan, substring_dedup, suffix_dedup, token_counts, topk, toxicity
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 _shipped: set[str] = set()
@@ -58,6 +60,25 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(_table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after three batches over all documents, each sent twice.
+
+    All documents come in under a word count; the count is revised to a byte-level
+    vocabulary; later copies of a text (a greater doc_id) go.
+    """
+    docs = _table(spark, sf_dir, "documents")
+    words, bpe_50k = "words", "byte_bpe_50k"
+    counted = materialize(token_counts.count_tokens(docs, {words: None, bpe_50k: public_tokenizers.path("byte_bpe_50k.json")}), "token-counts")
+    old, new = counted.where(F.col("tokenizer_version") == words), counted.where(F.col("tokenizer_version") == bpe_50k)
+    first = new.groupBy("text_hash").agg(F.min("doc_id").alias("first_id"))
+    copies = new.join(first, "text_hash").where("doc_id > first_id")
+    rollup = token_counts.Rollup(spark, scratch_path(spark, "token-rollup"))
+    batches = {"1-insert": token_counts.inserts(old), "2-revise": token_counts.revisions(old, new), "3-delete": token_counts.deletes(copies)}
+    for name, changes in [*batches.items(), *batches.items()]:
+        rollup.commit(name, changes)
+    return rollup.totals()
+
+
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan(_table(spark, sf_dir, "documents")))
 
@@ -84,7 +105,7 @@ if ROOT not in sys.path:
     sys.path.insert(0, ROOT)
 _pipeline = importlib.import_module("corpus_pipeline")
 
-QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_substring_dedup, op3_quality_rules, op4_packing, op5_suffix_dedup, op7_secret_scans, op8_byte_bpe, op9_toxicity, op10_exact_topk, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_substring_dedup, op3_quality_rules, op4_packing, op5_suffix_dedup, op6_token_counts, op7_secret_scans, op8_byte_bpe, op9_toxicity, op10_exact_topk, pipeline)}
 ORACLES: dict[str, str] = {
     "op10_exact_topk": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
