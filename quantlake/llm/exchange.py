@@ -75,13 +75,13 @@ def carried_type(docs: DataFrame, carry: list[str] | None) -> str:
 
 
 def bucket_of(doc_id, buckets: int):
-    return F.pmod(doc_id + F.shiftrightunsigned(doc_id, 17) * 31, F.lit(buckets)).cast("int")
+    return F.pmod(doc_id.bitwiseXOR(F.shiftrightunsigned(doc_id, 17)), F.lit(buckets)).cast("int")
 
 
 def buckets_of(doc_id: np.ndarray, buckets: int) -> np.ndarray:
     """As bucket_of, in numpy."""
     u = doc_id.astype(np.int64).view(np.uint64)
-    return np.mod((u + (u >> np.uint64(17)) * np.uint64(31)).view(np.int64), buckets)
+    return np.mod((u ^ (u >> np.uint64(17))).view(np.int64), buckets)
 
 
 def by_row(ids: np.ndarray, doc: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:

@@ -149,14 +149,13 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", example_owners: int = 3) ->
     hash, so repeated rows get the same result.  n_chars is set anew for
     changed texts.
     """
-    text = F.col("text").cast("string")
     hit = (scan(docs, example_owners=example_owners)
-           .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"),
-                   F.filter("spans", lambda s: s["verdict"] != "example").alias("_spans"))
-           .where(F.size("_spans") > 0).dropDuplicates(["_id", "_hash"]))
-    own = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_hash"))
-    out = docs.join(hit, own, "left").withColumn(
-        "text", F.when(F.col("_spans").isNotNull(), _mask(text, F.col("_spans"), mask)).otherwise(text))
-    if "n_chars" in out.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+           .select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"),
+                   F.filter("spans", lambda s: s["verdict"] != "example").alias("spans"))
+           .where(F.size("spans") > 0).dropDuplicates(["id", "hash"]))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("text"))
+    own = F.col("row.doc_id").cast("long").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("hash"))
+    out = rows.join(hit, own, "left").withColumn("masked", F.when(F.col("spans").isNotNull(), _mask(F.col("text"), F.col("spans"), mask)))
+    new = {"text": F.coalesce("masked", "text"),
+           "n_chars": F.when(F.col("masked").isNotNull(), F.length("masked").cast("long")).otherwise(F.col("row.n_chars")) if "n_chars" in docs.columns else None}
+    return out.select(*[(new[c] if new.get(c) is not None else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

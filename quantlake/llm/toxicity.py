@@ -220,25 +220,23 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
 
 
 def scored(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:
-    """All columns of docs, and score and predicted; the text alone decides."""
+    """row (a struct of all columns of docs), score and predicted; the text alone decides."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("text"))
     if model is None:
-        return docs.withColumn("score", F.lit(0.0)).withColumn("predicted", F.lit(0))
+        return rows.select("row", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     held = docs.sparkSession.sparkContext.broadcast(model)
-    names = docs.columns
-    at = names.index("text")
 
     def run(batches):
         for piece in T.slices(batches):
-            s = held.value.score(piece.column(at))
-            yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(s), pa.array((s >= threshold).astype(np.int32))],
-                                             names=[*names, "score", "predicted"])
+            s = held.value.score(piece.column(1))
+            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(s), pa.array((s >= threshold).astype(np.int32))],
+                                             names=["row", "score", "predicted"])
 
-    fields = [(f.name, f.dataType.simpleString()) for f in docs.schema.fields]
-    schema = ", ".join(f"`{n}` {t}" for n, t in [*fields, ("score", "double"), ("predicted", "int")])
-    return docs.mapInArrow(run, schema)
+    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, score double, predicted int")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return scored(own, train(docs, labels), threshold).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+    return scored(own, train(docs, labels), threshold).select(
+        "row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", "predicted")
