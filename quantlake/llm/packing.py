@@ -27,8 +27,10 @@ from pyspark.sql import functions as F
 
 from . import textops as T
 
-#: Chunks whose ids a worker keeps; it starts anew beyond (speed only).
-CACHE_ENTRIES = 500_000
+#: Chunks whose ids a worker keeps at most, in two generations (speed only).
+CACHE_ENTRIES = 800_000
+#: Closing marks that are looked up apart from their word.
+MARKS = ",."
 END_ID = 1
 
 
@@ -48,7 +50,9 @@ class ChunkTokenizer:
         self.size = np.zeros(self.tokenizer.get_vocab_size(), dtype=np.int64)
         for token, i in self.tokenizer.get_vocab().items():
             self.size[i] = len(token)                    # one character of the byte-level alphabet a byte
-        self.cache: dict[str, bytes] = {}                # of chunks after a blank
+        self.young: dict[str, bytes] = {}                # chunks after a blank; two generations
+        self.old: dict[str, bytes] = {}
+        self.marks = dict(zip(MARKS, self._encode(list(MARKS))))
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         fast = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
@@ -66,21 +70,46 @@ class ChunkTokenizer:
             out.update((c, packed[x:y]) for c, x, y in zip(some, cut, cut[1:]))
         return out
 
+    def _lookup(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of chunks that aren't in the young generation; what cannot be split off safely is left out.
+
+        A chunk of a word and one closing mark is its word's ids and the
+        mark's, as letters and marks are never in one pre-token.
+        """
+        if len(self.young) > CACHE_ENTRIES // 2:
+            self.old, self.young = self.young, {}
+        out = {}
+        bases, rest = {}, []
+        for w in words:
+            x = self.old.get(w)
+            if x is not None:
+                out[w] = x
+            elif not w or w[0].isspace() or w[-1].isspace() or "<|" in w:
+                continue
+            elif len(w) > 1 and w[-1] in MARKS and w[-2].isalpha():
+                bases[w] = w[:-1]
+            else:
+                rest.append(w)
+        known = {w: x for w in set(bases.values()) if (x := self.young.get(w) or self.old.get(w) or out.get(w)) is not None}
+        rest = list(dict.fromkeys([*rest, *(w for w in bases.values() if w not in known)]))
+        fresh = self._learn(rest)
+        known.update(fresh)
+        out.update(fresh)
+        out.update((w, known[b] + self.marks[w[-1]]) for w, b in bases.items())
+        self.young.update((w, x) for w, x in out.items() if len(w) <= 64)
+        return out
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        known = self.cache.get
+        known = self.young.get
         chunks = [t.split(" ") for t in texts]
         parts = [list(map(known, c[1:])) for c in chunks]
         missing = {w for c, p in zip(chunks, parts) if None in p for w, x in zip(c[1:], p) if x is None}
-        plain = [w for w in missing if w and not w[0].isspace() and not w[-1].isspace() and "<|" not in w]
-        fresh = self._learn(plain)
-        if len(self.cache) + len(fresh) > CACHE_ENTRIES:
-            self.cache.clear()
-        self.cache.update((w, x) for w, x in fresh.items() if len(w) <= 64)
+        found = self._lookup(list(missing)) if missing else {}
         whole, heads = [], []
         for i, (c, p) in enumerate(zip(chunks, parts)):
             if None in p:
-                p[:] = [x or fresh.get(w) for w, x in zip(c[1:], p)]
+                p[:] = [x or found.get(w) for w, x in zip(c[1:], p)]
             head = c[0]
             if None in p or not head or head[0].isspace() or head[-1].isspace() or "<|" in head:
                 whole.append(i)
