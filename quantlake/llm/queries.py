@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quantlake.session import materialize, scratch_path
 
-from . import bpe, jaccard_join, packing, quality_rules, secret_scan, substring_dedup, suffix_dedup, token_counts, topk, toxicity
+from . import bpe, jaccard_join, oracles, packing, quality_rules, secret_scan, substring_dedup, suffix_dedup, token_counts, topk, toxicity
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 _shipped: set[str] = set()
@@ -49,7 +49,8 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.quality(_table(spark, sf_dir, "documents"))
+    # which rule rejects first depends on the measured order, so that column stays out
+    return quality_rules.quality(_table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,15 +107,10 @@ if ROOT not in sys.path:
 _pipeline = importlib.import_module("corpus_pipeline")
 
 QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_substring_dedup, op3_quality_rules, op4_packing, op5_suffix_dedup, op6_token_counts, op7_secret_scans, op8_byte_bpe, op9_toxicity, op10_exact_topk, pipeline)}
+#: The others are learned, tokenized or byte-wise; tests compare them with brute force.
 ORACLES: dict[str, str] = {
-    "op10_exact_topk": """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
- s AS (SELECT DISTINCT a.vec_id AS query_id, b.vec_id,
-    CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda x: x[1] * x[2])) AS BIGINT) AS score
-  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0),
- m AS (SELECT query_id, vec_id, max(score) AS score FROM s GROUP BY ALL),
- r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM m)
-SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op1_jaccard_join": oracles.JACCARD, "op2_substring_dedup": oracles.SUBSTRING, "op3_quality_rules": oracles.QUALITY,
+    "op7_secret_scans": oracles.SECRETS, "op10_exact_topk": oracles.TOP_K,
 }
+if _pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = _pipeline.ORACLE_SQL
