@@ -25,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quantlake.session import materialize
+
 from . import textops as T
 
 WORDS, CONTEXTS, FOLLOWERS = 1 << 20, 1 << 11, 1 << 11
 #: Labelled rows that the logistic curve is fitted to at most (those with the smallest id hash).
-FIT_ROWS = 20_000
+FIT_ROWS = 10_000
 #: Documents of the smaller class that are taken off each count.
 DISCOUNT = 1.0
 PAIR_DISCOUNT = 2.0
@@ -68,19 +70,34 @@ def _distinct(doc: np.ndarray, bucket: np.ndarray, size: int) -> tuple[np.ndarra
     return keys // size, keys % size
 
 
-def _counts(training: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(documents of each class, word counts [2, WORDS], pair counts [2, CONTEXTS * FOLLOWERS]) of all training rows.
+def _gather(training: DataFrame) -> DataFrame:
+    """What the training rows (text, label, fit) give to the model, written to the shared folder in one pass.
 
-    A task adds its rows up and sends (table chunk, buckets, counts); chunks
-    are summed in Spark and come to the driver dense, 40 MB at any corpus size.
+    Rows (part, at, n): a task's counts by chunk of a table (buckets, numbers), its documents by
+    class (parts -1 and -2), and for every row that the curve is fitted to its
+    words and pairs (part -3 less the label).
     """
     sizes = (WORDS, CONTEXTS * FOLLOWERS)
 
     def add(batches):
         docs = np.zeros(2, dtype=np.int64)
         tables = [[np.zeros(n, dtype=np.int32) for n in sizes] for _ in range(2)]
+        rows = {"part": [], "at": [], "n": []}
+
+        def row(part, at, n):
+            for name, v in zip(rows, (part, at, n)):
+                rows[name].append(v)
+
+        def batch():
+            out = pa.RecordBatch.from_arrays([pa.array(rows["part"], pa.int32()), pa.array(rows["at"], pa.binary()),
+                                              pa.array(rows["n"], pa.binary())], names=list(rows))
+            for v in rows.values():
+                v.clear()
+            return out
+
         for piece in T.slices(batches):
             label = np.asarray(piece.column(1).to_numpy(zero_copy_only=False), dtype=np.int64)
+            fit = np.asarray(piece.column(2).to_numpy(zero_copy_only=False), dtype=bool)
             first, word, pair, follows = _expressions(piece.column(0))
             doc = T.doc_of(first)
             docs += np.bincount(label, minlength=2)
@@ -89,22 +106,33 @@ def _counts(training: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                     own = b[label[d] == c]
                     at, n = np.unique(own, return_counts=True)
                     tables[c][kind][at] += n.astype(np.int32)
-        rows = {"part": [], "at": [], "n": []}
+            shown = np.where(follows, pair, -1)
+            for i in np.flatnonzero(fit):
+                lo, hi = first[i], first[i + 1]
+                row(-3 - int(label[i]), word[lo:hi].astype("<i4").tobytes(), shown[lo:hi].astype("<i4").tobytes())
+            if rows["part"]:
+                yield batch()
         for c in (0, 1):
-            rows["part"].append(-1 - c)
-            rows["at"].append(np.zeros(1, "<u2").tobytes())
-            rows["n"].append(docs[c:c + 1].astype("<i4").tobytes())
+            row(-1 - c, np.zeros(1, "<u2").tobytes(), docs[c:c + 1].astype("<i4").tobytes())
             base = 0
             for table in tables[c]:
                 for lo in range(0, len(table), _CHUNK):
                     at = np.flatnonzero(table[lo:lo + _CHUNK])
                     if len(at):
-                        rows["part"].append(c << 20 | (base + lo) // _CHUNK)
-                        rows["at"].append(at.astype("<u2").tobytes())
-                        rows["n"].append(table[lo:lo + _CHUNK][at].astype("<i4").tobytes())
+                        n = table[lo:lo + _CHUNK][at]
+                        row(c << 20 | (base + lo) // _CHUNK, at.astype("<u2").tobytes(), n.astype("<i4").tobytes())
                 base += len(table)
-        yield pa.RecordBatch.from_pydict({"part": pa.array(rows["part"], pa.int32()), "at": pa.array(rows["at"], pa.binary()),
-                                          "n": pa.array(rows["n"], pa.binary())})
+        yield batch()
+
+    return materialize(training.mapInArrow(add, "part int, at binary, n binary"), "toxicity-counts")
+
+
+def _counts(gathered: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(documents of each class, word counts [2, WORDS], pair counts [2, CONTEXTS * FOLLOWERS]) of all training rows.
+
+    Chunks are summed in Spark and come to the driver dense, 40 MB at any corpus size.
+    """
+    sizes = (WORDS, CONTEXTS * FOLLOWERS)
 
     def total(key: tuple, table: pa.Table) -> pa.Table:
         out = np.zeros(_CHUNK, dtype=np.int64)
@@ -112,8 +140,7 @@ def _counts(training: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             out[np.frombuffer(at, "<u2")] += np.frombuffer(n, "<i4")
         return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "n": pa.array([out.astype("<f4").tobytes()], pa.binary())})
 
-    parts = (training.mapInArrow(add, "part int, at binary, n binary").groupBy("part")
-             .applyInArrow(total, "part int, n binary").collect())
+    parts = gathered.where("part > -3").groupBy("part").applyInArrow(total, "part int, n binary").collect()
     docs, both = np.zeros(2), [np.zeros(sum(sizes), dtype=np.float32) for _ in range(2)]
     for r in parts:
         values = np.frombuffer(r["n"], "<f4")
@@ -157,9 +184,9 @@ class Model:
             logs.append(np.log(np.where(follows, q, PAIR_BACKOFF * p)))
         return logs[1] - logs[0]
 
-    def features(self, texts: pa.Array, label: np.ndarray | None = None) -> np.ndarray:
+    def features(self, first: np.ndarray, word: np.ndarray, pair: np.ndarray, follows: np.ndarray,
+                 label: np.ndarray | None = None) -> np.ndarray:
         """[documents, N_FEATURES]: log-likelihood difference by length, of all words and of those that decide."""
-        first, word, pair, follows = _expressions(texts)
         doc = T.doc_of(first)
         each = self.ratio(word, pair, follows, None if label is None else label[doc])
         n = np.diff(first) + 5.0
@@ -182,7 +209,7 @@ class Model:
         self.curve = np.array([w[0], *(w[1:] / scale)])
 
     def score(self, texts: pa.Array) -> np.ndarray:
-        z = self.curve[0] + self.features(texts) @ self.curve[1:]
+        z = self.curve[0] + self.features(*_expressions(texts)) @ self.curve[1:]
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
@@ -197,22 +224,28 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
              .agg(F.max((F.col("toxic") != 0).cast("int")).alias("label")).where(~held_out(F.col("doc_id"))))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(
         F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    rows = texts.join(known, "doc_id").select("text", "label")
-    model = Model(*_counts(rows))
+    some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS).select("doc_id", F.lit(True).alias("fit"))
+    known = known.join(some, "doc_id", "left").select("doc_id", "label", F.coalesce("fit", F.lit(False)).alias("fit"))
+    # texts move once, to their labels; the hint keeps one plan at every size
+    gathered = _gather(texts.join(known.hint("merge"), "doc_id").select("text", "label", "fit"))
+    model = Model(*_counts(gathered))
     if not model.docs.all():
         return None
-    some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS)
     held = docs.sparkSession.sparkContext.broadcast(model)
+    names = [f"x{k}" for k in range(N_FEATURES)]
 
     def measure(batches):
-        for piece in T.slices(batches):
-            label = np.asarray(piece.column(1).to_numpy(zero_copy_only=False), dtype=np.int64)
-            x = held.value.features(piece.column(0), label)
-            yield pa.RecordBatch.from_arrays([*(pa.array(x[:, k]) for k in range(N_FEATURES)), piece.column(1)], names=[*names, "label"])
+        for b in batches:
+            label = -3 - b.column(0).to_numpy()
+            words = [np.frombuffer(x, "<i4") for x in b.column(1).to_pylist()]
+            pair = np.frombuffer(b"".join(b.column(2).to_pylist()), "<i4").astype(np.int64)
+            first = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)
+            word = np.concatenate(words).astype(np.int64)
+            x = held.value.features(first, word, np.maximum(pair, 0), pair >= 0, label)
+            yield pa.RecordBatch.from_arrays([*(pa.array(x[:, k]) for k in range(N_FEATURES)), pa.array(label, pa.int32())], names=[*names, "label"])
 
-    names = [f"x{k}" for k in range(N_FEATURES)]
     schema = ", ".join(f"{n} double" for n in names) + ", label int"
-    fitted = texts.join(some, "doc_id").select("text", "label").mapInArrow(measure, schema).toPandas()
+    fitted = gathered.where("part <= -3").mapInArrow(measure, schema).toPandas()
     held.unpersist()
     fitted = fitted.sort_values([*names, "label"])
     model.fit(fitted[names].to_numpy(), fitted["label"].to_numpy(dtype=np.float64))
