@@ -207,14 +207,24 @@ def norm_cdf(x) -> Column:
     Spark has no ``erf``; this polynomial keeps the Greeks JVM-side.
     """
     x = _c(x)
-    # fixed values: coefficients of the published approximation
-    p, b1, b2, b3, b4, b5 = 0.2316419, 0.319381530, -0.356563782, 1.781477937, -1.821255978, 1.330274429
-    ax = F.abs(x)
-    t = F.lit(1.0) / (F.lit(1.0) + F.lit(p) * ax)
-    poly = t * (F.lit(b1) + t * (F.lit(b2) + t * (F.lit(b3) + t * (F.lit(b4) + t * F.lit(b5)))))
-    pdf = F.exp(-ax * ax / 2.0) / F.lit(2.5066282746310002)
-    upper = F.lit(1.0) - pdf * poly
-    return F.when(x >= 0, upper).otherwise(F.lit(1.0) - upper)
+    tail = cdf_tail(cdf_t(x), norm_pdf(x))
+    return F.when(x >= 0, F.lit(1.0) - tail).otherwise(tail)
+
+
+# fixed values: coefficients of the published approximation
+_CDF_P = 0.2316419
+_CDF_B = (0.319381530, -0.356563782, 1.781477937, -1.821255978, 1.330274429)
+
+
+def cdf_t(x) -> Column:
+    """First step of ``norm_cdf``; keep it as a column of its own where the CDF is part of a larger expression."""
+    return F.lit(1.0) / (F.lit(1.0) + F.lit(_CDF_P) * F.abs(_c(x)))
+
+
+def cdf_tail(t, pdf) -> Column:
+    """N(-|x|) from ``cdf_t(x)`` and ``norm_pdf(x)``."""
+    t, (b1, b2, b3, b4, b5) = _c(t), (F.lit(b) for b in _CDF_B)
+    return _c(pdf) * (t * (b1 + t * (b2 + t * (b3 + t * (b4 + t * b5)))))
 
 
 def norm_pdf(x) -> Column:

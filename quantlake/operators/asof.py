@@ -13,13 +13,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quantlake.operators.quality import keep_one
 from quantlake.operators.quantiles import exact_median
 from quantlake.operators.scan import ordered_scan
 
 
 def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str,
               right_cols: Sequence[str] | None = None, strict: bool = False, direction: str = "backward",
-              tie_break: Sequence[str] = (), prefix: str = "", bucket="auto") -> DataFrame:
+              tie_break: Sequence[str] = (), prefix: str = "", bucket="auto",
+              missing_date: str | None = "1970-01-01") -> DataFrame:
     """Each left row + the right row of the same key nearest in time.
 
     ``backward``: newest right row with ``right_time <= left_time`` (``<``
@@ -28,8 +30,24 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: s
     by ``tie_break`` (the last one wins backward, the first forward).  Left
     rows without a match keep NULLs (a left as-of join).  ``bucket`` is a
     bucket function, a grain name, or ``"auto"`` to size it to the hottest key.
+
+    As in SQL, NULL keys match nothing, and a NULL time on either side
+    matches nothing; neither does a right date equal to ``missing_date`` (the zero
+    date that stands for "unknown"; None keeps it).  Such right rows are
+    dropped, such left rows skip the scan and keep NULLs, so they never form
+    a hot group.
     """
     on = list(on)
+    usable = F.lit(True)
+    for c in on:
+        usable = usable & F.col(c).isNotNull()
+    right = right.where(usable & F.col(right_time).isNotNull())
+    dated = right.schema[right_time].dataType.simpleString()
+    if missing_date and (dated == "date" or dated.startswith("timestamp")):
+        right = right.where(F.col(right_time).cast("date") != F.lit(missing_date).cast("date"))
+    matchable = usable & F.col(left_time).isNotNull()
+    aside = left.where(~matchable)
+    left = left.where(matchable)
     right_cols = list(right_cols or [c for c in right.columns if c not in on])
     lcols = [c for c in left.columns if c not in on]
     payload = F.struct(*[F.col(c).alias(c) for c in right_cols])
@@ -58,8 +76,10 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: s
     scanned = ordered_scan(u, on, ["_t", "_s", "_tb"], "_p", "last", "_m", inclusive=True,
                            descending=(direction == "forward"), bucket=bucket)
     out = scanned.where(F.col("_l").isNotNull())
-    return out.select(*on, *[F.col(f"_l.{c}").alias(c) for c in lcols],
-                      *[F.col(f"_m.{c}").alias(prefix + c) for c in right_cols])
+    found = out.select(*on, *[F.col(f"_l.{c}").alias(c) for c in lcols],
+                       *[F.col(f"_m.{c}").alias(prefix + c) for c in right_cols])
+    nothing = F.lit(None).cast(ptype)
+    return found.unionByName(aside.select(*on, *lcols, *[nothing[c].alias(prefix + c) for c in right_cols]))
 
 
 def apply_stops(est: DataFrame, stops: DataFrame, on: Sequence[str], active_from: str, stop_at: str,
@@ -76,16 +96,13 @@ def latest_restatement(df: DataFrame, key: Sequence[str], as_of: str, stamp_cols
                        time_col: str | None = None) -> DataFrame:
     """The newest row per key with its stamp at or before ``as_of``.
 
-    ``max_by`` over the stamp is an aggregate with a map-side partial step,
-    so a key with many restatements is reduced before the shuffle.
+    ``row_number() = 1`` keeps one row a key before the shuffle already
+    (a window group limit), so a key with many restatements is reduced on
+    the map side.  A timestamp on the last day counts as that day.
     """
     t = time_col or stamp_cols[0]
-    cols = df.columns
-    row = F.struct(*[F.col(c) for c in cols])
-    stamp = F.struct(*[F.col(c) for c in stamp_cols])
-    return (df.where(F.col(t) <= F.lit(as_of).cast("date"))
-              .groupBy(*key).agg(F.max_by(row, stamp).alias("_r"))
-              .select(*[F.col(f"_r.{c}").alias(c) for c in cols]))
+    known = df.where(F.col(t).cast("date") <= F.lit(as_of).cast("date"))
+    return keep_one(known, key, [F.col(c).desc_nulls_last() for c in stamp_cols])
 
 
 def valid_to_next(df: DataFrame, key: Sequence[str], start: str, tie_break: Sequence[str] = (),
@@ -145,7 +162,10 @@ def consensus(panel: DataFrame, by: Sequence[str], value: str = "value", digits:
                                    F.round(F.stddev_samp(value), digits).alias("std_est"),
                                    F.max(value).alias("high_est"), F.min(value).alias("low_est"))
     med = exact_median(panel, value, by, "_med")
-    return stats.join(med, by, "left").withColumn("median_est", F.round("_med", digits)).drop("_med")
+    # groups meet as one struct, so a NULL group keeps its median
+    group = F.struct(*[F.col(c).alias(f"g{i}") for i, c in enumerate(by)])
+    return (stats.withColumn("_g", group).join(med.select(group.alias("_g"), "_med"), "_g", "left")
+            .withColumn("median_est", F.round("_med", digits)).drop("_g", "_med"))
 
 
 def surprise(actuals: DataFrame, cons: DataFrame, on: Sequence[str], actual_col: str = "actual",

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quantlake.functions.scalars import norm_cdf, norm_pdf
+from quantlake.functions.scalars import cdf_t, cdf_tail, norm_pdf
 from quantlake.operators.joins import broadcast_if_small
 
 
@@ -38,17 +38,17 @@ def curve_segments(curve: DataFrame, date: str = "date", days: str = "days", rat
 
 def curve_rate(df: DataFrame, curve: DataFrame, date: str = "date", days: str = "dte",
                curve_date: str = "date", curve_days: str = "days", rate: str = "rate",
-               out: str = "rate", max_curve_rows: int | None = 5_000_000) -> DataFrame:
+               out: str = "rate", max_curve_bytes: int | None = 256 << 20) -> DataFrame:
     """Linearly interpolated zero rate at ``days`` on ``date``; flat at the ends.
 
     One equi join on the date with the segment as a range condition: every
     row falls into exactly one segment, so there is no fan-out and no
     grouping.  The segment table (about one row per curve point) is
-    broadcast after its row count is checked against ``max_curve_rows``, so
-    the (large) option side is never shuffled.
+    broadcast when the plan's size estimate is at most ``max_curve_bytes``, so
+    the (large) option side is then not shuffled.
     """
     seg = curve_segments(curve, curve_date, curve_days, rate)
-    seg = broadcast_if_small(seg, max_curve_rows)
+    seg = broadcast_if_small(seg, max_curve_bytes)
     t = F.col(days)
     inside = (seg["_lo_days"].isNull() | (t >= seg["_lo_days"])) & (seg["_hi_days"].isNull() | (t < seg["_hi_days"]))
     j = df.join(seg, (df[date] == seg["_d"]) & inside, "left")
@@ -74,10 +74,13 @@ def greeks(df: DataFrame, forward: str = "forward_price", strike: str = "strike"
     d1 = (F.log(Fw / K) + F.lit(0.5) * s * s * T) / srt
     out = df.withColumns({"_ok": ok, "_d1": d1, "_disc": F.exp(-r * T), "_sqt": F.sqrt(T)})
     out = out.withColumn("_d2", F.col("_d1") - F.col(vol) * F.col("_sqt"))
-    out = out.withColumns({"_n1": norm_cdf(F.col("_d1")), "_n1m": norm_cdf(-F.col("_d1")),
-                           "_n2": norm_cdf(F.col("_d2")), "_n2m": norm_cdf(-F.col("_d2")),
-                           "_p1": norm_pdf(F.col("_d1"))})
-    disc, n1, n1m, n2, n2m, p1 = (F.col(c) for c in ("_disc", "_n1", "_n1m", "_n2", "_n2m", "_p1"))
+    # two CDFs, each in steps whose parts are columns of their own; N(-x) = 1 - N(x)
+    out = out.withColumns({"_t1": cdf_t(F.col("_d1")), "_t2": cdf_t(F.col("_d2")), "_p1": norm_pdf(F.col("_d1")),
+                           "_p2": norm_pdf(F.col("_d2"))})
+    out = out.withColumns({"_u1": cdf_tail(F.col("_t1"), F.col("_p1")), "_u2": cdf_tail(F.col("_t2"), F.col("_p2"))})
+    out = out.withColumns({f"_n{i}": F.when(F.col(f"_d{i}") >= 0, F.lit(1.0) - F.col(f"_u{i}")).otherwise(F.col(f"_u{i}")) for i in (1, 2)})
+    disc, n1, n2, p1 = (F.col(c) for c in ("_disc", "_n1", "_n2", "_p1"))
+    n1m, n2m = F.lit(1.0) - n1, F.lit(1.0) - n2
     call = F.col(cp) == "C"
     delta = F.when(call, disc * n1).otherwise(disc * (n1 - F.lit(1.0)))
     gamma = disc * p1 / (Fw * (s * F.col("_sqt")))
@@ -88,7 +91,7 @@ def greeks(df: DataFrame, forward: str = "forward_price", strike: str = "strike"
     ok = F.col("_ok")
     out = out.withColumns({"bs_delta": F.when(ok, delta), "bs_gamma": F.when(ok, gamma),
                            "bs_vega": F.when(ok, vega), "bs_theta": F.when(ok, theta)})
-    return out.drop("_ok", "_d1", "_d2", "_disc", "_sqt", "_n1", "_n1m", "_n2", "_n2m", "_p1")
+    return out.drop("_ok", "_d1", "_d2", "_disc", "_sqt", "_n1", "_n2", "_p1", "_p2", "_t1", "_t2", "_u1", "_u2")
 
 
 def greeks_qc(df: DataFrame, stored: dict[str, str] | None = None, tol: float = 0.05) -> DataFrame:

@@ -34,15 +34,15 @@ def _inside(at: Column, s: Column, e: Column, closed: str) -> Column:
 
 def interval_join(fact: DataFrame, dim: DataFrame, on: Sequence[str] | dict, at: str, start: str, end: str,
                   closed: str = "both", how: str = "left", open_values: Sequence[str] = LINK_OPEN_VALUES,
-                  dim_cols: Sequence[str] | None = None, broadcast_rows: int | None = None) -> DataFrame:
+                  dim_cols: Sequence[str] | None = None, broadcast_bytes: int | None = None) -> DataFrame:
     """Fact rows joined to the dim row whose [start, end] holds ``at``.
 
     ``on`` maps fact key columns to dim key columns (a list means same names).
     Validity is in days: ``at`` and the interval bounds are compared as dates.
     ``how`` is ``left``/``inner`` (attach attributes) or ``left_semi`` /
     ``left_anti`` (membership filter).  Overlapping dim intervals fan out,
-    exactly as the SQL join would.  ``broadcast_rows`` broadcasts a stored
-    dim after a row-count check; by default AQE picks the strategy at run
+    exactly as the SQL join would.  ``broadcast_bytes`` broadcasts a stored
+    dim after a size check; by default AQE picks the strategy at run
     time from measured sizes (and splits a skewed fact key).
     """
     pairs = dict(on) if isinstance(on, dict) else {k: k for k in on}
@@ -50,7 +50,7 @@ def interval_join(fact: DataFrame, dim: DataFrame, on: Sequence[str] | dict, at:
     d = dim.select(*[F.col(v).alias(f"_k{i}") for i, v in enumerate(pairs.values())],
                    F.col(start).cast("date").alias("_s"), end_date(dim, end, open_values).alias("_e"),
                    *[F.col(c) for c in keep])
-    d = broadcast_if_small(d, broadcast_rows)
+    d = broadcast_if_small(d, broadcast_bytes)
     cond = [fact[k] == d[f"_k{i}"] for i, k in enumerate(pairs.keys())]
     cond.append(_inside(fact[at].cast("date"), d["_s"], d["_e"], closed))
     j = fact.join(d, cond, how)

@@ -5,18 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Columnar files are this much larger in memory, at most, in the size estimate below.
+FILE_EXPANSION = 4
 
-def broadcast_if_small(df: DataFrame, max_rows: int | None = 1_000_000) -> DataFrame:
-    """Mark ``df`` for broadcast only after proving it has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows, so use it on stored
-    tables (a Parquet count is answered from footers), not on frames derived
-    from big inputs.  With ``max_rows=None`` no hint is set and the choice is
-    left to AQE, which turns a shuffle join into a broadcast join at run time
-    only when the measured shuffle output is below
-    ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+def broadcast_if_small(df: DataFrame, max_bytes: int | None = 256 << 20) -> DataFrame:
+    """Mark ``df`` for broadcast only if its estimated size is at most ``max_bytes``.
+
+    The estimate is the optimizer's (file bytes of the columns read, an upper
+    bound through filters and projections, a product through joins) times
+    ``FILE_EXPANSION``; nothing is run.  With ``max_bytes=None``, or beyond
+    the limit, the choice is left to AQE, which measures the shuffle output.
     """
-    if max_rows is None:
+    if max_bytes is None:
         return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if size * FILE_EXPANSION <= max_bytes else df

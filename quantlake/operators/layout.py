@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quantlake.sources.sinks import write_clustered
@@ -59,6 +59,23 @@ def relayout(df: DataFrame, path: str, sort: Sequence[str], drop: Sequence[str]
     return write_clustered(out, path, sort, part, partitions)
 
 
+def rejoin_audit(df: DataFrame, key: Sequence[str], year_col: str) -> DataFrame:
+    """D17 ahead of a vertical split: rows per year before, and after a rejoin on ``key``; ``diff`` must be 0.
+
+    Nothing is joined row by row: a key with N rows, n of them in a year, gives n * N
+    rows of that year, so both figures are sums over counts per (key, year).
+    """
+    year = F.year(year_col).cast("int").alias("year")
+    per = df.groupBy(*key, year).agg(F.count(F.lit(1)).alias("n"))
+    whole = Window.partitionBy(*key)
+    known = F.lit(True)
+    for k in key:
+        known = known & F.col(k).isNotNull()
+    return (per.withColumn("_all", F.sum("n").over(whole))
+            .groupBy("year").agg(F.sum("n").alias("rows_before"), F.sum(F.when(known, F.col("n") * F.col("_all")).otherwise(0)).alias("rows_after"))
+            .withColumn("diff", F.col("rows_after") - F.col("rows_before")))
+
+
 def relayout_audit(before: DataFrame, after: DataFrame, year_col: str) -> DataFrame:
     """Rows per year before and after; ``diff`` must be 0.
 

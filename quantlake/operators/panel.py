@@ -53,15 +53,15 @@ def lagged(df: DataFrame, key: Sequence[str], time: str, col: str, tie_break: Se
     """
     order = [time, *tie_break]
     if factor is None:
-        out = ordered_scan(df, key, order, F.col(col), "last", f"prev_{col}", inclusive=False)
-        out = out.withColumn(f"ret_{col}", F.try_divide(F.col(col), F.col(f"prev_{col}")) - F.lit(1.0))
+        # the carried value is a struct, so a NULL of the row before stays a NULL (as lag gives it)
+        out = ordered_scan(df, key, order, F.struct(F.col(col).alias("v")), "last", "_prev", inclusive=False)
+        out = out.withColumn(f"prev_{col}", F.col("_prev.v")).drop("_prev").withColumn(f"ret_{col}", F.try_divide(F.col(col), F.col(f"prev_{col}")) - F.lit(1.0))
     else:
         px = F.try_divide(F.col(col), F.col(factor))
-        out = ordered_scans(df.withColumn("_px", px), key, order,
-                            [(F.col("_px"), "last", "_prev_px"), (F.col(col), "last", f"prev_{col}")],
-                            inclusive=False)
-        out = out.withColumn(f"ret_{col}", F.try_divide(F.col("_px"), F.col("_prev_px")) - F.lit(1.0)) \
-            .drop("_px", "_prev_px")
+        out = ordered_scan(df.withColumn("_px", px), key, order, F.struct(F.col("_px").alias("px"), F.col(col).alias("v")),
+                           "last", "_prev", inclusive=False)
+        out = out.withColumn(f"prev_{col}", F.col("_prev.v")) \
+            .withColumn(f"ret_{col}", F.try_divide(F.col("_px"), F.col("_prev.px")) - F.lit(1.0)).drop("_px", "_prev")
     if stored_ret:
         out = out.withColumn("ret_matches", F.abs(F.col(f"ret_{col}") - F.col(stored_ret)) <= F.lit(tol))
     return out
@@ -93,7 +93,8 @@ def index_returns(panel: DataFrame, date: str, ret: str, weight: str, digits: in
     scan, so a day's return is weighted by the cap known before that day.
     """
     if lag_by:
-        panel = ordered_scan(panel, list(lag_by), [date], F.col(weight), "last", "_w_lag", inclusive=False)
+        panel = ordered_scan(panel, list(lag_by), [date], F.struct(F.col(weight).alias("v")), "last", "_before", inclusive=False) \
+            .withColumn("_w_lag", F.col("_before.v"))
         weight = "_w_lag"
     w, r = F.col(weight), F.col(ret)
     return panel.groupBy(date).agg(
@@ -128,17 +129,17 @@ def segment_totals(seg: DataFrame, firm: DataFrame, key: Sequence[str], seg_valu
                     F.round((F.col("_seg") - F.col("_firm")).cast("double"), digits).alias("diff"))
 
 
-def enrich(fact: DataFrame, dim: DataFrame, on: Sequence[str], max_dim_rows: int = 2_000_000) -> DataFrame:
+def enrich(fact: DataFrame, dim: DataFrame, on: Sequence[str], max_dim_bytes: int = 256 << 20) -> DataFrame:
     """Fact ⨝ attribute table on same-named keys (left join).
 
-    The attribute table is broadcast only when its row count is proven
-    below ``max_dim_rows``; otherwise it is a shuffle join on the key.
+    The attribute table is broadcast only when its estimated size is
+    at most ``max_dim_bytes``; otherwise it is a shuffle join on the key.
     """
-    return fact.join(broadcast_if_small(dim, max_dim_rows), list(on), "left")
+    return fact.join(broadcast_if_small(dim, max_dim_bytes), list(on), "left")
 
 
 def chain(df: DataFrame, links: Sequence[tuple[DataFrame, str, str, Sequence[str]]],
-          max_dim_rows: int = 2_000_000) -> DataFrame:
+          max_dim_bytes: int = 256 << 20) -> DataFrame:
     """Follow identifiers through a chain of lookups; ``matched_step`` = last step reached.
 
     ``links`` = [(table, from_col, to_col, keep_cols)] applied in order; each
@@ -147,7 +148,7 @@ def chain(df: DataFrame, links: Sequence[tuple[DataFrame, str, str, Sequence[str
     """
     out = df.withColumn("matched_step", F.lit(0))
     for i, (tbl, frm, to, keep) in enumerate(links, start=1):
-        t = broadcast_if_small(tbl.select(F.col(to).alias(f"_to{i}"), *keep), max_dim_rows)
+        t = broadcast_if_small(tbl.select(F.col(to).alias(f"_to{i}"), *keep), max_dim_bytes)
         out = out.join(t, out[frm] == t[f"_to{i}"], "left")
         out = out.withColumn("matched_step", F.when(F.col(f"_to{i}").isNotNull() & (F.col("matched_step") == i - 1),
                                                     F.lit(i)).otherwise(F.col("matched_step"))).drop(f"_to{i}")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quantlake.operators.quality import keep_one
-from quantlake.session import scratch_path
+from quantlake.session import path_exists, scratch_path
 
 # fixed values: natural key of the estimate history (promote uses all ten, the QC
 # duplicate/overlap checks the first eight)
@@ -39,28 +39,54 @@ def _keys(main: DataFrame, key: Sequence[str], staging: DataFrame | None = None,
     keys = main.select(*key)
     if prune_on and staging is not None:
         lo, hi = staging.agg(F.min(prune_on), F.max(prune_on)).first()
-        if lo is None:
-            return keys.limit(0)
-        keys = keys.where(F.col(prune_on).between(F.lit(lo), F.lit(hi)))
+        inside = F.col(prune_on).isNull()
+        if lo is not None:
+            inside = inside | F.col(prune_on).between(F.lit(lo), F.lit(hi))
+        keys = keys.where(inside)
     return keys
 
 
+def _key(key: Sequence[str]):
+    """All key parts as one struct; it is never NULL itself, so joins on it are NULL-safe."""
+    return F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(key)]).alias("_key")
+
+
+def _match(left: DataFrame, keys: DataFrame, key: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join of ``left`` with ``keys`` in which NULL key parts equal each other.
+
+    Rows with whole keys join on the columns (so a bucketed main keeps its
+    layout); the few with a NULL part meet only main's rows with one, on the struct.
+    """
+    whole = F.lit(True)
+    for k in key:
+        whole = whole & F.col(k).isNotNull()
+    plain = left.where(whole).join(keys, list(key), how).select(*left.columns)
+    partial = left.where(~whole).withColumn("_key", _key(key)).join(keys.where(~whole).select(_key(key)), "_key", how)
+    return plain.unionByName(partial.select(*left.columns))
+
+
+def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The Parquet table at ``path``, or no rows where the folder doesn't exist; any other failure is raised."""
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
+
+
 def overlap_count(staging: DataFrame, main: DataFrame, key: Sequence[str], prune_on: str | None = None) -> DataFrame:
-    """Staging rows whose key already exists in main (``EXISTS``, no fan-out)."""
-    return (staging.select(*key).join(_keys(main, key, staging, prune_on), list(key), "left_semi")
+    """Staging rows whose key already exists in main (``EXISTS``, no fan-out; NULL parts equal each other)."""
+    return (_match(staging.select(*key), _keys(main, key, staging, prune_on), key, "left_semi")
                    .agg(F.count(F.lit(1)).alias("rows_already_in_main")))
 
 
 def new_rows(staging: DataFrame, main: DataFrame, key: Sequence[str], dedupe_within: bool = False,
              order: Sequence[str] | None = None, prune_on: str | None = None) -> DataFrame:
-    """Staging rows whose key is not in main (``LEFT ANTI JOIN``).
+    """Staging rows whose key is not in main (a NULL-safe ``LEFT ANTI JOIN``).
 
     ``dedupe_within=True`` also keeps one row per key inside the chunk (the
     reference does not; rows duplicated inside a chunk are appended twice).
-    NULL key parts never match, as with SQL equality.  ``prune_on`` names a
-    key column (a date) to limit the main side to the chunk's range.
+    NULL key parts equal each other, so a row with one is not appended again
+    when its chunk is promoted again.  ``prune_on`` names a key column (a
+    date) to limit the main side to the chunk's range.
     """
-    out = staging.join(_keys(main, key, staging, prune_on), list(key), "left_anti")
+    out = _match(staging, _keys(main, key, staging, prune_on), key, "left_anti")
     if dedupe_within:
         out = keep_one(out, list(key), list(order or out.columns))
     return out
@@ -114,12 +140,7 @@ def promote(spark: SparkSession, staging: DataFrame, main_path: str, key: Sequen
     can be re-run: the anti join skips whatever already reached main.
     Returns the audit (pre and post rows) as a small DataFrame.
     """
-    from pyspark.errors import AnalysisException
-
-    try:
-        main = spark.read.parquet(main_path)
-    except AnalysisException:  # first chunk: main does not exist yet
-        main = spark.createDataFrame([], staging.schema)
+    main = read_or_empty(spark, main_path, staging.schema)
     pre = pre_promote(main, staging).first()
     new = new_rows(staging, main, key, dedupe_within, prune_on=prune_on).select(*staging.columns)
     stage_path = scratch_path(spark, "promote")
@@ -191,11 +212,8 @@ def chunk_job(spark: SparkSession, spec, csv_path: str, staging_path: str, main_
     wide = Q.staging_qc(staging, list(date_cols), null_rules or {}, value_col or key[0], list(code_cols), key) \
         if value_col else Q.row_count_and_range(staging, list(date_cols), check=None)
     checks = Q.tidy(wide, "staging_qc")
-    try:
-        main = spark.read.parquet(main_path)
-        checks = checks.unionByName(Q.tidy(overlap_count(staging, main, key, prune_on), "overlap_with_main"))
-    except Exception:  # noqa: BLE001  (no main table yet)
-        pass
+    main = read_or_empty(spark, main_path, staging.schema)      # no rows before the first chunk: the overlap is 0
+    checks = checks.unionByName(Q.tidy(overlap_count(staging, main, key, prune_on), "overlap_with_main"))
     gate_df = Q.gate(checks, thresholds or {("staging_qc", "rows"): (">", 0)})
     # a few metric rows: keep them as data, so the result outlives the staging files
     gate_df = spark.createDataFrame(gate_df.collect(), gate_df.schema)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quantlake.functions import scalars as S
@@ -297,18 +297,13 @@ def duplicate_groups(df: DataFrame, key: Sequence[str]) -> DataFrame:
 def keep_one(df: DataFrame, key: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """One row per key: the row with the smallest ``order`` tuple.
 
-    ``min_by`` over a struct of the whole row is an aggregate with a
-    map-side partial step, so a hot key is reduced before the shuffle —
-    unlike ``row_number()`` over a window partitioned by the key, which
-    sends every row of that key to one task.  ``order`` should end in a
-    total tie-break for a deterministic result.  Inside the order struct a
-    NULL field sorts before any value.
+    ``row_number() = 1`` is planned with a group limit before the shuffle, so
+    each task sends one row a key and a hot key is reduced on the map side.
+    ``order`` should end in a total tie-break for a deterministic result; a
+    NULL sorts before any value unless the column expression says otherwise.
     """
-    cols = [c for c in df.columns]
-    order_struct = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])
-    row = F.struct(*[F.col(c) for c in cols])
-    return (df.groupBy(*key).agg(F.min_by(row, order_struct).alias("_r"))
-              .select(*[F.col(f"_r.{c}").alias(c) for c in cols]))
+    first = Window.partitionBy(*key).orderBy(*[F.col(o) if isinstance(o, str) else o for o in order])
+    return df.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn")
 
 
 def top_periods(df: DataFrame, period: Column, k: int, name: str = "period") -> DataFrame:
@@ -322,15 +317,15 @@ def histogram(df: DataFrame, col: str, bins: int = 50, by=None) -> DataFrame:
     """Equal-width histogram per group, NULLs dropped.
 
     Edges come from a min/max aggregate per group (one row per group, joined
-    back).  The top edge belongs to the last bin; a constant series puts all
+    back on the group as one struct, so a NULL group keeps its rows).  The top edge belongs to the last bin; a constant series puts all
     rows into bin 1.  Output: ``bin, lo, hi, n`` with empty bins omitted.
     """
     by = _by(by)
-    x = df.select(*by, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    rng = x.groupBy(*by).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi")) if by else \
-        x.agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-    # one row per group; AQE broadcasts it when small (a one-row frame when ungrouped)
-    j = x.join(rng, by, "inner") if by else x.crossJoin(rng)
+    group = F.struct(*[F.col(c).alias(f"g{i}") for i, c in enumerate(by)]) if by else F.struct(F.lit(0).alias("g0"))
+    x = df.select(*by, group.alias("_g"), F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    rng = x.groupBy("_g").agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    # one row per group; AQE broadcasts it when small
+    j = x.join(rng, "_g", "inner")
     width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
     b = F.when(F.col("_hi") == F.col("_lo"), F.lit(1)) \
         .otherwise(F.least(F.width_bucket(F.col("_x"), F.col("_lo"), F.col("_hi"), F.lit(bins)), F.lit(bins)))

@@ -29,13 +29,9 @@ from pyspark.sql import functions as F
 from quantlake.session import materialize
 
 
-def _join(a: DataFrame, b: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
-    return a.join(b, by, how) if by else a.crossJoin(b)
-
-
-def _largest_group(cand: DataFrame, by: list[str]) -> int:
+def _largest_group(cand: DataFrame) -> int:
     """Row count of the largest candidate group (one scalar)."""
-    counts = cand.groupBy(*by).agg(F.count(F.lit(1)).alias("_c")) if by else cand.agg(F.count(F.lit(1)).alias("_c"))
+    counts = cand.groupBy("_g").agg(F.count(F.lit(1)).alias("_c"))
     v = counts.agg(F.max("_c")).first()[0]
     return int(v or 0)
 
@@ -53,57 +49,58 @@ def exact_percentile(df: DataFrame, col: str, by: Sequence[str] | str | None = N
     """
     by = [by] if isinstance(by, str) else list(by or [])
     name = name or f"p{int(round(p * 100))}_{col}"
-    x = df.select(*by, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    # the group is one struct: it is never NULL, and a NULL group value equals itself in every join
+    names = by or ["_all"]
+    group = F.struct(*[F.col(c).alias(f"g{i}") for i, c in enumerate(by)]) if by else F.struct(F.lit(0).alias("g0"))
+    x = df.select(group.alias("_g"), F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
     if materialize_input:
         x = materialize(x, "percentile-input")
 
-    n = x.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")) if by else x.agg(F.count(F.lit(1)).alias("_n"))
+    n = x.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
     pos = (F.col("_n") - 1) * F.lit(float(p))
     # 0-based ranks, relative to the first candidate of the group
-    ranks = n.where(F.col("_n") > 0).select(*by, F.floor(pos).cast("long").alias("_r_lo"),
+    ranks = n.select("_g", F.floor(pos).cast("long").alias("_r_lo"),
                                             F.ceil(pos).cast("long").alias("_r_hi"),
                                             (pos - F.floor(pos)).alias("_frac"))
     cand = x
     probs = [i / cuts for i in range(1, cuts)]
-    biggest = _largest_group(cand, by)
+    biggest = _largest_group(cand)
     for _ in range(max_levels):
         if biggest <= max_group_rows:
             break
-        sketch = cand.groupBy(*by).agg(F.percentile_approx("_x", probs, accuracy).alias("_cuts")) if by \
-            else cand.agg(F.percentile_approx("_x", probs, accuracy).alias("_cuts"))
-        keyed = _join(cand, sketch, by).select(*by, "_x", F.size(F.filter("_cuts", lambda c: c < F.col("_x"))).alias("_b"))
-        per_bucket = keyed.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
-        w = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy("_b")
+        sketch = cand.groupBy("_g").agg(F.percentile_approx("_x", probs, accuracy).alias("_cuts"))
+        keyed = cand.join(sketch, "_g").select("_g", "_x", F.size(F.filter("_cuts", lambda c: c < F.col("_x"))).alias("_b"))
+        per_bucket = keyed.groupBy("_g", "_b").agg(F.count(F.lit(1)).alias("_cnt"))
+        w = Window.partitionBy("_g").orderBy("_b")
         per_bucket = per_bucket.withColumn("_before", F.sum("_cnt").over(w) - F.col("_cnt"))
         holds = lambda r: (F.col(r) >= F.col("_before")) & (F.col(r) < F.col("_before") + F.col("_cnt"))
-        hit = _join(per_bucket, ranks, by).where(holds("_r_lo") | holds("_r_hi"))
-        span = hit.groupBy(*by).agg(F.min("_b").alias("_b0"), F.max("_b").alias("_b1"), F.min("_before").alias("_off")) \
-            if by else hit.agg(F.min("_b").alias("_b0"), F.max("_b").alias("_b1"), F.min("_before").alias("_off"))
-        nxt = _join(keyed, span, by).where(F.col("_b").between(F.col("_b0"), F.col("_b1"))).select(*by, "_x")
+        hit = per_bucket.join(ranks, "_g").where(holds("_r_lo") | holds("_r_hi"))
+        span = hit.groupBy("_g").agg(F.min("_b").alias("_b0"), F.max("_b").alias("_b1"), F.min("_before").alias("_off"))
+        nxt = keyed.join(span, "_g").where(F.col("_b").between(F.col("_b0"), F.col("_b1"))).select("_g", "_x")
         nxt = materialize(nxt, "percentile-level") if materialize_input else nxt
-        ranks = _join(ranks, span.select(*by, "_off"), by).select(
-            *by, (F.col("_r_lo") - F.col("_off")).alias("_r_lo"), (F.col("_r_hi") - F.col("_off")).alias("_r_hi"), "_frac")
+        ranks = ranks.join(span.select("_g", "_off"), "_g").select(
+            "_g", (F.col("_r_lo") - F.col("_off")).alias("_r_lo"), (F.col("_r_hi") - F.col("_off")).alias("_r_hi"), "_frac")
         if materialize_input:
             ranks = materialize(ranks, "percentile-ranks")
-        shrunk = _largest_group(nxt, by)
+        shrunk = _largest_group(nxt)
         cand = nxt
         if shrunk * 2 > biggest:       # no real progress (e.g. one repeated value): finish exactly
             break
         biggest = shrunk
 
-    vals = cand.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_k"))
-    wv = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy("_x")
-    vals = _join(vals.withColumn("_end", F.sum("_k").over(wv)), ranks, by) \
+    vals = cand.groupBy("_g", "_x").agg(F.count(F.lit(1)).alias("_k"))
+    wv = Window.partitionBy("_g").orderBy("_x")
+    vals = vals.withColumn("_end", F.sum("_k").over(wv)).join(ranks, "_g") \
         .withColumn("_first", F.col("_end") - F.col("_k")).withColumn("_last", F.col("_end") - 1)
     hit_lo = (F.col("_r_lo") >= F.col("_first")) & (F.col("_r_lo") <= F.col("_last"))
     hit_hi = (F.col("_r_hi") >= F.col("_first")) & (F.col("_r_hi") <= F.col("_last"))
     agg = [F.max(F.when(hit_lo, F.col("_x"))).alias("_lo"), F.max(F.when(hit_hi, F.col("_x"))).alias("_hi"),
            F.first("_frac").alias("_frac")]
     picked = vals.where(hit_lo | hit_hi)
-    picked = picked.groupBy(*by).agg(*agg) if by else picked.agg(*agg)
+    picked = picked.groupBy("_g").agg(*agg)
     val = F.when(F.col("_frac") == 0, F.col("_lo")) \
         .otherwise(F.col("_lo") + F.col("_frac") * (F.col("_hi") - F.col("_lo")))
-    return picked.select(*by, val.alias(name))
+    return picked.select(*[F.col(f"_g.g{i}").alias(c) for i, c in enumerate(names) if by], val.alias(name))
 
 
 def exact_median(df: DataFrame, col: str, by: Sequence[str] | str | None = None,

@@ -24,15 +24,15 @@ OUTLIER_THRESHOLD = 0.50
 
 def align(a: DataFrame, b: DataFrame, mapping: DataFrame | None = None,
           a_code: str = "contract", b_code: str = "ric", on: str = "date",
-          max_mapping_rows: int | None = None) -> DataFrame:
+          max_mapping_bytes: int | None = None) -> DataFrame:
     """Join source A and B on (contract, date), A's codes mapped to B's.
 
-    ``mapping`` (contract → ric) is a code list.  Pass ``max_mapping_rows``
+    ``mapping`` (contract → ric) is a code list.  Pass ``max_mapping_bytes``
     for a stored mapping table to broadcast it after a size check; by default
     AQE decides at run time.  Without a mapping both sides share ``a_code``.
     """
     if mapping is not None:
-        a = a.join(broadcast_if_small(mapping, max_mapping_rows), a_code, "inner")
+        a = a.join(broadcast_if_small(mapping, max_mapping_bytes), a_code, "inner")
         return a.join(b, [b_code, on], "inner")
     return a.join(b, [a_code, on], "inner")
 

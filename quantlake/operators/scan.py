@@ -42,26 +42,28 @@ def time_bucket(grain: str = "month"):
 
 month_bucket = time_bucket("month")
 
-# fixed values: candidate grains from coarse to fine, with their length in seconds
-_GRAINS = (("month", 31 * 86400), ("day", 86400), ("hour", 3600), ("minute", 60))
+# fixed values: candidate grains from coarse to fine
+_GRAINS = ("month", "day", "hour", "minute")
 
 
 def auto_grain(df: DataFrame, key: Sequence[str], time: str, target_rows: int = 2_000_000) -> str:
     """The coarsest grain whose buckets hold at most ``target_rows`` rows of the hottest key.
 
-    One two-stage aggregate (rows and time span per key, then the densest
-    key) returns a single row; density is assumed even inside a key's span.
+    Rows are counted per key and finest slot, the counts are summed up to
+    each grain, and the fullest bucket of each grain comes back as one row;
+    so a burst inside a long span counts as the burst it is.
     """
-    t = F.col(time)
-    secs = F.unix_timestamp(t.cast("timestamp")) if df.schema[time].dataType.simpleString() != "date" \
-        else F.unix_date(t).cast("long") * 86400
-    per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), (F.max(secs) - F.min(secs)).alias("_span"))
-    row = per_key.select(F.max(F.col("_n") / F.greatest(F.col("_span"), F.lit(60))).alias("_dens")).first()
-    density = float(row["_dens"] or 0.0)             # rows per second of the densest key
-    for grain, length in _GRAINS:
-        if density * length <= target_rows:
-            return grain
-    return _GRAINS[-1][0]
+    finest = "day" if df.schema[time].dataType.simpleString() == "date" else "minute"
+    slots = df.groupBy(F.struct(*key).alias("_k"), F.date_trunc(finest, F.col(time).cast("timestamp_ntz")).alias("_t")) \
+        .agg(F.count(F.lit(1)).alias("_n"))
+    grains = [g for g in _GRAINS if finest == "minute" or g in ("month", "day")]
+    fullest = None
+    for grain in grains:
+        top = slots.groupBy("_k", F.date_trunc(grain, "_t").alias("_b")).agg(F.sum("_n").alias("_n")) \
+            .agg(F.max("_n").alias("_n")).select(F.lit(grain).alias("grain"), "_n")
+        fullest = top if fullest is None else fullest.unionByName(top)
+    rows = {r["grain"]: r["_n"] or 0 for r in fullest.collect()}      # one row for each grain
+    return next((g for g in grains if rows[g] <= target_rows), grains[-1])
 
 
 def _within_agg(op: str, v: Column, w) -> Column:
@@ -124,10 +126,12 @@ def ordered_scans(df: DataFrame, key: Sequence[str], order: Sequence[str],
         bucket = time_bucket(bucket)(order[0])
     b = bucket if bucket is not None else month_bucket(order[0])
     vals = {f"_v{i}": (F.col(v) if isinstance(v, str) else v) for i, (v, _, _) in enumerate(aggs)}
-    d = df.withColumn("_bk", b).withColumns(vals)
+    # key and bucket in one struct: it is never NULL, and NULL parts are equal to each other in
+    # groups, windows and the join alike
+    d = df.withColumn("_kb", F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(key)], b.alias("bk"))).withColumns(vals)
     sort = [F.col(o).desc_nulls_last() if descending else F.col(o).asc_nulls_first() for o in order]
     frame_end = Window.currentRow if inclusive else -1
-    w_in = Window.partitionBy(*key, "_bk").orderBy(*sort).rowsBetween(Window.unboundedPreceding, frame_end)
+    w_in = Window.partitionBy("_kb").orderBy(*sort).rowsBetween(Window.unboundedPreceding, frame_end)
     d = d.withColumns({f"_w{i}": _within_agg(op, F.col(f"_v{i}"), w_in) for i, (_, op, _) in enumerate(aggs)})
 
     # one summary row per (key, bucket): what the whole bucket passes on
@@ -141,17 +145,17 @@ def ordered_scans(df: DataFrame, key: Sequence[str], order: Sequence[str],
             totals.append((F.max_by if pick_last else F.min_by)(v, ordv).alias(f"_t{i}"))
         else:
             totals.append({"sum": F.sum, "max": F.max, "min": F.min, "count": F.count}[op](v).alias(f"_t{i}"))
-    summary = d.groupBy(*key, "_bk").agg(*totals)
-    bsort = F.col("_bk").desc() if descending else F.col("_bk").asc()
-    w_c = Window.partitionBy(*key).orderBy(bsort).rowsBetween(Window.unboundedPreceding, -1)
-    summary = summary.select(*key, "_bk", *[
+    summary = d.groupBy("_kb").agg(*totals)
+    bsort = F.col("_kb.bk").desc_nulls_last() if descending else F.col("_kb.bk").asc_nulls_first()
+    w_c = Window.partitionBy(*[F.col(f"_kb.k{i}") for i in range(len(key))]).orderBy(bsort).rowsBetween(Window.unboundedPreceding, -1)
+    summary = summary.select("_kb", *[
         _within_agg("sum" if op == "count" else op, F.col(f"_t{i}"), w_c).alias(f"_c{i}")
         for i, (_, op, _) in enumerate(aggs)])
 
-    res = d.join(summary, key + ["_bk"], "left")
+    res = d.join(summary, "_kb", "left")
     res = res.withColumns({out: _combine(op, F.col(f"_w{i}"), F.col(f"_c{i}"))
                            for i, (_, op, out) in enumerate(aggs)})
-    tmp = ["_bk"] + [f"_{p}{i}" for i in range(len(aggs)) for p in ("v", "w", "c")]
+    tmp = ["_kb"] + [f"_{p}{i}" for i in range(len(aggs)) for p in ("v", "w", "c")]
     return res.drop(*tmp)
 
 

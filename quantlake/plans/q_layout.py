@@ -51,9 +51,7 @@ SELECT coalesce(b.year, a.year) AS year, coalesce(rows_before, 0) AS rows_before
        coalesce(rows_after, 0) AS rows_after, coalesce(rows_after, 0) - coalesce(rows_before, 0) AS diff
 FROM b FULL OUTER JOIN a ON a.year = b.year""")
 def relayout_audit(spark, sf):
-    li = table(spark, sf, "lineitem")
-    parts = L.vertical_split(li, KEY, GROUPS)
-    return L.relayout_audit(li, L.vertical_join(parts, KEY), "l_shipdate")
+    return L.rejoin_audit(table(spark, sf, "lineitem"), KEY, "l_shipdate")
 
 
 @query("relayout_write", ops="T3 S20 P15 S14", sql="""

@@ -66,8 +66,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset.
 
     A cluster names its shared folder in ``spark.checkpoint.dir``; we never
-    replace it.  Without one (local tests) a fresh folder under the system
-    temp directory is used.
+    replace it.  Without one a ``local`` session (tests) gets a fresh folder
+    under the system temp directory; on any other master this raises, as
+    executors would not see such a folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -75,11 +76,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="quantlake-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in its own file system (failures of the store are raised, not read as absence)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark)

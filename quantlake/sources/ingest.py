@@ -35,6 +35,10 @@ class BudgetExceeded(RuntimeError):
     pass
 
 
+class HeaderMismatch(RuntimeError):
+    pass
+
+
 @dataclass(frozen=True)
 class LoadOptions:
     sep: str | None = None          # None → sniff from the header line
@@ -42,6 +46,9 @@ class LoadOptions:
     encoding: str = "UTF-8"
     quote: str = '"'
     escape: str = '"'
+    multi_line: bool = False        # quoted line breaks; such files cannot be split, so only where a vendor writes them
+    allow_missing: tuple[str, ...] = ()      # spec columns that a file may lack
+    allow_extra: bool | tuple[str, ...] = False  # file columns that may be dropped (True: any)
 
 
 def header_line(spark: SparkSession, path: str) -> str:
@@ -90,12 +97,18 @@ def read_raw(spark: SparkSession, path: str, opts: LoadOptions = LoadOptions())
     df = (spark.read.schema(schema)
           .option("header", str(opts.header).lower()).option("sep", sep)
           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-          .option("enforceSchema", "true").option("encoding", opts.encoding)
+          # every file's own header is compared with the first one's; another order or name fails the read
+          .option("enforceSchema", str(not opts.header).lower()).option("multiLine", str(opts.multi_line).lower())
+          .option("encoding", opts.encoding)
           .option("quote", opts.quote).option("escape", opts.escape)
           .csv(path))
     return df, cols, sep
 
 
+# fixed values: texts that stand for a missing number
+_NOT_A_NUMBER = r"(?i)^[+-]?(nan|inf|infinity)$"
+
+
 def _parse(raw: Column, type_: str, patterns: Sequence[str] | None) -> Column:
     if type_ == "string":
         return raw
@@ -106,7 +119,7 @@ def _parse(raw: Column, type_: str, patterns: Sequence[str] | None) -> Column:
             v = F.when(v.between(lo, hi), v)
         return v.cast({"int": "int", "short": "short", "long": "long"}[type_])
     if type_ == "double":
-        return S.to_double_or_null(raw)
+        return F.when(~raw.rlike(_NOT_A_NUMBER), S.to_double_or_null(raw))
     if type_ == "date":
         return S.parse_date(raw, patterns or S.DATE_PATTERNS)
     if type_ == "boolean":
@@ -125,7 +138,9 @@ def typed(raw_df: DataFrame, spec: TableSpec, file_cols: Sequence[str]) -> DataF
     values, bad = [], []
     for c in spec.columns:
         raw = F.col(f"`{c.name}`") if c.name in present else F.lit(None).cast("string")
-        blank = raw.isNull() | (F.length(F.trim(raw)) == 0)
+        blank = raw.isNull() | (F.length(F.trim(raw)) == 0) | (F.trim(raw) == "\\N")
+        if c.type == "double":
+            blank = blank | F.trim(raw).rlike(_NOT_A_NUMBER)
         parsed = _parse(F.trim(raw) if c.type != "string" else raw, c.type, spec.date_patterns)
         if c.nullable:
             default = F.lit(None).cast(c.spark_type)
@@ -139,10 +154,20 @@ def typed(raw_df: DataFrame, spec: TableSpec, file_cols: Sequence[str]) -> DataF
     for name, cond in bad:
         reason = reason.when(cond, F.lit(name))
     return raw_df.select(*values, reason.alias("_bad"),
-                         *[F.col(f"`{c}`").alias(f"_raw_{i}") for i, c in enumerate(file_cols)],
+                         F.when(reason.isNotNull(), F.to_json(F.struct(*[F.col(f"`{c}`") for c in file_cols]))).alias("_raw"),
                          F.col(CORRUPT))
 
 
+def check_header(spec: TableSpec, file_cols: Sequence[str], allow_missing: Sequence[str] = (),
+                 allow_extra: bool | Sequence[str] = False) -> None:
+    """Raise ``HeaderMismatch`` on spec columns the file lacks (also by case) and on unnamed extra columns."""
+    missing = [c for c in spec.names if c not in file_cols and c not in allow_missing]
+    extra = [c for c in file_cols if c not in spec.names]
+    unnamed = [] if allow_extra is True else [c for c in extra if c not in (allow_extra or ())]
+    if missing or unnamed:
+        raise HeaderMismatch(f"{spec.name}: missing {missing}, not in the spec {unnamed}")
+
+
 def ingest(spark: SparkSession, spec: TableSpec, path: str,
            opts: LoadOptions = LoadOptions()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """T1 (lazy): ``(good, rejects, report)`` for a CSV extract.
@@ -158,9 +183,8 @@ def ingest(spark: SparkSession, spec: TableSpec, path: str,
 
 def _split(t: DataFrame, spec: TableSpec, cols: Sequence[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
     good = t.where(F.col("_bad").isNull()).select(*spec.names)
-    raw_cells = F.to_json(F.struct(*[F.col(f"_raw_{i}").alias(c) for i, c in enumerate(cols)]))
     rejects = t.where(F.col("_bad").isNotNull()).select(
-        F.col("_bad").alias("reason"), F.coalesce(F.col(CORRUPT), raw_cells).alias("raw"))
+        F.col("_bad").alias("reason"), F.coalesce(F.col(CORRUPT), F.col("_raw")).alias("raw"))
     report = budget_report(t, spec)
     return good, rejects, report
 
@@ -182,6 +206,8 @@ def load(spark: SparkSession, spec: TableSpec, path: str, table_path: str, stage
          opts: LoadOptions = LoadOptions(), mode: str = "append") -> DataFrame:
     """Parse once to a staged table, check the budget, then write.
 
+    0. the header must have the spec's columns, in any order, and no others
+       (``HeaderMismatch``; see ``LoadOptions.allow_missing`` and ``allow_extra``);
     1. the typed rows (with their reject reason) are written to ``stage_path``
        in the shared folder — the only pass over the CSV;
     2. the budget report is an aggregate over the staged ``_bad`` column;
@@ -191,6 +217,7 @@ def load(spark: SparkSession, spec: TableSpec, path: str, table_path: str, stage
     Returns the report row (rows written = ``rows_good``).
     """
     raw, cols, _ = read_raw(spark, path, opts)
+    check_header(spec, cols, opts.allow_missing, opts.allow_extra)
     typed(raw, spec, cols).write.mode("overwrite").parquet(stage_path)
     staged = spark.read.parquet(stage_path)
     good, rejects, report = _split(staged, spec, cols)
@@ -203,12 +230,12 @@ def load(spark: SparkSession, spec: TableSpec, path: str, table_path: str, stage
 
 
 def load_chunks(spark: SparkSession, spec: TableSpec, folder: str, table_path: str,
-                pattern: str = "*.csv", opts: LoadOptions = LoadOptions(), on_error: str = "skip") -> DataFrame:
+                pattern: str = "*.csv", opts: LoadOptions = LoadOptions(), on_error: str = "raise") -> DataFrame:
     """Load every extract in ``folder`` as its own chunk, largest first.
 
     Each file is one :func:`load` (one parse, its own budget verdict); a file
-    over budget is skipped with ``status = 'over_budget'`` (or raises with
-    ``on_error='raise'``).  The loop runs over files — the list is file
+    over budget raises, or with ``on_error='skip'`` is left out with
+    ``status = 'over_budget'``.  The loop runs over files — the list is file
     metadata — never over rows.  Returns one report row per file.
     """
     from quantlake.session import scratch_path

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from quantlake.session import path_exists
 from pyspark.sql.types import StructType
 
 from quantlake.functions.scalars import date_range
@@ -73,11 +75,12 @@ def write_clustered(df: DataFrame, path: str, sort: Sequence[str], partition_by:
     return path
 
 
-def export_name(table: str, start: str, end: str, greeks_only: bool = False) -> str:
-    """date-stamped dump name ``<table>[_greeks]_<YYYYMMDD>_<YYYYMMDD>``."""
+def export_name(table: str, start: str, end: str, greeks_only: bool = False, label: str | None = None) -> str:
+    """date-stamped dump name ``<table>[_<label>]_<YYYYMMDD>_<YYYYMMDD>`` (label ``greeks`` by default for a subset)."""
     s = dt.date.fromisoformat(start).strftime("%Y%m%d")
     e = dt.date.fromisoformat(end).strftime("%Y%m%d")
-    return f"{table}{'_greeks' if greeks_only else ''}_{s}_{e}"
+    label = label or ("greeks" if greeks_only else "")
+    return f"{table}{'_' + label if label else ''}_{s}_{e}"
 
 
 def range_frame(df: DataFrame, date_col: str, start: str, end: str,
@@ -89,9 +92,12 @@ def range_frame(df: DataFrame, date_col: str, start: str, end: str,
 
 def export_range(df: DataFrame, date_col: str, start: str, end: str, out_dir: str, table: str,
                  columns: Sequence[str] | None = None, dry_run: bool = False,
-                 sort: Sequence[str] | None = None) -> DataFrame:
+                 sort: Sequence[str] | None = None, label: str | None = None) -> DataFrame:
     """Dump a date range to zstd Parquet with 1M-row groups.
 
+    ``label`` names a column subset; a dump that is there already with other
+    columns is not overwritten (``ValueError``).
+
     ``dry_run`` returns the row count only (no write).  Otherwise the rows are
     written under ``out_dir/<date-stamped name>`` and the written table is
     returned (read back), so callers can check what landed.
@@ -99,7 +105,9 @@ def export_range(df: DataFrame, date_col: str, start: str, end: str, out_dir: st
     rng = range_frame(df, date_col, start, end, columns)
     if dry_run:
         return rng.agg(F.count(F.lit(1)).alias("rows"))
-    path = os.path.join(out_dir, export_name(table, start, end, bool(columns)))
+    path = os.path.join(out_dir, export_name(table, start, end, bool(columns), label))
+    if path_exists(df.sparkSession, path) and (there := df.sparkSession.read.parquet(path).columns) != rng.columns:
+        raise ValueError(f"{path} holds the columns {there}; give this subset a label of its own")
     if sort:
         rng = rng.repartitionByRange(*sort).sortWithinPartitions(*sort)
     (rng.write.mode("overwrite").option("compression", EXPORT_CODEC)

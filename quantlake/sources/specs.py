@@ -68,9 +68,9 @@ def spec(name: str, cols: str, **kw) -> TableSpec:
 # must stay as written; types are the Spark types after ingest.
 ESTIMATE_HISTORY = spec(
     "estimates.history",
-    "TICKER:string! CUSIP OFTIC CNAME ACTDATS:date! ESTIMATOR:string! ANALYS:string! CURRFL PDF "
-    "FPI:string! MEASURE:string! VALUE:double CURR FPEDATS:date! ACTTIMS:string! REVDATS:date REVTIMS "
-    "ANNDATS:date! ANNTIMS:string! USFIRM:short report_curr",
+    "TICKER:string! CUSIP:string! OFTIC:string! CNAME:string! ACTDATS:date! ESTIMATOR:string! ANALYS:string! CURRFL:string! "
+    "PDF:string! FPI:string! MEASURE:string! VALUE:double CURR:string! FPEDATS:date! ACTTIMS:string! REVDATS:date! "
+    "REVTIMS:string! ANNDATS:date! ANNTIMS:string! USFIRM:short! report_curr:string!",
     sort_key=("TICKER", "MEASURE", "FPI", "FPEDATS", "ACTDATS", "ESTIMATOR"),
     natural_key=("TICKER", "MEASURE", "FPI", "FPEDATS", "ESTIMATOR", "ANALYS", "ACTDATS", "ACTTIMS",
                  "ANNDATS", "ANNTIMS"),
@@ -80,40 +80,40 @@ ESTIMATE_HISTORY = spec(
 LINK = spec(
     "equity.firm_security_link",
     "gvkey:string! LINKPRIM LIID LINKTYPE LPERMNO:int! LINKDT:date LINKENDDT:string",
-    sort_key=("gvkey", "LPERMNO"), budget_rows=100, budget_ratio=0.001,
+    sort_key=("gvkey", "LPERMNO"), budget_rows=100,
     comment="LINKENDDT 'E' or empty = still active")
 
 SECURITY_NAMES = spec(
     "equity.security_names",
     "PERMNO:long! SecInfoStartDt:date! SecInfoEndDt:date Ticker IssuerNm",
-    sort_key=("PERMNO", "SecInfoStartDt"), budget_rows=100, budget_ratio=0.001)
+    sort_key=("PERMNO", "SecInfoStartDt"), budget_rows=100)
 
 CONSTITUENTS = spec(
     "equity.index_constituents",
     "INDNO:long PERMNO:long! MbrStartDt:date MbrEndDt:date DlyCalDt:date! DlyCap:double DlyRet:double",
-    sort_key=("PERMNO", "DlyCalDt"), budget_rows=100, budget_ratio=0.001)
+    sort_key=("PERMNO", "DlyCalDt"), budget_rows=100)
 
 DAILY_STOCK_OLD = spec(
     "equity.daily_stock_old",
     "PERMNO:long! date:date! SICCD PRC:double VOL:long RET RETX DLRET DLRETX CFACPR:double",
-    sort_key=("PERMNO", "date"), budget_rows=100, budget_ratio=0.001,
+    sort_key=("PERMNO", "date"), budget_rows=100,
     comment="RET/RETX carry B/C codes, DLRET/DLRETX A/S, SICCD Z")
 
 DAILY_STOCK_NEW = spec(
     "equity.daily_stock_new",
     "PERMNO:long! DlyCalDt:date! YYYYMMDD:long DlyPrc:double DlyRet:double DlyRetx:double DlyVol:long "
     "ShrOut:long DlyCap:double DisPERMCO:int",
-    sort_key=("PERMNO", "DlyCalDt"), budget_rows=100, budget_ratio=0.001)
+    sort_key=("PERMNO", "DlyCalDt"), budget_rows=100)
 
 FORWARD_PRICE = spec(
     "options.forward_price",
     "secid:long! date:date! expiration:date! AMSettlement:short ForwardPrice:double",
-    sort_key=("secid", "date", "expiration"), budget_rows=100, budget_ratio=0.001)
+    sort_key=("secid", "date", "expiration"), budget_rows=100)
 
 ZERO_CURVE = spec(
     "options.zero_curve",
     "date:date! days:int! rate:double!",
-    sort_key=("date", "days"), budget_rows=100, budget_ratio=0.001)
+    sort_key=("date", "days"), budget_rows=100)
 
 ADJUSTMENTS = spec(
     "estimates.adjustments",
@@ -124,7 +124,7 @@ SECURITY_PRICES = spec(
     "options.security_prices",
     "secid:long! date:date! open:double high:double low:double close:double volume:long return:double "
     "cfadj:double",
-    sort_key=("secid", "date"), budget_rows=100, budget_ratio=0.001,
+    sort_key=("secid", "date"), budget_rows=100,
     comment="`return` is a reserved word: quote it")
 
 RESTATED_ACTUALS = spec(
@@ -182,12 +182,12 @@ SEGMENTS = spec(
 MARKET_RETURNS = spec(
     "equity.market_returns",
     "DlyCalDt:date! vwretd:double ewretd:double",
-    sort_key=("DlyCalDt",), budget_rows=100, budget_ratio=0.001)
+    sort_key=("DlyCalDt",), budget_rows=100)
 
 DISTRIBUTIONS = spec(
     "equity.distributions",
     "PERMNO:long! DisExDt:date! DisDivAmt:double",
-    sort_key=("PERMNO", "DisExDt"), budget_rows=100, budget_ratio=0.001)
+    sort_key=("PERMNO", "DisExDt"), budget_rows=100)
 
 CATALOG = {s.name: s for s in (ESTIMATE_HISTORY, LINK, SECURITY_NAMES, CONSTITUENTS, DAILY_STOCK_OLD,
                                DAILY_STOCK_NEW, FORWARD_PRICE, ZERO_CURVE, ADJUSTMENTS, SECURITY_PRICES,

@@ -33,11 +33,7 @@ def file_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    from pyspark.errors import AnalysisException
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+    return P.read_or_empty(spark, path, schema)
 
 
 def stream_promote(stream: DataFrame, main_path: str, key: Sequence[str], checkpoint: str,
@@ -57,7 +53,8 @@ def stream_promote(stream: DataFrame, main_path: str, key: Sequence[str], checkp
     def run(batch: DataFrame, batch_id: int) -> None:
         if qc_path:
             qc = Q.row_count_and_range(batch, list(date_cols), check=None)
-            qc.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(qc_path)
+            # a folder for each batch id: a replayed batch replaces its own row
+            qc.write.mode("overwrite").parquet(f"{qc_path.rstrip('/')}/batch_id={batch_id}")
         main = _read_or_empty(spark, main_path, schema)
         new = P.new_rows(batch, main, key, dedupe_within, order, prune_on=prune_on)
         new.select(*schema.names).write.mode("append").parquet(main_path)

@@ -78,7 +78,8 @@ def test_promote_to_bucketed_table_no_main_exchange(spark, tmp):
         with contextlib.redirect_stdout(buf):
             P.new_rows(chunk, spark.table("t_bucketed_main"), ["id", "k"]).explain()
         plan = buf.getvalue()
-        assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1   # staging side only
+        assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 3   # staging, and both sides of the rows with a NULL part
+        assert "EqualTo" not in plan and plan.count("SortMergeJoin") == 2
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     spark.sql("DROP TABLE t_bucketed_main")
