@@ -13,9 +13,10 @@ overlaps of its group of pairs, and the parts are summed for each pair.
 A group of near copies is never expanded into all its pairs: the first round
 verifies, for each shared n-gram, the pairs of its smallest document with the
 others, and components follow; the second verifies every candidate pair
-whose documents are in different components still (pairs whose parity
-sketches differ in more bits than their sets may are proven to be no links).  So no
-link that would join two components is left out.
+whose documents are in different components still.  Before either, pairs
+whose parity sketches differ in more bits than linked sets can are proven to be no links, so whole
+sets travel only for pairs that nearly always are.  No link that would join
+two components is left out.
 
 Defined results: null or wordless texts have an empty set and are linked
 with nothing; rows that repeat a doc_id count as one document, by the text
@@ -38,7 +39,7 @@ from .components import components
 from .substring_dedup import _in_groups
 
 #: Frequency buckets (as a power of two) that give the order, fragments that it is cut into, bits of a parity sketch.
-ORDER_BITS, FRAGMENTS, SKETCH_BITS = 18, 8, 256
+ORDER_BITS, FRAGMENTS, SKETCH_BITS = 18, 8, 1024
 #: Pairs of one hub that are verified in one group at most.
 HUB_PAIRS = 4096
 #: Lists up to this length drop entries without any possible partner before they are kept.
@@ -46,7 +47,6 @@ SHORT_LIST = 512
 
 _ENTRY = {"h": "<u8", "node": "<i8", "n": "<i4", "pos": "<i4"}
 _FULL = {**_ENTRY, "comp": "<i8", "s0": "<u8", "s1": "<u8", "s2": "<u8", "s3": "<u8"}
-_NEED = {"node": "<i8", "s": "<u8"}
 _TOKEN = {"node": "<i8", "h": "<u8"}
 _PAIR = {"a": "<i8", "b": "<i8", "na": "<i4", "nb": "<i4"}
 _COUNT = {**_PAIR, "c": "<i4"}
@@ -67,6 +67,43 @@ def _grams(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     return text, np.concatenate([grams, short])
 
 
+def _sketches(first: np.ndarray, h: np.ndarray) -> list[bytes]:
+    """Parity sketch of every set: a bit is the parity of the n-grams hashed to it, so two sketches differ in no more bits than their sets."""
+    bit = (T.mix(h) >> T.U(54)).astype(np.int64)
+    out = []
+    for lo in range(0, len(first) - 1, 1024):
+        hi = min(lo + 1024, len(first) - 1)
+        a, b = first[lo], first[hi]
+        row = np.repeat(np.arange(hi - lo), np.diff(first[lo:hi + 1]))
+        odd = np.bincount(row * SKETCH_BITS + bit[a:b], minlength=(hi - lo) * SKETCH_BITS).reshape(-1, SKETCH_BITS) & 1
+        out += [x.tobytes() for x in np.packbits(odd.astype(np.uint8), axis=1)]
+    return out
+
+
+def _words(sketches: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(sketches), "<u8").reshape(-1, SKETCH_BITS // 64)
+
+
+def _near(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Whether sketches differ in no more bits than two linked sets can differ in n-grams."""
+    apart = np.bitwise_count(a ^ b).sum(axis=1).astype(np.int64)
+    return apart * (num + den) <= (den - num) * (na.astype(np.int64) + nb)
+
+
+def _close(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs that their sketches don't disprove, written to the shared folder; sketches: (node, sketch)."""
+    def look(batches):
+        for t in batches:
+            a, b, na, nb = (t.column(k).to_numpy() for k in range(4))
+            if len(a):
+                k = np.flatnonzero(_near(_words(t.column(4).to_pylist()), _words(t.column(5).to_pylist()), na, nb, num, den))
+                yield pa.RecordBatch.from_arrays([pa.array(v[k]) for v in (a, b, na, nb)], names=list(_PAIR))
+
+    both = (pairs.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sa")).hint("merge"), "a")
+            .join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sb")).hint("merge"), "b"))
+    return materialize(both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(look, "a long, b long, na int, nb int"), "close-pairs")
+
+
 def _sets(texts: pa.Array, k: int, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(bounds, hash): the distinct n-grams of text i are hash[bounds[i]:bounds[i + 1]], in the global order."""
     text, h = _grams(texts, k)
@@ -135,8 +172,6 @@ def _groups(h: np.ndarray) -> list[tuple[int, int]]:
 
 def _verify(pairs: DataFrame, sets: DataFrame, rank: np.ndarray, pivots: np.ndarray, num: int, den: int) -> DataFrame:
     """a, b of the pairs (a, b, na, nb) whose sets (node, tokens) have a Jaccard similarity of num / den or more."""
-    spark = pairs.sparkSession
-    pairs = materialize(pairs, "pairs")
     total = pairs.count()
     groups, sums = max(16, -(-total // HUB_PAIRS)), max(16, -(-total // 50_000))
     fragments = len(pivots) + 1
@@ -237,15 +272,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
             sums = [pa.array((t[first[1:]] - t[first[:-1]]).view(np.int64)) for t in total]
             raw = h.astype("<u8").tobytes()
             packed = [raw[8 * a:8 * (a + m)] for a, m in zip(first[:-1].tolist(), take.tolist())]
-            yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(2), pa.array(n), *sums, pa.array(packed, pa.binary())],
-                                             names=["doc_id", "no_id", "n", "s", "s2", "prefix"])
+            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(n), *sums, pa.array(packed, pa.binary()),
+                                              pa.array(_sketches(first, h), pa.binary())], names=["doc_id", "n", "s", "s2", "prefix", "sketch"])
 
-    sets = materialize(own.select("doc_id", "text", "no_id").mapInArrow(
-        prefixes, "doc_id long, no_id boolean, n long, s long, s2 long, prefix binary"), "sets")
+    sets = materialize(own.select("doc_id", "text").mapInArrow(
+        prefixes, "doc_id long, n long, s long, s2 long, prefix binary, sketch binary"), "sets")
     one = sets.where("n > 0").groupBy("doc_id").agg(F.min(F.struct("s", "s2", "n")).alias("x")).select("doc_id", "x.s", "x.s2", "x.n")
     classes = materialize(one.groupBy("s", "s2", "n").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("n_copies")), "classes")
-    reps = (classes.select("node", "s", "s2").join(sets.select(F.col("doc_id").alias("node"), "s", "s2", "n", "prefix"), ["node", "s", "s2"])
+    reps = (classes.select("node", "s", "s2").join(sets.select(F.col("doc_id").alias("node"), "s", "s2", "n", "prefix", "sketch"), ["node", "s", "s2"])
             .dropDuplicates(["node"]))
+    sketches = reps.select("node", "sketch")
 
     def post(batches):
         for b in batches:
@@ -289,43 +325,40 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
             at = hub[yes]
             yield _pair_rows(node[at], node[yes], n[at], n[yes])
 
-    def flat(batches):
-        for b in batches:
-            h, node, n, pos = X.entries(pa.Table.from_batches([b]), _ENTRY)
-            ids, at = np.unique(node, return_index=True)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n[at].astype(np.int64))], names=["node", "n"])
-
-    nodes = lists.mapInArrow(flat, "node long, n long").distinct()
-    wanted = (nodes.join(classes.select("node", "s"), "node").select("node", "s")
-              .withColumn("bucket", X.bucket_of(F.col("node"), buckets)))
-
     def full_sets(key: tuple, texts: pa.Table, want: pa.Table) -> pa.Table:
-        schema = pa.schema([("node", pa.int64()), ("sketch", pa.binary()), ("tokens", pa.binary())])
+        schema = pa.schema([("node", pa.int64()), ("tokens", pa.binary())])
         out = []
         known = dict(zip(want.column("node").to_pylist(), want.column("s").to_pylist()))
         hit = np.isin(texts.column("doc_id").to_numpy(), np.array(list(known), dtype=np.int64)) if known else np.zeros(texts.num_rows, bool)
         for piece in T.slices(texts.filter(pa.array(hit)).combine_chunks().to_batches()):
             ids = piece.column(piece.schema.get_field_index("doc_id")).to_pylist()
             first, h = _sets(piece.column(piece.schema.get_field_index("text")), k, rank)
-            bit = (T.mix(h) >> T.U(56)).astype(np.int64)                  # 256 places
-            for row, (node, a, b) in enumerate(zip(ids, first[:-1].tolist(), first[1:].tolist())):
+            for node, a, b in zip(ids, first[:-1].tolist(), first[1:].tolist()):
                 s = int(np.add.reduce(T.mix(h[a:b] ^ T.U(0x5851F42D4C957F2D))).astype(np.uint64).view(np.int64)) if b > a else 0
-                if known.get(node) != s:
-                    continue
-                known.pop(node)
-                odd = (np.bincount(bit[a:b], minlength=SKETCH_BITS) & 1).astype(np.uint8)
-                out.append((node, np.packbits(odd).tobytes(), h[a:b].astype("<u8").tobytes()))
+                if known.get(node) == s:                  # of rows that repeat an id, the one that stands for it
+                    known.pop(node)
+                    out.append((node, h[a:b].astype("<u8").tobytes()))
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema) if out else schema.empty_table()
 
-    members = materialize(own.select("doc_id", "text", "bucket").groupBy("bucket").cogroup(wanted.groupBy("bucket"))
-                          .applyInArrow(full_sets, "node long, sketch binary, tokens binary"), "members")
-    tokens = members.select("node", "tokens")
+    def members(nodes: DataFrame) -> DataFrame:
+        """node, tokens: the whole sets of some nodes, from their texts."""
+        wanted = (nodes.join(classes.select("node", "s").hint("merge"), "node").select("node", "s")
+                  .withColumn("bucket", X.bucket_of(F.col("node"), buckets)))
+        return materialize(own.select("doc_id", "text", "bucket").groupBy("bucket").cogroup(wanted.groupBy("bucket"))
+                           .applyInArrow(full_sets, "node long, tokens binary"), "members")
+
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+
+    # first round: each list's smallest document with the others
     pair = "a long, b long, na int, nb int"
-    links = materialize(_verify(lists.mapInArrow(stars, pair).distinct(), tokens, rank, pivots, num, den), "links")
+    close = _close(lists.mapInArrow(stars, pair).distinct(), sketches, num, den)
+    tokens = members(ends(close))
+    links = materialize(_verify(close, tokens, rank, pivots, num, den), "links")
     found = components(links)
 
     # second round: candidates of different components
-    labelled = materialize(members.select("node", "sketch").join(found, "node", "left")
+    labelled = materialize(sketches.join(found.hint("merge"), "node", "left")
                            .select("node", "sketch", F.coalesce("component", "node").alias("comp")), "labelled")
 
     def entry_rows(batches):
@@ -337,7 +370,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
         for b in batches:
             node, h, n, pos, sketch, comp = b.columns
             h = h.to_numpy().view(np.uint64)
-            s = np.frombuffer(b"".join(sketch.to_pylist()), "<u8").reshape(-1, 4)
+            s = _words(sketch.to_pylist())
+            s = s[:, 0:4] ^ s[:, 4:8] ^ s[:, 8:12] ^ s[:, 12:16]              # folded parities stay parities
             yield X.rows("part", part_of(h), _FULL, [h, node.to_numpy(), n.to_numpy(), pos.to_numpy(), comp.to_numpy(), *s.T])
 
     def across(key: tuple, table: pa.Table) -> pa.Table:
@@ -359,8 +393,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
                 if not len(i):
                     continue
                 i, j = x[i], y[j]
-                apart = np.bitwise_count(s[i] ^ s[j]).sum(axis=1).astype(np.int64)
-                near = apart * (num + den) <= (den - num) * (n[i].astype(np.int64) + n[j])     # |x ^ y| of linked sets at most
+                near = _near(s[i], s[j], n[i], n[j], num, den)
                 out.append((i[near], j[near]))
         if not out:
             return pa.table({c: pa.array([], t) for c, t in (("a", pa.int64()), ("b", pa.int64()), ("na", pa.int32()), ("nb", pa.int32()))})
@@ -368,10 +401,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
         return pa.Table.from_batches([_pair_rows(node[i], node[j], n[i], n[j])])
 
     entries = lists.mapInArrow(entry_rows, "h long, node long, n int, pos int")
-    rest = (entries.join(labelled, "node").select("node", "h", "n", "pos", "sketch", "comp").mapInArrow(send_full, X.schema("part", _FULL))
-            .groupBy("part").applyInArrow(across, pair).distinct())
-    more = materialize(_verify(rest, tokens, rank, pivots, num, den), "links")
-    found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+    rest = _close(entries.join(labelled.hint("merge"), "node").select("node", "h", "n", "pos", "sketch", "comp").mapInArrow(send_full, X.schema("part", _FULL))
+                  .groupBy("part").applyInArrow(across, pair).distinct(), sketches, num, den)
+    if rest.first() is not None:
+        tokens = tokens.union(members(ends(rest).join(tokens.select("node"), "node", "left_anti")))
+        more = materialize(_verify(rest, tokens, rank, pivots, num, den), "links")
+        found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
     by_class = classes.join(found, "node", "left").select("s", "s2", "n", F.col("node").alias("class_id"), "n_copies",
                                                           F.coalesce("component", "node").alias("component_id"))
