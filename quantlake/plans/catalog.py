@@ -36,5 +36,5 @@ def query(name: str, sql: str | None = None, ops: str = ""):
 def load_all() -> dict[str, Query]:
     # importing the modules registers their queries
     from quantlake.plans import (q_quality, q_promote, q_reconcile, q_layout,  # noqa: F401
-                                 q_ingest, q_temporal, q_panel, q_stream)
+                                 q_ingest, q_temporal, q_panel, q_stream, q_nulls)
     return REGISTRY
