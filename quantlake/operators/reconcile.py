@@ -63,22 +63,27 @@ def _rate(d: Column, tol: float) -> Column:
 
 def reconcile_summary(m: DataFrame, price: str = "a_price", others: Sequence[str] = ("b_last", "b_settle"),
                       labels: Sequence[str] = ("last", "settle"), by: str = "contract",
-                      tol_exact: float = TOL_EXACT, tol_close: float = TOL_CLOSE, digits: int = 4) -> DataFrame:
+                      tol_exact: float = TOL_EXACT, tol_close: float = TOL_CLOSE, digits: int = 4,
+                      code: str | None = None) -> DataFrame:
     """Per contract, for each B field: mean, median, max |diff|, exact and close rates.
 
+    ``code`` names the other vendor's code column, kept beside the contract.
+
     The differences are unpivoted to ``(contract, field, d)`` so every
     statistic — the exact median included — is one grouped pass for all
     fields; the small result is pivoted back to one row per contract.
     """
     cells = F.explode(F.array(*[F.struct(F.lit(l).alias("_f"), (F.col(price) - F.col(o)).alias("_d"))
                                 for o, l in zip(others, labels)]))
-    d = m.select(by, cells.alias("_c")).select(by, "_c._f", "_c._d")
+    keys = [by, *([code] if code else [])]
+    d = m.select(*keys, cells.alias("_c")).select(*keys, "_c._f", "_c._d")
     c = F.col("_d")
-    stats = d.groupBy(by, "_f").agg(F.count(F.lit(1)).alias("_n"), F.avg(c).alias("_mean"),
+    stats = d.groupBy(*keys, "_f").agg(F.count(F.lit(1)).alias("_n"), F.avg(c).alias("_mean"),
                                     F.max(F.abs(c)).alias("_maxabs"),
                                     _rate(c, tol_exact).alias("_exact"), _rate(c, tol_close).alias("_close"))
-    med = exact_median(d, "_d", [by, "_f"], "_median")
-    long = stats.join(med, [by, "_f"], "left")
+    med = exact_median(d, "_d", [*keys, "_f"], "_median")
+    group = F.struct(*[F.col(k).alias(f"g{i}") for i, k in enumerate([*keys, "_f"])])      # NULL-safe
+    long = stats.withColumn("_g", group).join(med.select(group.alias("_g"), "_median"), "_g", "left")
     exprs = [F.max("_n").alias("n_matched")]
     for l in labels:
         pick = lambda col: F.max(F.when(F.col("_f") == l, F.col(col)))
@@ -87,7 +92,7 @@ def reconcile_summary(m: DataFrame, price: str = "a_price", others: Sequence[str
                   F.round(pick("_maxabs"), digits).alias(f"vs_{l}_max_abs_diff"),
                   F.round(pick("_exact"), digits).alias(f"vs_{l}_exact_pct"),
                   F.round(pick("_close"), digits).alias(f"vs_{l}_close_pct")]
-    return long.groupBy(by).agg(*exprs)
+    return long.groupBy(*keys).agg(*exprs)
 
 
 def outliers(m: DataFrame, price: str = "a_price", others: Sequence[str] = ("b_last", "b_settle"),

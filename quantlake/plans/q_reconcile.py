@@ -77,11 +77,11 @@ def _summary_sql():
 
 @query("reconcile_summary", ops="D12 J4 J5 A7 A8 A9 A10 A25 P8",
        sql=with_ctes(*_CTES, extra=_ALIGNED, body=f"""
-SELECT contract, count(*) AS n_matched,
+SELECT contract, ric, count(*) AS n_matched,
        {_summary_sql()}
-FROM aligned GROUP BY contract"""))
+FROM aligned GROUP BY contract, ric"""))
 def reconcile_summary(spark, sf):
-    return R.reconcile_summary(_aligned(spark, sf))
+    return R.reconcile_summary(_aligned(spark, sf), code="ric")
 
 
 @query("reconcile_counts", ops="A15 J4", sql=with_ctes(*_CTES, extra=_ALIGNED, body="""
@@ -110,8 +110,9 @@ def reconcile_outliers(spark, sf):
     return R.outliers(_aligned(spark, sf))
 
 
-@query("reconcile_histogram", ops="D14 A14", sql=with_ctes(*_CTES, extra=_ALIGNED + """,
-x AS (SELECT contract, a_price - b_last AS v FROM aligned WHERE b_last IS NOT NULL),
+def _histogram_sql(field):
+    return with_ctes(*_CTES, extra=_ALIGNED + f""",
+x AS (SELECT contract, a_price - {field} AS v FROM aligned WHERE {field} IS NOT NULL),
 r AS (SELECT contract, min(v) AS lo, max(v) AS hi FROM x GROUP BY 1),
 b AS (SELECT x.contract, r.lo, r.hi,
              CASE WHEN r.hi = r.lo THEN 1
@@ -119,13 +120,25 @@ b AS (SELECT x.contract, r.lo, r.hi,
       FROM x JOIN r USING (contract))""", body="""
 SELECT contract, bin, round(lo + (bin - 1) * (hi - lo) / 50, 6) AS lo,
        round(CASE WHEN bin = 50 THEN hi ELSE lo + bin * (hi - lo) / 50 END, 6) AS hi, count(*) AS n
-FROM b GROUP BY contract, bin, b.lo, b.hi"""))
-def reconcile_histogram(spark, sf):
-    m = _aligned(spark, sf).withColumn("diff_last", F.col("a_price") - F.col("b_last"))
-    h = R.histogram(m, "diff_last", bins=50, by="contract")
+FROM b GROUP BY contract, bin, b.lo, b.hi""")
+
+
+def _difference_histogram(spark, sf, field):
+    m = _aligned(spark, sf).withColumn("diff", F.col("a_price") - F.col(field))
+    h = R.histogram(m, "diff", bins=50, by="contract")
     return h.select("contract", "bin", F.round("lo", 6).alias("lo"), F.round("hi", 6).alias("hi"), "n")
 
 
+@query("reconcile_histogram", ops="D14 A14", sql=_histogram_sql("b_last"))
+def reconcile_histogram(spark, sf):
+    return _difference_histogram(spark, sf, "b_last")
+
+
+@query("reconcile_histogram_settle", ops="D14 A14", sql=_histogram_sql("b_settle"))
+def reconcile_histogram_settle(spark, sf):
+    return _difference_histogram(spark, sf, "b_settle")
+
+
 @query("reconcile_series", ops="D15 O1 P2 P3 P14", sql=with_ctes(*_CTES, extra=_ALIGNED, body="""
 SELECT contract, date, a_price AS price_a, b_last AS last_b, b_settle AS settle_b,
        a_oi AS oi_a, b_oi AS oi_b

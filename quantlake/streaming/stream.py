@@ -105,6 +105,17 @@ def stream_qc(stream: DataFrame, time: str, width: str, delay: str, value: str,
                           "rows", "pct_null", "minv", "maxv"))
 
 
+def closing_windows(batch: DataFrame, emitted: DataFrame, time: str, width: str, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """X3 at the end of a finite input: the same figures for the windows that the watermark left open.
+
+    ``batch`` is the whole input as a table; only its rows from the end of
+    the last emitted window on are aggregated.
+    """
+    last = emitted.agg(F.max("window_end")).first()[0]       # one value
+    rest = batch if last is None else batch.where(F.col(time) >= F.lit(last).cast(batch.schema[time].dataType))
+    return stream_qc(rest, time, width, "0 seconds", value, by)
+
+
 def stream_link(stream: DataFrame, link: DataFrame, on: Sequence[str], at: str, start: str, end: str,
                 dim_cols: Sequence[str] | None = None, how: str = "left") -> DataFrame:
     """Enrich a stream with a static validity-interval table (stream–static join)."""
