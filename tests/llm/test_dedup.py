@@ -8,7 +8,7 @@ import numpy as np
 from quantlake.llm import jaccard_join, substring_dedup, suffix_dedup
 from quantlake.llm.components import components
 
-from llm_helpers import frame, odd
+from llm_helpers import frame, odd, texts  # noqa: F401  (texts is a fixture)
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LAST = np.iinfo(np.int64).max

@@ -5,7 +5,7 @@ from collections import defaultdict
 
 import corpus_pipeline as C
 import pytest
-from llm_helpers import frame, odd
+from llm_helpers import frame, odd, texts  # noqa: F401  (texts is a fixture)
 from pyspark.sql import functions as F
 
 

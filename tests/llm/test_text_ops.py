@@ -10,7 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from llm_helpers import frame, odd
+from llm_helpers import frame, odd, texts  # noqa: F401  (texts is a fixture)
 from tokenizers import Tokenizer
 
 from quantlake.llm import bpe, packing, quality_rules, secret_scan, token_counts, topk, toxicity
