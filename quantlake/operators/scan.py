@@ -49,21 +49,26 @@ _GRAINS = ("month", "day", "hour", "minute")
 def auto_grain(df: DataFrame, key: Sequence[str], time: str, target_rows: int = 2_000_000) -> str:
     """The coarsest grain whose buckets hold at most ``target_rows`` rows of the hottest key.
 
-    Rows are counted per key and finest slot, the counts are summed up to
-    each grain, and the fullest bucket of each grain comes back as one row;
-    so a burst inside a long span counts as the burst it is.
+    One small aggregate tells whether any key has more rows than that at all; if
+    none has, months do.  Otherwise the rows of those keys only are counted per
+    finest slot, the counts are summed up to each grain, and the fullest
+    bucket of each grain comes back as one row; so a burst inside a long span
+    counts as the burst it is.
     """
     finest = "day" if df.schema[time].dataType.simpleString() == "date" else "minute"
-    slots = df.groupBy(F.struct(*key).alias("_k"), F.date_trunc(finest, F.col(time).cast("timestamp_ntz")).alias("_t")) \
-        .agg(F.count(F.lit(1)).alias("_n"))
     grains = [g for g in _GRAINS if finest == "minute" or g in ("month", "day")]
+    rows = df.select(F.struct(*key).alias("_k"), F.col(time).cast("timestamp_ntz").alias("_t"))
+    hot = rows.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > target_rows).select("_k")
+    if hot.first() is None:
+        return grains[0]
+    slots = rows.join(hot, "_k", "left_semi").groupBy("_k", F.date_trunc(finest, "_t").alias("_t")).agg(F.count(F.lit(1)).alias("_n"))
     fullest = None
     for grain in grains:
         top = slots.groupBy("_k", F.date_trunc(grain, "_t").alias("_b")).agg(F.sum("_n").alias("_n")) \
             .agg(F.max("_n").alias("_n")).select(F.lit(grain).alias("grain"), "_n")
         fullest = top if fullest is None else fullest.unionByName(top)
-    rows = {r["grain"]: r["_n"] or 0 for r in fullest.collect()}      # one row for each grain
-    return next((g for g in grains if rows[g] <= target_rows), grains[-1])
+    most = {r["grain"]: r["_n"] or 0 for r in fullest.collect()}      # one row for each grain
+    return next((g for g in grains if most[g] <= target_rows), grains[-1])
 
 
 def _within_agg(op: str, v: Column, w) -> Column:
