@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from . import textops as T
 
 #: Chunks whose ids a worker keeps at most, in two generations (speed only).
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 1_200_000
 #: Closing marks that are looked up apart from their word.
 MARKS = ",."
 END_ID = 1
