@@ -16,7 +16,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from quantlake.plans.catalog import load_all  # noqa: E402
-from quantlake.session import get_spark  # noqa: E402
+from quantlake.session import clear_scratch, get_spark  # noqa: E402
 
 
 def main() -> None:
@@ -39,6 +39,7 @@ def main() -> None:
             times[name] = round(time.perf_counter() - t0, 3)
         except Exception as e:  # noqa: BLE001
             failed[name] = f"{type(e).__name__}: {str(e)[:200]}"
+        clear_scratch(spark)                      # untimed
     out = {"metric": "total_query_sec", "value": round(sum(times.values()), 3), "unit": "sec",
            "queries": times, "sf": sf, "n_queries": len(times)}
     if failed:

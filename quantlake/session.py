@@ -89,10 +89,28 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+_scratch: dict[str, list[str]] = {}          # intermediate tables by application
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables this application has made; call it when no frame built on them is needed any more.
+
+    Returns how many there were.  Only paths handed out by :func:`scratch_path` go.
+    """
+    paths = _scratch.pop(spark.sparkContext.applicationId, [])
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    return len(paths)
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
