@@ -26,7 +26,8 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-PIECE = 2 << 20
+#: Bytes of text worked off at once; a worker needs about a hundred times as many.
+PIECE = 1 << 20
 
 
 def mix(h: np.ndarray) -> np.ndarray:
