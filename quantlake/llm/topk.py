@@ -8,8 +8,9 @@ a vector; after each level the rest of every score is bounded, and a query
 stops when the bound proves that no other vector can enter its k best.  The
 possible members are rescored exactly.
 
-Blocks of queries meet blocks of vectors, so a task holds one block of
-each; k rows a query and block go on to the merge.
+Rows that repeat both id and vector are folded first; the others are dealt out
+by a hash of both.  Blocks of queries meet blocks of vectors, so a task holds one
+block of each; a query's k best different ids in a block go on to the merge.
 
 Defined results: vectors that are null or empty, of another length than the query's, or hold null
 or non-finite components take no part; a query never returns its own
@@ -25,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quantlake.session import materialize
+
 #: Vectors a block and queries a block; a task holds their product as accumulators (64 MB at 8 bytes).
 BLOCK_VECTORS = 16_384
 BLOCK_QUERIES = 512
@@ -50,11 +53,16 @@ class ImpactIndex:
             hi = lo
 
     def search(self, queries: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int):
-        """(query row, vector row, score) of each query's k best by (score, smaller id), its own id left out."""
+        """(query row, vector row, score) of each query's k best ids by (score, smaller id), its own id left out.
+
+        An id of several rows counts once, by its best.
+        """
         q = queries.astype(np.float64)
         score = np.zeros((len(q), len(self.exact)))
         open_rows = np.arange(len(q))
         mine = own[:, None] == ids[None, :]
+        by_id = np.argsort(ids, kind="stable")
+        starts = np.flatnonzero(np.concatenate([[True], ids[by_id][1:] != ids[by_id][:-1]])) if len(ids) else np.zeros(0, np.int64)
         out = []
         last = len(self.levels) - 1
         for level, (postings, rest) in enumerate(self.levels or [(np.zeros((q.shape[1], len(self.exact))), np.zeros(q.shape[1]))]):
@@ -63,15 +71,18 @@ class ImpactIndex:
             keep = []
             for r, slack in zip(open_rows, bound):
                 acc = np.where(mine[r], -np.inf, score[r])
-                n = int(np.isfinite(acc).sum())
+                top = np.maximum.reduceat(acc[by_id], starts) if len(starts) < len(acc) else acc   # one value an id
+                n = int(np.isfinite(top).sum())
                 if not n:
                     continue
-                kth = np.partition(acc, len(acc) - min(k, n))[len(acc) - min(k, n)]
+                kth = np.partition(top, len(top) - min(k, n))[len(top) - min(k, n)]
                 members = np.flatnonzero(acc >= kth - 2 * slack)   # all others are proven to be out
                 members = members[np.isfinite(acc[members])]
                 if len(members) <= 8 * k or level >= last:
                     found = self.exact[members] @ q[r]
-                    best = np.lexsort((ids[members], -found))[:k]
+                    best = np.lexsort((ids[members], -found))
+                    first = np.unique(ids[members[best]], return_index=True)[1]
+                    best = best[np.sort(first)[:k]]
                     out.append((np.full(len(best), r), members[best], found[best]))
                 else:
                     keep.append(r)
@@ -97,20 +108,19 @@ def quantised(vectors: DataFrame, id_col: str = "vec_id", column: str = "embeddi
 
 def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", column: str = "embedding", scale: int = 256) -> DataFrame:
     """query_id, rank, vec_id, score for every row for which is_query(column id) holds, against all other rows."""
-    base = quantised(vectors, id_col, column, scale)
-    counts = base.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(is_query(F.col("id")), 1)).alias("m")).first()
-    n_blocks, n_query_blocks = -(-counts["n"] // BLOCK_VECTORS) or 1, -(-counts["m"] // BLOCK_QUERIES) or 1
-
-    def block(n: int):
-        return F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-
     def packed(batches):
         for b in batches:
             q = b.column(1)
             rows = [np.array(x, dtype="<i8").tobytes() for x in q.to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.binary())], names=["id", "q"])
 
-    base = base.mapInArrow(packed, "id long, q binary")
+    base = materialize(quantised(vectors, id_col, column, scale).mapInArrow(packed, "id long, q binary").distinct(), "vectors")
+    counts = base.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(is_query(F.col("id")), 1)).alias("m")).first()
+    n_blocks, n_query_blocks = -(-counts["n"] // BLOCK_VECTORS) or 1, -(-counts["m"] // BLOCK_QUERIES) or 1
+
+    def block(n: int):
+        return F.pmod(F.xxhash64("id", "q"), F.lit(n)).cast("int")
+
     candidates = base.withColumn("vb", block(n_blocks)).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_query_blocks - 1))))
     queries = (base.where(is_query(F.col("id"))).withColumn("qb", block(n_query_blocks))
                .withColumn("vb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))))

@@ -254,3 +254,43 @@ def test_impact_levels_stop_early_and_stay_exact():
         order = np.lexsort((np.arange(3000), -full[q]))[:5]
         mine = sorted(((-x, y) for a, y, x in zip(r, c, s) if a == q))
         assert mine == [(-full[q][i], i) for i in order]
+
+
+def test_top_k_repeated_best_neighbour(spark, monkeypatch):
+    """The best candidates have more than k rows, with equal and with different vectors; one id holds a third of all."""
+    rnd = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rnd.normal(size=8).round(2)]) for i in range(120)]
+    rows += [(201, [4.0 * x for x in rows[0][1]])] * 12
+    rows += [(202, [(3.0 + 0.1 * j) * x for x in rows[50][1]]) for j in range(12)]
+    rows += [(203, [float(x) for x in rnd.normal(size=8).round(2)]) for _ in range(70)]
+    rows += [(100, [float(x) for x in rnd.normal(size=8).round(2)]) for _ in range(9)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    best = {}
+    ints = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in rows]
+    for q, x in ints:
+        for i, v in ints:
+            if q % 50 == 0 and i != q:
+                score = sum(a * b for a, b in zip(x, v))
+                best[q, i] = max(best.get((q, i), score), score)
+    want = []
+    for q in {q for q, _ in best}:
+        ranked = sorted((-s, i) for (a, i), s in best.items() if a == q)
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(ranked[:5])]
+    assert _key(topk.top_k(df, lambda c: c % 50 == 0, 5).collect()) == _key(want)
+    monkeypatch.setattr(topk, "BLOCK_VECTORS", 32)
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", 4)
+    assert _key(topk.top_k(df, lambda c: c % 50 == 0, 5).collect()) == _key(want)
+
+
+def test_impact_search_counts_ids_not_rows():
+    rnd = np.random.default_rng(4)
+    base = (rnd.standard_normal((2000, 16)) * 60).astype(np.int64)
+    ids = rnd.integers(0, 300, 2000)
+    own = np.arange(1000, 1020)
+    r, c, s = topk.ImpactIndex(base).search(base[:20] * 3, own, ids, 5)
+    full = (base[:20] * 3) @ base.T
+    for q in range(20):
+        best = {}
+        for i, x in zip(ids.tolist(), full[q].tolist()):
+            best[i] = max(best.get(i, x), x)
+        assert sorted((-x, int(ids[y])) for a, y, x in zip(r, c, s) if a == q) == sorted((-x, i) for i, x in best.items())[:5]
