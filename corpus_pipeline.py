@@ -30,7 +30,7 @@ def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     Rows that repeat a doc_id leave one row; rows without an id cannot be told apart and stay.
     """
-    found = jaccard_join.near_duplicates(docs, k=5, num=4, den=5)
+    found = jaccard_join.near_duplicates(docs, k=5, num=4, den=5, links=False)
     kept = found.where("doc_id = component_id").select("doc_id").distinct()
     named = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").select(*docs.columns)
     twice = materialize(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")

@@ -18,8 +18,12 @@ whose parity sketches differ in more bits than linked sets can are proven to be
 sets travel only for pairs that nearly always are.  No link that would join
 two components is left out.
 
+Links are counted inside the finished components, where all of them are: a
+component's different sets are dealt out in blocks, every pair of blocks is one
+unit of work, and a unit counts all overlaps of its sets by matrix products.
+
 Defined results: null or wordless texts have an empty set and are linked
-with nothing; rows that repeat a doc_id count as one document, by the text
+with nothing and have no links; rows that repeat a doc_id count as one document, by the text
 with the least set hash, and get one component; a null doc_id has a null
 component unless it is linked; an empty table gives an empty result.
 """
@@ -42,6 +46,8 @@ from .substring_dedup import _in_groups
 ORDER_BITS, FRAGMENTS, SKETCH_BITS = 18, 8, 1024
 #: Pairs of one hub that are verified in one group at most.
 HUB_PAIRS = 4096
+#: Sets, and n-grams of sets, that a block of one component is planned for; n-grams that one matrix product takes.
+BLOCK_SETS, BLOCK_GRAMS, PRODUCT_GRAMS = 2048, 1 << 20, 1024
 #: Lists up to this length drop entries without any possible partner before they are kept.
 SHORT_LIST = 512
 
@@ -247,12 +253,78 @@ def _verify(pairs: DataFrame, sets: DataFrame, rank: np.ndarray, pivots: np.ndar
     return counted.groupBy("part").applyInArrow(together, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
-    """doc_id, n_shingles, component_id, class_id, n_copies of every document.
+def _overlaps(sets: list[np.ndarray], cut: int) -> np.ndarray:
+    """[cut, len(sets) - cut or cut]: n-grams that each of the first cut sets shares with each of the others (of the first, if there are no others)."""
+    own = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    gram, holders = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)[1:]
+    some = holders[gram] > 1
+    own, gram = own[some], gram[some]
+    # n-grams in order of their first set, so that a product's rows are the few sets that hold its n-grams
+    first = np.full(len(holders), len(sets))
+    np.minimum.at(first, gram, own)
+    place = np.empty(len(holders), np.int64)
+    place[np.argsort(first, kind="stable")] = np.arange(len(holders))
+    gram = place[gram]
+    order = np.argsort(gram, kind="stable")
+    own, gram = own[order], gram[order]
+    right = cut if cut < len(sets) else 0
+    out = np.zeros((cut, len(sets) - right), dtype=np.int64)
+    for lo in range(0, int(gram[-1]) + 1 if len(gram) else 0, PRODUCT_GRAMS):
+        a, b = np.searchsorted(gram, (lo, lo + PRODUCT_GRAMS))
+        if a == b:
+            continue
+        held, at = np.unique(own[a:b], return_inverse=True)
+        m = np.zeros((len(held), PRODUCT_GRAMS), dtype=np.float32)
+        m[at, gram[a:b] - lo] = 1
+        i, j = held < cut, held >= right
+        out[np.ix_(held[i], held[j] - right)] += (m[i] @ m[j].T).astype(np.int64)
+    return out
+
+
+def _link_counts(found: DataFrame, tokens: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """node, links: documents with other sets that link to a class's; found: (node, component), tokens: (node, tokens)."""
+    inside = found.union(found.select(F.col("component").alias("node"), "component")).distinct()
+    named = materialize(inside.join(classes.select("node", "n", "n_copies").hint("merge"), "node"), "linked-classes")
+    blocks = named.groupBy("component").agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_SETS)), F.ceil(F.sum("n") / F.lit(BLOCK_GRAMS))).cast("int").alias("s"))
+    placed = (named.join(blocks.hint("merge"), "component").withColumn("i", F.pmod(F.xxhash64("node"), F.col("s")).cast("int"))
+              .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("s") - 1))))
+    total = placed.agg(F.sum("n")).first()[0] or 0
+    parts = max(32, -(-total // BLOCK_GRAMS))
+    placed = placed.select("node", "component", "n", F.col("n_copies").alias("w"), "i", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"))
+    units = placed.join(tokens.hint("merge"), "node").withColumn("part", F.pmod(F.xxhash64("component", "lo", "hi"), F.lit(parts)).cast("int"))
+
+    def count(key: tuple, table: pa.Table) -> pa.Table:
+        comp, lo, hi, i, node, n, w = (table.column(c).to_numpy() for c in ("component", "lo", "hi", "i", "node", "n", "w"))
+        packed = table.column("tokens")
+        order = np.lexsort((node, i, hi, lo, comp))
+        cut = np.flatnonzero(np.concatenate([[True], np.any([v[order][1:] != v[order][:-1] for v in (comp, lo, hi)], axis=0)]))
+        out = []
+        for a, b in zip(cut, [*cut[1:], len(order)]):
+            x = order[a:b]                                    # one unit: block lo, then block hi
+            first = int((i[x] == lo[x]).sum())
+            left, right = x[:first], x[first:] if lo[x[0]] < hi[x[0]] else x
+            if not len(left) or not len(right):
+                continue
+            both = _overlaps([np.frombuffer(packed[int(r)].as_py(), "<u8") for r in x], first)
+            yes = both * den >= num * (n[left][:, None] + n[right][None, :] - both)
+            yes &= node[left][:, None] != node[right][None, :]
+            out.append((node[left], yes @ w[right]))
+            if lo[x[0]] < hi[x[0]]:
+                out.append((node[right], w[left] @ yes))
+        node, links = (np.concatenate(v) for v in zip(*out)) if out else (np.zeros(0, np.int64),) * 2
+        return pa.table({"node": pa.array(node, pa.int64()), "links": pa.array(links, pa.int64())})
+
+    return materialize(units.groupBy("part").applyInArrow(count, "node long, links long")
+                       .groupBy("node").agg(F.sum("links").alias("links")), "link-counts")
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, links: bool = True) -> DataFrame:
+    """doc_id, n_shingles, component_id, class_id, n_copies and (where links is set) n_links of every document.
 
     Documents are linked at den * overlap >= num * union of their word
     k-gram sets.  class_id is the smallest document with the same set,
-    n_copies how many documents have it.
+    n_copies how many documents have it.  n_links is the number of other
+    documents it is linked with, those of the same set included.
     """
     parts, buckets = X.sizes(docs)
     own = X.bucketed(docs, buckets)
@@ -354,8 +426,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     pair = "a long, b long, na int, nb int"
     close = _close(lists.mapInArrow(stars, pair).distinct(), sketches, num, den)
     tokens = members(ends(close))
-    links = materialize(_verify(close, tokens, rank, pivots, num, den), "links")
-    found = components(links)
+    found = components(materialize(_verify(close, tokens, rank, pivots, num, den), "links"))
 
     # second round: candidates of different components
     labelled = materialize(sketches.join(found.hint("merge"), "node", "left")
@@ -408,14 +479,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
         more = materialize(_verify(rest, tokens, rank, pivots, num, den), "links")
         found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
+    extra = ["n_links"] if links else []
+    if links:
+        counted = _link_counts(found, tokens, classes, num, den)
+        classes = (classes.join(counted.hint("merge"), "node", "left")
+                   .withColumn("n_links", F.coalesce("links", F.lit(0)) + F.col("n_copies") - 1).drop("links"))
     by_class = classes.join(found, "node", "left").select("s", "s2", "n", F.col("node").alias("class_id"), "n_copies",
-                                                          F.coalesce("component", "node").alias("component_id"))
-    by_doc = one.join(by_class, ["s", "s2", "n"]).select("doc_id", "component_id", "class_id", "n_copies")
+                                                          F.coalesce("component", "node").alias("component_id"), *extra)
+    by_doc = one.join(by_class, ["s", "s2", "n"]).select("doc_id", "component_id", "class_id", "n_copies", *extra)
     real = lambda c: F.when(F.col(c) != X.NO_ID, F.col(c))
     return (sets.select("doc_id", F.col("n").alias("n_shingles")).join(by_doc, "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
-                    F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"))
-            .select(real("doc_id").alias("doc_id"), "n_shingles", real("component_id").alias("component_id"), real("class_id").alias("class_id"), "n_copies"))
+                    F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"),
+                    *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in extra])
+            .select(real("doc_id").alias("doc_id"), "n_shingles", real("component_id").alias("component_id"), real("class_id").alias("class_id"), "n_copies", *extra))
 
 
 def _pair_rows(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> pa.RecordBatch:

@@ -127,6 +127,31 @@ def test_jaccard_chain_of_near_copies(spark):
     assert {(r.doc_id, r.n_shingles, r.component_id) for r in got} == _components(rows, 3, 9, 10)
 
 
+def _links(rows, k, num, den):
+    """{doc_id: number of other documents whose set links to its own}, by all pairs."""
+    sets = {}
+    for d, t in rows:
+        w = [x.lower() for x in WORD.findall(t or "")]
+        sets[d] = {tuple(w[p:p + k]) for p in range(max(1, len(w) - k + 1))} if w else set()
+    return {a: sum(a != b and bool(x and y) and den * len(x & y) >= num * len(x | y) for b, y in sets.items()) for a, x in sets.items()}
+
+
+def test_jaccard_counts_every_link(spark, monkeypatch):
+    """A group of near copies that all link, one whose ends don't, exact copies of some, and texts that link with nothing; in one block and in several."""
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words[:100] + [f"x{i}"])) for i in range(30)]
+    rows += [(100 + i, " ".join(words[200 + 2 * i:300 + 2 * i])) for i in range(20)]
+    rows += [(200, rows[3][1]), (201, rows[3][1]), (202, rows[35][1]), (203, ""), (204, None), (205, "w1 w2 w3 w4")]
+    want = _links(rows, 3, 9, 10)
+    assert want[0] == 31 and want[203] == 0 and len({want[100 + i] for i in range(20)}) > 2
+    for sets in (2048, 7):
+        monkeypatch.setattr(jaccard_join, "BLOCK_SETS", sets)
+        got = jaccard_join.near_duplicates(frame(spark, rows), 3, 9, 10).collect()
+        assert {r.doc_id: r.n_links for r in got} == want
+        assert {(r.doc_id, r.n_shingles, r.component_id) for r in got} == _components(rows, 3, 9, 10)
+    assert "n_links" not in jaccard_join.near_duplicates(frame(spark, rows[:3]), 3, 9, 10, links=False).columns
+
+
 def test_null_id_and_empty_tables(spark):
     none = frame(spark, [])
     assert jaccard_join.near_duplicates(none).count() == 0
