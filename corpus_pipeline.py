@@ -28,7 +28,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest document of every group linked by word 5-grams at 0.8 or more.
 
-    Rows that repeat a doc_id leave one row; rows without an id cannot be told apart and stay.
+    Rows that repeat a doc_id leave the row by whose text the id was judged; rows without an id cannot be told apart and stay.
     """
     found = jaccard_join.near_duplicates(docs, k=5, num=4, den=5, links=False)
     kept = found.where("doc_id = component_id").select("doc_id").distinct()
@@ -36,7 +36,7 @@ def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     twice = materialize(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
     if twice.first() is not None:
         named = named.join(twice, "doc_id", "left_anti").select(*docs.columns).union(
-            named.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns))
+            jaccard_join.judged_rows(named.join(twice, "doc_id", "left_semi").select(*docs.columns), k=5))
     return named.union(docs.where("doc_id IS NULL"))
 
 

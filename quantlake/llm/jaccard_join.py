@@ -121,6 +121,29 @@ def _sets(texts: pa.Array, k: int, rank: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.searchsorted(text, np.arange(len(texts) + 1)), h
 
 
+def _set_hashes(first: np.ndarray, h: np.ndarray) -> list[pa.Array]:
+    """Two hashes of every set, whatever the order of its n-grams."""
+    total = [np.concatenate([[T.U(0)], np.cumsum(T.mix(h ^ T.U(s)))]) for s in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
+    return [pa.array((t[first[1:]] - t[first[:-1]]).view(np.int64)) for t in total]
+
+
+def judged_rows(docs: DataFrame, k: int = 5) -> DataFrame:
+    """One row of every doc_id, all columns kept: the one by whose text near_duplicates judges the id (ties: the least text, then the least row)."""
+    any_order = np.zeros(1 << ORDER_BITS, dtype=np.uint8)
+
+    def hashed(batches):
+        for piece in T.slices(batches):
+            first, h = _sets(piece.column(1), k, any_order)
+            n = np.diff(first)
+            yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), pa.array(n == 0), *_set_hashes(first, h), pa.array(n)],
+                                             names=["row", "text", "empty", "s", "s2", "n"])
+
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("text"))
+    schema = f"row {rows.schema['row'].dataType.simpleString()}, text string, empty boolean, s long, s2 long, n long"
+    rank = F.struct("empty", "s", "s2", "n", "text", F.to_json("row"))
+    return rows.mapInArrow(hashed, schema).groupBy("row.doc_id").agg(F.min_by("row", rank).alias("row")).select("row.*")
+
+
 def gram_counts(docs: DataFrame, k: int) -> np.ndarray:
     """Occurrences of all n-grams of all texts in 2**ORDER_BITS hash buckets (2 MB at any corpus size)."""
     size, chunk = 1 << ORDER_BITS, 1 << 14
@@ -340,8 +363,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, lin
             first, h = _sets(piece.column(1), k, rank)
             n = np.diff(first)
             take = np.where(n > 0, n - -(-n * num // den) + 1, 0)
-            total = [np.concatenate([[T.U(0)], np.cumsum(T.mix(h ^ T.U(s)))]) for s in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
-            sums = [pa.array((t[first[1:]] - t[first[:-1]]).view(np.int64)) for t in total]
+            sums = _set_hashes(first, h)
             raw = h.astype("<u8").tobytes()
             packed = [raw[8 * a:8 * (a + m)] for a, m in zip(first[:-1].tolist(), take.tolist())]
             yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(n), *sums, pa.array(packed, pa.binary()),

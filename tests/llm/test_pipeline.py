@@ -8,6 +8,7 @@ import pytest
 from llm_helpers import frame, odd, texts  # noqa: F401  (texts is a fixture)
 from pyspark.sql import functions as F
 
+from quantlake.llm import jaccard_join
 
 
 @pytest.fixture(scope="module")
@@ -94,3 +95,18 @@ def test_empty_documents(spark, tmp_path):
     frame(spark, []).write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
     assert C.run(spark, path).count() == 0
+
+
+def test_repeated_id_keeps_the_judged_row(spark):
+    """Of an id's different texts, the one that was compared with the others stays, however the rows are dealt out."""
+    word = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    rows = [(i, word(2 * i + j), "en", f"s{j}") for i in range(8) for j in range(2)] + [(20, "", "en", "s0"), (20, word(99), "en", "s1")]
+    docs = frame(spark, rows)
+    copies = {100 + k: r for k, r in enumerate(rows) if r[1]}
+    found = jaccard_join.near_duplicates(frame(spark, rows + [(c, r[1]) for c, r in copies.items()]), 5, 4, 5, links=False).collect()
+    judged = {r.component_id: copies[r.doc_id][1] for r in found if r.doc_id in copies and r.component_id < 100}
+    assert len(judged) == 9
+    for order in (rows, rows[::-1]):
+        got = C.one_of_near_duplicates(spark, frame(spark, order).coalesce(1), "")
+        assert got.columns == docs.columns
+        assert {r.doc_id: r.text for r in got.collect()} == judged and got.count() == 9
