@@ -1,10 +1,11 @@
-"""Exact top-k inner products with an impact-ordered, score-at-a-time index.
-
-Vectors are quantised to integers.  A block of vectors is indexed by
-impact: for every dimension its postings (vector, impact) in order of
-magnitude, cut into segments of equal impact bits, the highest bits first.
-Queries work the segments off in descending impact, adding to one accumulator
-a vector; after each level the rest of every score is bounded, and a query
+"""Exact top-k inner products, score at a time over bit planes of falling impact.
+
+Vectors are quantised to integers.  A block of vectors is cut into levels of
+LEVEL_BITS bits of magnitude, the highest bits first.  A level is a dense matrix of
+the whole block, zeros included; it stands in for posting lists (vector, impact)
+sorted by impact and cut into segments, which are not built, and the order of
+work doesn't depend on the query's weights.  Queries take one level after the
+other, adding to one accumulator a vector; after each level the rest of every score is bounded, and a query
 stops when the bound proves that no other vector can enter its k best.  The
 possible members are rescored exactly.
 
