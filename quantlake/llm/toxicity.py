@@ -1,16 +1,20 @@
-"""Toxicity by two class-conditional Kneser-Ney language models with shared backoff counts.
+"""Toxicity by smoothed document-frequency ratios of two classes, with shared backoff counts.
+
+This stands in for two class-conditional Kneser-Ney language models and is not that
+method: no continuation counts are kept, the backoff weights are constants and not the
+mass that the discount frees, and the values are not distributions.
 
 Each class has word and word-pair counts over all training rows: the number
 of its documents that hold the expression, so no single document vouches for
-its own words.  Counts are discounted and the freed mass goes to a backoff
-distribution that both classes share; an expression that neither class
+its own words.  Counts are discounted and mixed, at fixed weights, with the plain document
+frequency of both classes together; an expression that neither class
 has seen often then tells nothing.  A document's feature is the
 difference of its toxic and ordinary log-likelihoods, normalised by length; a logistic
 curve, fitted to leave-one-out features of a bounded sample of training rows, makes it a score.
 
 Counts live in tables of a fixed number of hash buckets (WORDS, and CONTEXTS x
 FOLLOWERS), so the model has a proven size, while every training row of the
-corpus goes into them.  Tasks send the buckets that they have met.
+corpus goes into them.  Expressions of one bucket add up, the more the larger the corpus.  Tasks send the buckets that they have met.
 
 Defined results: a null or empty text gets the score of an even likelihood;
 repeated rows get equal scores; label rows that repeat an id count once, as toxic if
