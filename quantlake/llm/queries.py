@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from quantlake.session import materialize, scratch_path
 
-from . import bpe, jaccard_join, oracles, packing, quality_rules, secret_scan, substring_dedup, suffix_dedup, token_counts, topk, toxicity
+from . import (bpe, jaccard_join, oracles, packing, periodic_runs, prefix_trie, quality_mil, quality_rules, secret_scan, substring_dedup, suffix_dedup,
+               token_counts, topk, toxicity)
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 _shipped: set[str] = set()
@@ -98,6 +99,18 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), lambda i: F.pmod(i, F.lit(50)) == 0, k=5)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.detect(periodic_runs.with_repeats(_table(spark, sf_dir, "documents"))))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op13_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_mil.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return _pipeline.run(spark, sf_dir)
@@ -107,7 +120,8 @@ if ROOT not in sys.path:
     sys.path.insert(0, ROOT)
 _pipeline = importlib.import_module("corpus_pipeline")
 
-QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_substring_dedup, op3_quality_rules, op4_packing, op5_suffix_dedup, op6_token_counts, op7_secret_scans, op8_byte_bpe, op9_toxicity, op10_exact_topk, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_substring_dedup, op3_quality_rules, op4_packing, op5_suffix_dedup, op6_token_counts, op7_secret_scans,
+                                   op8_byte_bpe, op9_toxicity, op10_exact_topk, op11_periodic_runs, op12_prefix_trie, op13_quality_mil, pipeline)}
 #: The others are learned, tokenized or byte-wise; tests compare them with brute force.
 ORACLES: dict[str, str] = {
     "op1_jaccard_join": oracles.JACCARD, "op2_substring_dedup": oracles.SUBSTRING, "op3_quality_rules": oracles.QUALITY,
