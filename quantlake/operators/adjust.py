@@ -1,8 +1,8 @@
 """Split adjustment: cumulative split factors and (un)adjusting values.
 
 unadjusted = adjusted × ∏ ADJ over splits of the ticker dated strictly after
-the value's date.  The suffix product is computed once on the split table
-(rows per ticker are corporate actions — a few dozen at most), then attached
+the value's date.  The suffix product is an ordered scan over the split table
+(split into buckets like every other, so no ticker is one task), attached
 to each value by a forward as-of join: no row × split fan-out.
 """
 
@@ -10,20 +10,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quantlake.operators.asof import asof_join
+from quantlake.operators.scan import ordered_scan
 
 
 def split_factor(splits: DataFrame, on: Sequence[str], date: str, adj: str,
-                 tie_break: Sequence[str] = ()) -> DataFrame:
-    """Per split row, the product of its own and all later factors (``cum_adj``)."""
+                 tie_break: Sequence[str] = (), bucket="auto") -> DataFrame:
+    """Per split row, the product of its own and all later factors (``cum_adj``).
+
+    A NULL factor counts as 1; a zero makes the product zero.
+    """
     on = list(on)
-    w = (Window.partitionBy(*on).orderBy(F.col(date), *[F.col(c) for c in tie_break])
-         .rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    return splits.select(*on, F.col(date).alias("_split_date"), *tie_break,
-                         F.coalesce(F.product(F.col(adj)).over(w), F.lit(1.0)).alias("cum_adj"))
+    d = splits.select(*on, F.col(date).alias("_split_date"), *tie_break, F.col(adj).cast("double").alias("_adj"))
+    d = ordered_scan(d, on, ["_split_date", *tie_break], "_adj", "product", "cum_adj", descending=True, bucket=bucket)
+    return d.withColumn("cum_adj", F.coalesce("cum_adj", F.lit(1.0))).drop("_adj")
 
 
 def _factor(df: DataFrame, splits: DataFrame, on: Sequence[str], at: str, date: str, adj: str,

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quantlake.operators.intervals import exclude_windows
 from quantlake.operators.quality import keep_one
 from quantlake.operators.quantiles import exact_median
 from quantlake.operators.scan import ordered_scan
@@ -29,10 +30,10 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: s
     left_time`` (``>`` when strict).  Right rows at the same time are ordered
     by ``tie_break`` (the last one wins backward, the first forward).  Left
     rows without a match keep NULLs (a left as-of join).  ``bucket`` is a
-    bucket function, a grain name, or ``"auto"`` to size it to the hottest key.
+    bucket function or one of the names :func:`ordered_scans` knows.
 
     As in SQL, NULL keys match nothing, and a NULL time on either side
-    matches nothing; neither does a right date equal to ``missing_date`` (the zero
+    matches nothing; neither does a date equal to ``missing_date`` on either side (the zero
     date that stands for "unknown"; None keeps it).  Such right rows are
     dropped, such left rows skip the scan and keep NULLs, so they never form
     a hot group.
@@ -41,11 +42,15 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: s
     usable = F.lit(True)
     for c in on:
         usable = usable & F.col(c).isNotNull()
-    right = right.where(usable & F.col(right_time).isNotNull())
-    dated = right.schema[right_time].dataType.simpleString()
-    if missing_date and (dated == "date" or dated.startswith("timestamp")):
-        right = right.where(F.col(right_time).cast("date") != F.lit(missing_date).cast("date"))
-    matchable = usable & F.col(left_time).isNotNull()
+
+    def known(df: DataFrame, time: str) -> Column:
+        dated = df.schema[time].dataType.simpleString()
+        if missing_date and (dated == "date" or dated.startswith("timestamp")):
+            return F.col(time).isNotNull() & (F.col(time).cast("date") != F.lit(missing_date).cast("date"))
+        return F.col(time).isNotNull()
+
+    right = right.where(usable & known(right, right_time))
+    matchable = usable & known(left, left_time)
     aside = left.where(~matchable)
     left = left.where(matchable)
     right_cols = list(right_cols or [c for c in right.columns if c not in on])
@@ -72,7 +77,6 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: s
     u = L.unionByName(R)
     if callable(bucket):
         bucket = bucket(F.col("_t"))
-    # "auto" (default) sizes the bucket to the densest key of the union; a grain name also works
     scanned = ordered_scan(u, on, ["_t", "_s", "_tb"], "_p", "last", "_m", inclusive=True,
                            descending=(direction == "forward"), bucket=bucket)
     out = scanned.where(F.col("_l").isNotNull())
@@ -149,9 +153,8 @@ def estimate_panel(est: DataFrame, key: Sequence[str], estimator: str, time: str
     panel = e.select(*k, F.col(value).alias("value"), F.col(time).cast("date").alias("active_from"),
                      F.explode(observation_dates(F.col(time).cast("date"), F.col("_vt2"), grain)).alias("obs_date"))
     if excluded is not None:
-        x = excluded.select(*k, F.col(exc_start).cast("date").alias("_xs"), F.col(exc_end).cast("date").alias("_xe"))
-        cond = [panel[c] == x[c] for c in k] + [panel["obs_date"].between(x["_xs"], x["_xe"])]
-        panel = panel.join(x, cond, "left_anti")
+        # a window without an end excludes nothing here
+        panel = exclude_windows(panel, excluded.where(F.col(exc_end).isNotNull()), k, "obs_date", exc_start, exc_end)
     return panel
 
 

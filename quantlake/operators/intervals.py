@@ -1,22 +1,28 @@
 """Validity-interval operators: interval join, membership filter, exclusion, merge.
 
-Joins on an equi key with the interval as a residual condition, so Spark
-plans a hash/sort-merge join on the key (never a nested loop).  The
-dimension is broadcast only after its row count is proven below a bound;
-above it, both sides shuffle on the key and AQE splits a skewed fact key.
+An equi join on the key with the interval as a residual condition compares every
+fact row with every interval of its key.  Neither form here does:
+
+* a small interval table (size checked) becomes one sorted list a key, broadcast;
+  a binary search finds the few intervals that can hold the row's day, and no
+  fact row is shuffled;
+* otherwise each interval goes into one or two time bins as wide as itself
+  (widths are powers of eight days), and the distinct (key, day) pairs of the facts
+  look into their bin of each width; key, width and bin are the equi key, so a hot key is
+  dealt out by time.  The pairs' matches meet the facts on (key, day).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from quantlake.functions.scalars import LINK_OPEN_VALUES, OPEN_END_DATE, link_end
-from quantlake.operators.joins import broadcast_if_small
-from quantlake.operators.scan import ordered_scan
+from quantlake.operators.joins import FILE_EXPANSION
+from quantlake.operators.scan import input_bytes, ordered_scan
 
 
 def end_date(df: DataFrame, end: str, open_values: Sequence[str] = LINK_OPEN_VALUES) -> Column:
@@ -32,31 +38,98 @@ def _inside(at: Column, s: Column, e: Column, closed: str) -> Column:
     return lo & hi
 
 
+#: Bins of the widest kind hold 8**8 days; no two dates lie further apart.
+_KINDS = range(8)
+
+
+def _sorted_lists(d: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row a key: its intervals by start, each with the greatest end up to it (``m``, which never falls)."""
+    w = Window.partitionBy(*keys).orderBy("_s", "_e")
+    d = d.withColumns({"_n": F.row_number().over(w), "_m": F.max("_e").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))})
+    item = F.struct(F.col("_n").alias("n"), F.col("_s").alias("s"), F.col("_e").alias("e"), F.col("_m").alias("m"), F.col("_p").alias("p"))
+    return d.groupBy(*keys).agg(F.array_sort(F.collect_list(item), lambda a, b: a["n"] - b["n"]).alias("_list"))
+
+
+def _first_place(list_: Column, is_before) -> Column:
+    """How many intervals at the front of ``list_`` fulfil ``is_before``, by binary search."""
+    powers = F.expr("transform(sequence(31 - 1, 0, -1), i -> CAST(shiftleft(1, i) AS INT))")
+    powers = F.filter(powers, lambda p: p <= F.size(list_))
+    return F.aggregate(powers, F.lit(0), lambda at, p: F.when(F.coalesce(is_before(F.get(list_, at + p - 1)), F.lit(False)), at + p).otherwise(at))
+
+
+def _by_lists(fact: DataFrame, d: DataFrame, keys: dict, at: str, closed: str, how: str, columns: Sequence[str], small: bool) -> DataFrame:
+    lists = _sorted_lists(d, list(keys.values()))
+    j = fact.join(F.broadcast(lists) if small else lists, [fact[k] == lists[v] for k, v in keys.items()], "left").drop(*keys.values())
+    day = F.col(at).cast("date")
+    later = (lambda x: x["m"] < day) if closed in ("both", "right") else (lambda x: x["m"] <= day)
+    begun = (lambda x: x["s"] <= day) if closed in ("both", "left") else (lambda x: x["s"] < day)
+    lo, hi = _first_place(F.col("_list"), later), _first_place(F.col("_list"), begun)
+    j = j.withColumns({"_lo": lo, "_hi": hi})
+    near = F.when(F.col("_hi") > F.col("_lo"), F.slice("_list", F.col("_lo") + 1, F.col("_hi") - F.col("_lo")))
+    j = j.withColumn("_hits", F.filter(near, lambda x: _inside(day, x["s"], x["e"], closed))).drop("_list", "_lo", "_hi")
+    some = F.coalesce(F.size("_hits"), F.lit(0)) > 0
+    if how == "left_semi":
+        return j.where(some).drop("_hits")
+    if how == "left_anti":
+        return j.where(~some).drop("_hits")
+    j = j.withColumn("_hit", F.explode_outer("_hits") if how == "left" else F.explode("_hits"))
+    return j.select(*[c for c in fact.columns], *[F.col("_hit")["p"][c].alias(c) for c in columns])
+
+
+def _by_bins(fact: DataFrame, d: DataFrame, keys: dict, at: str, closed: str, how: str, columns: Sequence[str]) -> DataFrame:
+    names = list(keys.values())
+    length = F.datediff("_e", "_s")
+    kind = sum(((length >= F.lit(8 ** (k + 1))).cast("int") for k in _KINDS[:-1]), F.lit(0))
+    width = lambda c: F.pow(F.lit(8.0), c + 1).cast("int")
+    bin_ = lambda day, c: F.floor(F.unix_date(day) / width(c)).cast("int")
+    cut = d.where(length >= 0).withColumn("_kind", kind) \
+        .withColumn("_bin", F.explode(F.sequence(bin_(F.col("_s"), F.col("_kind")), bin_(F.col("_e"), F.col("_kind")))))
+    kinds = d.where(length >= 0).agg(F.collect_set(kind).alias("k")).scalar()          # at most eight
+    asked = F.lit(True)
+    for k in keys:
+        asked = asked & F.col(k).isNotNull()
+    pairs = fact.where(asked & F.col(at).isNotNull()).select(*[F.col(k).alias(v) for k, v in keys.items()], F.col(at).cast("date").alias("_at")).distinct()
+    pairs = pairs.withColumn("_kind", F.explode(kinds)).withColumn("_bin", bin_(F.col("_at"), F.col("_kind")))
+    hits = pairs.join(cut, [*names, "_kind", "_bin"]).where(_inside(F.col("_at"), F.col("_s"), F.col("_e"), closed))
+    if how in ("left_semi", "left_anti"):
+        hits = hits.select(*names, "_at").distinct()
+    else:
+        hits = hits.select(*names, "_at", "_p")
+    j = fact.join(hits, [fact[k] == hits[v] for k, v in keys.items()] + [fact[at].cast("date") == hits["_at"]], how)
+    return j if how in ("left_semi", "left_anti") else j.select(*[fact[c] for c in fact.columns], *[F.col("_p")[c].alias(c) for c in columns])
+
+
 def interval_join(fact: DataFrame, dim: DataFrame, on: Sequence[str] | dict, at: str, start: str, end: str,
                   closed: str = "both", how: str = "left", open_values: Sequence[str] = LINK_OPEN_VALUES,
-                  dim_cols: Sequence[str] | None = None, broadcast_bytes: int | None = None) -> DataFrame:
+                  dim_cols: Sequence[str] | None = None, broadcast_bytes: int = 64 << 20) -> DataFrame:
     """Fact rows joined to the dim row whose [start, end] holds ``at``.
 
     ``on`` maps fact key columns to dim key columns (a list means same names).
     Validity is in days: ``at`` and the interval bounds are compared as dates.
     ``how`` is ``left``/``inner`` (attach attributes) or ``left_semi`` /
     ``left_anti`` (membership filter).  Overlapping dim intervals fan out,
-    exactly as the SQL join would.  ``broadcast_bytes`` broadcasts a stored
-    dim after a size check; by default AQE picks the strategy at run
-    time from measured sizes (and splits a skewed fact key).
+    exactly as the SQL join would.  A NULL key, day or start matches nothing, a NULL end is open.
+
+    A dim whose tables take at most ``broadcast_bytes`` in all, expanded, is
+    broadcast as sorted lists; a larger one is cut into bins (see the module).
+    A streaming fact always meets lists, as a stream is not read twice; a key's
+    intervals then have to fit into a row.
     """
     pairs = dict(on) if isinstance(on, dict) else {k: k for k in on}
-    keep = list(dim_cols or [c for c in dim.columns if c not in pairs.values()])
-    d = dim.select(*[F.col(v).alias(f"_k{i}") for i, v in enumerate(pairs.values())],
-                   F.col(start).cast("date").alias("_s"), end_date(dim, end, open_values).alias("_e"),
-                   *[F.col(c) for c in keep])
-    d = broadcast_if_small(d, broadcast_bytes)
-    cond = [fact[k] == d[f"_k{i}"] for i, k in enumerate(pairs.keys())]
-    cond.append(_inside(fact[at].cast("date"), d["_s"], d["_e"], closed))
-    j = fact.join(d, cond, how)
-    if how in ("left_semi", "left_anti"):
-        return j
-    return j.drop(*[f"_k{i}" for i in range(len(pairs))], "_s", "_e")
+    keys = {k: f"_k{i}" for i, k in enumerate(pairs)}
+    semi = how in ("left_semi", "left_anti")
+    keep = [] if semi else list(dim_cols if dim_cols is not None else [c for c in dim.columns if c not in pairs.values()])
+    payload = F.struct(*[F.col(c).alias(c) for c in keep]) if keep else F.struct(F.lit(0).alias("_none"))
+    d = dim.select(*[F.col(v).alias(keys[k]) for k, v in pairs.items()], F.col(start).cast("date").alias("_s"),
+                   end_date(dim, end, open_values).alias("_e"), payload.alias("_p"))
+    known = F.col("_s").isNotNull()
+    for v in keys.values():
+        known = known & F.col(v).isNotNull()
+    d = d.where(known & F.col("_e").isNotNull())
+    small = not dim.isStreaming and input_bytes(d) * FILE_EXPANSION <= broadcast_bytes
+    if small or fact.isStreaming:
+        return _by_lists(fact, d, keys, at, closed, how, keep, small)
+    return _by_bins(fact, d, keys, at, closed, how, keep)
 
 
 def exclude_windows(df: DataFrame, win: DataFrame, on: Sequence[str], at: str, start: str, end: str,

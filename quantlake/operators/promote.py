@@ -33,36 +33,38 @@ def _keys(main: DataFrame, key: Sequence[str], staging: DataFrame | None = None,
 
     Main rows outside [min, max] of a key column in staging cannot match, so
     the range filter is exact; it reaches the Parquet scan (partition and
-    row-group pruning on a table laid out by that column).  The two bounds
-    are one aggregate row, not data.
+    row-group pruning on a table laid out by that column).  The two bounds are
+    scalar subqueries: they stay in the column's own type and never pass through
+    the session's time zone, and nothing runs while the query is built.
     """
     keys = main.select(*key)
     if prune_on and staging is not None:
-        lo, hi = staging.agg(F.min(prune_on), F.max(prune_on)).first()
-        inside = F.col(prune_on).isNull()
-        if lo is not None:
-            inside = inside | F.col(prune_on).between(F.lit(lo), F.lit(hi))
-        keys = keys.where(inside)
+        lo, hi = (staging.agg(f(prune_on)).scalar() for f in (F.min, F.max))
+        keys = keys.where(F.col(prune_on).isNull() | F.col(prune_on).between(lo, hi))
     return keys
 
 
-def _key(key: Sequence[str]):
-    """All key parts as one struct; it is never NULL itself, so joins on it are NULL-safe."""
-    return F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(key)]).alias("_key")
-
-
-def _match(left: DataFrame, keys: DataFrame, key: Sequence[str], how: str) -> DataFrame:
+def _match(left: DataFrame, keys: DataFrame, key: Sequence[str], how: str, bucketed: bool = False) -> DataFrame:
     """Semi or anti join of ``left`` with ``keys`` in which NULL key parts equal each other.
 
-    Rows with whole keys join on the columns (so a bucketed main keeps its
-    layout); the few with a NULL part meet only main's rows with one, on the struct.
+    One null-safe join, so both sides are read once.  A ``bucketed`` main keeps its
+    layout only in a plain equality join: rows with whole keys join on the columns then,
+    and the few with a NULL part meet only main's rows with one.
     """
+    def safe(rows: DataFrame, others: DataFrame) -> DataFrame:
+        renamed = others.select(*[F.col(k).alias(f"_m{i}") for i, k in enumerate(key)])
+        same = F.lit(True)
+        for i, k in enumerate(key):
+            same = same & F.col(k).eqNullSafe(F.col(f"_m{i}"))
+        return rows.join(renamed, same, how).select(*left.columns)
+
+    if not bucketed:
+        return safe(left, keys)
     whole = F.lit(True)
     for k in key:
         whole = whole & F.col(k).isNotNull()
     plain = left.where(whole).join(keys, list(key), how).select(*left.columns)
-    partial = left.where(~whole).withColumn("_key", _key(key)).join(keys.where(~whole).select(_key(key)), "_key", how)
-    return plain.unionByName(partial.select(*left.columns))
+    return plain.unionByName(safe(left.where(~whole), keys.where(~whole)))
 
 
 def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -77,21 +79,35 @@ def overlap_count(staging: DataFrame, main: DataFrame, key: Sequence[str], prune
 
 
 def new_rows(staging: DataFrame, main: DataFrame, key: Sequence[str], dedupe_within: bool = False,
-             order: Sequence[str] | None = None, prune_on: str | None = None) -> DataFrame:
+             order: Sequence[str] | None = None, prune_on: str | None = None, bucketed: bool = False) -> DataFrame:
     """Staging rows whose key is not in main (a NULL-safe ``LEFT ANTI JOIN``).
 
     ``dedupe_within=True`` also keeps one row per key inside the chunk (the
     reference does not; rows duplicated inside a chunk are appended twice).
     NULL key parts equal each other, so a row with one is not appended again
     when its chunk is promoted again.  ``prune_on`` names a key column (a
-    date) to limit the main side to the chunk's range.
+    date) to limit the main side to the chunk's range.  ``bucketed``: main is
+    stored in buckets of the key.
     """
-    out = _match(staging, _keys(main, key, staging, prune_on), key, "left_anti")
+    out = _match(staging, _keys(main, key, staging, prune_on), key, "left_anti", bucketed)
     if dedupe_within:
         out = keep_one(out, list(key), list(order or out.columns))
     return out
 
 
+def tagged(staging: DataFrame, main: DataFrame, key: Sequence[str], prune_on: str | None = None, flag: str = "_in_main") -> DataFrame:
+    """Staging rows with ``flag``: whether their key is in main (NULL parts equal each other).
+
+    One pass over staging and one over main's keys serve both D6 (rows with the
+    flag) and the promote (rows without it).
+    """
+    keys = _keys(main, key, staging, prune_on).select(*[F.col(k).alias(f"_m{i}") for i, k in enumerate(key)], F.lit(True).alias("_hit")).distinct()
+    same = F.lit(True)
+    for i, k in enumerate(key):
+        same = same & F.col(k).eqNullSafe(F.col(f"_m{i}"))
+    return staging.join(keys, same, "left").select(*staging.columns, F.col("_hit").isNotNull().alias(flag))
+
+
 def pre_promote(main: DataFrame, staging: DataFrame) -> DataFrame:
     """D7 pre-promote row: main and staging counts, one aggregate over a tagged union."""
     t = main.select(F.lit("m").alias("_src")).unionByName(staging.select(F.lit("s").alias("_src")))
@@ -175,7 +191,7 @@ def promote_to_table(spark: SparkSession, staging: DataFrame, table: str, key: S
         write_bucketed(spark.createDataFrame([], staging.schema), table, key, buckets, path)
     main = spark.table(table)
     before = main.count()
-    new = new_rows(staging, main, key, dedupe_within, prune_on=prune_on).select(*staging.columns)
+    new = new_rows(staging, main, key, dedupe_within, prune_on=prune_on, bucketed=True).select(*staging.columns)
     stage_path = scratch_path(spark, "promote")
     new.write.mode("overwrite").parquet(stage_path)
     landed = spark.read.parquet(stage_path)

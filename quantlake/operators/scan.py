@@ -1,21 +1,23 @@
-"""Two-level ordered scans per key, split by a coarse time bucket.
-
-A window ``partitionBy(key).orderBy(t)`` sends every row of a key to one
-task; a key holding a third of all rows would then be sorted by a single
-executor.  The scans here partition by ``(key, bucket)`` instead, where the
-bucket is a coarse, order-preserving function of the time (a month, say):
-
-1. inside each (key, bucket): a window scan over the rows;
-2. per (key, bucket): one summary value (a partial aggregate);
-3. per key over the summaries — at most one row per bucket, a small table —
-   a window scan gives what earlier (or later) buckets carry in;
-4. the carry is joined back on (key, bucket) and combined.
-
-The data side is shuffled once, by (key, bucket); the join in step 4 reuses
-that partitioning, only the summary side moves again.  The summary branch
-reads the input a second time (a pruned columnar scan) but shuffles only
-its partial aggregate — one row per (key, bucket) per map task — which is
-far less than re-shuffling rows.
+"""Ordered scans per key: running values that no single task has to compute alone.
+
+A window ``partitionBy(key).orderBy(t)`` sends every row of a key to one task; a
+key holding a third of all rows would then be sorted by a single executor.
+Where the input may be large the scans here partition by ``(key, bucket)``
+instead, the bucket a non-decreasing function of the order columns:
+
+1. rows are shuffled once, by (key, bucket);
+2. inside each (key, bucket): a window scan over the rows;
+3. per (key, bucket): one summary value, aggregated from the same shuffled rows
+   (the exchange is reused, the input is not read again for it);
+4. per key over the summaries, a small table, a window scan gives what earlier
+   (or later) buckets carry in, which is joined back and combined.
+
+By default buckets are ranges of (key, order columns) between cut points taken from a
+sample of the input, about as many as there are shuffle partitions, so a burst at
+one time is cut as well, by the tie-break columns if need be.  The sample is drawn by a
+hash of the rows, so the cut points are a function of the data alone: any re-run
+of a task sees the same buckets.  Nothing runs while a query is built: the
+sample is a scalar subquery.
 """
 
 from __future__ import annotations
@@ -76,7 +78,10 @@ def _within_agg(op: str, v: Column, w) -> Column:
         return F.last(v, ignorenulls=True).over(w)
     if op == "first":
         return F.first(v, ignorenulls=True).over(w)
-    return {"sum": F.sum, "max": F.max, "min": F.min, "count": F.count}[op](v).over(w)
+    return _AGGREGATES[op](v).over(w)
+
+
+_AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min, "count": F.count, "product": F.product}
 
 
 def _combine(op: str, within: Column, carry: Column) -> Column:
@@ -85,6 +90,9 @@ def _combine(op: str, within: Column, carry: Column) -> Column:
     if op in ("sum", "count"):
         return F.when(within.isNull() & carry.isNull(), F.lit(None)) \
             .otherwise(F.coalesce(within, F.lit(0)) + F.coalesce(carry, F.lit(0)))
+    if op == "product":
+        return F.when(within.isNull() & carry.isNull(), F.lit(None)) \
+            .otherwise(F.coalesce(within, F.lit(1.0)) * F.coalesce(carry, F.lit(1.0)))
     if op == "max":
         return F.greatest(within, carry)   # greatest/least skip NULLs
     if op == "min":
@@ -92,20 +100,39 @@ def _combine(op: str, within: Column, carry: Column) -> Column:
     raise ValueError(op)
 
 
-def auto_width(df: DataFrame, key: Sequence[str], col: str, target_rows: int = 2_000_000) -> float:
-    """Bucket width for a numeric order column, sized like :func:`auto_grain`."""
-    per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"),
-                                   (F.max(col) - F.min(col)).cast("double").alias("_span"))
-    row = per_key.select(F.max(F.col("_n") / F.greatest(F.col("_span"), F.lit(1.0))).alias("_dens")).first()
-    density = float(row["_dens"] or 0.0)
-    return max(1.0, target_rows / density) if density > 0 else 1.0
+#: Input files of this many bytes in all are scanned key by key, without buckets: one task can sort (and spill) them.
+SMALL_BYTES = 64 << 20
+#: Most cut points, and sampled rows for each.
+MAX_CUTS, SAMPLED = 16_384, 16
 
 
-def _auto_bucket(df: DataFrame, key: Sequence[str], col: str) -> Column:
-    t = df.schema[col].dataType.simpleString()
-    if t == "date" or t.startswith("timestamp"):
-        return time_bucket(auto_grain(df, key, col))(col)
-    return F.floor(F.col(col) / F.lit(auto_width(df, key, col)))
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of all tables that ``df`` reads, as the optimizer knows them (file sizes; nothing is run).
+
+    Frames made from local data or RDDs have no known size and count as very large.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def _range_bucket(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``df`` with ``_bk``: how many cut points of ``cols`` lie at or before the row.
+
+    Rows whose hash falls below a share of the hash range, set by the row count, are
+    the sample (about ``SAMPLED`` rows a cut); every SAMPLED-th of them in order is a cut.
+    """
+    cuts = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_CUTS)
+    point = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    sample = df.select(point.alias("_range_point")).where(
+        F.pmod(F.xxhash64("_range_point"), F.lit(1 << 40)) <= F.lit(float(cuts * SAMPLED * (1 << 40))) / F.greatest(rows, F.lit(1)))
+    points = sample.agg(F.sort_array(F.collect_list("_range_point")).alias("_points")) \
+        .select(F.filter("_points", lambda _, i: i % SAMPLED == SAMPLED - 1).alias("_range_cuts")).scalar()
+    d = df.withColumns({"_range_cuts": points, "_range_point": point})
+    # binary search: from the greatest power of two down, step over cuts that are not behind the row
+    powers = F.array(*[F.lit(1 << i) for i in range((2 * cuts).bit_length(), -1, -1)])
+    found = F.aggregate(powers, F.lit(0), lambda at, p: F.when(F.get("_range_cuts", at + p - 1) <= F.col("_range_point"), at + p).otherwise(at))
+    return d.withColumn("_bk", found).drop("_range_cuts", "_range_point")
 
 
 def ordered_scans(df: DataFrame, key: Sequence[str], order: Sequence[str],
@@ -113,31 +140,43 @@ def ordered_scans(df: DataFrame, key: Sequence[str], order: Sequence[str],
                   descending: bool = False, bucket: Column | str | None = "auto") -> DataFrame:
     """Several running values over the same key and order in one pass.
 
-    ``aggs`` = [(value, op, out), ...].  One exchange by (key, bucket), one
-    summary aggregate and one join back serve all of them.
+    ``aggs`` = [(value, op, out), ...].  One exchange serves all of them.
     ``order`` must be a total order inside a key (end it with a tie-break).
     ``op``: ``last`` (newest non-NULL value), ``first``, ``sum``, ``count``,
-    ``max``, ``min``.  ``inclusive`` includes the row itself.  ``descending``
+    ``max``, ``min``, ``product`` (of doubles; a zero stays zero, NULLs are skipped).
+    ``inclusive`` includes the row itself.  ``descending``
     scans from the end (so ``last`` becomes "the next non-NULL value").
-    ``bucket`` must be a non-decreasing function of ``order[0]``.  The default
-    ``"auto"`` sizes it to the densest key (:func:`auto_grain`; one small
-    aggregate, run eagerly); a grain name (``"day"``) or ``None`` (months)
-    is accepted too.
+    ``bucket``: ``"auto"`` (default) cuts ranges of (key, order) from a sample, or
+    scans key by key where all inputs together are at most ``SMALL_BYTES``;
+    ``"range"`` always cuts; a grain name (``"day"``), ``None`` (months) or an own
+    non-decreasing function of ``order[0]`` cuts by time.
     """
     key = list(key)
     if isinstance(bucket, str) and bucket == "auto":
-        bucket = _auto_bucket(df, key, order[0])
-    elif isinstance(bucket, str):
-        bucket = time_bucket(bucket)(order[0])
-    b = bucket if bucket is not None else month_bucket(order[0])
+        bucket = "key" if input_bytes(df) <= SMALL_BYTES else "range"
     vals = {f"_v{i}": (F.col(v) if isinstance(v, str) else v) for i, (v, _, _) in enumerate(aggs)}
+    columns = list(df.columns)
+    if isinstance(bucket, str) and bucket == "key":
+        b = F.lit(0)
+    elif isinstance(bucket, str) and bucket == "range":
+        df = _range_bucket(df, [*key, *order])
+        b = F.col("_bk")
+    elif isinstance(bucket, str):
+        b = time_bucket(bucket)(order[0])
+    else:
+        b = bucket if bucket is not None else month_bucket(order[0])
     # key and bucket in one struct: it is never NULL, and NULL parts are equal to each other in
     # groups, windows and the join alike
     d = df.withColumn("_kb", F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(key)], b.alias("bk"))).withColumns(vals)
+    d = d.select(*columns, "_kb", *vals)
     sort = [F.col(o).desc_nulls_last() if descending else F.col(o).asc_nulls_first() for o in order]
     frame_end = Window.currentRow if inclusive else -1
     w_in = Window.partitionBy("_kb").orderBy(*sort).rowsBetween(Window.unboundedPreceding, frame_end)
-    d = d.withColumns({f"_w{i}": _within_agg(op, F.col(f"_v{i}"), w_in) for i, (_, op, _) in enumerate(aggs)})
+    within = {f"_w{i}": _within_agg(op, F.col(f"_v{i}"), w_in) for i, (_, op, _) in enumerate(aggs)}
+    if isinstance(bucket, str) and bucket == "key":
+        return d.withColumns(within).withColumns({out: F.col(f"_w{i}") for i, (_, _, out) in enumerate(aggs)}).drop("_kb", *vals, *within)
+    d = d.repartition("_kb")
+    rows = d.withColumns(within)
 
     # one summary row per (key, bucket): what the whole bucket passes on
     order_struct = F.struct(*[F.col(o) for o in order])
@@ -149,15 +188,16 @@ def ordered_scans(df: DataFrame, key: Sequence[str], order: Sequence[str],
             ordv = F.when(v.isNotNull(), order_struct)
             totals.append((F.max_by if pick_last else F.min_by)(v, ordv).alias(f"_t{i}"))
         else:
-            totals.append({"sum": F.sum, "max": F.max, "min": F.min, "count": F.count}[op](v).alias(f"_t{i}"))
-    summary = d.groupBy("_kb").agg(*totals)
+            totals.append(_AGGREGATES[op](v).alias(f"_t{i}"))
+    # any one row of the bucket, whole: rows and summary then need the same columns of the same exchange, which is reused
+    summary = d.groupBy("_kb").agg(*totals, F.first(F.struct(*columns)).alias("_one"))
     bsort = F.col("_kb.bk").desc_nulls_last() if descending else F.col("_kb.bk").asc_nulls_first()
     w_c = Window.partitionBy(*[F.col(f"_kb.k{i}") for i in range(len(key))]).orderBy(bsort).rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.select("_kb", *[
-        _within_agg("sum" if op == "count" else op, F.col(f"_t{i}"), w_c).alias(f"_c{i}")
+        F.when(F.col("_one").isNotNull(), _within_agg("sum" if op == "count" else op, F.col(f"_t{i}"), w_c)).alias(f"_c{i}")
         for i, (_, op, _) in enumerate(aggs)])
 
-    res = d.join(summary, "_kb", "left")
+    res = rows.join(summary, "_kb", "left")
     res = res.withColumns({out: _combine(op, F.col(f"_w{i}"), F.col(f"_c{i}"))
                            for i, (_, op, out) in enumerate(aggs)})
     tmp = ["_kb"] + [f"_{p}{i}" for i in range(len(aggs)) for p in ("v", "w", "c")]

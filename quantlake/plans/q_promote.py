@@ -48,6 +48,26 @@ def promote_new_rows(spark, sf):
     return P.new_rows(s, m, KEY, prune_on="ACTDATS")
 
 
+@query("promote_prune_ntz", ops="J2 J3 D6 T2", sql="""
+WITH staging AS (SELECT event_id, user_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-10 05:30:00'),
+main AS (SELECT event_id, user_id, ts FROM events WHERE ts < TIMESTAMP '2024-01-20 21:15:00')
+SELECT 'chunk' AS run, (SELECT count(*) FROM staging s WHERE EXISTS (SELECT 1 FROM main m WHERE m.event_id = s.event_id AND m.ts = s.ts)) AS rows_already_in_main,
+       (SELECT count(*) FROM staging s WHERE NOT EXISTS (SELECT 1 FROM main m WHERE m.event_id = s.event_id AND m.ts = s.ts)) AS new_rows
+UNION ALL
+SELECT 'itself', (SELECT count(*) FROM staging), 0""")
+def promote_prune_ntz(spark, sf):
+    """Overlap and new rows of a chunk whose pruned key is a wall time; any session zone gives the same."""
+    ev = table(spark, sf, "events").select("event_id", "user_id", "ts")
+    s = ev.where(F.col("ts") >= F.lit("2024-01-10 05:30:00").cast("timestamp_ntz"))
+    m = ev.where(F.col("ts") < F.lit("2024-01-20 21:15:00").cast("timestamp_ntz"))
+
+    def counts(run, main):
+        n = P.new_rows(s, main, ["event_id", "ts"], prune_on="ts").agg(F.count(F.lit(1)).alias("n"))
+        return P.overlap_count(s, main, ["event_id", "ts"], prune_on="ts").select(F.lit(run).alias("run"), "rows_already_in_main", n.scalar().alias("new_rows"))
+
+    return counts("chunk", m).unionByName(counts("itself", s))
+
+
 @query("promote_audit", ops="D7 J7 A1 A2", sql=with_ctes(STAGING, MAIN, extra=f"""
 new AS (SELECT s.* FROM staging s WHERE NOT EXISTS (SELECT 1 FROM main m WHERE {_ON})),
 after AS (SELECT * FROM main UNION ALL SELECT * FROM new)""", body="""

@@ -57,6 +57,34 @@ def stream_promote(spark, sf):
     return _out(spark.read.parquet(main))
 
 
+@query("stream_promote_ledger", ops="X1 D1 D2 D3 D4 D5 D6 D8", sql="""
+SELECT 'first' AS run, count(*) AS rows_staged, 0::BIGINT AS rows_already_in_main, count(*) AS rows_promoted, count(*) AS main_rows,
+       count(*) FILTER (WHERE value IS NULL) AS null_values, count(DISTINCT event_type) AS n_event_type,
+       min(value) AS minv, max(value) AS maxv, 0::BIGINT AS dup_rows FROM events
+UNION ALL
+SELECT 'again', count(*), count(*), 0, count(*), count(*) FILTER (WHERE value IS NULL), count(DISTINCT event_type),
+       min(value), max(value), 0 FROM events""")
+def stream_promote_ledger(spark, sf):
+    """Ledger and QC rows of one batch with all events, promoted, and of the same rows under a second checkpoint."""
+    ev = table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type", "value")
+    src, main = scratch_path(spark, "chunk"), scratch_path(spark, "stream-main")
+    ev.write.parquet(src)
+    runs = []
+    for run in ("first", "again"):
+        ckpt, qc = scratch_path(spark, "ckpt"), scratch_path(spark, "qc")
+        X.stream_promote(X.file_stream(spark, src, ev.schema), main, ["event_id", "ts"], ckpt, qc, ["ts"], prune_on="ts",
+                         null_rules={"null_values": F.col("value").isNull()}, value_col="value", code_cols=["event_type"],
+                         thresholds={("batch", "rows"): (">", 0.0)}).awaitTermination()
+        led, q = spark.read.parquet(X.ledger_path(ckpt)), spark.read.parquet(qc)
+        n = spark.read.parquet(main).agg(F.count(F.lit(1)).alias("main_rows"))
+        # the share of NULLs, rounded to four digits, times the rows
+        runs.append(led.join(q.drop("rows_already_in_main"), "batch_id").withColumn("main_rows", n.scalar()).select(
+            F.lit(run).alias("run"), "rows_staged", "rows_already_in_main", "rows_promoted", "main_rows",
+            F.round(F.col("null_values") * F.col("rows")).cast("long").alias("null_values"), "n_event_type", "minv", "maxv", "dup_rows"))
+        runs[-1] = spark.createDataFrame(runs[-1].collect(), runs[-1].schema)      # one row, before main changes again
+    return runs[0].unionByName(runs[1])
+
+
 @query("stream_dedupe", ops="X2 X4", sql=_BATCH)
 def stream_dedupe(spark, sf):
     src, schema = write_chunks(spark, sf)
@@ -73,11 +101,14 @@ SELECT CAST(window_start AS DATE) AS day, count(*) AS rows, round(count(*) FILTE
 FROM w GROUP BY window_start""")
 def stream_window_qc(spark, sf):
     src, schema = write_chunks(spark, sf, overlap=False)
-    sink = scratch_path(spark, "qc")
-    agg = X.stream_qc(X.file_stream(spark, src, schema, max_files=4), "ts", "1 day", "1 hour", "value")
-    X.to_parquet(agg, sink, scratch_path(spark, "ckpt")).awaitTermination()
+    sink, checkpoint = scratch_path(spark, "qc"), scratch_path(spark, "ckpt")
+    control = X.open_control(spark, scratch_path(spark, "control"))
+    for run in ("input", "seal"):
+        if run == "seal":
+            X.seal(spark, control)
+        agg = X.stream_qc(X.file_stream(spark, src, schema, max_files=4), "ts", "1 day", "1 hour", "value", control=control)
+        X.to_parquet(agg, sink, checkpoint).awaitTermination()
     out = spark.read.parquet(sink)
-    out = out.unionByName(X.closing_windows(table(spark, sf, "events"), out, "ts", "1 day", "value"))
     return out.select(F.col("window_start").cast("date").alias("day"), "rows", "pct_null", "minv", "maxv")
 
 
