@@ -46,34 +46,41 @@ def _sorted_lists(d: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row a key: its intervals by start, each with the greatest end up to it (``m``, which never falls)."""
     w = Window.partitionBy(*keys).orderBy("_s", "_e")
     d = d.withColumns({"_n": F.row_number().over(w), "_m": F.max("_e").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))})
+    # n is unique in a key, so the order never looks further
     item = F.struct(F.col("_n").alias("n"), F.col("_s").alias("s"), F.col("_e").alias("e"), F.col("_m").alias("m"), F.col("_p").alias("p"))
-    return d.groupBy(*keys).agg(F.array_sort(F.collect_list(item), lambda a, b: a["n"] - b["n"]).alias("_list"))
+    return d.groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias("_list"))
+
+
+#: Lists of so many intervals are looked through as they are.
+_SHORT = 16
 
 
 def _first_place(list_: Column, is_before) -> Column:
     """How many intervals at the front of ``list_`` fulfil ``is_before``, by binary search."""
-    powers = F.expr("transform(sequence(31 - 1, 0, -1), i -> CAST(shiftleft(1, i) AS INT))")
-    powers = F.filter(powers, lambda p: p <= F.size(list_))
-    return F.aggregate(powers, F.lit(0), lambda at, p: F.when(F.coalesce(is_before(F.get(list_, at + p - 1)), F.lit(False)), at + p).otherwise(at))
+    steps = F.sequence(F.floor(F.log2(F.size(list_))).cast("int"), F.lit(0), F.lit(-1))
+    return F.aggregate(steps, F.lit(0), lambda at, i: F.when(
+        F.coalesce(is_before(F.get(list_, at + F.call_function("shiftleft", F.lit(1), i) - 1)), F.lit(False)), at + F.call_function("shiftleft", F.lit(1), i)).otherwise(at))
 
 
 def _by_lists(fact: DataFrame, d: DataFrame, keys: dict, at: str, closed: str, how: str, columns: Sequence[str], small: bool) -> DataFrame:
     lists = _sorted_lists(d, list(keys.values()))
     j = fact.join(F.broadcast(lists) if small else lists, [fact[k] == lists[v] for k, v in keys.items()], "left").drop(*keys.values())
-    day = F.col(at).cast("date")
-    later = (lambda x: x["m"] < day) if closed in ("both", "right") else (lambda x: x["m"] <= day)
+    day, all_ = F.col(at).cast("date"), F.col("_list")
+    over = (lambda x: x["m"] < day) if closed in ("both", "right") else (lambda x: x["m"] <= day)
     begun = (lambda x: x["s"] <= day) if closed in ("both", "left") else (lambda x: x["s"] < day)
-    lo, hi = _first_place(F.col("_list"), later), _first_place(F.col("_list"), begun)
-    j = j.withColumns({"_lo": lo, "_hi": hi})
-    near = F.when(F.col("_hi") > F.col("_lo"), F.slice("_list", F.col("_lo") + 1, F.col("_hi") - F.col("_lo")))
-    j = j.withColumn("_hits", F.filter(near, lambda x: _inside(day, x["s"], x["e"], closed))).drop("_list", "_lo", "_hi")
-    some = F.coalesce(F.size("_hits"), F.lit(0)) > 0
-    if how == "left_semi":
-        return j.where(some).drop("_hits")
-    if how == "left_anti":
-        return j.where(~some).drop("_hits")
-    j = j.withColumn("_hit", F.explode_outer("_hits") if how == "left" else F.explode("_hits"))
-    return j.select(*[c for c in fact.columns], *[F.col("_hit")["p"][c].alias(c) for c in columns])
+    bounds = F.struct(_first_place(all_, over).alias("lo"), _first_place(all_, begun).alias("hi"))
+    # bounds are bound to a variable, so they are worked out once
+    cut = F.transform(F.array(bounds), lambda b: F.slice(all_, b["lo"] + 1, F.greatest(b["hi"] - b["lo"], F.lit(0))))[0]
+    near = F.when(F.size(all_) <= _SHORT, all_).when(F.size(all_) > _SHORT, cut)
+    hits = F.filter(near, lambda x: _inside(day, x["s"], x["e"], closed))
+    if how in ("left_semi", "left_anti"):
+        some = F.coalesce(F.size(hits), F.lit(0)) > 0
+        return j.where(some if how == "left_semi" else ~some).drop("_list")
+    # an outer generator and a filter behind it: a filter before it would work the hits out twice
+    j = j.select(*fact.columns, F.explode_outer(hits).alias("_hit"))
+    if how == "inner":
+        j = j.where("_hit IS NOT NULL")
+    return j.select(*fact.columns, *[F.col("_hit")["p"][c].alias(c) for c in columns])
 
 
 def _by_bins(fact: DataFrame, d: DataFrame, keys: dict, at: str, closed: str, how: str, columns: Sequence[str]) -> DataFrame:
@@ -125,7 +132,7 @@ def interval_join(fact: DataFrame, dim: DataFrame, on: Sequence[str] | dict, at:
     known = F.col("_s").isNotNull()
     for v in keys.values():
         known = known & F.col(v).isNotNull()
-    d = d.where(known & F.col("_e").isNotNull())
+    d = d.where(known)          # an end that is no date fits no day below
     small = not dim.isStreaming and input_bytes(d) * FILE_EXPANSION <= broadcast_bytes
     if small or fact.isStreaming:
         return _by_lists(fact, d, keys, at, closed, how, keep, small)

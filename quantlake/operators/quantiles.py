@@ -2,19 +2,11 @@
 
 Spark's ``percentile``/``median`` aggregate holds every value of a group in
 one task's memory, so a group with a third of all rows would sit on one
-executor.  Here the candidates are narrowed level by level:
-
-1. the two ranks to interpolate between are known from the group count;
-2. ``percentile_approx`` per group gives up to ``cuts`` cut points (a
-   bounded sketch, merged map-side); each value gets the bucket between two
-   cut points (order-preserving, equal values share a bucket);
-3. row counts per (group, bucket) are a partial aggregate; a running sum over
-   that small table finds the buckets holding the two ranks, and only rows in
-   that contiguous bucket range stay candidates (ranks shift accordingly);
-4. this repeats while the largest candidate group has more than
-   ``max_group_rows`` rows — each level keeps about 1/``cuts`` of a group;
-5. the remaining candidates are collapsed to (value, count) pairs and a
-   running count picks the two values exactly.
+executor.  Here equal values of a group are counted first (a partial
+aggregate), and a running count over the distinct values in their order, an
+:func:`~quantlake.operators.scan.ordered_scan` that cuts a large group into value
+ranges, tells which two values hold the ranks to interpolate between.  It is
+one lazy plan of a fixed number of steps: nothing runs while it is built.
 
 The result equals SQL ``percentile_cont`` / DuckDB ``median``.
 """
@@ -23,29 +15,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quantlake.session import materialize
-
-
-def _largest_group(cand: DataFrame) -> int:
-    """Row count of the largest candidate group (one scalar)."""
-    counts = cand.groupBy("_g").agg(F.count(F.lit(1)).alias("_c"))
-    v = counts.agg(F.max("_c")).first()[0]
-    return int(v or 0)
+from quantlake.operators.scan import ordered_scan
 
 
 def exact_percentile(df: DataFrame, col: str, by: Sequence[str] | str | None = None, p: float = 0.5,
-                     name: str | None = None, cuts: int = 256, accuracy: int = 20000,
-                     max_group_rows: int = 1_000_000, max_levels: int = 6,
-                     materialize_input: bool = True) -> DataFrame:
+                     name: str | None = None, bucket="auto") -> DataFrame:
     """Interpolated percentile of ``col`` per group (NULL/NaN dropped).
 
     Returns one row per group with at least one value: ``by... , name``.
-    With ``materialize_input`` the narrow (group, value) input and each
-    level's candidates are written to the shared checkpoint folder, so an
-    expensive upstream plan is not recomputed (this runs jobs eagerly).
+    ``bucket`` is that of :func:`~quantlake.operators.scan.ordered_scans`.
     """
     by = [by] if isinstance(by, str) else list(by or [])
     name = name or f"p{int(round(p * 100))}_{col}"
@@ -53,51 +34,14 @@ def exact_percentile(df: DataFrame, col: str, by: Sequence[str] | str | None = N
     names = by or ["_all"]
     group = F.struct(*[F.col(c).alias(f"g{i}") for i, c in enumerate(by)]) if by else F.struct(F.lit(0).alias("g0"))
     x = df.select(group.alias("_g"), F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    if materialize_input:
-        x = materialize(x, "percentile-input")
-
-    n = x.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
-    pos = (F.col("_n") - 1) * F.lit(float(p))
-    # 0-based ranks, relative to the first candidate of the group
-    ranks = n.select("_g", F.floor(pos).cast("long").alias("_r_lo"),
-                                            F.ceil(pos).cast("long").alias("_r_hi"),
-                                            (pos - F.floor(pos)).alias("_frac"))
-    cand = x
-    probs = [i / cuts for i in range(1, cuts)]
-    biggest = _largest_group(cand)
-    for _ in range(max_levels):
-        if biggest <= max_group_rows:
-            break
-        sketch = cand.groupBy("_g").agg(F.percentile_approx("_x", probs, accuracy).alias("_cuts"))
-        keyed = cand.join(sketch, "_g").select("_g", "_x", F.size(F.filter("_cuts", lambda c: c < F.col("_x"))).alias("_b"))
-        per_bucket = keyed.groupBy("_g", "_b").agg(F.count(F.lit(1)).alias("_cnt"))
-        w = Window.partitionBy("_g").orderBy("_b")
-        per_bucket = per_bucket.withColumn("_before", F.sum("_cnt").over(w) - F.col("_cnt"))
-        holds = lambda r: (F.col(r) >= F.col("_before")) & (F.col(r) < F.col("_before") + F.col("_cnt"))
-        hit = per_bucket.join(ranks, "_g").where(holds("_r_lo") | holds("_r_hi"))
-        span = hit.groupBy("_g").agg(F.min("_b").alias("_b0"), F.max("_b").alias("_b1"), F.min("_before").alias("_off"))
-        nxt = keyed.join(span, "_g").where(F.col("_b").between(F.col("_b0"), F.col("_b1"))).select("_g", "_x")
-        nxt = materialize(nxt, "percentile-level") if materialize_input else nxt
-        ranks = ranks.join(span.select("_g", "_off"), "_g").select(
-            "_g", (F.col("_r_lo") - F.col("_off")).alias("_r_lo"), (F.col("_r_hi") - F.col("_off")).alias("_r_hi"), "_frac")
-        if materialize_input:
-            ranks = materialize(ranks, "percentile-ranks")
-        shrunk = _largest_group(nxt)
-        cand = nxt
-        if shrunk * 2 > biggest:       # no real progress (e.g. one repeated value): finish exactly
-            break
-        biggest = shrunk
-
-    vals = cand.groupBy("_g", "_x").agg(F.count(F.lit(1)).alias("_k"))
-    wv = Window.partitionBy("_g").orderBy("_x")
-    vals = vals.withColumn("_end", F.sum("_k").over(wv)).join(ranks, "_g") \
-        .withColumn("_first", F.col("_end") - F.col("_k")).withColumn("_last", F.col("_end") - 1)
-    hit_lo = (F.col("_r_lo") >= F.col("_first")) & (F.col("_r_lo") <= F.col("_last"))
-    hit_hi = (F.col("_r_hi") >= F.col("_first")) & (F.col("_r_hi") <= F.col("_last"))
-    agg = [F.max(F.when(hit_lo, F.col("_x"))).alias("_lo"), F.max(F.when(hit_hi, F.col("_x"))).alias("_hi"),
-           F.first("_frac").alias("_frac")]
-    picked = vals.where(hit_lo | hit_hi)
-    picked = picked.groupBy("_g").agg(*agg)
+    values = x.groupBy("_g", "_x").agg(F.count(F.lit(1)).alias("_k"))
+    sizes = values.groupBy("_g").agg(F.sum("_k").alias("_n"))
+    run = ordered_scan(values, ["_g"], ["_x"], "_k", "sum", "_end", bucket=bucket)
+    pos = (F.col("_n") - 1) * F.lit(float(p))                 # 0-based and fractional
+    inside = lambda rank: (rank >= F.col("_end") - F.col("_k")) & (rank < F.col("_end"))
+    j = run.join(sizes, "_g").withColumns({"_at_lo": inside(F.floor(pos)), "_at_hi": inside(F.ceil(pos)), "_frac": pos - F.floor(pos)})
+    picked = j.where("_at_lo OR _at_hi").groupBy("_g").agg(
+        F.max(F.when(F.col("_at_lo"), F.col("_x"))).alias("_lo"), F.max(F.when(F.col("_at_hi"), F.col("_x"))).alias("_hi"), F.max("_frac").alias("_frac"))
     val = F.when(F.col("_frac") == 0, F.col("_lo")) \
         .otherwise(F.col("_lo") + F.col("_frac") * (F.col("_hi") - F.col("_lo")))
     return picked.select(*[F.col(f"_g.g{i}").alias(c) for i, c in enumerate(names) if by], val.alias(name))

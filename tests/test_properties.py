@@ -79,7 +79,7 @@ def test_merge_intervals_cover_same_days_without_overlap(spark, rows):
        st.sampled_from([0.0, 0.25, 0.5, 0.9, 1.0]))
 def test_exact_percentile_matches_interpolation(spark, rows, p):
     df = spark.createDataFrame([(k, float(v)) for k, v in rows], "k string, x double")
-    got = {r.k: r.q for r in exact_percentile(df, "x", "k", p, "q", materialize_input=False).collect()}
+    got = {r.k: r.q for r in exact_percentile(df, "x", "k", p, "q").collect()}
     for k in {r[0] for r in rows}:
         xs = sorted(float(v) for kk, v in rows if kk == k)
         pos = (len(xs) - 1) * p

@@ -98,12 +98,11 @@ def test_exact_percentile_refines_hot_group(spark):
     rows += [("same", 3.0)] * 700 + [("tiny", 1.0), ("tiny", 2.0)]
     df = spark.createDataFrame(rows, "g string, x double")
     for p in (0.5, 0.37):
-        got = {r.g: r.q for r in exact_percentile(df, "x", "g", p, "q", cuts=16, max_group_rows=50).collect()}
+        got = {r.g: r.q for r in exact_percentile(df, "x", "g", p, "q", bucket="range").collect()}
         for g in ("hot", "same", "tiny"):
             want = float(np.percentile([x for gg, x in rows if gg == g], p * 100))
             assert abs(got[g] - want) < 1e-9, (g, p)
-    one = exact_percentile(df.where("g = 'hot'"), "x", None, 0.5, "q", cuts=16, max_group_rows=50,
-                           materialize_input=False).first().q
+    one = exact_percentile(df.where("g = 'hot'"), "x", None, 0.5, "q", bucket="range").first().q
     assert abs(one - float(np.median([x for g, x in rows if g == "hot"]))) < 1e-9
 
 
