@@ -236,3 +236,24 @@ def periodicity_1char(c) -> Column:
     """Periodicity as one letter: the actuals tables write ``ANN``/``QTR``/``SAN``,
     the stop tables ``A``/``Q``/``S``; the first letter is the common key."""
     return F.upper(F.substring(F.trim(_c(c).cast("string")), 1, 1))
+
+
+def price_and_flag(price, flag) -> tuple[Column, Column]:
+    """(price, kind): the price as it is, and what it is: ``trade``, ``quote`` (a flagged or negative price, the
+    mean of bid and offer), ``missing`` (NULL or zero).  Neither overwrites the other.
+    """
+    p, f = _c(price), F.upper(F.trim(_c(flag).cast("string")))
+    kind = F.when(p.isNull() | (p == 0), F.lit("missing")).when((p < 0) | (f == "BA"), F.lit("quote")).otherwise(F.lit("trade"))
+    return p, kind
+
+
+def market_cap(price, shares) -> Column:
+    """price × shares; the sign that marks a quote is no part of the price.  NULL where either is missing or the price is zero."""
+    p = F.abs(_c(price))
+    return F.when(p > 0, p * _c(shares))
+
+
+def cap_matches(price, shares, stored, tol: float = 1e-6) -> Column:
+    """whether the stored cap is the computed one, to a share ``tol`` of it (NULL where either is unknown)."""
+    cap = market_cap(price, shares)
+    return F.abs(cap - _c(stored)) <= F.lit(tol) * F.greatest(F.abs(cap), F.lit(1.0))

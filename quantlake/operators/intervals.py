@@ -83,27 +83,38 @@ def _by_lists(fact: DataFrame, d: DataFrame, keys: dict, at: str, closed: str, h
     return j.select(*fact.columns, *[F.col("_hit")["p"][c].alias(c) for c in columns])
 
 
+def _bin(day: Column, kind: Column) -> Column:
+    return F.floor(F.unix_date(day) / F.pow(F.lit(8.0), kind + 1)).cast("int")
+
+
+def _kind() -> Column:
+    """The kind of an interval: its bins are at least as wide as itself, and less than eight times as wide (or eight days)."""
+    return sum(((F.datediff("_e", "_s") >= F.lit(8 ** (k + 1))).cast("int") for k in _KINDS[:-1]), F.lit(0))
+
+
+def _binned(d: DataFrame) -> DataFrame:
+    """Intervals with ``_kind`` and each ``_bin`` they touch, two at most."""
+    d = d.where(F.datediff("_e", "_s") >= 0).withColumn("_kind", _kind())
+    return d.withColumn("_bin", F.explode(F.sequence(_bin(F.col("_s"), F.col("_kind")), _bin(F.col("_e"), F.col("_kind")))))
+
+
+def _asked(fact: DataFrame, d: DataFrame, keys: dict, at: str) -> DataFrame:
+    """The facts' distinct (key, day) pairs, with the ``_bin`` of each kind that occurs in ``d``."""
+    known = F.col(at).isNotNull()
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    kinds = d.where(F.datediff("_e", "_s") >= 0).agg(F.collect_set(_kind()).alias("k")).scalar()          # eight at most
+    pairs = fact.where(known).select(*[F.col(k).alias(v) for k, v in keys.items()], F.col(at).cast("date").alias("_at")).distinct()
+    return pairs.withColumn("_kind", F.explode(kinds)).withColumn("_bin", _bin(F.col("_at"), F.col("_kind")))
+
+
 def _by_bins(fact: DataFrame, d: DataFrame, keys: dict, at: str, closed: str, how: str, columns: Sequence[str]) -> DataFrame:
     names = list(keys.values())
-    length = F.datediff("_e", "_s")
-    kind = sum(((length >= F.lit(8 ** (k + 1))).cast("int") for k in _KINDS[:-1]), F.lit(0))
-    width = lambda c: F.pow(F.lit(8.0), c + 1).cast("int")
-    bin_ = lambda day, c: F.floor(F.unix_date(day) / width(c)).cast("int")
-    cut = d.where(length >= 0).withColumn("_kind", kind) \
-        .withColumn("_bin", F.explode(F.sequence(bin_(F.col("_s"), F.col("_kind")), bin_(F.col("_e"), F.col("_kind")))))
-    kinds = d.where(length >= 0).agg(F.collect_set(kind).alias("k")).scalar()          # at most eight
-    asked = F.lit(True)
-    for k in keys:
-        asked = asked & F.col(k).isNotNull()
-    pairs = fact.where(asked & F.col(at).isNotNull()).select(*[F.col(k).alias(v) for k, v in keys.items()], F.col(at).cast("date").alias("_at")).distinct()
-    pairs = pairs.withColumn("_kind", F.explode(kinds)).withColumn("_bin", bin_(F.col("_at"), F.col("_kind")))
-    hits = pairs.join(cut, [*names, "_kind", "_bin"]).where(_inside(F.col("_at"), F.col("_s"), F.col("_e"), closed))
-    if how in ("left_semi", "left_anti"):
-        hits = hits.select(*names, "_at").distinct()
-    else:
-        hits = hits.select(*names, "_at", "_p")
+    semi = how in ("left_semi", "left_anti")
+    hits = _asked(fact, d, keys, at).join(_binned(d), [*names, "_kind", "_bin"]).where(_inside(F.col("_at"), F.col("_s"), F.col("_e"), closed))
+    hits = hits.select(*names, "_at").distinct() if semi else hits.select(*names, "_at", "_p")
     j = fact.join(hits, [fact[k] == hits[v] for k, v in keys.items()] + [fact[at].cast("date") == hits["_at"]], how)
-    return j if how in ("left_semi", "left_anti") else j.select(*[fact[c] for c in fact.columns], *[F.col("_p")[c].alias(c) for c in columns])
+    return j if semi else j.select(*[fact[c] for c in fact.columns], *[F.col("_p")[c].alias(c) for c in columns])
 
 
 def interval_join(fact: DataFrame, dim: DataFrame, on: Sequence[str] | dict, at: str, start: str, end: str,
@@ -139,6 +150,23 @@ def interval_join(fact: DataFrame, dim: DataFrame, on: Sequence[str] | dict, at:
     return _by_bins(fact, d, keys, at, closed, how, keep)
 
 
+def compose_links(first: DataFrame, second: DataFrame, via: Sequence[str], start: str, end: str,
+                  open_values: Sequence[str] = LINK_OPEN_VALUES) -> DataFrame:
+    """Two dated link tables as one: ids of both, valid where both links are.
+
+    ``via`` are the columns that both have (the id in the middle); ``start`` and ``end`` are
+    those columns' names in both and in the result, whose interval is the intersection, as dates (an
+    open end is far in the future).  So a chain of links is itself an interval table, and may
+    be composed further or joined by :func:`interval_join`.  A NULL id or start links nothing.
+    """
+    via = list(via)
+    a = first.withColumns({start: F.col(start).cast("date"), end: end_date(first, end, open_values)})
+    b = second.select(*via, *[c for c in second.columns if c not in (*via, start, end)], F.col(start).cast("date").alias("_s2"),
+                      end_date(second, end, open_values).alias("_e2"))
+    j = a.join(b, via).where((F.col("_s2") <= F.col(end)) & (F.col("_e2") >= F.col(start)))
+    return j.withColumns({start: F.greatest(start, "_s2"), end: F.least(end, "_e2")}).drop("_s2", "_e2")
+
+
 def exclude_windows(df: DataFrame, win: DataFrame, on: Sequence[str], at: str, start: str, end: str,
                     closed: str = "both") -> DataFrame:
     """Drop rows whose ``at`` falls inside an exclusion window of the same key.

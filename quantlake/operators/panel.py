@@ -25,9 +25,12 @@ OLD_TO_NEW = {"date": "DlyCalDt", "PRC": "DlyPrc", "RET": "DlyRet", "RETX": "Dly
 
 
 def union_formats(old: DataFrame, new: DataFrame, column_map: Mapping[str, str], key: Sequence[str],
-                  prefer: str = "new") -> DataFrame:
+                  prefer: str = "new", latest: Sequence[str] | None = None) -> DataFrame:
     """Old-format rows renamed to the new names, unioned by name.
 
+    ``latest`` (order columns of the common names, greatest first) keeps one row a key
+    inside each source before they meet, for updates that repeat a key (U4).
+
     Where both formats have a key, the preferred side wins (an anti join
     drops the other side's rows).  A ``source`` column tells them apart;
     columns one side lacks are NULL.  Cumulative and daily factor columns
@@ -35,6 +38,8 @@ def union_formats(old: DataFrame, new: DataFrame, column_map: Mapping[str, str],
     """
     o = old.withColumnsRenamed(dict(column_map)).withColumn("source", F.lit("old"))
     n = new.withColumn("source", F.lit("new"))
+    if latest is not None:
+        o, n = (keep_one(x, list(key), [F.col(c).desc_nulls_last() for c in latest]) for x in (o, n))
     if prefer == "new":
         o = o.join(n.select(*key).distinct(), list(key), "left_anti")
     else:
@@ -103,6 +108,37 @@ def index_returns(panel: DataFrame, date: str, ret: str, weight: str, digits: in
         F.count(r).alias("n"))
 
 
+# fixed value: the classes of a computed return against a stored one
+_SAME, _CLOSE, _OFF, _ONLY_OURS, _ONLY_STORED = "same", "close", "off", "not stored", "not computed"
+
+
+def index_panel(prices: DataFrame, members: DataFrame, key: Sequence[str], date: str, ret: str, weight: str,
+                member_from: str, member_to: str, lag_by: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
+    """Value- and equal-weighted mean return per date over the constituents of that date.
+
+    A security counts on the days inside one of its membership intervals (:func:`interval_join`;
+    an open end by the link rules).  Lagged weights (``lag_by``) are taken before the
+    membership, so the first day of a member is weighted by its cap of the day before.
+    """
+    from quantlake.operators.intervals import interval_join
+
+    if lag_by:
+        prices = ordered_scan(prices, list(lag_by), [date], F.struct(F.col(weight).alias("v")), "last", "_before", inclusive=False) \
+            .withColumn("_w_lag", F.col("_before.v")).drop("_before")
+        weight = "_w_lag"
+    inside = interval_join(prices, members, list(key), date, member_from, member_to, how="left_semi")
+    return index_returns(inside, date, ret, weight, digits)
+
+
+def compare_returns(computed: DataFrame, stored: DataFrame, date: str, col: str, stored_col: str,
+                    same: float = 1e-6, close: float = 1e-4) -> DataFrame:
+    """Computed beside stored returns of every date that either has, with the class of their difference."""
+    c, s = computed.select(date, F.col(col).alias("computed")), stored.select(date, F.col(stored_col).alias("stored"))
+    diff = F.abs(F.col("computed") - F.col("stored"))
+    return c.join(s, date, "full").withColumn("class", F.when(F.col("stored").isNull(), F.lit(_ONLY_OURS)).when(F.col("computed").isNull(), F.lit(_ONLY_STORED))
+                                              .when(diff <= same, F.lit(_SAME)).when(diff <= close, F.lit(_CLOSE)).otherwise(F.lit(_OFF)))
+
+
 def distribution_rollup(d: DataFrame, key: Sequence[str], date: str, amount: str) -> DataFrame:
     """Distributions per security and year (sum as exact decimal, count, last ex-date)."""
     return d.groupBy(*key, F.year(date).cast("int").alias("year")).agg(

@@ -126,15 +126,65 @@ def staging_qc(df: DataFrame, date_cols: Sequence[str], null_rules: Mapping[str,
                approx: bool = False) -> DataFrame:
     """D1–D5 in one pass over the staged chunk (one wide row per group).
 
-    The single-column distincts and the key-tuple distinct run as one
-    aggregate; Spark plans them with an ``Expand`` and partial aggregation.
+    Exact distincts of several columns in one aggregate would multiply every row
+    (``Expand``).  Instead rows are grouped by the key, and the groups by the codes, each with
+    partial counts that add up; only the combinations of codes, few against the
+    rows, are looked at once for every code.  Codes outside the key are combined on their
+    own, from those columns alone.  ``approx`` uses sketches in one aggregate.
     """
-    exprs = (row_count_exprs(date_cols) + null_profile_exprs(null_rules)
-             + value_extreme_exprs(value_col) + distinct_exprs(code_cols, approx))
-    key_struct = F.struct(*[F.col(k) for k in key])
-    dup = (F.count(F.lit(1)) - (F.approx_count_distinct(key_struct) if approx
-                                else F.count_distinct(key_struct))).cast("long").alias("dup_rows")
-    return _agg(df, by, exprs + [dup])
+    by = _by(by)
+    if approx:
+        exprs = (row_count_exprs(date_cols) + null_profile_exprs(null_rules)
+                 + value_extreme_exprs(value_col) + distinct_exprs(code_cols, True))
+        dup = (F.count(F.lit(1)) - F.approx_count_distinct(F.struct(*[F.col(k) for k in key]))).cast("long").alias("dup_rows")
+        return _agg(df, by, exprs + [dup])
+    key, codes = list(key), list(code_cols)
+    named = {f"_by{i}": F.col(c) for i, c in enumerate(by)} | {f"_key{i}": F.col(c) for i, c in enumerate(key)}
+    outside = [c for c in codes if c not in key]
+    v = F.col(value_col)
+    # figure: (value of a row, how partial figures add up)
+    figures = {"rows": (F.lit(1), F.sum)}
+    for c in date_cols:
+        figures |= {f"min_{c.lower()}": (F.col(c), F.min), f"max_{c.lower()}": (F.col(c), F.max)}
+    figures |= {name: (F.when(rule, 1).otherwise(0), F.sum) for name, rule in null_rules.items()}
+    figures |= {"minv": (v, F.min), "maxv": (v, F.max), "n_neg99999": (F.when(v == F.lit(S.VALUE_SENTINEL), 1).otherwise(0), F.sum),
+                "n_extreme": (F.when(F.abs(v) > F.lit(S.VALUE_LIMIT), 1).otherwise(0), F.sum)}
+    figure_cols = {f"_f{i}": name for i, name in enumerate(figures)}
+    add = [how(f).alias(f) for f, (_, how) in zip(figure_cols, figures.values())]
+    rows = df.select(*[c.alias(n) for n, c in named.items()], *[x.alias(f) for f, (x, _) in zip(figure_cols, figures.values())])
+    keys = rows.groupBy(*named).agg(*add)
+    bys = [f"_by{i}" for i in range(len(by))]
+    values = {f"_v{i}": c for i, c in enumerate(codes)}
+    combos = keys.groupBy(*bys, *dict.fromkeys(f"_key{key.index(c)}" for c in codes if c in key)).agg(*add, F.count(F.lit(1)).alias("_keys"))
+    carried = [*figure_cols, "_keys"]
+
+    def entry(which: int, value: dict) -> Column:
+        """A row of figures (which = -1), or one of a code's values."""
+        cols = [F.lit(which).alias("code"), *[(value[n] if n in value else F.lit(None)).cast(df.schema[c].dataType).alias(n) for n, c in values.items()]]
+        return F.struct(*cols, *[(F.col(f) if which < 0 else F.lit(None)).cast(combos.schema[f].dataType).alias(f) for f in carried])
+
+    within = [entry(-1, {}), *[entry(i, {n: F.col(f"_key{key.index(c)}")}) for i, (n, c) in enumerate(values.items()) if c in key]]
+    long = combos.select(*bys, F.explode(F.array(*within)).alias("_e")).select(*bys, "_e.*")
+    if outside:
+        apart = df.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], *[F.col(c).alias(f"_out{i}") for i, c in enumerate(outside)]).distinct()
+        others = [entry(i, {n: F.col(f"_out{outside.index(c)}")}) for i, (n, c) in enumerate(values.items()) if c in outside]
+        long = long.unionByName(apart.select(*bys, F.explode(F.array(*others)).alias("_e")).select(*bys, "_e.*"))
+    once = long.groupBy(*bys, "code", *values).agg(*add, F.sum("_keys").alias("_keys"))
+    total = F.sum("_f0")
+    # a share is the sum of its rows over all rows; no rows: NULL, and counts are 0
+    exprs = []
+    for f, name in figure_cols.items():
+        how = figures[name][1]
+        if name in null_rules:
+            exprs.append(F.round(F.try_divide(F.sum(f).cast("double"), total.cast("double")), 4).alias(name))
+        elif how is F.sum:
+            exprs.append(F.coalesce(F.sum(f), F.lit(0)).cast("long").alias(name))
+        else:
+            exprs.append(how(f).alias(name))
+    exprs += [F.count_if((F.col("code") == i) & F.col(n).isNotNull()).alias(f"n_{c.lower()}") for i, (n, c) in enumerate(values.items())]
+    exprs.append(F.coalesce(total - F.sum("_keys"), F.lit(0)).cast("long").alias("dup_rows"))
+    out = once.groupBy(*bys).agg(*exprs) if by else once.agg(*exprs)
+    return out.withColumnsRenamed({f"_by{i}": c for i, c in enumerate(by)})
 
 
 def _as_number(df: DataFrame, c: str) -> Column:

@@ -15,6 +15,8 @@ from quantlake.plans.catalog import query
 from quantlake.plans.tables import table
 from quantlake.session import scratch_path
 from quantlake.sources import ingest as I
+from quantlake.sources import manifest as M
+from quantlake.sources import sinks
 from quantlake.sources.specs import spec
 
 ORDERS_SPEC = spec("vendor.orders",
@@ -103,3 +105,36 @@ def csv_load_staged(spark, sf):
     target = scratch_path(spark, "table")
     I.load(spark, ORDERS_SPEC, write_extract(spark, sf), target, scratch_path(spark, "stage"), mode="overwrite")
     return spark.read.parquet(target)
+
+
+RANGES = [1996, 1997, ("1998-01-01", "1998-06-30"), ("1998-07-01", "1998-12-31"), 1999, 2000, 2001, 2050]
+PLAIN_SPEC = spec("vendor.orders", "o_orderkey:long! o_custkey:long! o_totalprice:double o_orderdate:date!", natural_key=("o_orderkey",))
+
+
+@query("csv_load_manifest", ops="T1 S1 S4 S14 S21 S25 F10", sql="""
+WITH r AS (SELECT o_orderkey, CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' OR o_orderdate >= TIMESTAMP '1999-01-01'
+                  THEN make_date(year(o_orderdate), 1, 1) WHEN o_orderdate < TIMESTAMP '1998-07-01' THEN DATE '1998-01-01' ELSE DATE '1998-07-01' END AS start
+           FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '2002-01-01')
+SELECT start, CAST(count(*) AS BIGINT) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum, 'held' AS state FROM r GROUP BY start
+UNION ALL SELECT DATE '2050-01-01', 0, NULL, 'missing'""")
+def csv_load_manifest(spark, sf):
+    """Orders as range files under two column orders: one file loaded, then all, then all again; and the range without a file."""
+    ranges = sinks.expand_ranges(spark, RANGES)
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", F.col("o_orderdate").cast("date").alias("o_orderdate"))
+    named = o.join(F.broadcast(ranges), o.o_orderdate.between(F.col("start"), F.col("end")) & (F.year("o_orderdate") == F.year("start")))
+    folder, target, manifest = (scratch_path(spark, n) for n in ("ranges", "table", "manifest"))
+    for even, cols in ((True, PLAIN_SPEC.names), (False, PLAIN_SPEC.names[::-1])):
+        named.where((F.year("start") % 2 == 0) == even).select("name", *cols).repartition("name").write.partitionBy("name").mode("append") \
+            .option("header", "true").csv(folder)
+    # a first run that sees one header's files only, as if the others came later
+    M.load_once(spark, PLAIN_SPEC, f"{folder}/name=1996*", target, manifest)
+    for _ in range(2):
+        M.load_once(spark, PLAIN_SPEC, f"{folder}/name=*", target, manifest)
+    rows = M.loaded(spark, PLAIN_SPEC, target, manifest)
+    day = F.col("o_orderdate")
+    start = F.when(F.year(day) == 1998, F.when(F.month(day) <= 6, F.lit("1998-01-01").cast("date")).otherwise(F.lit("1998-07-01").cast("date"))) \
+        .otherwise(F.make_date(F.year(day), F.lit(1), F.lit(1)))
+    held = rows.groupBy(start.alias("start")).agg(F.count(F.lit(1)).alias("rows"), F.sum("o_orderkey").alias("key_sum")).withColumn("state", F.lit("held"))
+    gone = M.missing_ranges(ranges, M.current(spark, manifest)).select("start", F.lit(0).cast("long").alias("rows"), F.lit(None).cast("long").alias("key_sum"),
+                                                                     F.lit("missing").alias("state"))
+    return held.unionByName(gone)

@@ -367,3 +367,57 @@ def id_lookup(spark, sf):
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     lookup = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type")
     return P.enrich(li, lookup, ["l_partkey"])
+
+
+# --- annual and monthly updates, price kinds and caps, dated membership -----------------------
+@query("union_annual_monthly", ops="U4 U3 W1", sql=with_ctes(OLD, NEW, extra="""
+a AS (SELECT PERMNO, date AS DlyCalDt, PRC AS DlyPrc, VOL AS DlyVol FROM old
+      QUALIFY row_number() OVER (PARTITION BY PERMNO, date ORDER BY VOL DESC, PRC DESC) = 1),
+m AS (SELECT PERMNO, DlyCalDt, DlyPrc, DlyVol FROM new
+      QUALIFY row_number() OVER (PARTITION BY PERMNO, DlyCalDt ORDER BY DlyVol DESC, DlyPrc DESC) = 1)""", body="""
+SELECT *, 'new' AS source FROM m UNION ALL
+SELECT *, 'old' FROM a WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.PERMNO = a.PERMNO AND m.DlyCalDt = a.DlyCalDt)"""))
+def union_annual_monthly(spark, sf):
+    """An annual file (old) and monthly updates (new): one row a security and day in each, the update before the annual row."""
+    old, new = OLD.frame(spark, sf).drop("CFACPR"), NEW.frame(spark, sf).drop("DlyFacPrc")
+    return P.union_formats(old, new, {"date": "DlyCalDt", "PRC": "DlyPrc", "VOL": "DlyVol"}, ["PERMNO", "DlyCalDt"], latest=["DlyVol", "DlyPrc"])
+
+
+QUOTES = DerivedFrame("quotes", "lineitem", (
+    ("l_orderkey", "l_orderkey"), ("l_linenumber", "l_linenumber"),
+    ("prc", "case when l_linenumber = 6 then null when l_linenumber = 5 then 0.0 when l_linenumber = 4 then -l_extendedprice else l_extendedprice end"),
+    ("flg", "case when l_returnflag = 'R' then 'BA' else 'TR' end"), ("shr", "l_quantity"),
+    ("cap", "case when l_returnflag = 'A' then l_extendedprice * l_quantity + 1000.0 else l_extendedprice * l_quantity end")))
+
+
+@query("price_kinds_and_caps", ops="F19 F20", sql=with_ctes(QUOTES, body="""
+SELECT l_orderkey, l_linenumber, prc, CASE WHEN prc IS NULL OR prc = 0 THEN 'missing' WHEN prc < 0 OR flg = 'BA' THEN 'quote' ELSE 'trade' END AS kind,
+       CASE WHEN abs(prc) > 0 THEN abs(prc) * shr END AS mkt_cap,
+       abs(CASE WHEN abs(prc) > 0 THEN abs(prc) * shr END - cap) <= 1e-6 * greatest(abs(prc) * shr, 1.0) AS cap_ok
+FROM quotes"""))
+def price_kinds_and_caps(spark, sf):
+    price, kind = S.price_and_flag("prc", "flg")
+    return QUOTES.frame(spark, sf).select("l_orderkey", "l_linenumber", price.alias("prc"), kind.alias("kind"), S.market_cap("prc", "shr").alias("mkt_cap"),
+                                          S.cap_matches("prc", "shr", "cap").alias("cap_ok"))
+
+
+MEMBERS = DerivedFrame("members", "part", (
+    ("PERMNO", "p_partkey"), ("start", "date_add(cast('1994-01-01' as date), cast(p_partkey % 1500 as int))"),
+    ("ending", "case when p_partkey % 4 = 0 then null else date_add(cast('1996-01-01' as date), cast(p_partkey % 1300 as int)) end")))
+
+
+@query("index_panel_compared", ops="T10 J12 W8", sql=with_ctes(DAILY, MEMBERS, extra="""
+w AS (SELECT *, lag(cap) OVER (PARTITION BY PERMNO ORDER BY date) AS w FROM daily),
+ours AS (SELECT date, round(sum(w * ret) / sum(CASE WHEN ret IS NOT NULL THEN w END), 6) AS vwret, round(avg(ret), 6) AS ewret FROM w
+         WHERE EXISTS (SELECT 1 FROM members m WHERE m.PERMNO = w.PERMNO AND w.date >= m.start AND w.date <= coalesce(m.ending, DATE '9999-12-31')) GROUP BY date),
+stored AS (SELECT date, round(avg(ret), 6) AS ewretd FROM daily WHERE day(date) <> 3 GROUP BY date)""", body="""
+SELECT coalesce(o.date, s.date) AS date, o.ewret AS computed, s.ewretd AS stored,
+       CASE WHEN s.ewretd IS NULL THEN 'not stored' WHEN o.ewret IS NULL THEN 'not computed' WHEN abs(o.ewret - s.ewretd) <= 1e-6 THEN 'same'
+            WHEN abs(o.ewret - s.ewretd) <= 0.01 THEN 'close' ELSE 'off' END AS "class"
+FROM ours o FULL JOIN stored s ON o.date = s.date"""))
+def index_panel_compared(spark, sf):
+    """Mean returns over each day's members against stored ones (here: over all securities, some days absent)."""
+    daily = DAILY.frame(spark, sf)
+    ours = P.index_panel(daily, MEMBERS.frame(spark, sf), ["PERMNO"], "date", "ret", "cap", "start", "ending", lag_by=["PERMNO"])
+    stored = daily.where(F.dayofmonth("date") != 3).groupBy("date").agg(F.round(F.avg("ret"), 6).alias("ewretd"))
+    return P.compare_returns(ours, stored, "date", "ewret", "ewretd", close=0.01)

@@ -83,6 +83,26 @@ def name_history_join(spark, sf):
     return j.select("l_orderkey", "l_linenumber", "ticker")
 
 
+@query("id_chain_dated", ops="J13 J10", sql=f"""
+WITH {_LINKS_SQL}, {_FACT_SQL},
+codes AS (SELECT o_orderkey AS LPERMNO, CAST(o_orderdate AS DATE) AS s, CAST(o_orderdate AS DATE) + 60 AS e, o_orderpriority AS code FROM orders
+          UNION ALL SELECT o_orderkey, CAST(o_orderdate AS DATE) + 61, DATE '9999-12-31', o_orderstatus FROM orders)
+SELECT f.l_orderkey, f.l_linenumber, c.LPERMNO, c.code
+FROM fact f LEFT JOIN (SELECT k.gvkey, k.LPERMNO, k.LINKDT, CASE WHEN k.LINKENDDT IN ('', 'E') THEN DATE '9999-12-31' ELSE CAST(k.LINKENDDT AS DATE) END AS le,
+                              c.s, c.e, c.code FROM links k JOIN codes c USING (LPERMNO)) c
+  ON c.gvkey = f.gvkey AND f.d BETWEEN c.LINKDT AND c.le AND f.d BETWEEN c.s AND c.e""")
+def id_chain_dated(spark, sf):
+    """Firm to security to code, each link with its own dates; the code of a security changes inside the firm's link."""
+    o = table(spark, sf, "orders")
+    day = F.col("o_orderdate").cast("date")
+    codes = o.select(F.col("o_orderkey").alias("LPERMNO"), day.alias("LINKDT"), F.date_format(F.date_add(day, 60), "yyyy-MM-dd").alias("LINKENDDT"),
+                     F.col("o_orderpriority").alias("code")).unionByName(
+        o.select(F.col("o_orderkey").alias("LPERMNO"), F.date_add(day, 61).alias("LINKDT"), F.lit("E").alias("LINKENDDT"), F.col("o_orderstatus").alias("code")))
+    chain = IV.compose_links(_links(spark, sf).select("gvkey", "LPERMNO", "LINKDT", "LINKENDDT"), codes, ["LPERMNO"], "LINKDT", "LINKENDDT")
+    j = IV.interval_join(_fact(spark, sf), chain, ["gvkey"], "d", "LINKDT", "LINKENDDT", dim_cols=["LPERMNO", "code"])
+    return j.select("l_orderkey", "l_linenumber", "LPERMNO", "code")
+
+
 _MEM_SQL = """mem AS (SELECT o_custkey AS k, CAST(o_orderdate AS DATE) AS s,
                       CAST(o_orderdate AS DATE) + 30 AS e FROM orders)"""
 

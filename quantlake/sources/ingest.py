@@ -87,22 +87,70 @@ def header_check(spark: SparkSession, spec: TableSpec, path: str, sep: str | Non
     return spark.createDataFrame(rows, "column string, status string, position int")
 
 
+def _read(spark: SparkSession, paths: str | list[str], cols: Sequence[str], sep: str, opts: LoadOptions) -> DataFrame:
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols]
+                          + [T.StructField(CORRUPT, T.StringType(), True)])
+    return (spark.read.schema(schema)
+            .option("header", str(opts.header).lower()).option("sep", sep)
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+            # every file's own header is compared with the given one; another order or name fails the read
+            .option("enforceSchema", str(not opts.header).lower()).option("multiLine", str(opts.multi_line).lower())
+            .option("encoding", opts.encoding)
+            .option("quote", opts.quote).option("escape", opts.escape)
+            .csv(paths))
+
+
 def read_raw(spark: SparkSession, path: str, opts: LoadOptions = LoadOptions()) -> tuple[DataFrame, list[str], str]:
-    """All-string read in the file's header order, with ``_corrupt_record`` for width errors."""
+    """All-string read in the file's header order, with ``_corrupt_record`` for width errors; one header for all files."""
     line = header_line(spark, path)
     sep = opts.sep or sniff_delimiter(line)
     cols = header_columns(line, sep)
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols]
-                          + [T.StructField(CORRUPT, T.StringType(), True)])
-    df = (spark.read.schema(schema)
-          .option("header", str(opts.header).lower()).option("sep", sep)
-          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-          # every file's own header is compared with the first one's; another order or name fails the read
-          .option("enforceSchema", str(not opts.header).lower()).option("multiLine", str(opts.multi_line).lower())
-          .option("encoding", opts.encoding)
-          .option("quote", opts.quote).option("escape", opts.escape)
-          .csv(path))
-    return df, cols, sep
+    return _read(spark, path, cols, sep, opts), cols, sep
+
+
+def first_line(spark: SparkSession, file: str, encoding: str = "UTF-8") -> str:
+    """First line of one file, through the file system's own client (a compressed file through Spark's reader)."""
+    if file.lower().endswith((".gz", ".bz2", ".zst", ".snappy", ".lz4", ".deflate")):
+        return header_line(spark, file)
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(file)
+    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
+    try:
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding)).readLine() or ""
+    finally:
+        stream.close()
+
+
+def header_groups(spark: SparkSession, files: Sequence[str], opts: LoadOptions = LoadOptions()) -> list[tuple[list[str], str, list[str]]]:
+    """(columns, delimiter, files) for each different header among ``files``; a line a file is read, no data.
+
+    Files without any line are left out.
+    """
+    groups: dict[tuple, list[str]] = {}
+    for f in sorted(files):
+        line = first_line(spark, f, opts.encoding)
+        if line:
+            sep = opts.sep or sniff_delimiter(line)
+            groups.setdefault((tuple(header_columns(line, sep)), sep), []).append(f)
+    return [(list(cols), sep, fs) for (cols, sep), fs in groups.items()]
+
+
+def typed_files(spark: SparkSession, spec: TableSpec, files: Sequence[str], opts: LoadOptions = LoadOptions()) -> DataFrame:
+    """:func:`typed` rows of all files plus ``_file``: one read for each different header, united by name.
+
+    Every header is checked (:func:`check_header`) before anything is read.
+    """
+    groups = header_groups(spark, files, opts)
+    for cols, _, _ in groups:
+        check_header(spec, cols, opts.allow_missing, opts.allow_extra)
+    parts = [typed(_read(spark, fs, cols, sep, opts).withColumn("_file", F.col("_metadata.file_path")), spec, cols, ["_file"]) for cols, sep, fs in groups]
+    if not parts:
+        none = spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in (*spec.names, CORRUPT, "_file")]))
+        parts = [typed(none, spec, spec.names, ["_file"])]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 # fixed values: texts that stand for a missing number
@@ -128,8 +176,8 @@ def _parse(raw: Column, type_: str, patterns: Sequence[str] | None) -> Column:
     raise ValueError(type_)
 
 
-def typed(raw_df: DataFrame, spec: TableSpec, file_cols: Sequence[str]) -> DataFrame:
-    """Typed projection by name plus ``_bad`` (first failing column or ``width``).
+def typed(raw_df: DataFrame, spec: TableSpec, file_cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """Typed projection by name plus ``_bad`` (first failing column or ``width``) and the columns of ``keep`` as they are.
 
     Columns the file lacks are NULL (or the default when NOT NULL); the
     header check reports them.
@@ -155,7 +203,7 @@ def typed(raw_df: DataFrame, spec: TableSpec, file_cols: Sequence[str]) -> DataF
         reason = reason.when(cond, F.lit(name))
     return raw_df.select(*values, reason.alias("_bad"),
                          F.when(reason.isNotNull(), F.to_json(F.struct(*[F.col(f"`{c}`") for c in file_cols]))).alias("_raw"),
-                         F.col(CORRUPT))
+                         F.col(CORRUPT), *keep)
 
 
 def check_header(spec: TableSpec, file_cols: Sequence[str], allow_missing: Sequence[str] = (),
@@ -174,14 +222,23 @@ def ingest(spark: SparkSession, spec: TableSpec, path: str,
 
     ``rejects`` keeps the raw cells (or the raw line for width errors) and the
     reason; ``report`` is one row with the counts and the budget verdict.  For
-    a load that writes, use :func:`load`, which parses the file once.
+    a load that writes, use :func:`load`, which parses the file once.  Files of a
+    folder may have different headers; each must name the spec's columns (``HeaderMismatch``).
     """
-    raw, cols, _ = read_raw(spark, path, opts)
-    t = typed(raw, spec, cols)
-    return _split(t, spec, cols)
+    return _split(typed_files(spark, spec, input_files(spark, path), opts), spec)
+
+
+def input_files(spark: SparkSession, path: str) -> list[str]:
+    """The files that a read of ``path`` takes (a listing)."""
+    return sorted(plain_path(spark, f) for f in spark.read.text(path).inputFiles())
+
+
+def plain_path(spark: SparkSession, url: str) -> str:
+    """A file's path as readers take it, from the escaped form in which Spark reports it."""
+    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(url)).toString()
 
 
-def _split(t: DataFrame, spec: TableSpec, cols: Sequence[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _split(t: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame, DataFrame]:
     good = t.where(F.col("_bad").isNull()).select(*spec.names)
     rejects = t.where(F.col("_bad").isNotNull()).select(
         F.col("_bad").alias("reason"), F.coalesce(F.col(CORRUPT), F.col("_raw")).alias("raw"))
@@ -216,11 +273,9 @@ def load(spark: SparkSession, spec: TableSpec, path: str, table_path: str, stage
        and the table is untouched.  The table is never dropped on failure.
     Returns the report row (rows written = ``rows_good``).
     """
-    raw, cols, _ = read_raw(spark, path, opts)
-    check_header(spec, cols, opts.allow_missing, opts.allow_extra)
-    typed(raw, spec, cols).write.mode("overwrite").parquet(stage_path)
+    typed_files(spark, spec, input_files(spark, path), opts).write.mode("overwrite").parquet(stage_path)
     staged = spark.read.parquet(stage_path)
-    good, rejects, report = _split(staged, spec, cols)
+    good, rejects, report = _split(staged, spec)
     r = report.first()
     if not r["within_budget"]:
         raise BudgetExceeded(f"{spec.name}: {r['rows_rejected']} bad rows of {r['rows_read']} "
@@ -250,8 +305,7 @@ def load_chunks(spark: SparkSession, spec: TableSpec, folder: str, table_path: s
         except BudgetExceeded:
             if on_error == "raise":
                 raise
-            raw, cols, _ = read_raw(spark, p, opts)
-            r = budget_report(typed(raw, spec, cols), spec).first()
+            r = budget_report(typed_files(spark, spec, input_files(spark, p), opts), spec).first()
             rows.append((p, "over_budget", r["rows_read"], 0, r["rows_rejected"]))
     return spark.createDataFrame(rows, "file string, status string, rows_read long, rows_written long, "
                                        "rows_rejected long")

@@ -126,10 +126,11 @@ def extract_range(df: DataFrame, columns: Sequence[str], date_col: str, start: s
 
 
 def expand_ranges(spark: SparkSession, spec: Sequence[str | int | tuple[str, str]]) -> DataFrame:
-    """A download list of years or (start, end) ranges → one row per chunk.
+    """A download list of years or (start, end) ranges → one row per chunk: start, end, name.
 
-    A bare year expands to the whole year.  Chunks are rows of a DataFrame,
-    and a loader iterates over chunks, never rows.
+    A bare year expands to the whole year.  ``name`` is the chunk's file name without an
+    ending (``1996-01 to 1996-12``; ``scalars.filename_range`` reads whole months back from it).  Chunks are
+    rows of a DataFrame, and a loader iterates over chunks, never rows.
     """
     rows = []
     for item in spec:
@@ -140,7 +141,8 @@ def expand_ranges(spark: SparkSession, spec: Sequence[str | int | tuple[str, str
             a, b = item
             rows.append((str(a), str(b)))
     df = spark.createDataFrame(rows, "start string, end string")
-    return df.select(F.col("start").cast("date").alias("start"), F.col("end").cast("date").alias("end"))
+    df = df.select(F.col("start").cast("date").alias("start"), F.col("end").cast("date").alias("end"))
+    return df.withColumn("name", F.concat(F.date_format("start", "yyyy-MM"), F.lit(" to "), F.date_format("end", "yyyy-MM")))
 
 
 def files_by_size(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:

@@ -76,7 +76,7 @@ def test_promote_to_bucketed_table_no_main_exchange(spark, tmp):
     try:
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
-            P.new_rows(chunk, spark.table("t_bucketed_main"), ["id", "k"]).explain()
+            P.new_rows(chunk, spark.table("t_bucketed_main"), ["id", "k"], bucketed=True).explain()
         plan = buf.getvalue()
         assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 3   # staging, and both sides of the rows with a NULL part
         assert "EqualTo" not in plan and plan.count("SortMergeJoin") == 2
