@@ -122,3 +122,61 @@ def test_date_predicates_cover_range_without_overlap():
     assert p == ["date >= DATE '2000-01-01' AND date <= DATE '2000-01-31'",
                  "date >= DATE '2000-02-01' AND date <= DATE '2000-03-02'",
                  "date >= DATE '2000-03-03' AND date <= DATE '2000-03-15'"]
+
+
+MS = spec("t.m", "a:long! b:double", budget_rows=0, budget_ratio=0.0)
+
+
+def _both(spark, tmp):
+    from quantlake.sources import manifest as M
+    rows = sorted((r.a, r.b) for r in M.loaded(spark, MS, os.path.join(tmp, "t"), os.path.join(tmp, "m")).collect())
+    plain = sorted((r.a, r.b) for r in spark.read.parquet(os.path.join(tmp, "t")).collect())
+    return rows, plain
+
+
+@pytest.mark.parametrize("where", ["commit", "_sweep", "history", "current"])
+def test_killed_load_run_again_gives_the_same_table(spark, tmp, monkeypatch, where):
+    from quantlake.sources import manifest as M
+    _csv(tmp, "a,b\n1,1.5\n2,2.5\n", name="one.csv")
+    _csv(tmp, "b,a\n3.5,3\n", name="two 1999-01 to 1999-12.csv")        # other column order, blanks in the name
+    args = (spark, MS, os.path.join(tmp, "in"), os.path.join(tmp, "t"), os.path.join(tmp, "m"))
+    if where != "current":
+        with monkeypatch.context() as m:
+            m.setattr(M, where, lambda *a, **k: (_ for _ in ()).throw(RuntimeError("killed")))
+            with pytest.raises(RuntimeError, match="killed"):
+                M.load_once(*args)
+    M.load_once(*args)
+    want = [(1, 1.5), (2, 2.5), (3, 3.5)]
+    assert _both(spark, tmp) == (want, want)
+    assert {r.status for r in M.load_once(*args).collect()} == {"present"}
+    assert _both(spark, tmp) == (want, want)
+    # a file that comes again with other content replaces its rows
+    _csv(tmp, "a,b\n1,1.5\n7,7.5\n", name="one.csv")
+    status = {r.file.rsplit("/", 1)[1][:3]: r.status for r in M.load_once(*args).collect()}
+    assert status == {"one": "loaded", "two": "present"}
+    want = [(1, 1.5), (3, 3.5), (7, 7.5)]
+    assert _both(spark, tmp) == (want, want)
+
+
+def test_load_once_budget_by_file_and_missing_ranges(spark, tmp):
+    from quantlake.sources import manifest as M
+    from quantlake.sources import sinks
+    _csv(tmp, "a,b\n1,1.5\n", name="1999-01 to 1999-12.csv")
+    _csv(tmp, "a,b\n2,x\n", name="2000-01 to 2000-12.csv")
+    args = (spark, MS, os.path.join(tmp, "in"), os.path.join(tmp, "t"), os.path.join(tmp, "m"))
+    with pytest.raises(I.BudgetExceeded):
+        M.load_once(*args)
+    assert not os.path.exists(args[3])
+    assert sorted(r.status for r in M.load_once(*args, on_error="skip").collect()) == ["loaded", "over_budget"]
+    ranges = sinks.expand_ranges(spark, [1999, 2000])
+    assert [str(r.start) for r in M.missing_ranges(ranges, M.current(spark, args[4])).collect()] == ["2000-01-01"]
+
+
+def test_lazy_ingest_reads_mixed_headers_and_checks_them(spark, tmp):
+    _csv(tmp, "a,b\n1,1.5\n", name="x.csv")
+    _csv(tmp, "b\ta\n2.5\t2\n", name="y.csv")
+    good, rejects, report = I.ingest(spark, MS, os.path.join(tmp, "in"))
+    assert sorted((r.a, r.b) for r in good.collect()) == [(1, 1.5), (2, 2.5)] and rejects.count() == 0 and report.first().rows_read == 2
+    _csv(tmp, "a,B\n3,3.5\n", name="z.csv")
+    with pytest.raises(I.HeaderMismatch):
+        I.ingest(spark, MS, os.path.join(tmp, "in"))
