@@ -214,7 +214,7 @@ def pack(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = END_ID)
                 c.clear()
             return out
 
-        for piece in T.slices(batches, size=8 << 20):
+        for piece in T.slices(batches, size=2 << 20):
             ids_of = piece.column(0).to_pylist()
             for doc, ids in zip(ids_of, encode([t or "" for t in piece.column(1).to_pylist()])):
                 ids += end
