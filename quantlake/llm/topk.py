@@ -40,7 +40,7 @@ class ImpactIndex:
     """Index of one block: int64 matrix (vectors x dimensions)."""
 
     def __init__(self, vectors: np.ndarray):
-        self.exact = vectors.astype(np.float64)               # integers; sums below 2**53 stay exact
+        self.exact = vectors                                  # members are rescored in integers
         size = np.abs(vectors)
         sign = np.sign(vectors).astype(np.float64)
         top = int(size.max()).bit_length() if size.size else 0
@@ -52,6 +52,15 @@ class ImpactIndex:
             rest = (size & ((1 << lo) - 1)).max(axis=0)       # what each dimension can still add
             self.levels.append(((sign * impact).T.copy(), rest.astype(np.float64)))
             hi = lo
+        #: Greatest size in each dimension, and how far rounding may carry an accumulator off, as a share of the greatest sum.
+        self.most = size.max(axis=0).astype(np.float64) if size.size else np.zeros(vectors.shape[1])
+        self.rounding = (vectors.shape[1] + 2) * (len(self.levels) + 2) * 2.0 ** -52
+
+    def scores(self, members: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Exact inner products, 64-bit integers where they surely fit, else Python's."""
+        if np.abs(query.astype(np.float64)) @ self.most < 2.0 ** 62:
+            return self.exact[members] @ query
+        return np.array([sum(map(int.__mul__, row, query.tolist())) for row in self.exact[members].tolist()], dtype=object)
 
     def search(self, queries: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int):
         """(query row, vector row, score) of each query's k best ids by (score, smaller id), its own id left out.
@@ -68,7 +77,8 @@ class ImpactIndex:
         last = len(self.levels) - 1
         for level, (postings, rest) in enumerate(self.levels or [(np.zeros((q.shape[1], len(self.exact))), np.zeros(q.shape[1]))]):
             score[open_rows] += q[open_rows] @ postings
-            bound = np.abs(q[open_rows]) @ rest               # no score differs from its accumulator by more
+            size = np.abs(q[open_rows])
+            bound = size @ rest + (size @ self.most) * self.rounding      # no score differs from its accumulator by more
             keep = []
             for r, slack in zip(open_rows, bound):
                 acc = np.where(mine[r], -np.inf, score[r])
@@ -80,8 +90,9 @@ class ImpactIndex:
                 members = np.flatnonzero(acc >= kth - 2 * slack)   # all others are proven to be out
                 members = members[np.isfinite(acc[members])]
                 if len(members) <= 8 * k or level >= last:
-                    found = self.exact[members] @ q[r]
-                    best = np.lexsort((ids[members], -found))
+                    found = self.scores(members, queries[r])
+                    best = np.array(sorted(range(len(members)), key=lambda i: (-int(found[i]), int(ids[members[i]]))), dtype=np.int64) if found.dtype == object \
+                        else np.lexsort((ids[members], -found))
                     first = np.unique(ids[members[best]], return_index=True)[1]
                     best = best[np.sort(first)[:k]]
                     out.append((np.full(len(best), r), members[best], found[best]))
@@ -108,7 +119,10 @@ def quantised(vectors: DataFrame, id_col: str = "vec_id", column: str = "embeddi
 
 
 def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", column: str = "embedding", scale: int = 256) -> DataFrame:
-    """query_id, rank, vec_id, score for every row for which is_query(column id) holds, against all other rows."""
+    """query_id, rank, vec_id, score for every row for which is_query(column id) holds, against all other rows.
+
+    Scores are exact integers; one that does not fit into 64 bits fails the query.
+    """
     def packed(batches):
         for b in batches:
             q = b.column(1)
