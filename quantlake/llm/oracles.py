@@ -17,10 +17,12 @@ WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, {_WORD}) AS w F
  links AS (SELECT a, b FROM p WHERE 100 * c >= 90 * (na + nb - c)),
  reach AS (SELECT a AS doc_id, b AS other FROM links UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a),
  least_ AS (SELECT doc_id, min(other) AS m FROM reach GROUP BY doc_id),
+ n AS (SELECT a, count(*) AS n_links FROM links GROUP BY a),
  c AS (SELECT g, min(doc_id) AS class_id, count(*) AS n_copies FROM s WHERE len(g) > 0 GROUP BY g)
 SELECT s.doc_id, CAST(len(s.g) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(m, s.doc_id)) AS component_id,
-  coalesce(class_id, s.doc_id) AS class_id, CAST(coalesce(n_copies, 1) AS BIGINT) AS n_copies
-FROM s LEFT JOIN least_ ON s.doc_id = least_.doc_id LEFT JOIN c ON s.g = c.g
+  coalesce(class_id, s.doc_id) AS class_id, CAST(coalesce(n_copies, 1) AS BIGINT) AS n_copies,
+  CAST(coalesce(n.n_links, 0) AS BIGINT) AS n_links
+FROM s LEFT JOIN least_ ON s.doc_id = least_.doc_id LEFT JOIN c ON s.g = c.g LEFT JOIN n ON s.doc_id = n.a
 """
 
 SUBSTRING = f"""
