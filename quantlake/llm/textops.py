@@ -3,11 +3,15 @@
 A batch of texts is one byte buffer in which every text is followed by one
 newline byte, so words, lines and window hashes of many documents come from a
 few numpy passes.  Hashes are polynomial over a random byte table, modulo
-2**64, with a final mix; nothing here keeps state between batches.
+2**64, with a final mix.  Such a polynomial maps some long patterned strings (Thue-Morse
+words and their complements, from 1024 values on) to one value whatever its base, so words and
+lines of more than BLOCK bytes are hashed in blocks, whose mixed hashes are hashed in
+turn.
 """
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +32,8 @@ LOWER[65:91] += 32
 
 #: Bytes of text worked off at once; a worker needs about a hundred times as many.
 PIECE = 1 << 20
+#: Values that one polynomial hash covers at most in a word or line.
+BLOCK = 256
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -66,6 +72,20 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, which:
     return mix((total[ends] - total[starts]) * inv[starts] + (ends - starts).astype(np.uint64) * U(0x632BE59BD9B4E019))
 
 
+def content_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
+    """As span_hashes, for spans of any length: those of more than BLOCK values by the hashes of their blocks."""
+    out = span_hashes(values, starts, ends, which)
+    long = np.flatnonzero(ends - starts > BLOCK)
+    if len(long):
+        size = ends[long] - starts[long]
+        n = -(-size // BLOCK)
+        first = np.cumsum(n) - n
+        lo = np.repeat(starts[long], n) + BLOCK * (np.arange(int(n.sum())) - np.repeat(first, n))
+        blocks = span_hashes(values, lo, np.minimum(lo + BLOCK, np.repeat(ends[long], n)), which)
+        out[long] = mix(content_hashes(blocks, first, first + n, which) + size.astype(np.uint64) * U(0xA0761D6478BD642F))
+    return out
+
+
 def byte_values(buf: np.ndarray, which: int = 0) -> np.ndarray:
     return _TABLES[which][buf]
 
@@ -105,7 +125,7 @@ def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: in
     while lo < len(starts):
         hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + PIECE, side="right")))
         a = starts[lo]
-        out[lo:hi] = span_hashes(byte_values(buf[a:ends[hi - 1]], which), starts[lo:hi] - a, ends[lo:hi] - a, which)
+        out[lo:hi] = content_hashes(byte_values(buf[a:ends[hi - 1]], which), starts[lo:hi] - a, ends[lo:hi] - a, which)
         lo = hi
     return out
 
@@ -129,6 +149,21 @@ def doc_of(first: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(first) - 1), np.diff(first))
 
 
+try:
+    _libc = ctypes.CDLL(None)
+    _libc.malloc_trim
+except (OSError, AttributeError):
+    _libc = None
+
+
+def release() -> None:
+    """Give a worker's free memory back to the system, as idle workers of earlier stages stay alive."""
+    _POWERS.clear()
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = PIECE) -> Iterator[pa.RecordBatch]:
     """Cut record batches into runs of rows with about ``size`` bytes of text (one row at least)."""
     for b in batches:
@@ -141,3 +176,4 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int =
             hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + size, side="right")) - 1)
             yield b.slice(lo, hi - lo)
             lo = hi
+    release()
