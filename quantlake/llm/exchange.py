@@ -61,10 +61,16 @@ def sizes(docs: DataFrame) -> tuple[int, int]:
     return max(32, -(-total // PART_BYTES)), max(32, -(-total // BUCKET_BYTES))
 
 
+def _struct(docs: DataFrame, carry: list[str]):
+    """The columns as one struct whose fields may all be null, as those that come back from a task are."""
+    own = F.struct(*carry)
+    return own.cast(docs.select(own.alias("c")).schema["c"].dataType.simpleString())
+
+
 def bucketed(docs: DataFrame, buckets: int, carry: list[str] | None = None) -> DataFrame:
     """doc_id, text, no_id, bucket, and where asked for a struct ``carried`` of other columns; a null id is the last of all."""
     text, real = F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long")
-    rest = [F.struct(*carry).alias("carried")] if carry else []
+    rest = [_struct(docs, carry).alias("carried")] if carry else []
     return (docs.select(F.coalesce(real, F.lit(int(NO_ID))).alias("doc_id"), text, real.isNull().alias("no_id"), *rest)
             .select("doc_id", "text", "no_id", bucket_of(F.col("doc_id"), buckets).alias("bucket"), *(["carried"] if carry else [])))
 

@@ -1,22 +1,31 @@
-"""Toxicity by smoothed document-frequency ratios of two classes, with shared backoff counts.
+"""Toxicity by two class-conditional Kneser-Ney models that share their lowest order.
 
-This stands in for two class-conditional Kneser-Ney language models and is not that
-method: no continuation counts are kept, the backoff weights are constants and not the
-mass that the discount frees, and the values are not distributions.
+A class's model of a word w after the word v before it backs off twice:
 
-Each class has word and word-pair counts over all training rows: the number
-of its documents that hold the expression, so no single document vouches for
-its own words.  Counts are discounted and mixed, at fixed weights, with the plain document
-frequency of both classes together; an expression that neither class
-has seen often then tells nothing.  A document's feature is the
-difference of its toxic and ordinary log-likelihoods, normalised by length; a logistic
-curve, fitted to leave-one-out features of a bounded sample of training rows, makes it a score.
+    P_c(w | v) = (max(n_c(v, w) - D_c, 0) + L_c(v) P_c(w)) / n_c(v, .)
+    P_c(w)     = (max(N_c(., w) - D_c, 0) + L_c P(w)) / N_c(., .)
 
-Counts live in tables of a fixed number of hash buckets (WORDS, and CONTEXTS x
-FOLLOWERS), so the model has a proven size, while every training row of the
-corpus goes into them.  Expressions of one bucket add up, the more the larger the corpus.  Tasks send the buckets that they have met.
+n_c counts the class's training documents that hold the pair (so no single document
+vouches for its own words), N_c(., w) is the continuation count, the number of different
+words that w follows in class c, and L is the mass that the discount frees.  The lowest
+order P(w), continuation counts over both classes, is shared.  The discount is DISCOUNT
+documents of the smaller class and as many more of the larger one as that has documents;
+larger than the usual one, as the words of a document come together.
 
-Defined results: a null or empty text gets the score of an even likelihood;
+A document's features are the difference of its toxic and ordinary log-likelihood and the
+part of it by words that decide, by length and by its root.  Where a pair has no count above its discount the difference is the sum of a
+part of v and one of w, the shared P(w) cancelling out, so the model is a table of one value
+a word and one a pair with counts above the discount.  All counts are exact, made by
+pre-aggregation and a shuffle, and the table grows with the corpus.  Documents find its
+HOT most frequent entries in a broadcast and ask a bit map of BITS bits which other
+expressions may be in the table; those travel to the table's parts, and their values are summed by document.
+
+A logistic curve makes the features a score.  It is fitted to at most FIT_ROWS training
+rows, by a second model from which these rows' own counts are left out.
+
+Words are told apart by 48 bits of a hash, pairs by 64.
+
+Defined results: a null or empty text has the score of no words at all;
 repeated rows get equal scores; label rows that repeat an id count once, as toxic if
 any says so, and those with null id or label not at all; without training
 rows of both classes every score is 0; an empty table gives an empty result.
@@ -24,197 +33,296 @@ rows of both classes every score is 0; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quantlake.session import materialize
 
+from . import exchange as E
 from . import textops as T
 
-WORDS, CONTEXTS, FOLLOWERS = 1 << 20, 1 << 11, 1 << 11
-#: Labelled rows that the logistic curve is fitted to at most (those with the smallest id hash).
-FIT_ROWS = 10_000
-#: Documents of the smaller class that are taken off each count.
-DISCOUNT = 1.0
-PAIR_DISCOUNT = 2.0
-#: Share of the shared counts at both levels, and weight of the word level under a pair.
-BACKOFF, PAIR_BACKOFF = 0.5, 1.0
-#: Log-likelihood difference from which a word decides.
-DECISIVE = 1.2
-N_FEATURES = 3
+#: Labelled rows that the logistic curve is fitted to at most, a share of one in FIT_SHARE (those with the smallest id hash).
+FIT_ROWS, FIT_SHARE = 10_000, 4
+#: Entries of the model that are broadcast at most, and bits of the map of the others: 8 MB each.
+HOT, BITS = 1 << 19, 1 << 26
+#: Documents of the smaller class that are taken off each of its counts.
+DISCOUNT = 3.0
+#: Share of the greatest difference that the model can give a word from which a word decides.
+DECISIVE = 0.7
+N_FEATURES = 2
 THRESHOLD = 0.7
-_CHUNK = 1 << 15
+_BIN = 1 << 15                                   # bits of one row of the map
+_WORD = T.U((1 << 48) - 1)
+_BEGIN, _END = T.U(1), T.U(2)                    # the word before the first and the one after the last
+_ENTRY = {"vl": "<u4", "vh": "<u2", "wl": "<u4", "wh": "<u2", "cat": "u1", "n": "<u4"}
+_ASK = {"key": "<i8", "doc": "<u4"}
 
 #: Everything but ASCII letters, digits and bytes of other alphabets parts words.
 _PARTS = np.ones(256, dtype=bool)
 _PARTS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 
-def _expressions(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(first, word bucket, pair bucket, follows): the pair of a word and the one before it, where follows."""
+def _pair_key(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Key of a pair; its highest bit is set, a word's (48 bits) never."""
+    return T.mix(v * T.U(0x9E3779B97F4A7C15) + T.mix(w)) | T.U(1 << 63)
+
+
+def _expressions(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(doc, v, w, key, words): every pair of a document, from its beginning to its end; words counts them by document."""
     buf, bounds = T.joined(texts)
     buf = T.LOWER[buf]
     starts, ends = T.word_spans(buf, _PARTS)
     first = T.per_text(starts, bounds)
-    h = T.word_hashes(buf, starts, ends)
-    word = (h >> T.U(44)).astype(np.int64)
-    context, follower = (h & T.U(CONTEXTS - 1)).astype(np.int64), ((h >> T.U(20)) & T.U(FOLLOWERS - 1)).astype(np.int64)
-    pair = np.zeros(len(h), dtype=np.int64)
-    follows = np.ones(len(h), dtype=bool)
-    follows[first[:-1][first[:-1] < len(h)]] = False
-    if len(h):
-        pair[1:] = context[:-1] * FOLLOWERS + follower[1:]
-    return first, word, pair, follows
-
-
-def _distinct(doc: np.ndarray, bucket: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.unique(doc * size + bucket)
-    return keys // size, keys % size
-
-
-def _gather(training: DataFrame) -> DataFrame:
-    """What the training rows (text, label, fit) give to the model, written to the shared folder in one pass.
-
-    Rows (part, at, n): a task's counts by chunk of a table (buckets, numbers), its documents by
-    class (parts -1 and -2), and for every row that the curve is fitted to its
-    words and pairs (part -3 less the label).
+    h = T.word_hashes(buf, starts, ends) & _WORD
+    many = len(first) - 1
+    words = np.diff(first)
+    doc = np.repeat(np.arange(many), words + 1)
+    at = np.arange(len(doc)) - doc                        # index of the pair's second word
+    last = np.cumsum(words + 1) - 1
+    w, v = np.empty(len(doc), dtype=np.uint64), np.empty(len(doc), dtype=np.uint64)
+    inner = np.ones(len(doc), dtype=bool)
+    inner[last] = False
+    w[inner], w[last] = h[at[inner]], _END
+    v[1:] = w[:-1]
+    v[last - words] = _BEGIN
+    return doc, v, w, _pair_key(v, w), words
+
+
+def _gather(training: DataFrame, parts: int, discount: tuple[float, float]) -> DataFrame:
+    """Exact counts of the training rows (text, label, fit), written to the shared folder.
+
+    Rows (key, v, w, a0..a7), partial sums of one kind each, with all rows in a0..a3 and without those of the curve in a4..a7:
+    a pair above its discount (key, v, w; n_0, n_1), a context (v; n_0, n_1, freed mass of both), a word (w; continuation counts
+    of class 0, 1 and both classes together).
     """
-    sizes = (WORDS, CONTEXTS * FOLLOWERS)
-
     def add(batches):
-        docs = np.zeros(2, dtype=np.int64)
-        tables = [[np.zeros(n, dtype=np.int32) for n in sizes] for _ in range(2)]
-        rows = {"part": [], "at": [], "n": []}
-
-        def row(part, at, n):
-            for name, v in zip(rows, (part, at, n)):
-                rows[name].append(v)
-
-        def batch():
-            out = pa.RecordBatch.from_arrays([pa.array(rows["part"], pa.int32()), pa.array(rows["at"], pa.binary()),
-                                              pa.array(rows["n"], pa.binary())], names=list(rows))
-            for v in rows.values():
-                v.clear()
-            return out
-
-        for piece in T.slices(batches):
-            label = np.asarray(piece.column(1).to_numpy(zero_copy_only=False), dtype=np.int64)
-            fit = np.asarray(piece.column(2).to_numpy(zero_copy_only=False), dtype=bool)
-            first, word, pair, follows = _expressions(piece.column(0))
-            doc = T.doc_of(first)
-            docs += np.bincount(label, minlength=2)
-            for kind, (d, b) in enumerate((_distinct(doc, word, sizes[0]), _distinct(doc[follows], pair[follows], sizes[1]))):
-                for c in (0, 1):
-                    own = b[label[d] == c]
-                    at, n = np.unique(own, return_counts=True)
-                    tables[c][kind][at] += n.astype(np.int32)
-            shown = np.where(follows, pair, -1)
-            for i in np.flatnonzero(fit):
-                lo, hi = first[i], first[i + 1]
-                row(-3 - int(label[i]), word[lo:hi].astype("<i4").tobytes(), shown[lo:hi].astype("<i4").tobytes())
-            if rows["part"]:
-                yield batch()
-        for c in (0, 1):
-            row(-1 - c, np.zeros(1, "<u2").tobytes(), docs[c:c + 1].astype("<i4").tobytes())
-            base = 0
-            for table in tables[c]:
-                for lo in range(0, len(table), _CHUNK):
-                    at = np.flatnonzero(table[lo:lo + _CHUNK])
-                    if len(at):
-                        n = table[lo:lo + _CHUNK][at]
-                        row(c << 20 | (base + lo) // _CHUNK, at.astype("<u2").tobytes(), n.astype("<i4").tobytes())
-                base += len(table)
-        yield batch()
-
-    return materialize(training.mapInArrow(add, "part int, at binary, n binary"), "toxicity-counts")
-
-
-def _counts(gathered: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(documents of each class, word counts [2, WORDS], pair counts [2, CONTEXTS * FOLLOWERS]) of all training rows.
-
-    Chunks are summed in Spark and come to the driver dense, 40 MB at any corpus size.
-    """
-    sizes = (WORDS, CONTEXTS * FOLLOWERS)
+        for piece in T.slices(batches, size=2 * T.PIECE):
+            label = np.asarray(piece.column(1).to_numpy(zero_copy_only=False), dtype=np.uint8)
+            fit = np.asarray(piece.column(2).to_numpy(zero_copy_only=False), dtype=np.uint8)
+            doc, v, w, key, _ = _expressions(piece.column(0))
+            one = np.unique(T.mix(key + doc.astype(np.uint64) * T.U(0xD6E8FEB86659FD93)), return_index=True)[1]   # once a document
+            kind = (label + 2 * fit)[doc[one]]
+            _, at, n = np.unique((key[one] & ~T.U(3)) | kind.astype(np.uint64), return_index=True, return_counts=True)
+            cat, at = kind[at], one[at]
+            part = (key[at] >> T.U(2)) % T.U(parts)
+            values = [v[at] & T.U(0xFFFFFFFF), v[at] >> T.U(32), w[at] & T.U(0xFFFFFFFF), w[at] >> T.U(32), cat, n]
+            yield E.rows("part", part.astype(np.int64), _ENTRY, values)
+
+    columns = [f"a{i}" for i in range(8)]
 
     def total(key: tuple, table: pa.Table) -> pa.Table:
-        out = np.zeros(_CHUNK, dtype=np.int64)
-        for at, n in zip(table.column("at").to_pylist(), table.column("n").to_pylist()):
-            out[np.frombuffer(at, "<u2")] += np.frombuffer(n, "<i4")
-        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "n": pa.array([out.astype("<f4").tobytes()], pa.binary())})
-
-    parts = gathered.where("part > -3").groupBy("part").applyInArrow(total, "part int, n binary").collect()
-    docs, both = np.zeros(2), [np.zeros(sum(sizes), dtype=np.float32) for _ in range(2)]
-    for r in parts:
-        values = np.frombuffer(r["n"], "<f4")
-        if r["part"] < 0:
-            docs[-1 - r["part"]] = values[0]
-        else:
-            lo = (r["part"] & ((1 << 20) - 1)) * _CHUNK
-            both[r["part"] >> 20][lo:lo + _CHUNK] = values[:len(both[0]) - lo]
-    return docs, np.stack([b[:WORDS] for b in both]), np.stack([b[WORDS:] for b in both])
-
-
-class Model:
-    """docs: documents of the ordinary and the toxic class; words, pairs: how many of them hold each bucket."""
-
-    def __init__(self, docs: np.ndarray, words: np.ndarray, pairs: np.ndarray):
-        self.docs, self.words, self.pairs = docs, words, pairs
-        # equal rates in both classes: the larger class loses as many more documents as it has
-        self.scale = docs / max(1.0, docs.min())
-        self.share = docs / max(1.0, docs.sum())
-        rows = pairs.reshape(2, CONTEXTS, FOLLOWERS).sum(axis=2, dtype=np.float64)
-        self.context_mass = np.maximum(rows, 1)
-        self.curve = np.zeros(1 + N_FEATURES)
-
-    def ratio(self, word: np.ndarray, pair: np.ndarray, follows: np.ndarray, without: np.ndarray | None = None) -> np.ndarray:
-        """Log-likelihood of each word after the one before it, toxic less ordinary.
-
-        without: for each word the class whose counts leave its document out, for training rows.
-        """
+        vl, vh, wl, wh, cat, n = E.entries(table, _ENTRY)
+        v = vl.astype(np.uint64) | vh.astype(np.uint64) << T.U(32)
+        w = wl.astype(np.uint64) | wh.astype(np.uint64) << T.U(32)
+        order, new = E.repeated(v, w)
+        group = np.cumsum(new) - 1
+        v, w = v[order][new], w[order][new]
+        by_cat = np.zeros((4, len(v)))
+        np.add.at(by_cat, (cat[order], group), n[order])
+        own = [by_cat[0] + by_cat[2], by_cat[1] + by_cat[3], by_cat[0], by_cat[1]]       # all rows; without the curve's
+        freed = [np.minimum(x, discount[c % 2]) for c, x in enumerate(own)]
+        out = []
+
+        def sums(by: np.ndarray, values: list[np.ndarray | None], name: str):
+            ids, where = np.unique(by, return_inverse=True)
+            add = [np.zeros(len(ids)) if x is None else np.bincount(where, weights=x, minlength=len(ids)) for x in values]
+            out.append(rows(**{name: ids}, values=add))
+
+        def rows(values, key=None, v=None, w=None):
+            size = len(values[0])
+            ids = [pa.nulls(size, pa.int64()) if x is None else pa.array(x.view(np.int64)) for x in (key, v, w)]
+            return pa.table([*ids, *(pa.array(x, pa.float64()) for x in values)], names=["key", "v", "w", *columns])
+
+        sums(v, [own[0], own[1], freed[0], freed[1], own[2], own[3], freed[2], freed[3]], "v")
+        seen = [(x > 0).astype(float) for x in own]
+        sums(w, [seen[0], seen[1], np.maximum(seen[0], seen[1]), None, seen[2], seen[3], np.maximum(seen[2], seen[3]), None], "w")
+        above = np.any([x > discount[c % 2] for c, x in enumerate(own)], axis=0)
+        zero = np.zeros(int(above.sum()))
+        own = [x[above] for x in own]
+        out.append(rows([own[0], own[1], zero, zero, own[2], own[3], zero, zero], _pair_key(v[above], w[above]), v[above], w[above]))
+        return pa.concat_tables(out)
+
+    entries = training.mapInArrow(add, E.schema("part", _ENTRY))
+    schema = "key long, v long, w long, " + ", ".join(f"{c} double" for c in columns)
+    return materialize(entries.groupBy("part").applyInArrow(total, schema), "toxicity-counts")
+
+
+def _differences(gathered: DataFrame, discount: tuple[float, float]) -> tuple[DataFrame, list[float]]:
+    """(key, n, x0, s0, x1, s1 of every entry of the model, and what an unknown word adds by either).
+
+    x is the part of the log-likelihood difference, s that of a word that decides; 0 with all rows, 1 without the curve's.
+    """
+    total = {f"a{i}": F.sum(f"a{i}").alias(f"a{i}") for i in range(8)}
+    contexts = gathered.where("v IS NOT NULL AND w IS NULL").groupBy("v").agg(*total.values())
+    words = materialize(gathered.where("w IS NOT NULL AND v IS NULL").groupBy("w").agg(*total.values()), "toxicity-words")
+    mass = words.agg(*(F.sum(f"a{i}").alias(f"n{i}") for i in (0, 1, 2, 4, 5, 6)), F.count(F.lit(1)).alias("types"),
+                     *(F.sum(F.least(F.col(f"a{i}"), F.lit(float(discount[i % 2])))).alias(f"l{i}") for i in (0, 1, 4, 5))).first()
+
+    def lower(model: int, c: int):
+        """P_c(w) by P(w), so that an unknown word has the freed share: max(N_c - D, 0) / (P(w) N_c(., .)) + L_c."""
+        n, both = mass[f"n{4 * model + c}"] or 1.0, (mass[f"n{4 * model + 2}"] or 1.0) + mass["types"] + 1.0
+        shared = (F.coalesce(F.col(f"w.a{4 * model + 2}"), F.lit(0.0)) + 1.0) / both
+        return (F.greatest(F.coalesce(F.col(f"w.a{4 * model + c}"), F.lit(0.0)) - discount[c], F.lit(0.0)) / shared + freed(model, c) * n) / n, shared
+
+    def freed(model: int, c: int) -> float:
+        return (mass[f"l{4 * model + c}"] or 1.0) / (mass[f"n{4 * model + c}"] or 1.0)
+
+    def back(model: int, c: int):
+        """Share of the mass that a context leaves to the lower order; all of it where the context is new."""
+        n = F.coalesce(F.col(f"v.a{4 * model + c}"), F.lit(0.0))
+        return F.when(n > 0, F.col(f"v.a{4 * model + 2 + c}") / n).otherwise(1.0)
+
+    unknown = [float(np.log(freed(m, 1) / freed(m, 0))) for m in (0, 1)]
+
+    def decisive(m: int) -> float:
+        both = (mass[f"n{4 * m + 2}"] or 1.0) + mass["types"] + 1.0
+        return DECISIVE * float(np.log((both / (mass[f"n{4 * m + 1}"] or 1.0) + freed(m, 1)) / freed(m, 0)))
+
+    def word_values(m: int):
+        own = F.log(lower(m, 1)[0]) - F.log(lower(m, 0)[0])
+        before = F.log(back(m, 1)) - F.log(back(m, 0))
+        return [(own + before - unknown[m]).alias(f"x{m}"), F.when(own > decisive(m), own).otherwise(0.0).alias(f"s{m}")]
+
+    def pair_values(m: int):
         logs = []
-        less = [0.0 if without is None else (without == c).astype(np.float64) for c in (0, 1)]
-        word_n = [self.words[c][word] - less[c] for c in (0, 1)]
-        pair_n = [self.pairs[c][pair] - less[c] for c in (0, 1)]
-        context = pair // FOLLOWERS
-        both = self.context_mass.sum(axis=0)[context]
-        for c in (0, 1):
-            shared = (word_n[0] + word_n[1]) * self.share[c] + self.scale[c]
-            p = ((1 - BACKOFF) * np.maximum(word_n[c] - DISCOUNT * self.scale[c], 0) + BACKOFF * shared) / self.docs[c]
-            mass = self.context_mass[c][context]
-            q = ((1 - BACKOFF) * np.maximum(pair_n[c] - PAIR_DISCOUNT * self.scale[c], 0) / mass
-                 + BACKOFF * (pair_n[0] + pair_n[1]) / both + PAIR_BACKOFF * p)
-            logs.append(np.log(np.where(follows, q, PAIR_BACKOFF * p)))
-        return logs[1] - logs[0]
-
-    def features(self, first: np.ndarray, word: np.ndarray, pair: np.ndarray, follows: np.ndarray,
-                 label: np.ndarray | None = None) -> np.ndarray:
-        """[documents, N_FEATURES]: log-likelihood difference by length, of all words and of those that decide."""
-        doc = T.doc_of(first)
-        each = self.ratio(word, pair, follows, None if label is None else label[doc])
-        n = np.diff(first) + 5.0
-        many = len(first) - 1
-        total = np.bincount(doc, weights=each, minlength=many) if len(doc) else np.zeros(many)
-        strong = np.bincount(doc, weights=np.where(each > DECISIVE, each, 0), minlength=many) if len(doc) else np.zeros(many)
-        return np.stack([total / n, strong / n, strong / np.sqrt(n)], axis=1)
-
-    def fit(self, x: np.ndarray, y: np.ndarray) -> None:
-        """Logistic curve by Newton steps with a small ridge, over standardised features."""
-        scale = np.maximum(x.std(axis=0), 1e-9)
-        a = np.column_stack([np.ones(len(x)), x / scale])
-        w = np.zeros(a.shape[1])
-        for _ in range(50):
-            p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-            step = np.linalg.solve(a.T @ (a * (p * (1 - p))[:, None]) + 1e-3 * np.eye(a.shape[1]), a.T @ (y - p) - 1e-3 * w)
-            w += np.clip(step, -2, 2)
-            if np.abs(step).max() < 1e-6:
-                break
-        self.curve = np.array([w[0], *(w[1:] / scale)])
-
-    def score(self, texts: pa.Array) -> np.ndarray:
-        z = self.curve[0] + self.features(*_expressions(texts)) @ self.curve[1:]
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        for c in (1, 0):
+            p, shared = lower(m, c)
+            n = F.greatest(F.coalesce(F.col(f"v.a{4 * m + c}"), F.lit(0.0)), F.lit(1.0))
+            above = F.greatest(F.col(f"p.a{4 * m + c}") - discount[c], F.lit(0.0)) / n
+            logs.append(F.log1p(above / (back(m, c) * p * shared)))       # over what backing off alone gives
+        return [(logs[0] - logs[1]).alias(f"x{m}"), F.lit(0.0).alias(f"s{m}")]
+
+    contexts, words = contexts.alias("v"), words.alias("w")
+    single = words.join(contexts, F.col("w.w") == F.col("v.v"), "full").select(
+        F.coalesce("w.w", "v.v").alias("key"), (F.coalesce("v.a0", F.lit(0.0)) + F.coalesce("v.a1", F.lit(0.0))).alias("n"),
+        *word_values(0), *word_values(1))
+    pairs = gathered.where("key IS NOT NULL").alias("p")
+    double = (pairs.join(contexts, F.col("p.v") == F.col("v.v"), "left").join(words, F.col("p.w") == F.col("w.w"), "left")
+              .select(F.col("p.key").alias("key"), (F.col("p.a0") + F.col("p.a1")).alias("n"), *pair_values(0), *pair_values(1)))
+    return single.union(double), unknown
+
+
+@dataclass
+class Model:
+    """table: key, n, x0, s0, x1, s1 (written); its entries from ``least`` on are in hot; bits marks the others."""
+
+    table: DataFrame
+    least: int
+    hot: tuple[np.ndarray, np.ndarray]
+    bits: np.ndarray
+    unknown: list[float]
+    curve: np.ndarray
+
+
+def _bit(key):
+    """Place of a key in the bit map."""
+    return F.pmod(F.shiftright(key, 7), F.lit(BITS))
+
+
+def _model(table: DataFrame, unknown: list[float]) -> Model:
+    step = F.floor(F.log2(F.col("n") + 1) * 8).cast("int")
+    counted = sorted(((r[0], r[1]) for r in table.groupBy(step.alias("step")).count().collect()), reverse=True)
+    least, held = 1 << 30, 0
+    for s, n in counted:
+        if held + n > HOT:
+            break
+        least, held = s, held + n
+    hot = table.where(step >= least).select("key", "x0", "s0", "x1", "s1").toPandas().sort_values("key")
+    place = _bit(F.col("key"))
+    rows = (table.where(step < least).select(F.floor(place / _BIN).cast("int").alias("bin"), (place % _BIN).alias("at"))
+            .groupBy("bin").agg(F.bitmap_construct_agg("at").alias("bits")).collect())
+    bits = np.zeros((BITS // _BIN, _BIN // 8), dtype=np.uint8)
+    for r in rows:
+        bits[r["bin"]] = np.frombuffer(r["bits"], np.uint8)
+    values = hot[["x0", "s0", "x1", "s1"]].to_numpy(dtype=np.float32)
+    return Model(table, least, (hot["key"].to_numpy(dtype=np.int64), values), bits.ravel(), unknown, np.zeros(1 + N_FEATURES))
+
+
+def _sums(docs: DataFrame, model: Model, which: int, parts: int) -> DataFrame:
+    """doc_id, text_hash, label, words, x, s of every row of docs (doc_id, text_hash, label, text).
+
+    which: 0 by the counts of all training rows, 1 by those without the curve's.
+    """
+    sc = docs.sparkSession.sparkContext
+    held = sc.broadcast((model.hot[0], model.hot[1][:, 2 * which:2 * which + 2].copy(), model.bits))
+    unknown = model.unknown[which]
+
+    def ask(batches):
+        hot, values, bits = held.value
+        piece_id = TaskContext.get().partitionId() << 32
+        for piece in T.slices(batches):
+            many = piece.num_rows
+            doc, _, w, pair, words = _expressions(piece.column(3))
+            key = np.concatenate([w, pair, np.full(many, _BEGIN)]).view(np.int64)     # a word's value is also that of the context it makes
+            doc = np.concatenate([doc, doc, np.arange(many)])
+            at = np.minimum(np.searchsorted(hot, key), max(len(hot) - 1, 0))
+            known = hot[at] == key if len(hot) else np.zeros(len(key), dtype=bool)
+            x, s = (np.bincount(doc[known], weights=values[at[known], k], minlength=many).astype(np.float64) for k in (0, 1))
+            key, doc = key[~known], doc[~known]
+            place = (key >> 7) & (BITS - 1)
+            maybe = (bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+            key, doc = key[maybe], doc[maybe]
+            asked = E.rows("part", key % parts, _ASK, [key, doc])
+            n = len(asked)
+            ids = pa.array(piece_id + np.arange(many), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [ids, *piece.columns[:3], pa.array(words.astype(np.int64)), pa.array(x + unknown * (words + 1)), pa.array(s),
+                 *(pa.nulls(many, t) for t in (pa.int32(), pa.binary(), pa.binary()))], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, piece_id)), *(pa.nulls(n, t) for t in kinds), *asked.columns], names=names)
+            piece_id += many
+
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.float64(), pa.float64())
+    names = ["at", "doc_id", "text_hash", "label", "words", "x", "s", "part", "key", "doc"]
+    asked = materialize(docs.select("doc_id", "text_hash", "label", "text").mapInArrow(
+        ask, "at long, doc_id long, text_hash long, label int, words long, x double, s double, part int, key binary, doc binary"), "toxicity-asked")
+    held.unpersist()
+    step = F.floor(F.log2(F.col("n") + 1) * 8).cast("int")
+    rest = model.table.where(step < model.least).select(F.pmod("key", F.lit(parts)).cast("int").alias("part"), "key",
+                                                        F.col(f"x{which}").alias("x"), F.col(f"s{which}").alias("s"))
+
+    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
+        key, doc = E.entries(left, _ASK)
+        at = np.repeat(left.column("at").to_numpy(), [len(b) // 4 for b in left.column("doc").to_pylist()]) + doc
+        own = right.sort_by("key")
+        known = own.column("key").to_numpy()
+        if not len(known) or not len(key):
+            return pa.table({"at": pa.array([], pa.int64()), "x": pa.array([], pa.float64()), "s": pa.array([], pa.float64())})
+        place = np.minimum(np.searchsorted(known, key), len(known) - 1)
+        hit = known[place] == key
+        ids, where = np.unique(at[hit], return_inverse=True)
+        x, s = (np.bincount(where, weights=own.column(c).to_numpy()[place[hit]], minlength=len(ids)).astype(np.float64) for c in ("x", "s"))
+        return pa.table({"at": pa.array(ids, pa.int64()), "x": pa.array(x), "s": pa.array(s)})
+
+    answers = (asked.where("part IS NOT NULL").select("at", "part", "key", "doc").groupBy("part").cogroup(rest.groupBy("part"))
+               .applyInArrow(answer, "at long, x double, s double"))
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("doc_id", "long"), ("text_hash", "long"), ("label", "int"), ("words", "long"))]
+    heads = asked.where("part IS NULL").select("at", "doc_id", "text_hash", "label", "words", "x", "s")
+    return (heads.union(answers.select("at", *none, "x", "s")).groupBy("at")
+            .agg(*(F.max(c).alias(c) for c in ("doc_id", "text_hash", "label", "words")), F.sum("x").alias("x"), F.sum("s").alias("s")))
+
+
+def _features() -> list:
+    n = F.col("words") + 5.0
+    return [(F.col("x") / n).alias("f0"), (F.col("s") / F.sqrt(n)).alias("f1")]
+
+
+def _curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Logistic curve by Newton steps with a small ridge, over standardised features."""
+    scale = np.maximum(x.std(axis=0), 1e-9)
+    a = np.column_stack([np.ones(len(x)), x / scale])
+    w = np.zeros(a.shape[1])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
+        step = np.linalg.solve(a.T @ (a * (p * (1 - p))[:, None]) + 1e-3 * np.eye(a.shape[1]), a.T @ (y - p) - 1e-3 * w)
+        w += np.clip(step, -2, 2)
+        if np.abs(step).max() < 1e-6:
+            break
+    return np.array([w[0], *(w[1:] / scale)])
 
 
 def held_out(doc_id):
@@ -228,52 +336,49 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
              .agg(F.max((F.col("toxic") != 0).cast("int")).alias("label")).where(~held_out(F.col("doc_id"))))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(
         F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS).select("doc_id", F.lit(True).alias("fit"))
+    counts = {r["label"]: r["n"] for r in known.join(texts.select("doc_id"), "doc_id").groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(counts) < 2:
+        return None
+    discount = tuple(DISCOUNT * counts[c] / min(counts.values()) for c in (0, 1))
+    parts, _ = E.sizes(docs)
+    some = (known.where(F.pmod(F.xxhash64("doc_id"), F.lit(FIT_SHARE)) == 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS)
+            .select("doc_id", F.lit(True).alias("fit")))
     known = known.join(some, "doc_id", "left").select("doc_id", "label", F.coalesce("fit", F.lit(False)).alias("fit"))
     # texts move once, to their labels; the hint keeps one plan at every size
-    gathered = _gather(texts.join(known.hint("merge"), "doc_id").select("text", "label", "fit"))
-    model = Model(*_counts(gathered))
-    if not model.docs.all():
-        return None
-    held = docs.sparkSession.sparkContext.broadcast(model)
-    names = [f"x{k}" for k in range(N_FEATURES)]
-
-    def measure(batches):
-        for b in batches:
-            label = -3 - b.column(0).to_numpy()
-            words = [np.frombuffer(x, "<i4") for x in b.column(1).to_pylist()]
-            pair = np.frombuffer(b"".join(b.column(2).to_pylist()), "<i4").astype(np.int64)
-            first = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)
-            word = np.concatenate(words).astype(np.int64)
-            x = held.value.features(first, word, np.maximum(pair, 0), pair >= 0, label)
-            yield pa.RecordBatch.from_arrays([*(pa.array(x[:, k]) for k in range(N_FEATURES)), pa.array(label, pa.int32())], names=[*names, "label"])
-
-    schema = ", ".join(f"{n} double" for n in names) + ", label int"
-    fitted = gathered.where("part <= -3").mapInArrow(measure, schema).toPandas()
-    held.unpersist()
+    training = texts.join(known.hint("merge"), "doc_id").select("text", "label", "fit")
+    table, unknown = _differences(_gather(training, parts, discount), discount)
+    model = _model(materialize(table, "toxicity-model"), unknown)
+    rows = texts.join(F.broadcast(known.where("fit")), "doc_id").select(           # at most FIT_ROWS ids
+        "doc_id", F.xxhash64("text").alias("text_hash"), "label", "text")
+    fitted = _sums(rows, model, 1, parts).select(*_features(), "label").toPandas()
+    names = [f"f{k}" for k in range(N_FEATURES)]
     fitted = fitted.sort_values([*names, "label"])
-    model.fit(fitted[names].to_numpy(), fitted["label"].to_numpy(dtype=np.float64))
+    model.curve = _curve(fitted[names].to_numpy(), fitted["label"].to_numpy(dtype=np.float64))
     return model
 
 
 def scored(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:
-    """row (a struct of all columns of docs), score and predicted; the text alone decides."""
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("text"))
+    """doc_id, text_hash, score and predicted of every row; the text alone decides."""
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    own = own.select("doc_id", F.xxhash64("text").alias("text_hash"), F.lit(None).cast("int").alias("label"), "text")
     if model is None:
-        return rows.select("row", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
-    held = docs.sparkSession.sparkContext.broadcast(model)
+        return own.select("doc_id", "text_hash", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+    z = F.lit(float(model.curve[0]))
+    for f, c in zip(_features(), model.curve[1:]):
+        z = z + f * float(c)
+    score = 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))))
+    return (_sums(own, model, 0, E.sizes(docs)[0]).select("doc_id", "text_hash", F.round(score, 12).alias("score"))   # sums of another order agree
+            .withColumn("predicted", (F.col("score") >= threshold).cast("int")))
 
-    def run(batches):
-        for piece in T.slices(batches):
-            s = held.value.score(piece.column(1))
-            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(s), pa.array((s >= threshold).astype(np.int32))],
-                                             names=["row", "score", "predicted"])
 
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, score double, predicted int")
+def without_toxic(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs, all their columns, whose score stays below the threshold."""
+    toxic = scored(docs, model, threshold).where("predicted = 1").select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("id")) & (F.xxhash64(F.col("row.text").cast("string")) == F.col("hash"))
+    return rows.join(toxic, same, "left_anti").select("row.*")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return scored(own, train(docs, labels), threshold).select(
-        "row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", "predicted")
+    return scored(docs, train(docs, labels), threshold).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
