@@ -22,7 +22,7 @@ ORACLE_SQL = None
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score stays below the threshold; the model learns from the labels of these documents."""
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
-    return toxicity.scored(docs, toxicity.train(docs, labels)).where("predicted = 0").select("row.*")
+    return toxicity.without_toxic(docs, toxicity.train(docs, labels))
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
