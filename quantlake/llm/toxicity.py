@@ -17,7 +17,7 @@ part of it by words that decide, by length and by its root.  Where a pair has no
 part of v and one of w, the shared P(w) cancelling out, so the model is a table of one value
 a word and one a pair with counts above the discount.  All counts are exact, made by
 pre-aggregation and a shuffle, and the table grows with the corpus.  Documents find its
-HOT most frequent entries in a broadcast and ask a bit map of BITS bits which other
+HOT most frequent entries in a broadcast and a bit map of BITS bits tells which other
 expressions may be in the table; those travel to the table's parts, and their values are summed by document.
 
 A logistic curve makes the features a score.  It is fitted to at most FIT_ROWS training
@@ -48,8 +48,8 @@ from . import textops as T
 
 #: Labelled rows that the logistic curve is fitted to at most, a share of one in FIT_SHARE (those with the smallest id hash).
 FIT_ROWS, FIT_SHARE = 10_000, 4
-#: Entries of the model that are broadcast at most, and bits of the map of the others: 8 MB each.
-HOT, BITS = 1 << 19, 1 << 26
+#: Entries of the model that are broadcast at most (2 MB), and bits of a map of ids or entries (4 MB).
+HOT, BITS = 1 << 17, 1 << 25
 #: Documents of the smaller class that are taken off each of its counts.
 DISCOUNT = 3.0
 #: Share of the greatest difference that the model can give a word from which a word decides.
@@ -224,6 +224,22 @@ def _bit(key):
     return F.pmod(F.shiftright(key, 7), F.lit(BITS))
 
 
+def _marks(rows: DataFrame, key) -> DataFrame:
+    """(bin, bits): the bit map of the rows' keys, at most BITS / _BIN rows of 4 KB."""
+    place = _bit(key)
+    return (rows.select(F.floor(place / _BIN).cast("int").alias("bin"), (place % _BIN).alias("at"))
+            .groupBy("bin").agg(F.bitmap_construct_agg("at").alias("bits")))
+
+
+def _perhaps_in(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """The rows whose doc_id a bit map of the ids of known doesn't rule out, so that few others move to the join."""
+    place = _bit(F.xxhash64("doc_id"))
+    marks = F.broadcast(_marks(known, F.xxhash64("doc_id")))                       # 4 MB at most
+    byte = F.conv(F.hex(F.expr("substring(bits, CAST(at DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
+    found = rows.withColumn("bin", F.floor(place / _BIN).cast("int")).withColumn("at", (place % _BIN).cast("int")).join(marks, "bin")
+    return found.withColumn("byte", byte).where("shiftright(byte, at % 8) % 2 = 1").select(*rows.columns)
+
+
 def _model(table: DataFrame, unknown: list[float]) -> Model:
     step = F.floor(F.log2(F.col("n") + 1) * 8).cast("int")
     counted = sorted(((r[0], r[1]) for r in table.groupBy(step.alias("step")).count().collect()), reverse=True)
@@ -232,15 +248,14 @@ def _model(table: DataFrame, unknown: list[float]) -> Model:
         if held + n > HOT:
             break
         least, held = s, held + n
-    hot = table.where(step >= least).select("key", "x0", "s0", "x1", "s1").toPandas().sort_values("key")
-    place = _bit(F.col("key"))
-    rows = (table.where(step < least).select(F.floor(place / _BIN).cast("int").alias("bin"), (place % _BIN).alias("at"))
-            .groupBy("bin").agg(F.bitmap_construct_agg("at").alias("bits")).collect())
+    names = ("x0", "s0", "x1", "s1")
+    hot = table.where(step >= least).select("key", *(F.col(c).cast("float") for c in names)).toArrow().sort_by("key")
+    rows = _marks(table.where(step < least), F.col("key")).collect()
     bits = np.zeros((BITS // _BIN, _BIN // 8), dtype=np.uint8)
     for r in rows:
         bits[r["bin"]] = np.frombuffer(r["bits"], np.uint8)
-    values = hot[["x0", "s0", "x1", "s1"]].to_numpy(dtype=np.float32)
-    return Model(table, least, (hot["key"].to_numpy(dtype=np.int64), values), bits.ravel(), unknown, np.zeros(1 + N_FEATURES))
+    values = np.column_stack([hot.column(c).to_numpy() for c in names])
+    return Model(table, least, (hot.column("key").to_numpy(), values), bits.ravel(), unknown, np.zeros(1 + N_FEATURES))
 
 
 def _sums(docs: DataFrame, model: Model, which: int, parts: int) -> DataFrame:
@@ -341,12 +356,13 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
         return None
     discount = tuple(DISCOUNT * counts[c] / min(counts.values()) for c in (0, 1))
     parts, _ = E.sizes(docs)
+    texts = _perhaps_in(texts, known)
     some = (known.where(F.pmod(F.xxhash64("doc_id"), F.lit(FIT_SHARE)) == 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS)
             .select("doc_id", F.lit(True).alias("fit")))
     known = known.join(some, "doc_id", "left").select("doc_id", "label", F.coalesce("fit", F.lit(False)).alias("fit"))
     # texts move once, to their labels; the hint keeps one plan at every size
     training = texts.join(known.hint("merge"), "doc_id").select("text", "label", "fit")
-    table, unknown = _differences(_gather(training, parts, discount), discount)
+    table, unknown = _differences(_gather(training, max(32, parts // 4), discount), discount)
     model = _model(materialize(table, "toxicity-model"), unknown)
     rows = texts.join(F.broadcast(known.where("fit")), "doc_id").select(           # at most FIT_ROWS ids
         "doc_id", F.xxhash64("text").alias("text_hash"), "label", "text")
