@@ -70,20 +70,21 @@ FROM f
 
 def _kind(kind: str, pattern: str, group: int, least: int) -> str:
     p = "'" + pattern.replace("'", "''") + "'"
-    return f"""SELECT doc_id, source, '{kind}' AS kind, {KINDS.index(kind)} AS rank,
+    return f"""SELECT doc_id, source, lang, '{kind}' AS kind, {KINDS.index(kind)} AS rank,
    unnest(string_split_regex(t, {p})[:len(regexp_extract_all(t, {p}))]) AS gap, unnest(regexp_extract_all(t, {p})) AS whole,
    unnest(regexp_extract_all(t, {p}, {group})) AS value, unnest(range(1, len(regexp_extract_all(t, {p})) + 1)) AS i, {least} AS least_
    FROM d WHERE regexp_matches(t, {p})"""
 
 
 SECRETS = f"""
-WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+WITH d AS (SELECT doc_id, source, lang, coalesce(text, '') AS t FROM documents),
  m AS ({' UNION ALL '.join(_kind(*k) for k in (*BASE, OPAQUE))}),
  ends AS (SELECT *, sum(length(gap) + length(whole)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS stop FROM m),
- s AS (SELECT doc_id, source, kind, rank, value, CAST(stop - length(whole) AS INTEGER) AS start, CAST(stop AS INTEGER) AS stop FROM ends
+ s AS (SELECT doc_id, source, lang, kind, rank, value, CAST(stop - length(whole) AS INTEGER) AS start, CAST(stop AS INTEGER) AS stop FROM ends
    WHERE length(value) >= least_ AND (kind <> 'opaque' OR (regexp_matches(value, '[0-9]') AND regexp_matches(value, '[a-z]') AND regexp_matches(value, '[A-Z]')))),
- o AS (SELECT value, count(DISTINCT coalesce(source, chr(1))) AS owners FROM s GROUP BY value),
- v AS (SELECT s.*, CASE WHEN owners >= 3 THEN 'example' WHEN owners >= 2 THEN 'shared' ELSE 'live' END AS verdict,
+ o AS (SELECT value, count(DISTINCT coalesce(source, chr(1))) AS owners, count(DISTINCT coalesce(source, chr(1)) || chr(2) || concat_ws('/', source, lang)) AS repositories,
+   len(list_distinct(string_split(value, ''))) >= 8 AS random FROM s GROUP BY value),
+ v AS (SELECT s.*, CASE WHEN owners >= 3 OR (owners >= 2 AND repositories >= 5) THEN 'example' WHEN owners >= 2 THEN 'shared' WHEN random THEN 'live' ELSE 'weak' END AS verdict,
    kind || ':' || start || ':' || stop AS item FROM s JOIN o USING (value)),
  r AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
    string_agg(item, ',' ORDER BY start, rank) FILTER (kind <> 'opaque') AS base, string_agg(item, ',' ORDER BY start, rank) AS spans,

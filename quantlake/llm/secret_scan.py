@@ -3,8 +3,8 @@
 Base spans come from three fixed patterns.  Beyond them, long opaque values
 are candidates; every candidate's value hash is aggregated over the corpus by
 distinct repositories and owners.  A value that several owners hold is a
-copied example; one that a single owner holds and that looks random is
-live.  Live opaque candidates are added to the spans, base spans always stay,
+copied example, as is one of two owners in many repositories; one that a single owner holds is
+live if it looks random, by the number of its different characters, else weak.  Live opaque candidates are added to the spans, base spans always stay,
 and each document tells how many of its spans are live or examples.
 
 Spans are found inside each row (split gives the gaps between matches, their
@@ -34,32 +34,45 @@ BASE = (
 )
 #: Opaque values: 24 or more characters of one token; digits and both cases must occur.
 OPAQUE = ("opaque", r"[A-Za-z0-9+/_=-]{24,}", 0, 24)
+#: Different characters from which a value looks random (a random hex value of 16 has ten on average).
+LEAST_DISTINCT = 8
 KINDS = ("assign", "access", "hex", "opaque")
 #: A cheap test that every text with an assignment passes.
 _HINTS = ("passw", "secret", "token", "apikey", "api_key")
 
 
+def _running(rows: Column, merge) -> Column:
+    """array<struct> in which every row holds merge(row before by d, row) for d = 1, 2, 4, ...: a running total in n log n steps, without copying lists."""
+    def double(acc, d):
+        def with_earlier(x, i):
+            earlier = F.get(acc, i - d)
+            return F.when(i >= d, merge(earlier, x)).otherwise(x)
+        return F.when(F.size(acc) > d, F.transform(acc, with_earlier)).otherwise(acc)
+
+    return F.aggregate(F.array(*[F.lit(1 << j) for j in range(31)]), rows, double)
+
+
+def _let(value: Column, body) -> Column:
+    """body(value), with the value worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _spans(text: Column, kind: str, pattern: str, group: int, least: int, hint: Column | None = None) -> Column:
-    """array<struct<start, kind, end, value>> of the leftmost non-overlapping matches whose group is long enough."""
+    """array<struct<start, rank, end, kind, value>> of the leftmost non-overlapping matches whose group is long enough."""
     p = F.lit(pattern)
     gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
     whole = F.transform(F.regexp_extract_all(text, p, F.lit(0)), lambda m: F.length(m))
     value = F.regexp_extract_all(text, p, F.lit(group))
-    parts = F.arrays_zip(gaps.alias("gap"), whole.alias("size"), value.alias("value"))
-    item = "struct<start:int,rank:int,end:int,kind:string,value:string>"
-    empty = F.expr(f"CAST(array() AS array<{item}>)")
-    rank = KINDS.index(kind)
-
-    def step(acc, x):
-        start = acc["at"] + x["gap"]
-        end = start + x["size"]
-        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"),
-                        x["value"].alias("value"))
-        long_enough = F.length(x["value"]) >= least
-        return F.struct(F.coalesce(end, acc["at"]).alias("at"),
-                        F.when(long_enough, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
-
-    found = F.aggregate(parts, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
+    parts = F.filter(F.arrays_zip(gaps.alias("gap"), whole.alias("size"), value.alias("value")), lambda x: x["size"].isNotNull())
+
+    def row(end, x):
+        return F.struct(end.alias("end"), x["size"].alias("size"), x["value"].alias("value"))
+
+    ends = _running(F.transform(parts, lambda x: row(x["gap"] + x["size"], x)), lambda before, x: row(before["end"] + x["end"], x))
+    found = F.transform(F.filter(ends, lambda x: F.length(x["value"]) >= least),
+                        lambda x: F.struct((x["end"] - x["size"]).alias("start"), F.lit(KINDS.index(kind)).alias("rank"), x["end"].alias("end"),
+                                           F.lit(kind).alias("kind"), x["value"].alias("value")))
+    empty = F.expr("CAST(array() AS array<struct<start:int,rank:int,end:int,kind:string,value:string>>)")
     test = text.rlike(pattern) if hint is None else hint & text.rlike(pattern)
     return F.when(F.coalesce(test, F.lit(False)), found).otherwise(empty)
 
@@ -82,21 +95,28 @@ def candidates(docs: DataFrame, text: Column, repository: Column, owner: Column)
                        F.array_sort(F.concat(*arrays, opaque)).alias("spans"))
 
 
-def verdicts(rows: DataFrame, example_owners: int = 3) -> DataFrame:
-    """value_hash, n_repositories, n_owners, verdict of every candidate value of the corpus.
+def verdicts(rows: DataFrame, example_owners: int = 3, example_repositories: int = 5) -> DataFrame:
+    """value_hash, n_repositories, n_owners, n_spans, verdict of every candidate value of the corpus.
 
-    verdict: example (example_owners or more owners), shared (two or more), live (one).
+    verdict: example (example_owners or more owners, or two with example_repositories or more
+    repositories), shared (two or more owners), live (one owner, LEAST_DISTINCT or more different
+    characters), weak (one owner, fewer).
     Values are grouped by SHA-256.  Two aggregations count distinct pairs, so
     a value's rows meet once for each distinct owner and repository only.
     """
     each = (rows.select("repository", "owner", F.explode("spans").alias("s"))
-            .select(F.sha2(F.col("s.value"), 256).alias("value_hash"), "repository", "owner"))
-    pairs = each.groupBy("value_hash", "owner", "repository").agg(F.count(F.lit(1)).alias("n"))
-    owners = (pairs.groupBy("value_hash", "owner").agg(F.count(F.lit(1)).alias("repositories"), F.sum("n").alias("n"))
+            .select(F.sha2(F.col("s.value"), 256).alias("value_hash"), "repository", "owner", _looks_random(F.col("s.value")).alias("random")))
+    pairs = each.groupBy("value_hash", "owner", "repository").agg(F.count(F.lit(1)).alias("n"), F.first("random").alias("random"))
+    owners = (pairs.groupBy("value_hash", "owner").agg(F.count(F.lit(1)).alias("repositories"), F.sum("n").alias("n"), F.first("random").alias("random"))
               .groupBy("value_hash").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("repositories").alias("n_repositories"),
-                                         F.sum("n").alias("n_spans")))
-    return owners.withColumn("verdict", F.when(F.col("n_owners") >= example_owners, "example")
-                             .when(F.col("n_owners") >= 2, "shared").otherwise("live"))
+                                         F.sum("n").alias("n_spans"), F.first("random").alias("random")))
+    copied = (F.col("n_owners") >= example_owners) | ((F.col("n_owners") >= 2) & (F.col("n_repositories") >= example_repositories))
+    return owners.withColumn("verdict", F.when(copied, "example").when(F.col("n_owners") >= 2, "shared")
+                             .when(F.col("random"), "live").otherwise("weak")).drop("random")
+
+
+def _looks_random(value: Column) -> Column:
+    return F.size(F.array_distinct(F.split(value, ""))) >= LEAST_DISTINCT
 
 
 def _joined(spans: Column) -> Column:
@@ -132,18 +152,43 @@ def digests(found: DataFrame) -> DataFrame:
 
 
 def _mask(text: Column, spans: Column, mask: str) -> Column:
-    """text with the union of the spans replaced; spans are sorted by start."""
-    def step(acc, s):
-        begin = F.greatest(acc["at"], s["start"])
-        piece = F.when(s["start"] >= acc["at"], F.concat(F.substring(text, acc["at"] + 1, begin - acc["at"]), F.lit(mask))).otherwise("")
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], F.array(piece)).alias("out"))
+    """text with the union of the spans replaced; spans are sorted by start.
+
+    Spans are worked off in groups of about the root of their number, each within the part of the
+    text from where the group before ended, so that no position is sought from the start of the text for every span.
+    """
+    def row(reach, s):
+        return F.struct(s["start"].alias("start"), s["end"].alias("end"), reach.alias("reach"))
+
+    reached = _running(F.transform(spans, lambda s: row(s["end"], s)), lambda before, s: row(F.greatest(before["reach"], s["reach"]), s))
+
+    def masked(all_spans):
+        size = F.ceil(F.sqrt(F.size(all_spans))).cast("int")
+
+        def reach_before(i):
+            return F.coalesce(F.get(all_spans, i - 1)["reach"], F.lit(0))
+
+        def group(first):
+            begin = reach_before(first)
+            last = F.get(all_spans, F.least(first + size, F.size(all_spans)) - 1)["reach"]
+
+            def pieces(part):
+                def piece(s, i):
+                    at = reach_before(first + i)
+                    kept = F.concat(F.substring(part, at - begin + 1, s["start"] - at), F.lit(mask))
+                    return F.when(s["start"] >= at, kept).otherwise("")
+                return F.array_join(F.transform(F.slice(all_spans, first + 1, size), piece), "")
+            return _let(F.substring(text, begin + 1, last - begin), pieces)
+
+        firsts = F.sequence(F.lit(0), F.size(all_spans) - 1, size)
+        rest = reach_before(F.size(all_spans))
+        return F.concat(F.array_join(F.transform(firsts, group), ""), F.substring(text, rest + 1, F.length(text)))
 
-    return F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.expr("CAST(array() AS array<string>)").alias("out")), step,
-                       lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
+    return F.when(F.size(spans) > 0, _let(reached, masked)).otherwise(text)
 
 
 def redact(docs: DataFrame, mask: str = "[SECRET]", example_owners: int = 3) -> DataFrame:
-    """The documents with every secret that isn't a copied example replaced by ``mask``; all rows stay.
+    """The documents with every secret that isn't a copied example (live, weak or shared) replaced by ``mask``; all rows stay.
 
     Only the spans of rows that have some are joined back, by doc_id and text
     hash, so repeated rows get the same result.  n_chars is set anew for

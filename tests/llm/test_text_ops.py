@@ -11,6 +11,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 from llm_helpers import frame, odd, texts  # noqa: F401  (texts is a fixture)
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quantlake.llm import bpe, packing, quality_rules, secret_scan, token_counts, topk, toxicity
@@ -163,6 +164,35 @@ def test_secrets(spark, texts):
     assert secret_scan.digests(secret_scan.scan(frame(spark, []))).count() == 0
 
 
+def test_secret_verdicts_by_owners_repositories_and_form(spark):
+    key, weak, pair = "aB3dE5fG7hI9jK1lM3nO5pQ7", "changemechangeme", "qW8eR6tY4uI2oP0aS9dF7gH5"
+    rows = [(1, f"token={key}", "en", "a"), (2, f"password={weak}", "en", "a"), (3, f"token={key}", "de", "a")]
+    rows += [(10 + i, f"token={pair}", lang, source) for i, (lang, source) in enumerate([("en", "b"), ("de", "b"), ("fr", "b"), ("en", "c"), ("de", "c")])]
+    df = frame(spark, rows)
+    cand = secret_scan.candidates(df, F.col("text"), F.concat_ws("/", "source", "lang"), F.col("source"))
+    got = {r.value_hash: (r.n_owners, r.n_repositories, r.verdict) for r in secret_scan.verdicts(cand).collect()}
+    sha = lambda v: hashlib.sha256(v.encode()).hexdigest()
+    assert {h: got[h] for h in map(sha, (key, weak, pair))} == {sha(key): (1, 2, "live"), sha(weak): (1, 1, "weak"), sha(pair): (2, 5, "example")}
+    assert {r.verdict for r in secret_scan.verdicts(cand, example_repositories=6).collect()} == {"live", "weak", "shared"}  # no example any more
+
+
+def test_text_of_many_secrets_is_scanned_and_masked_whole(spark):
+    """20,000 keys and overlapping spans in one text; work that copies a list for every match takes minutes here."""
+    rnd = random.Random(5)
+    hexes = ["".join(rnd.choice("0123456789abcdef") for _ in range(16)) for _ in range(20_000)]
+    lines = [f"é{i} token={h} zz" if i % 3 else f"日 {h}" for i, h in enumerate(hexes)]
+    df = frame(spark, [(1, "\n".join(lines), "en", "a"), (2, "token: " + hexes[0], "en", "a"), (3, hexes[1] + "x" + hexes[2], "en", "a")])
+    got = {r.doc_id: r for r in secret_scan.digests(secret_scan.scan(df)).collect()}
+    text, n = "\n".join(lines), sum(1 for i in range(20_000) if i % 3)
+    assert (got[1].n_assign, got[1].n_hex) == (n, 20_000)
+    spans = [(m.start(), 0, "assign", m.end()) for m in re.finditer("token=[0-9a-f]{16}", text)]
+    spans += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]{16,}", text)]
+    assert got[1].base_sha256 == hashlib.sha256(",".join(f"{k}:{s}:{e}" for s, _, k, e in sorted(spans)).encode()).hexdigest()
+    masked = {r.doc_id: r.text for r in secret_scan.redact(df).collect()}
+    assert masked[1] == re.sub("(token=)?[0-9a-f]{16}", "[SECRET]", text)
+    assert masked[2] == "[SECRET]" and masked[3] == "[SECRET]x[SECRET]"
+
+
 def test_token_counts(spark, texts, gpt, tmp_path):
     df = odd(frame(spark, [(d, t, None if i % 7 == 0 else "en", f"s{i % 3}") for i, (d, t) in enumerate(texts)]))
     counted = token_counts.count_tokens(df, {"w": None, "b": public_tokenizers.path("byte_bpe_50k.json")}).cache()
