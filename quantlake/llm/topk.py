@@ -1,17 +1,19 @@
-"""Exact top-k inner products, score at a time over bit planes of falling impact.
-
-Vectors are quantised to integers.  A block of vectors is cut into levels of
-LEVEL_BITS bits of magnitude, the highest bits first.  A level is a dense matrix of
-the whole block, zeros included; it stands in for posting lists (vector, impact)
-sorted by impact and cut into segments, which are not built, and the order of
-work doesn't depend on the query's weights.  Queries take one level after the
-other, adding to one accumulator a vector; after each level the rest of every score is bounded, and a query
-stops when the bound proves that no other vector can enter its k best.  The
-possible members are rescored exactly.
+"""Exact top-k inner products, score at a time over impact-ordered posting segments.
+
+Vectors are quantised to integers.  A block of vectors is indexed by dimension: a
+posting is (vector, impact), the impact being how far the component lies from the
+dimension's middle value in the block, which adds the same to all scores.  A
+dimension's postings are sorted by falling size of impact and cut into segments of
+equal quantised impact, LEVELS of them.  A query works the segments of all dimensions off by falling
+product of its weight and the segment's greatest impact, adding to one accumulator
+a vector.  After each round the segments not yet seen bound what any score can still
+gain or lose; the query stops when that proves that no vector but a few can enter
+its k best, and these possible members are rescored exactly from their components.
 
 Rows that repeat both id and vector are folded first; the others are dealt out
-by a hash of both.  Blocks of queries meet blocks of vectors, so a task holds one
-block of each; a query's k best different ids in a block go on to the merge.
+by a hash of both.  A task keeps the index of one block and queries stream past it, so
+vectors are copied once for every BLOCK_QUERIES queries and queries once for every block;
+a query's k best different ids in a block go on to the merge.
 
 Defined results: vectors that are null or empty, of another length than the query's, or hold null
 or non-finite components take no part; a query never returns its own
@@ -29,36 +31,72 @@ from pyspark.sql import functions as F
 
 from quantlake.session import materialize
 
-#: Vectors a block and queries a block; a task holds their product as accumulators (64 MB at 8 bytes).
-BLOCK_VECTORS = 16_384
-BLOCK_QUERIES = 512
-#: Bits of impact below which a level is worked off at once.
-LEVEL_BITS = 3
+#: Vectors and bytes of a block at most on average, and queries that stream past one block in one task.
+BLOCK_VECTORS, BLOCK_BYTES = 8_192, 1 << 25
+BLOCK_QUERIES = 65_536
+#: Quantised impacts of a dimension, and rounds after which a query looks for its proof.
+LEVELS, ROUNDS = 8, 8
+#: A query rescores once this share of a block can still be among its best; that costs less than the postings left.
+FEW = 1 / 32
+#: Partitions of blocks at most; beyond it a task works off several blocks, one after the other.
+MAX_PARTS = 1 << 14
 
 
 class ImpactIndex:
-    """Index of one block: int64 matrix (vectors x dimensions)."""
+    """Posting segments of one block: int64 matrix (vectors x dimensions)."""
 
     def __init__(self, vectors: np.ndarray):
         self.exact = vectors                                  # members are rescored in integers
-        size = np.abs(vectors)
-        sign = np.sign(vectors).astype(np.float64)
-        top = int(size.max()).bit_length() if size.size else 0
-        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
-        hi = top
-        while hi > 0:
-            lo = max(0, hi - LEVEL_BITS)
-            impact = (size >> lo << lo) - (size >> hi << hi)  # the bits hi..lo of each component
-            rest = (size & ((1 << lo) - 1)).max(axis=0)       # what each dimension can still add
-            self.levels.append(((sign * impact).T.copy(), rest.astype(np.float64)))
-            hi = lo
-        #: Greatest size in each dimension, and how far rounding may carry an accumulator off, as a share of the greatest sum.
-        self.most = size.max(axis=0).astype(np.float64) if size.size else np.zeros(vectors.shape[1])
-        self.rounding = (vectors.shape[1] + 2) * (len(self.levels) + 2) * 2.0 ** -52
+        n, dims = vectors.shape
+        v = vectors.astype(np.float64)
+        middle = np.floor(np.median(v, axis=0)) if n else np.zeros(dims)
+        v -= middle
+        order = np.argsort(-np.abs(v), axis=0, kind="stable")
+        #: Postings of each dimension by falling impact.
+        self.vector, self.impact = order.T.copy(), np.take_along_axis(v, order, axis=0).T.copy()
+        size = np.abs(self.impact)
+        #: A component's greatest size with the middle value taken off it: what rounding is measured by.
+        self.most = (np.abs(vectors.astype(np.float64)).max(axis=0) if n else np.zeros(dims)) + np.abs(middle)
+        self.rounding = (dims + ROUNDS + 8) * 2.0 ** -51
+        cuts = []
+        for d in range(dims if n else 0):
+            top = size[d, 0]
+            if top > 0:
+                level = np.ceil(size[d] / top * LEVELS)       # LEVELS..0, falling; impacts of 0 have no posting
+                at = np.flatnonzero(np.diff(level, prepend=np.inf))
+                end = np.append(at[1:], n)
+                cuts += [(d, i, j) for i, j in zip(at, end) if size[d, i] > 0]
+        self.dim, self.begin, self.end = np.array(cuts, dtype=np.int64).reshape(-1, 3).T
+        self.edge = size[self.dim, self.begin]                # greatest impact of each segment
+
+    def rounds(self, query: np.ndarray):
+        """(segments, slack): a query's segments by falling weight x impact in rounds of about as many postings each, and
+        how far a score may lie from its accumulator after the round."""
+        size = np.abs(query)
+        worth = size[self.dim] * self.edge
+        order = np.argsort(-worth, kind="stable")
+        order = order[worth[order] > 0]
+        rounding = (size @ self.most) * self.rounding
+        seen = np.cumsum((self.end - self.begin)[order])
+        stops = np.unique(np.searchsorted(seen, np.arange(1, ROUNDS + 1) * (seen[-1] / ROUNDS)) + 1).clip(max=len(order)) if len(order) else [0]
+        at = 0
+        for stop in stops:
+            rest = np.zeros(len(query))
+            np.maximum.at(rest, self.dim[order[stop:]], worth[order[stop:]])     # the next segment of each dimension
+            yield order[at:stop], rest.sum() * (1 + self.rounding) + rounding
+            at = stop
+
+    def add(self, score: np.ndarray, query: np.ndarray, segments: np.ndarray) -> None:
+        """Add the postings of some segments to the accumulators."""
+        if len(segments):
+            spans = [(self.dim[i], slice(self.begin[i], self.end[i])) for i in segments]
+            weight = np.repeat(query[self.dim[segments]], (self.end - self.begin)[segments])
+            weight *= np.concatenate([self.impact[s] for s in spans])
+            score += np.bincount(np.concatenate([self.vector[s] for s in spans]), weights=weight, minlength=len(score))
 
     def scores(self, members: np.ndarray, query: np.ndarray) -> np.ndarray:
         """Exact inner products, 64-bit integers where they surely fit, else Python's."""
-        if np.abs(query.astype(np.float64)) @ self.most < 2.0 ** 62:
+        if np.abs(query.astype(np.float64)) @ self.most < 2.0 ** 62:         # most is no less than any component
             return self.exact[members] @ query
         return np.array([sum(map(int.__mul__, row, query.tolist())) for row in self.exact[members].tolist()], dtype=object)
 
@@ -67,47 +105,45 @@ class ImpactIndex:
 
         An id of several rows counts once, by its best.
         """
-        q = queries.astype(np.float64)
-        score = np.zeros((len(q), len(self.exact)))
-        open_rows = np.arange(len(q))
-        mine = own[:, None] == ids[None, :]
         by_id = np.argsort(ids, kind="stable")
         starts = np.flatnonzero(np.concatenate([[True], ids[by_id][1:] != ids[by_id][:-1]])) if len(ids) else np.zeros(0, np.int64)
+        few = max(8 * k, int(FEW * len(ids)))
         out = []
-        last = len(self.levels) - 1
-        for level, (postings, rest) in enumerate(self.levels or [(np.zeros((q.shape[1], len(self.exact))), np.zeros(q.shape[1]))]):
-            score[open_rows] += q[open_rows] @ postings
-            size = np.abs(q[open_rows])
-            bound = size @ rest + (size @ self.most) * self.rounding      # no score differs from its accumulator by more
-            keep = []
-            for r, slack in zip(open_rows, bound):
-                acc = np.where(mine[r], -np.inf, score[r])
+        for r, q in enumerate(queries.astype(np.float64)):
+            score = np.zeros(len(ids))
+            others = ids != own[r]
+            members = np.zeros(0, np.int64)
+            for segments, slack in self.rounds(q):
+                self.add(score, q, segments)
+                acc = np.where(others, score, -np.inf)
                 top = np.maximum.reduceat(acc[by_id], starts) if len(starts) < len(acc) else acc   # one value an id
                 n = int(np.isfinite(top).sum())
                 if not n:
-                    continue
+                    break
                 kth = np.partition(top, len(top) - min(k, n))[len(top) - min(k, n)]
-                members = np.flatnonzero(acc >= kth - 2 * slack)   # all others are proven to be out
-                members = members[np.isfinite(acc[members])]
-                if len(members) <= 8 * k or level >= last:
-                    found = self.scores(members, queries[r])
-                    best = np.array(sorted(range(len(members)), key=lambda i: (-int(found[i]), int(ids[members[i]]))), dtype=np.int64) if found.dtype == object \
-                        else np.lexsort((ids[members], -found))
-                    first = np.unique(ids[members[best]], return_index=True)[1]
-                    best = best[np.sort(first)[:k]]
-                    out.append((np.full(len(best), r), members[best], found[best]))
-                else:
-                    keep.append(r)
-            open_rows = np.array(keep, dtype=np.int64)
-            if not len(open_rows):
-                break
+                members = np.flatnonzero((acc >= kth - 2 * slack) & others)        # all others are proven to be out
+                if len(members) <= few:
+                    break
+            if len(members):
+                found = self.scores(members, queries[r])
+                best = np.array(sorted(range(len(members)), key=lambda i: (-int(found[i]), int(ids[members[i]]))), dtype=np.int64) if found.dtype == object \
+                    else np.lexsort((ids[members], -found))
+                first = np.unique(ids[members[best]], return_index=True)[1]
+                best = best[np.sort(first)[:k]]
+                out.append((np.full(len(best), r), members[best], found[best]))
         if not out:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         return tuple(np.concatenate(x).astype(np.int64) for x in zip(*out))
 
 
-def _matrix(column) -> np.ndarray:
-    return np.stack([np.frombuffer(x, dtype="<i8") for x in column]) if len(column) else np.zeros((0, 0), np.int64)
+def _by_width(parts: list[tuple[np.ndarray, list[bytes]]]):
+    """(width, ids, matrix) of the rows of each vector length."""
+    ids = np.concatenate([i for i, _ in parts]) if parts else np.zeros(0, np.int64)
+    rows = [row for _, part in parts for row in part]
+    widths = np.array([len(row) for row in rows], dtype=np.int64)
+    for width in np.unique(widths).tolist():
+        own = np.flatnonzero(widths == width)
+        yield width, ids[own], np.frombuffer(b"".join(rows[i] for i in own), dtype="<i8").reshape(len(own), -1)
 
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", column: str = "embedding", scale: int = 256) -> DataFrame:
@@ -130,31 +166,50 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", colu
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.binary())], names=["id", "q"])
 
     base = materialize(quantised(vectors, id_col, column, scale).mapInArrow(packed, "id long, q binary").distinct(), "vectors")
-    counts = base.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(is_query(F.col("id")), 1)).alias("m")).first()
-    n_blocks, n_query_blocks = -(-counts["n"] // BLOCK_VECTORS) or 1, -(-counts["m"] // BLOCK_QUERIES) or 1
+    counts = base.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(is_query(F.col("id")), 1)).alias("m"), F.sum(F.length("q")).alias("size")).first()
+    n_blocks = max(-(-counts["n"] // BLOCK_VECTORS), -(-(counts["size"] or 0) // BLOCK_BYTES)) or 1
+    n_query_blocks = -(-counts["m"] // BLOCK_QUERIES) or 1
 
     def block(n: int):
         return F.pmod(F.xxhash64("id", "q"), F.lit(n)).cast("int")
 
-    candidates = base.withColumn("vb", block(n_blocks)).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_query_blocks - 1))))
-    queries = (base.where(is_query(F.col("id"))).withColumn("qb", block(n_query_blocks))
-               .withColumn("vb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))))
-
-    def meet(left, right):
-        import pandas as pd
-        out = []
-        width = right["q"].map(len)
-        for w in sorted(set(left["q"].map(len))):             # vectors of one length meet each other
-            v, q = left[left["q"].map(len) == w], right[width == w]
-            if not len(q) or not len(v):
-                continue
-            ids, own = v["id"].to_numpy(), q["id"].to_numpy()
-            r, c, s = ImpactIndex(_matrix(v["q"])).search(_matrix(q["q"]), own, ids, k)
-            out.append(pd.DataFrame({"query_id": own[r], "vec_id": ids[c], "score": s}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
-
-    near = (candidates.groupBy("vb", "qb").cogroup(queries.groupBy("vb", "qb"))
-            .applyInPandas(meet, "query_id long, vec_id long, score long"))
+    def each(n: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    candidates = base.withColumn("vb", block(n_blocks)).withColumn("qb", each(n_query_blocks)).withColumn("asks", F.lit(0))
+    queries = (base.where(is_query(F.col("id"))).withColumn("qb", block(n_query_blocks)).withColumn("vb", each(n_blocks))
+               .withColumn("asks", F.lit(1)))
+    columns = ["vb", "qb", "asks", "id", "q"]
+
+    def meet(batches):
+        """A block's vectors come before the queries that it answers; vectors of one length meet each other."""
+        at, vectors, index = None, [], None
+        for batch in batches:
+            keys = np.stack([np.asarray(batch.column(i)) for i in range(3)], axis=1)
+            cuts = np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1
+            for i, j in zip([0, *cuts], [*cuts, len(keys)]):
+                if i == j:
+                    continue
+                if at != tuple(keys[i, :2]):
+                    at, vectors, index = tuple(keys[i, :2]), [], None
+                part = (np.asarray(batch.column(3))[i:j], batch.column(4).slice(i, j - i).to_pylist())
+                if not keys[i, 2]:
+                    vectors.append(part)
+                    continue
+                if index is None:
+                    index = {}
+                    for width, ids, matrix in _by_width(vectors):
+                        index[width] = (ids, ImpactIndex(matrix))
+                    vectors = []
+                for width, own, matrix in _by_width([part]):
+                    if width in index:
+                        ids, block_index = index[width]
+                        r, c, found = block_index.search(matrix, own, ids, k)
+                        yield pa.RecordBatch.from_arrays([pa.array(own[r], pa.int64()), pa.array(ids[c], pa.int64()), pa.array(found, pa.int64())],
+                                                         names=["query_id", "vec_id", "score"])
+
+    near = (candidates.select(*columns).union(queries.select(*columns)).repartition(min(4 * n_blocks * n_query_blocks, MAX_PARTS), "vb", "qb")
+            .sortWithinPartitions("vb", "qb", "asks").mapInArrow(meet, "query_id long, vec_id long, score long"))
     best = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
