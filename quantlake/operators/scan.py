@@ -12,12 +12,13 @@ instead, the bucket a non-decreasing function of the order columns:
 4. per key over the summaries, a small table, a window scan gives what earlier
    (or later) buckets carry in, which is joined back and combined.
 
-By default buckets are ranges of (key, order columns) between cut points taken from a
-sample of the input, about as many as there are shuffle partitions, so a burst at
-one time is cut as well, by the tie-break columns if need be.  The sample is drawn by a
-hash of the rows, so the cut points are a function of the data alone: any re-run
-of a task sees the same buckets.  Nothing runs while a query is built: the
-sample is a scalar subquery.
+By default only keys with a large share of the rows, of which a sample holds many, have more
+than one bucket: ranges of the order columns between cut points from the sample, so a
+burst at one time is cut as well, by the tie-break columns if need be.  All other keys are
+scanned whole in the shuffled rows, and steps 3 and 4 see the few large keys alone.
+The sample is drawn by a hash of the rows, so the cut points are a function of the data
+alone: any re-run of a task sees the same buckets.  Nothing runs while a query is built: the
+large keys and their cut points are a small table that is broadcast.
 """
 
 from __future__ import annotations
@@ -104,6 +105,8 @@ def _combine(op: str, within: Column, carry: Column) -> Column:
 SMALL_BYTES = 64 << 20
 #: Most cut points, and sampled rows for each.
 MAX_CUTS, SAMPLED = 16_384, 16
+#: Most cut points of large keys; their sample is sorted by one task.
+MAX_KEY_CUTS = 4096
 
 
 def input_bytes(df: DataFrame) -> int:
@@ -135,6 +138,26 @@ def _range_bucket(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return d.withColumn("_bk", found).drop("_range_cuts", "_range_point")
 
 
+def _large_key_bucket(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df`` with ``_bk``: how many cut points of the row's own key lie at or before it, and ``_large``: whether it has any.
+
+    The rows of smallest hash are the sample, about ``SAMPLED`` a cut; a key with as many among them is large, and
+    every SAMPLED-th of its points in order is a cut.
+    """
+    cuts = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_KEY_CUTS)
+    own = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(key)])
+    point = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(order)])
+    sample = df.select(own.alias("_large_key"), point.alias("_large_point")).orderBy(F.xxhash64("_large_key", "_large_point")).limit(cuts * SAMPLED)
+    points = sample.groupBy("_large_key").agg(F.sort_array(F.collect_list("_large_point")).alias("_points")).where(F.size("_points") >= SAMPLED)
+    large = points.select("_large_key", F.filter("_points", lambda _, i: i % SAMPLED == SAMPLED - 1).alias("_large_cuts"))
+    d = df.withColumns({"_own_key": own, "_own_point": point})
+    d = d.join(F.broadcast(large), F.col("_own_key") == F.col("_large_key"), "left")           # one key a cut at most
+    powers = F.array(*[F.lit(1 << i) for i in range((2 * cuts).bit_length(), -1, -1)])
+    found = F.aggregate(powers, F.lit(0), lambda at, p: F.when(F.get("_large_cuts", at + p - 1) <= F.col("_own_point"), at + p).otherwise(at))
+    return d.withColumn("_bk", F.when(F.col("_large_cuts").isNull(), 0).otherwise(found)).withColumn("_large", F.col("_large_cuts").isNotNull()) \
+        .drop("_large_key", "_large_cuts", "_own_key", "_own_point")
+
+
 def ordered_scans(df: DataFrame, key: Sequence[str], order: Sequence[str],
                   aggs: Sequence[tuple[Column | str, str, str]], inclusive: bool = True,
                   descending: bool = False, bucket: Column | str | None = "auto") -> DataFrame:
@@ -146,14 +169,14 @@ def ordered_scans(df: DataFrame, key: Sequence[str], order: Sequence[str],
     ``max``, ``min``, ``product`` (of doubles; a zero stays zero, NULLs are skipped).
     ``inclusive`` includes the row itself.  ``descending``
     scans from the end (so ``last`` becomes "the next non-NULL value").
-    ``bucket``: ``"auto"`` (default) cuts ranges of (key, order) from a sample, or
-    scans key by key where all inputs together are at most ``SMALL_BYTES``;
-    ``"range"`` always cuts; a grain name (``"day"``), ``None`` (months) or an own
+    ``bucket``: ``"auto"`` (default) cuts large keys by a sample (``"large"``), or
+    scans key by key where all inputs together are at most ``SMALL_BYTES`` (``"key"``);
+    ``"range"`` cuts ranges of (key, order); a grain name (``"day"``), ``None`` (months) or an own
     non-decreasing function of ``order[0]`` cuts by time.
     """
     key = list(key)
     if isinstance(bucket, str) and bucket == "auto":
-        bucket = "key" if input_bytes(df) <= SMALL_BYTES else "range"
+        bucket = "key" if input_bytes(df) <= SMALL_BYTES else "large"
     vals = {f"_v{i}": (F.col(v) if isinstance(v, str) else v) for i, (v, _, _) in enumerate(aggs)}
     columns = list(df.columns)
     if isinstance(bucket, str) and bucket == "key":
@@ -161,6 +184,9 @@ def ordered_scans(df: DataFrame, key: Sequence[str], order: Sequence[str],
     elif isinstance(bucket, str) and bucket == "range":
         df = _range_bucket(df, [*key, *order])
         b = F.col("_bk")
+    elif isinstance(bucket, str) and bucket == "large":
+        df = _large_key_bucket(df, key, order)
+        b = F.col("_bk")
     elif isinstance(bucket, str):
         b = time_bucket(bucket)(order[0])
     else:
@@ -168,15 +194,20 @@ def ordered_scans(df: DataFrame, key: Sequence[str], order: Sequence[str],
     # key and bucket in one struct: it is never NULL, and NULL parts are equal to each other in
     # groups, windows and the join alike
     d = df.withColumn("_kb", F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(key)], b.alias("bk"))).withColumns(vals)
-    d = d.select(*columns, "_kb", *vals)
+    few = isinstance(bucket, str) and bucket == "large"
+    d = d.select(*columns, "_kb", *vals, *(["_bk", "_large"] if few else []))
+    whole = isinstance(bucket, str) and bucket in ("key", "large")
+    # plain columns sort faster than a struct, numbers before text; without buckets of all keys nothing else needs the struct
+    types = dict(df.dtypes)
+    near = sorted(key, key=lambda c: types.get(c) == "string") + (["_bk"] if few else []) if whole else ["_kb"]
     sort = [F.col(o).desc_nulls_last() if descending else F.col(o).asc_nulls_first() for o in order]
     frame_end = Window.currentRow if inclusive else -1
-    w_in = Window.partitionBy("_kb").orderBy(*sort).rowsBetween(Window.unboundedPreceding, frame_end)
+    w_in = Window.partitionBy(*near).orderBy(*sort).rowsBetween(Window.unboundedPreceding, frame_end)
     within = {f"_w{i}": _within_agg(op, F.col(f"_v{i}"), w_in) for i, (_, op, _) in enumerate(aggs)}
     if isinstance(bucket, str) and bucket == "key":
         return d.withColumns(within).withColumns({out: F.col(f"_w{i}") for i, (_, _, out) in enumerate(aggs)}).drop("_kb", *vals, *within)
-    d = d.repartition("_kb")
-    rows = d.withColumns(within)
+    d = d.repartition(*near)
+    rows = d.withColumns(within).drop("_bk", "_large")
 
     # one summary row per (key, bucket): what the whole bucket passes on
     order_struct = F.struct(*[F.col(o) for o in order])
@@ -190,6 +221,9 @@ def ordered_scans(df: DataFrame, key: Sequence[str], order: Sequence[str],
         else:
             totals.append(_AGGREGATES[op](v).alias(f"_t{i}"))
     # any one row of the bucket, whole: rows and summary then need the same columns of the same exchange, which is reused
+    if few:
+        # a predicate that is not deterministic stays behind the exchange, so it is still the one that the rows come from
+        d = d.where(F.when(F.col("_large"), F.rand(0) >= 0).otherwise(F.lit(False)))
     summary = d.groupBy("_kb").agg(*totals, F.first(F.struct(*columns)).alias("_one"))
     bsort = F.col("_kb.bk").desc_nulls_last() if descending else F.col("_kb.bk").asc_nulls_first()
     w_c = Window.partitionBy(*[F.col(f"_kb.k{i}") for i in range(len(key))]).orderBy(bsort).rowsBetween(Window.unboundedPreceding, -1)
@@ -197,7 +231,7 @@ def ordered_scans(df: DataFrame, key: Sequence[str], order: Sequence[str],
         F.when(F.col("_one").isNotNull(), _within_agg("sum" if op == "count" else op, F.col(f"_t{i}"), w_c)).alias(f"_c{i}")
         for i, (_, op, _) in enumerate(aggs)])
 
-    res = rows.join(summary, "_kb", "left")
+    res = rows.join(F.broadcast(summary) if few else summary, "_kb", "left")          # a row for each cut of the few large keys
     res = res.withColumns({out: _combine(op, F.col(f"_w{i}"), F.col(f"_c{i}"))
                            for i, (_, op, out) in enumerate(aggs)})
     tmp = ["_kb"] + [f"_{p}{i}" for i in range(len(aggs)) for p in ("v", "w", "c")]
