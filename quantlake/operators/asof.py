@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quantlake.operators.intervals import exclude_windows
+from quantlake.operators.intervals import exclude_days
 from quantlake.operators.quality import keep_one
 from quantlake.operators.quantiles import exact_median
 from quantlake.operators.scan import ordered_scan
@@ -121,13 +121,19 @@ def valid_to_next(df: DataFrame, key: Sequence[str], start: str, tie_break: Sequ
     return nxt.withColumn(out, F.date_sub(F.col("_next").cast("date"), minus_days)).drop("_next")
 
 
-def observation_dates(valid_from: Column, valid_to: Column, grain: str = "quarter") -> Column:
-    """Period starts (month or quarter) inside [valid_from, valid_to], as an array."""
-    step = {"month": "1 month", "quarter": "3 months"}[grain]
+_MONTHS = {"month": 1, "quarter": 3}
+
+
+def first_observation(valid_from: Column, grain: str = "quarter") -> Column:
+    """The first period start (month or quarter) at or after ``valid_from``."""
     first = F.date_trunc(grain, valid_from).cast("date")
-    first = F.when(first < valid_from.cast("date"), F.add_months(first, 3 if grain == "quarter" else 1)) \
-        .otherwise(first)
-    return F.when(first <= valid_to, F.sequence(first, valid_to.cast("date"), F.expr(f"interval {step}")))
+    return F.when(first < valid_from.cast("date"), F.add_months(first, _MONTHS[grain])).otherwise(first)
+
+
+def later_observations(first: Column, valid_to: Column, grain: str = "quarter") -> Column:
+    """How many period starts after ``first``, itself one, lie at or before ``valid_to``."""
+    months = (F.year(valid_to) - F.year(first)) * 12 + F.month(valid_to) - F.month(first)
+    return F.floor(months / _MONTHS[grain]).cast("int")
 
 
 def estimate_panel(est: DataFrame, key: Sequence[str], estimator: str, time: str, value: str,
@@ -139,9 +145,9 @@ def estimate_panel(est: DataFrame, key: Sequence[str], estimator: str, time: str
 
     An estimate is live from its ``time`` until the next estimate of the same
     (key, estimator) (W6), or its stop (J17), or ``end``.  Each estimate is
-    expanded to the period starts it covers with ``explode(sequence(...))`` —
+    expanded to the period starts it covers with an exploded sequence —
     a generator, no cross join.  Observation dates inside an exclusion window
-    of that (key, estimator) are removed by an anti join (J16).
+    of that (key, estimator) are left out before (J16).
     """
     k = list(key) + [estimator]
     e = valid_to_next(est, k, time, tie_break, out="_vt")
@@ -150,12 +156,17 @@ def estimate_panel(est: DataFrame, key: Sequence[str], estimator: str, time: str
         e = apply_stops(e, stops, k, time, stop_at, out="_stop")
         vt = F.least(vt, F.date_sub(F.col("_stop").cast("date"), 1))
     e = e.withColumn("_vt2", F.least(vt, F.lit(end).cast("date")))
-    panel = e.select(*k, F.col(value).alias("value"), F.col(time).cast("date").alias("active_from"),
-                     F.explode(observation_dates(F.col(time).cast("date"), F.col("_vt2"), grain)).alias("obs_date"))
-    if excluded is not None:
-        # a window without an end excludes nothing here
-        panel = exclude_windows(panel, excluded.where(F.col(exc_end).isNotNull()), k, "obs_date", exc_start, exc_end)
-    return panel
+    e = e.select(*k, F.col(value).alias("value"), F.col(time).cast("date").alias("active_from"), "_vt2",
+                 first_observation(F.col(time).cast("date"), grain).alias("_first")).where(F.col("_first") <= F.col("_vt2"))
+    later = F.sequence(F.lit(0), later_observations(F.col("_first"), F.col("_vt2"), grain))
+    day = lambda i: F.add_months("_first", i * _MONTHS[grain])
+    if excluded is None:
+        # the estimates with their ends are moved once more, and every aggregate of the panel reads them there
+        e = e.repartition(*k, "active_from")
+        return e.select(*k, "value", "active_from", "_first", F.explode(later).alias("_i")).select(*k, "value", "active_from", day(F.col("_i")).alias("obs_date"))
+    # a window without an end excludes nothing here
+    e = e.select(*k, "value", "active_from", F.transform(later, day).alias("_days"))
+    return exclude_days(e, "_days", "obs_date", excluded.where(F.col(exc_end).isNotNull()), k, exc_start, exc_end)
 
 
 def consensus(panel: DataFrame, by: Sequence[str], value: str = "value", digits: int = 6) -> DataFrame:

@@ -146,3 +146,27 @@ def test_scratch_and_materialize_use_the_checkpoint_folder(spark):
     m = materialize(spark.range(10), "m")
     strip = lambda u: u.replace("file://", "").replace("file:", "")
     assert m.count() == 10 and strip(m.inputFiles()[0]).startswith(strip(base))
+
+
+def test_percentile_of_bins_takes_few_values_on(spark, monkeypatch):
+    """Large groups send only the values of the bins with their ranks on; values of both signs, zero, infinities and NaN."""
+    from quantlake.operators import quantiles as QT
+    import numpy as np
+    monkeypatch.setattr(QT, "MANY", 100)
+    rng = np.random.default_rng(3)
+    xs = {"wide": np.exp(rng.normal(size=800) * 9) * rng.choice([-1, 1], 800), "ties": rng.integers(-2, 3, 500).astype(float),
+          "narrow": 1 + rng.random(400) * 1e-6, "few": rng.random(7), "inf": np.array([-np.inf] * 60 + [np.inf] * 61)}
+    rows = [(g, float(x)) for g, v in xs.items() for x in v] + [("wide", None), ("wide", float("nan")), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    for p in (0.0, 0.3, 0.5, 0.77, 1.0):
+        got = {r.g: r.q for r in exact_percentile(df, "x", "g", p, "q", bucket="large").collect()}
+        assert set(got) == set(xs)
+        for g, v in xs.items():
+            v = np.sort(v)
+            pos = (len(v) - 1) * p
+            lo, hi = v[int(np.floor(pos))], v[int(np.ceil(pos))]
+            want = lo if pos == np.floor(pos) else lo + (hi - lo) * (pos - np.floor(pos))
+            assert got[g] == want or abs(got[g] - want) <= 1e-9 * abs(want) or (np.isnan(want) and np.isnan(got[g]))
+    x = df.where("g = 'wide' AND x IS NOT NULL AND NOT isnan(x)").selectExpr("struct(g AS g0) AS _g", "x AS _x")
+    lo, hi = QT._picked_bins(x, 0.5)[1].select("_bin_lo", "_bin_hi").first()
+    assert x.where(QT._bin(F.col("_x")).isin(lo, hi)).count() < 40
