@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quantlake.functions import scalars as S
+from quantlake.operators.scan import input_bytes
 
 
 def _by(by) -> list[str]:
@@ -120,6 +121,10 @@ def duplicates(df: DataFrame, key: Sequence[str], by=None, check: str | None = "
     return _label(out, check, by)
 
 
+#: Input files beyond this many bytes are dealt out by key, in parts of ``KEY_PART`` bytes (some 200,000 narrow rows).
+KEYS_APART, KEY_PART = 16 << 20, 4 << 20
+
+
 # --- fused D1-D5 -------------------------------------------------------------
 def staging_qc(df: DataFrame, date_cols: Sequence[str], null_rules: Mapping[str, Column],
                value_col: str, code_cols: Sequence[str], key: Sequence[str], by=None,
@@ -151,7 +156,11 @@ def staging_qc(df: DataFrame, date_cols: Sequence[str], null_rules: Mapping[str,
                 "n_extreme": (F.when(F.abs(v) > F.lit(S.VALUE_LIMIT), 1).otherwise(0), F.sum)}
     figure_cols = {f"_f{i}": name for i, name in enumerate(figures)}
     add = [how(f).alias(f) for f, (_, how) in zip(figure_cols, figures.values())]
-    rows = df.select(*[c.alias(n) for n, c in named.items()], *[x.alias(f) for f, (x, _) in zip(figure_cols, figures.values())])
+    # most keys are different, so the table of a task's keys grows with its rows: a larger input is dealt out
+    # by key first, in as many parts as it needs (a size that is not known leaves the number to the session)
+    size = input_bytes(df)
+    dealt = df.repartition(-(-size // KEY_PART), *by, *key) if KEYS_APART < size < 1 << 60 else df
+    rows = dealt.select(*[c.alias(n) for n, c in named.items()], *[x.alias(f) for f, (x, _) in zip(figure_cols, figures.values())])
     keys = rows.groupBy(*named).agg(*add)
     bys = [f"_by{i}" for i in range(len(by))]
     values = {f"_v{i}": c for i, c in enumerate(codes)}

@@ -170,3 +170,18 @@ def test_percentile_of_bins_takes_few_values_on(spark, monkeypatch):
     x = df.where("g = 'wide' AND x IS NOT NULL AND NOT isnan(x)").selectExpr("struct(g AS g0) AS _g", "x AS _x")
     lo, hi = QT._picked_bins(x, 0.5)[1].select("_bin_lo", "_bin_hi").first()
     assert x.where(QT._bin(F.col("_x")).isin(lo, hi)).count() < 40
+
+
+def test_staging_qc_of_large_input_deals_keys_out(spark, tmp, monkeypatch):
+    """The number of parts that the keys are grouped in follows the input, not the session; the figures are the same."""
+    path = os.path.join(tmp, "chunk")
+    spark.range(3000).selectExpr("id % 700 AS k", "cast(id % 5 as string) AS code", "date_add(date'2020-01-01', cast(id % 90 as int)) AS d",
+                                 "CASE WHEN id % 11 > 0 THEN cast(id as double) END AS v").write.parquet(path)
+    df = spark.read.parquet(path)
+    qc = lambda: Q.staging_qc(df, ["d"], {"pct_v_null": F.col("v").isNull()}, "v", ["code"], ["k", "code"])
+    small = qc().first()
+    monkeypatch.setattr(Q, "KEYS_APART", 0)
+    monkeypatch.setattr(Q, "KEY_PART", -(-Q.input_bytes(df) // 37))
+    large = qc()
+    plan = large._jdf.queryExecution().executedPlan().toString()
+    assert large.first() == small and ", 37), REPARTITION_BY_NUM" in plan
