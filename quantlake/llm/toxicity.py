@@ -18,7 +18,8 @@ part of v and one of w, the shared P(w) cancelling out, so the model is a table
 a word and one a pair with counts above the discount.  All counts are exact, made by
 pre-aggregation and a shuffle, and the table grows with the corpus.  Documents find its
 HOT most frequent entries in a broadcast and a bit map of BITS bits tells which other
-expressions may be in the table; those travel to the table's parts, and their values are summed by document.
+expressions may be in the table; those travel to the table's parts, packed by piece of text, and come back the same way: a row for a row,
+with one sum for each of its documents that has a hit, so answers are never more than what was asked, and that at most an entry an expression.
 
 A logistic curve makes the features a score.  It is fitted to at most FIT_ROWS training
 rows, by a second model from which these rows' own counts are left out.
@@ -61,6 +62,7 @@ _WORD = T.U((1 << 48) - 1)
 _BEGIN, _END = T.U(1), T.U(2)                    # the word before the first and the one after the last
 _ENTRY = {"vl": "<u4", "vh": "<u2", "wl": "<u4", "wh": "<u2", "cat": "u1", "n": "<u4"}
 _ASK = {"key": "<i8", "doc": "<u4"}
+_ANSWER = {"doc": "<u4", "x": "<f8", "decides": "<u4", "s": "<f8"}              # s is 0 for most documents, so those it decides are named
 
 #: Everything but ASCII letters, digits and bytes of other alphabets parts words.
 _PARTS = np.ones(256, dtype=bool)
@@ -284,41 +286,54 @@ def _sums(docs: DataFrame, model: Model, which: int, parts: int) -> DataFrame:
             key, doc = key[maybe], doc[maybe]
             asked = E.rows("part", key % parts, _ASK, [key, doc])
             n = len(asked)
-            ids = pa.array(piece_id + np.arange(many), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [ids, *piece.columns[:3], pa.array(words.astype(np.int64)), pa.array(x + unknown * (words + 1)), pa.array(s),
-                 *(pa.nulls(many, t) for t in (pa.int32(), pa.binary(), pa.binary()))], names=names)
+                [pa.array(np.full(many, piece_id)), pa.array(np.arange(many, dtype=np.int32)), *piece.columns[:3], pa.array(words.astype(np.int64)),
+                 pa.array(x + unknown * (words + 1)), pa.array(s), *(pa.nulls(many, t) for t in (pa.int32(), pa.binary(), pa.binary()))], names=names)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(n, piece_id)), *(pa.nulls(n, t) for t in kinds), *asked.columns], names=names)
-            piece_id += many
+            piece_id += 1
 
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.float64(), pa.float64())
-    names = ["at", "doc_id", "text_hash", "label", "words", "x", "s", "part", "key", "doc"]
+    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.float64(), pa.float64())
+    names = ["piece", "row", "doc_id", "text_hash", "label", "words", "x", "s", "part", "key", "doc"]
     asked = materialize(docs.select("doc_id", "text_hash", "label", "text").mapInArrow(
-        ask, "at long, doc_id long, text_hash long, label int, words long, x double, s double, part int, key binary, doc binary"), "toxicity-asked")
+        ask, "piece long, row int, doc_id long, text_hash long, label int, words long, x double, s double, part int, key binary, doc binary"), "toxicity-asked")
     held.unpersist()
     step = F.floor(F.log2(F.col("n") + 1) * 8).cast("int")
     rest = model.table.where(step < model.least).select(F.pmod("key", F.lit(parts)).cast("int").alias("part"), "key",
                                                         F.col(f"x{which}").alias("x"), F.col(f"s{which}").alias("s"))
-
-    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
-        key, doc = E.entries(left, _ASK)
-        at = np.repeat(left.column("at").to_numpy(), [len(b) // 4 for b in left.column("doc").to_pylist()]) + doc
-        own = right.sort_by("key")
-        known = own.column("key").to_numpy()
-        if not len(known) or not len(key):
-            return pa.table({"at": pa.array([], pa.int64()), "x": pa.array([], pa.float64()), "s": pa.array([], pa.float64())})
-        place = np.minimum(np.searchsorted(known, key), len(known) - 1)
-        hit = known[place] == key
-        ids, where = np.unique(at[hit], return_inverse=True)
-        x, s = (np.bincount(where, weights=own.column(c).to_numpy()[place[hit]], minlength=len(ids)).astype(np.float64) for c in ("x", "s"))
-        return pa.table({"at": pa.array(ids, pa.int64()), "x": pa.array(x), "s": pa.array(s)})
-
-    answers = (asked.where("part IS NOT NULL").select("at", "part", "key", "doc").groupBy("part").cogroup(rest.groupBy("part"))
-               .applyInArrow(answer, "at long, x double, s double"))
-    none = [F.lit(None).cast(t).alias(c) for c, t in (("doc_id", "long"), ("text_hash", "long"), ("label", "int"), ("words", "long"))]
-    heads = asked.where("part IS NULL").select("at", "doc_id", "text_hash", "label", "words", "x", "s")
-    return (heads.union(answers.select("at", *none, "x", "s")).groupBy("at")
-            .agg(*(F.max(c).alias(c) for c in ("doc_id", "text_hash", "label", "words")), F.sum("x").alias("x"), F.sum("s").alias("s")))
+    answers = (asked.where("part IS NOT NULL").select("piece", "part", "key", "doc").groupBy("part").cogroup(rest.groupBy("part"))
+               .applyInArrow(_answer, "piece long, " + ", ".join(f"{c} binary" for c in _ANSWER)))
+    own = ("doc_id", "text_hash", "label", "words")
+
+    def total(left: pa.Table, right: pa.Table) -> pa.Table:
+        left = left.sort_by("row")
+        doc, x, decides, s = E.entries(right, _ANSWER)
+        sums = [left.column(c).to_numpy() + np.bincount(at, weights=v, minlength=len(left)) for c, at, v in (("x", doc, x), ("s", decides, s))]
+        return pa.table({**{c: left.column(c) for c in own}, "x": pa.array(sums[0]), "s": pa.array(sums[1])})
+
+    heads = asked.where("part IS NULL").select("piece", "row", *own, "x", "s")
+    return (heads.groupBy("piece").cogroup(answers.groupBy("piece"))
+            .applyInArrow(total, "doc_id long, text_hash long, label int, words long, x double, s double"))
+
+
+def _answer(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Of each asked row (piece, part, key, doc) that has hits in the part's entries (key, x, s) one row: the sums of its documents."""
+    key, doc = E.entries(left, _ASK)
+    own = right.sort_by("key")
+    known = own.column("key").to_numpy()
+    of = np.repeat(np.arange(len(left)), [len(b) // 4 for b in left.column("doc").to_pylist()])
+    place = np.minimum(np.searchsorted(known, key), max(len(known) - 1, 0))
+    hit = known[place] == key if len(known) else np.zeros(len(key), dtype=bool)
+    ids, where = np.unique(of[hit] << 32 | doc[hit], return_inverse=True)
+    x, s = (np.bincount(where, weights=own.column(c).to_numpy()[place[hit]], minlength=len(ids)).astype(np.float64) for c in ("x", "s"))
+    rows, begin = np.unique(ids >> 32, return_index=True)
+    pieces, ids, some = left.column("piece").to_numpy()[rows], ids & 0xFFFFFFFF, np.flatnonzero(s)
+    ends = np.append(begin[1:], len(ids))
+    columns = []
+    for (_, kind), v, a, b in zip(_ANSWER.items(), (ids, x, ids[some], s[some]), (begin, begin, *[np.searchsorted(some, begin)] * 2),
+                                  (ends, ends, *[np.searchsorted(some, ends)] * 2)):
+        v = v.astype(kind)
+        columns.append(pa.array([v[i:j].tobytes() for i, j in zip(a.tolist(), b.tolist())], pa.binary()))
+    return pa.table([pa.array(pieces, pa.int64()), *columns], names=["piece", *_ANSWER])
 
 
 def _features() -> list:

@@ -5,10 +5,13 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from llm_helpers import frame, odd
 from pyspark.sql import functions as F
 
+from quantlake.llm import exchange as E
 from quantlake.llm import toxicity
 from quantlake.session import materialize
 
@@ -106,3 +109,32 @@ def test_toxic_rows_go_and_others_stay_whole(spark):
     assert (4, "w1 w2 w3") in left and left.count((1, rows[1][1])) == 2 and (None, None) in left and (None, rows[0][1]) not in left and (700, "") in left
     assert toxicity.without_toxic(docs, None).count() == len(rows)
     assert toxicity.scored(docs.limit(0), model).count() == 0
+
+
+def test_answers_are_no_more_rows_than_asked():
+    rnd = np.random.default_rng(5)
+    known = np.sort(rnd.choice(10**6, 400, replace=False)).astype(np.int64)
+    x, s = rnd.normal(size=400), np.where(rnd.random(400) < 0.1, rnd.random(400), 0.0)
+    entries = pa.table({"part": pa.array(np.zeros(400), pa.int32()), "key": known, "x": x, "s": s}).take(rnd.permutation(400))
+    asked, want = [], {}
+    for piece in (7, 7 << 32, 8 << 32, 9 << 32):
+        doc = np.sort(rnd.integers(0, 60, 900))
+        key = np.where(rnd.random(900) < 0.3, rnd.choice(known, 900), -5) if piece != 7 else np.full(900, -5)     # piece 7 hits nothing
+        row = E.rows("part", np.zeros(900, np.int64), toxicity._ASK, [key, doc])
+        asked.append(pa.Table.from_arrays([pa.array([piece]), *row.columns], names=["piece", *row.schema.names]))
+        for k, d in zip(key.tolist(), doc.tolist()):
+            at = int(np.searchsorted(known, k))
+            if at < len(known) and known[at] == k:
+                want.setdefault((piece, d), np.zeros(2))[:] += (x[at], s[at])
+    got = toxicity._answer(pa.concat_tables(asked), entries)
+    assert got.column("piece").to_pylist() == [7 << 32, 8 << 32, 9 << 32]                 # one a piece, not one a document
+    found = {}
+    for r in got.to_pylist():
+        doc, x_, decides, s_ = (np.frombuffer(r[c], k) for c, k in toxicity._ANSWER.items())
+        assert (s_ > 0).all() and len(set(doc)) == len(doc)
+        found.update({(r["piece"], int(d)): np.array([v, 0.0]) for d, v in zip(doc, x_)})
+        for d, v in zip(decides, s_):
+            found[(r["piece"], int(d))][1] = v
+    assert found.keys() == want.keys() and all(np.allclose(found[k], want[k]) for k in want)
+    assert len(toxicity._answer(pa.concat_tables(asked), entries.slice(0, 0))) == 0
+    assert len(toxicity._answer(asked[0].slice(0, 0), entries)) == 0
