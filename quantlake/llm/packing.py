@@ -21,6 +21,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,13 +30,33 @@ from . import textops as T
 
 #: Chunks whose ids a worker keeps at most, in two generations (speed only).
 CACHE_ENTRIES = 1_200_000
+#: Bytes of text whose chunks are looked up together; a worker needs about ten times as many.
+PIECE = 8 << 20
 #: Closing marks that are looked up apart from their word.
 MARKS = ",."
 END_ID = 1
 
 
+def _unsafe(chunk: str) -> bool:
+    """Whether a chunk may share a pre-token with its neighbours, or holds what looks like a special token."""
+    return not chunk or chunk[0].isspace() or chunk[-1].isspace() or "<|" in chunk
+
+
+def _marked(chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(whether a chunk ends in a letter up to U+017F and one mark, its last byte)."""
+    ends = np.frombuffer(chunks.buffers()[1], dtype=np.int64)[chunks.offset:chunks.offset + len(chunks) + 1]
+    data = np.frombuffer(chunks.buffers()[2] or b"", dtype=np.uint8)
+    size, ends = np.diff(ends), ends[1:]
+    if not len(data):
+        return np.zeros(len(size), dtype=bool), np.zeros(len(size), dtype=np.uint8)
+    last, before, lead = (np.where(size >= k, data[np.maximum(ends - k, 0)], 0) for k in (1, 2, 3))
+    latin = (lead == 0xC3) & (before != 0x97) & (before != 0xB7) | (lead == 0xC4) | (lead == 0xC5)
+    letter = (before | 0x20 >= 97) & (before | 0x20 <= 122) & (before < 128) | latin & (before >= 128) & (before < 192)
+    return letter & np.isin(last, np.frombuffer(MARKS.encode(), dtype=np.uint8)), last
+
+
 class ChunkTokenizer:
-    """A byte-level BPE tokenizer that remembers the ids of blank-separated chunks.
+    """A byte-level BPE tokenizer that looks each different blank-separated chunk of many texts up once, and remembers its ids.
 
     A byte-level pre-token starts with at most one blank and never runs
     across a single blank between other characters, so such a text is the
@@ -52,74 +73,95 @@ class ChunkTokenizer:
             self.size[i] = len(token)                    # one character of the byte-level alphabet a byte
         self.young: dict[str, bytes] = {}                # chunks after a blank; two generations
         self.old: dict[str, bytes] = {}
-        self.marks = dict(zip(MARKS, self._encode(list(MARKS))))
+        self.marks = np.zeros(128, dtype=np.uint32)
+        for m, x in zip(MARKS, self._encode(list(MARKS))):
+            self.marks[ord(m)] = np.frombuffer(x, dtype="<u4")[0]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         fast = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in fast(texts, add_special_tokens=False)]
 
-    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
-        """Ids of " " + chunk, a thousand chunks in a text; their ends are where the tokens' bytes add up to them."""
-        out = {}
+    def _learn(self, chunks: list[str]) -> list[bytes]:
+        """Ids of " " + each chunk, a thousand chunks in a text; their ends are where the tokens' bytes add up to them."""
+        out = []
+        sizes = (1 + pc.binary_length(pa.array(chunks, pa.large_string())).to_numpy()).astype(np.int64)
         for k in range(0, len(chunks), 1000):
-            some = chunks[k:k + 1000]
-            packed = self._encode(["".join([" " + c for c in some])])[0]
+            packed = self._encode([" " + " ".join(chunks[k:k + 1000])])[0]
             ends = np.cumsum(self.size[np.frombuffer(packed, dtype="<u4")])
-            cut = np.searchsorted(ends, np.cumsum([1 + len(c.encode()) for c in some])) + 1
-            cut = [0, *(4 * cut).tolist()]
-            out.update((c, packed[x:y]) for c, x, y in zip(some, cut, cut[1:]))
+            cut = (4 * (np.searchsorted(ends, np.cumsum(sizes[k:k + 1000])) + 1)).tolist()
+            out += [packed[x:y] for x, y in zip([0, *cut], cut)]
         return out
 
-    def _lookup(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of chunks that aren't in the young generation; what cannot be split off safely is left out.
-
-        A chunk of a word and one closing mark is its word's ids and the
-        mark's, as letters and marks are never in one pre-token.
-        """
+    def _known(self, chunks: list[str]) -> list[bytes | None]:
+        """Ids of " " + each of different chunks; None for what cannot be split off safely."""
         if len(self.young) > CACHE_ENTRIES // 2:
             self.old, self.young = self.young, {}
-        out = {}
-        bases, rest = {}, []
-        for w in words:
+        ids = list(map(self.young.get, chunks))
+        missing = [i for i, x in enumerate(ids) if x is None]
+        fresh = []
+        for i in missing:
+            w = chunks[i]
             x = self.old.get(w)
             if x is not None:
-                out[w] = x
-            elif not w or w[0].isspace() or w[-1].isspace() or "<|" in w:
-                continue
-            elif len(w) > 1 and w[-1] in MARKS and w[-2].isalpha():
-                bases[w] = w[:-1]
-            else:
-                rest.append(w)
-        known = {w: x for w in set(bases.values()) if (x := self.young.get(w) or self.old.get(w) or out.get(w)) is not None}
-        rest = list(dict.fromkeys([*rest, *(w for w in bases.values() if w not in known)]))
-        fresh = self._learn(rest)
-        known.update(fresh)
-        out.update(fresh)
-        out.update((w, known[b] + self.marks[w[-1]]) for w, b in bases.items())
-        self.young.update((w, x) for w, x in out.items() if len(w) <= 64)
-        return out
+                ids[i] = self.young[w] = x
+            elif not _unsafe(w):
+                fresh.append(i)
+        words = [chunks[i] for i in fresh]
+        learned = self._learn(words)
+        for i, x in zip(fresh, learned):
+            ids[i] = x
+        self.young.update((w, x) for w, x in zip(words, learned) if len(w) <= 64)
+        return ids
+
+    def _distinct(self, chunks: pa.Array) -> tuple[pa.LargeListArray, np.ndarray]:
+        """(ids of " " + each of different chunks, unsafe).
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        known = self.young.get
-        chunks = [t.split(" ") for t in texts]
-        parts = [list(map(known, c[1:])) for c in chunks]
-        missing = {w for c, p in zip(chunks, parts) if None in p for w, x in zip(c[1:], p) if x is None}
-        found = self._lookup(list(missing)) if missing else {}
-        whole, heads = [], []
-        for i, (c, p) in enumerate(zip(chunks, parts)):
-            if None in p:
-                p[:] = [x or found.get(w) for w, x in zip(c[1:], p)]
-            head = c[0]
-            if None in p or not head or head[0].isspace() or head[-1].isspace() or "<|" in head:
-                whole.append(i)
-            else:
-                heads.append(i)
-        for i, ids in zip(heads, self._encode([chunks[i][0] for i in heads])):
-            parts[i].insert(0, ids)
-        for i, ids in zip(whole, self._encode([texts[i] for i in whole])):
-            parts[i] = [ids]
-        return [b"".join(p) for p in parts]
+        A chunk of a word and one closing mark is its word's ids and the
+        mark's, as letters and marks are never in one pre-token.
+        """
+        marked, mark = _marked(chunks)
+        bare = pc.if_else(pa.array(marked), pc.utf8_rtrim(chunks, MARKS), chunks).dictionary_encode()
+        known = self._known(bare.dictionary.to_pylist())
+        at = bare.indices.to_numpy()
+        size = np.fromiter((len(x) // 4 if x else 0 for x in known), dtype=np.int64, count=len(known))
+        unsafe = np.fromiter((x is None for x in known), dtype=bool, count=len(known))
+        own = pa.LargeListArray.from_arrays(pa.array(np.append(0, np.cumsum(size))), pa.array(np.frombuffer(b"".join(filter(None, known)), dtype="<u4")))
+        own = own.take(bare.indices)
+        bounds = np.append(0, np.cumsum(size[at] + marked))
+        ids = np.empty(int(bounds[-1]), dtype=np.uint32)
+        last = bounds[1:][marked] - 1
+        rest = np.ones(len(ids), dtype=bool)
+        rest[last] = False
+        ids[rest], ids[last] = own.values.to_numpy(), self.marks[mark[marked]]
+        return pa.LargeListArray.from_arrays(pa.array(bounds), pa.array(ids)), unsafe[at]
+
+    def __call__(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers; each different chunk of the texts is looked up once."""
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string()).fill_null("")
+        if not len(texts):
+            return []
+        split = pc.split_pattern(texts, " ")
+        first = split.offsets.to_numpy()
+        flat, first = split.values.slice(first[0], first[-1] - first[0]), first - first[0]
+        behind = np.ones(len(flat), dtype=bool)
+        behind[first[:-1]] = False
+        heads = flat.take(pa.array(first[:-1])).to_pylist()
+        chunks = flat.filter(pa.array(behind)).dictionary_encode()
+        first = first - np.arange(len(first))                                     # without heads
+        ids, unsafe = self._distinct(chunks.dictionary)
+        ids = ids.take(chunks.indices)                                            # every chunk's, in the order of the texts
+        at = 4 * ids.offsets.to_numpy()[first]
+        data = memoryview(ids.values.to_numpy()).cast("B")
+        bad = np.append(0, np.cumsum(unsafe[chunks.indices.to_numpy()]))[first]
+        alone = (bad[1:] > bad[:-1]) | np.fromiter(map(_unsafe, heads), dtype=bool, count=len(heads))
+        encoded = [b""] * len(heads)
+        whole = np.flatnonzero(alone).tolist()
+        for i, x in zip(whole, self._encode(texts.take(pa.array(whole, pa.int64())).to_pylist())):
+            encoded[i] = x
+        begun = np.flatnonzero(~alone).tolist()
+        for i, x in zip(begun, self._encode([heads[i] for i in begun])):
+            encoded[i] = b"".join((x, data[at[i]:at[i + 1]]))
+        return encoded
 
 
 @lru_cache(maxsize=2)
@@ -214,9 +256,9 @@ def pack(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = END_ID)
                 c.clear()
             return out
 
-        for piece in T.slices(batches, size=2 << 20):
+        for piece in T.slices(batches, size=PIECE):
             ids_of = piece.column(0).to_pylist()
-            for doc, ids in zip(ids_of, encode([t or "" for t in piece.column(1).to_pylist()])):
+            for doc, ids in zip(ids_of, encode(piece.column(1))):
                 ids += end
                 total = len(ids) // 4
                 full = total - total % capacity

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from llm_helpers import frame, odd, texts  # noqa: F401  (texts is a fixture)
@@ -113,6 +114,21 @@ def test_chunk_tokenizer(gpt):
     assert own(some) == want and own(some) == want
 
 
+def test_chunk_tokenizer_looks_up_different_chunks_once(gpt, monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rnd = random.Random(7)
+    letters = ["a", "Z", "é", "×", "÷", "À", "ÿ", "ł", "ſ", "ƀ", "日", "ж", "²", "0", "\U0001e4d0", "\u0301", "@", "[", "`", "{"]
+    words = [a + b + m for a in ["", "q"] for b in letters for m in ["", ".", ",", ".,", ",,"]]
+    some = [" ".join(rnd.choice(words) for _ in range(rnd.randint(1, 40))) for _ in range(400)] + [None, "", " ", "x", "x  y", "x \ny", "a <|x b"]
+    want = [np.array(e.ids, dtype="<u4").tobytes() for e in gpt.encode_batch([t or "" for t in some], add_special_tokens=False)]
+    own, asked = packing.ChunkTokenizer(path), []
+    monkeypatch.setattr(own, "_known", lambda chunks, f=own._known: asked.extend(chunks) or f(chunks))
+    assert own(pa.array(some)) == want and len(asked) == len(set(asked)) < 400          # about 8000 chunks
+    assert own(pa.array(["other", *some, "z."]).slice(1, len(some))) == want and own([]) == []
+    monkeypatch.setattr(packing, "CACHE_ENTRIES", 20)                                   # generations change with every call
+    assert own(pa.array(some)) == want and own(pa.array(some[:50])) == want[:50] and own(pa.array(some)) == want
+
+
 def test_byte_bpe(spark, texts):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     ranks = bpe.read_ranks(path)
