@@ -16,7 +16,7 @@ A document's features are the difference of its toxic and ordinary log-likelihoo
 part of it by words that decide, by length and by its root.  Where a pair has no count above its discount the difference is the sum of a
 part of v and one of w, the shared P(w) cancelling out, so the model is a table of one value
 a word and one a pair with counts above the discount.  All counts are exact, made by
-pre-aggregation and a shuffle, and the table grows with the corpus.  Documents find its
+pre-aggregation and a shuffle in groups of about PART_BYTES of text, and the table grows with the corpus.  Documents find its
 HOT most frequent entries in a broadcast and a bit map of BITS bits tells which other
 expressions may be in the table; those travel to the table's parts, packed by piece of text, and come back the same way: a row for a row,
 with one sum for each of its documents that has a hit, so answers are never more than what was asked, and that at most an entry an expression.
@@ -60,6 +60,7 @@ THRESHOLD = 0.7
 _BIN = 1 << 15                                   # bits of one row of the map
 _WORD = T.U((1 << 48) - 1)
 _BEGIN, _END = T.U(1), T.U(2)                    # the word before the first and the one after the last
+_SIDES = 4                                       # groups of counts: so many by each of the pair's words, all of that by the pair
 _ENTRY = {"vl": "<u4", "vh": "<u2", "wl": "<u4", "wh": "<u2", "cat": "u1", "n": "<u4"}
 _ASK = {"key": "<i8", "doc": "<u4"}
 _ANSWER = {"doc": "<u4", "x": "<f8", "decides": "<u4", "s": "<f8"}              # s is 0 for most documents, so those it decides are named
@@ -95,6 +96,14 @@ def _expressions(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     return doc, v, w, _pair_key(v, w), words
 
 
+def _part(v: np.ndarray, w: np.ndarray, key: np.ndarray, parts: int) -> np.ndarray:
+    """Group of counts of a pair.  A word's pairs fill a _SIDES-th of the groups on either side, so that more and smaller groups
+    don't make more partial sums; the pair deals them out in there, so that no word has a group of its own."""
+    within = max(1, parts // _SIDES ** 2)
+    side = T.mix(v) % T.U(_SIDES) * T.U(_SIDES) + T.mix(w) % T.U(_SIDES)
+    return (side * T.U(within) + (key >> T.U(2)) % T.U(within)).astype(np.int64)
+
+
 def _gather(training: DataFrame, parts: int, discount: tuple[float, float]) -> DataFrame:
     """Exact counts of the training rows (text, label, fit), written to the shared folder.
 
@@ -111,9 +120,9 @@ def _gather(training: DataFrame, parts: int, discount: tuple[float, float]) -> D
             kind = (label + 2 * fit)[doc[one]]
             _, at, n = np.unique((key[one] & ~T.U(3)) | kind.astype(np.uint64), return_index=True, return_counts=True)
             cat, at = kind[at], one[at]
-            part = (key[at] >> T.U(2)) % T.U(parts)
-            values = [v[at] & T.U(0xFFFFFFFF), v[at] >> T.U(32), w[at] & T.U(0xFFFFFFFF), w[at] >> T.U(32), cat, n]
-            yield E.rows("part", part.astype(np.int64), _ENTRY, values)
+            v, w, key = v[at], w[at], key[at]
+            del doc, one, kind, at
+            yield E.rows("part", _part(v, w, key, parts), _ENTRY, [v & T.U(0xFFFFFFFF), v >> T.U(32), w & T.U(0xFFFFFFFF), w >> T.U(32), cat, n])
 
     columns = [f"a{i}" for i in range(8)]
 
@@ -377,7 +386,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     known = known.join(some, "doc_id", "left").select("doc_id", "label", F.coalesce("fit", F.lit(False)).alias("fit"))
     # texts move once, to their labels; the hint keeps one plan at every size
     training = texts.join(known.hint("merge"), "doc_id").select("text", "label", "fit")
-    table, unknown = _differences(_gather(training, max(32, parts // 4), discount), discount)
+    table, unknown = _differences(_gather(training, parts, discount), discount)
     model = _model(materialize(table, "toxicity-model"), unknown)
     rows = texts.join(F.broadcast(known.where("fit")), "doc_id").select(           # at most FIT_ROWS ids
         "doc_id", F.xxhash64("text").alias("text_hash"), "label", "text")

@@ -3,15 +3,17 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
-from llm_helpers import frame, odd
+from llm_helpers import frame, odd, texts  # noqa: F401
 from pyspark.sql import functions as F
 
 from quantlake.llm import exchange as E
+from quantlake.llm import textops as T
 from quantlake.llm import toxicity
 from quantlake.session import materialize
 
@@ -138,3 +140,47 @@ def test_answers_are_no_more_rows_than_asked():
     assert found.keys() == want.keys() and all(np.allclose(found[k], want[k]) for k in want)
     assert len(toxicity._answer(pa.concat_tables(asked), entries.slice(0, 0))) == 0
     assert len(toxicity._answer(asked[0].slice(0, 0), entries)) == 0
+
+
+def test_more_groups_of_counts_are_smaller_and_share_no_more_words(spark):
+    """The counts' groups follow the planned parts (16 MB of text a group before), a word's pairs meet in a part of them, and sums stay."""
+    parts, rnd = 128, np.random.default_rng(9)
+    v, w = rnd.integers(1 << 20, 1 << 47, 50, dtype=np.uint64), rnd.integers(1 << 20, 1 << 47, 1000, dtype=np.uint64)
+    v, w = np.repeat(v, 1000), np.tile(w, 50)
+    part = toxicity._part(v, w, toxicity._pair_key(v, w), parts)
+    assert part.min() >= 0 and part.max() < parts and set(toxicity._part(v, w, v, 5)) <= set(range(toxicity._SIDES ** 2))
+    for word in (v, w):
+        held = [set(part[word == x]) for x in np.unique(word)]
+        assert max(map(len, held)) <= parts // toxicity._SIDES                            # no more partial sums than a fourth as many groups made
+    assert np.bincount(part[v == v[0]]).max() < 100                                       # but a common word has no group of its own
+    rows, discount = _corpus(), (2.0, 1.0)
+    training = spark.createDataFrame([r[1:] for r in rows], "text string, toxic int, fit boolean").selectExpr("text", "toxic AS label", "fit")
+    sums = []
+    for many in (1, 5, parts):
+        got = toxicity._gather(training, many, discount).groupBy("v", "w", "key").agg(*(F.sum(f"a{i}").alias(f"a{i}") for i in range(8)))
+        sums.append(sorted(map(tuple, got.collect()), key=repr))
+    assert sums[0] == sums[1] == sums[2]
+
+
+def test_counts_are_grouped_by_all_planned_parts(spark, monkeypatch):
+    rows = _corpus()
+    docs = spark.createDataFrame([(i, t) for i, t, _, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y, _ in rows], "doc_id long, toxic int")
+    asked, gather = [], toxicity._gather
+    monkeypatch.setattr(toxicity, "_gather", lambda training, parts, discount: asked.append(parts) or gather(training, parts, discount))
+    monkeypatch.setattr(E, "sizes", lambda d: (160, 320))
+    assert toxicity.train(docs, labels) is not None and asked == [160]
+
+
+def test_words_are_hashed_in_small_pieces(texts):
+    """Pieces of an eighth hold an eighth of the memory (47 MB for 1 MB of text before) and give the same hashes."""
+    buf, bounds = T.joined(pa.array([t for _, t in texts] * 20))
+    starts, ends = T.word_spans(buf)
+    assert (T.word_hashes(buf, starts, ends) == T.word_hashes(buf, starts, ends, size=1000)).all()
+    text = pa.array([" ".join(f"word{i % 7919}" for i in range(100_000))])
+    T.release()
+    tracemalloc.start()
+    toxicity._expressions(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 * (1 << 20)
