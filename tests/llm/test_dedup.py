@@ -3,9 +3,12 @@
 import hashlib
 import random
 import re
+from types import SimpleNamespace
 
 import numpy as np
-from quantlake.llm import jaccard_join, substring_dedup, suffix_dedup
+import pyarrow as pa
+import pytest
+from quantlake.llm import exchange, jaccard_join, substring_dedup, suffix_dedup
 from quantlake.llm.components import components
 
 from llm_helpers import frame, odd, texts  # noqa: F401  (texts is a fixture)
@@ -80,6 +83,70 @@ def test_periodic_texts(spark):
     assert _key(got) == _key(_suffix(rows))
 
 
+LINE = "Many documents hold this very line between others, and its seeds are least."
+
+
+def _around(rnd, n, line=LINE):
+    """Texts with a line between others that differ."""
+    return ["".join(rnd.choice("abcdefg \n") for _ in range(rnd.randint(0, 140))) + "\n" + (line if i % 5 else "")
+            + "\n" + "".join(rnd.choice("hijklm") for _ in range(rnd.randint(0, 140))) for i in range(n)]
+
+
+@pytest.mark.parametrize("everywhere, most", [(1 << 18, 30_000), (32, 100_000)])
+def test_no_group_holds_all_runs_of_a_frequent_line(spark, monkeypatch, everywhere, most):
+    """Fails where one part gets every run of a minimizer, over 30,000 bytes here; cut to single suffixes they are more, in all parts."""
+    rnd = random.Random(7)
+    rows = [(i, t) for i, t in enumerate(_around(rnd, 300))]
+    rows += [(400, "x" + rows[1][1] + "y"), (401, rows[2][1]), (401, rows[2][1]), (None, rows[3][1]), (402, "ab" * 300), (403, "a" * 400), (404, None), (405, LINE * 3)]
+
+    def entries(table, cols):
+        if "data" in table.column_names and sum(len(x) for x in table.column("data").to_pylist()) > most:
+            raise ValueError("a group holds all runs")
+        return exchange.entries(table, cols)
+
+    monkeypatch.setattr(suffix_dedup, "X", SimpleNamespace(**{k: v for k, v in vars(exchange).items() if not k.startswith("__")} | {"entries": entries}))
+    monkeypatch.setattr(suffix_dedup, "FREQUENT", 16, raising=False)
+    monkeypatch.setattr(suffix_dedup, "EVERYWHERE", everywhere, raising=False)
+    got = suffix_dedup.dedup(frame(spark, rows).repartition(6)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert _key(got) == _key(_suffix(rows))
+    assert sum(r[2] for r in got) > 500
+
+
+def test_stretches_keep_equal_suffixes_together():
+    rnd = random.Random(1)
+    texts = [*_around(rnd, 200), *["a" * 700, "ab" * 400, "abc" * 300, "", LINE * 3] * 2]
+    s = suffix_dedup.Suffixes(pa.array(texts), 100, 24)
+    start, n = s.runs(np.unique(s.hash[s.anchors()]), 256)
+    raw = s.buf.tobytes()
+    whole = sorted(p for a, m in zip(start.tolist(), n.tolist()) for p in range(a, a + m))
+    for limit in (1, 8, 16):
+        first, many, key = s.stretches(start, n, np.full(len(start), limit))
+        assert many.max() <= limit
+        places = [(p, k) for a, m, k in zip(first.tolist(), many.tolist(), key.tolist()) for p in range(a, a + m)]
+        assert sorted(p for p, _ in places) == whole
+        keys = {}
+        assert all(keys.setdefault(raw[p:p + 100], k) == k for p, k in places)
+        # the line has 75 bytes, so what its suffixes share has some of its neighbours too
+        assert np.bincount(np.unique(key[many > 0], return_inverse=True)[1], weights=many).max() < np.bincount(np.unique(s.least[start], return_inverse=True)[1], weights=n).max() / 4
+
+
+def test_repeats_in_shares():
+    """Whatever the shares, the same suffixes are repeats; the largest sort follows their size."""
+    rnd = random.Random(2)
+    data = np.frombuffer("\n".join(_around(rnd, 60) * 2).encode(), dtype=np.uint8)
+    starts = np.arange(len(data) - 99)
+    doc, pos = starts % 7, starts
+    raw = data.tobytes()
+    first = {}
+    for i in starts.tolist():
+        first[raw[i:i + 100]] = min(first.get(raw[i:i + 100], (9, 0)), (i % 7, i))
+    want = [i for i in starts.tolist() if first[raw[i:i + 100]] < (i % 7, i)]
+    assert len(want) > 1000
+    for size in (1 << 18, 500):
+        assert sorted(suffix_dedup.repeats(data, starts, doc, pos, size=size).tolist()) == want
+    assert len(suffix_dedup.repeats(data, starts[:0], doc[:0], pos[:0])) == 0
+
+
 def test_deep_shallow_order():
     rnd = random.Random(3)
     for _ in range(60):
