@@ -44,8 +44,8 @@ from .substring_dedup import _in_groups
 
 #: Frequency buckets (as a power of two) that give the order, fragments that it is cut into, bits of a parity sketch.
 ORDER_BITS, FRAGMENTS, SKETCH_BITS = 18, 8, 1024
-#: Pairs of one hub that are verified in one group at most.
-HUB_PAIRS = 4096
+#: Pairs, and n-grams of their sets, for which one group of pairs to verify is planned; n-grams that are sent or looked up at once.
+HUB_PAIRS, GROUP_GRAMS, HELD_GRAMS = 4096, 1 << 22, 1 << 18
 #: Sets, and n-grams of sets, that a block of one component is planned for; n-grams that one matrix product takes.
 BLOCK_SETS, BLOCK_GRAMS, PRODUCT_GRAMS = 2048, 1 << 20, 1024
 #: Lists up to this length drop entries without any possible partner before they are kept.
@@ -53,7 +53,6 @@ SHORT_LIST = 512
 
 _ENTRY = {"h": "<u8", "node": "<i8", "n": "<i4", "pos": "<i4"}
 _FULL = {**_ENTRY, "comp": "<i8", "s0": "<u8", "s1": "<u8", "s2": "<u8", "s3": "<u8"}
-_TOKEN = {"node": "<i8", "h": "<u8"}
 _PAIR = {"a": "<i8", "b": "<i8", "na": "<i4", "nb": "<i4"}
 _COUNT = {**_PAIR, "c": "<i4"}
 
@@ -201,28 +200,38 @@ def _groups(h: np.ndarray) -> list[tuple[int, int]]:
 
 def _verify(pairs: DataFrame, sets: DataFrame, rank: np.ndarray, pivots: np.ndarray, num: int, den: int) -> DataFrame:
     """a, b of the pairs (a, b, na, nb) whose sets (node, tokens) have a Jaccard similarity of num / den or more."""
-    total = pairs.count()
-    groups, sums = max(16, -(-total // HUB_PAIRS)), max(16, -(-total // 50_000))
+    total, grams = pairs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("na").cast("long") + F.col("nb")), F.lit(0))).first()
+    groups, sums = max(16, -(-total // HUB_PAIRS), -(-grams // GROUP_GRAMS)), max(16, -(-total // 50_000))
     fragments = len(pivots) + 1
-    per_hub = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(HUB_PAIRS)).alias("s"))
+    per_hub = pairs.groupBy("a").agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(HUB_PAIRS)), F.ceil(F.sum("nb") / F.lit(GROUP_GRAMS))).alias("s"))
     placed = pairs.join(per_hub, "a").select("a", "b", "na", "nb", F.pmod(
         F.xxhash64("a", F.pmod(F.xxhash64("b"), F.col("s"))), F.lit(groups)).cast("int").alias("g"))
     need = (placed.select(F.col("a").alias("node"), "g").union(placed.select(F.col("b").alias("node"), "g")).distinct()
             .groupBy("node").agg(F.collect_list("g").alias("gs")))
 
     def cut(batches):
+        """A row for each set, group and fragment: a set is in the global order, so its part of a fragment is one slice."""
+        def rows():
+            return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(nodes, pa.int64()), pa.array(tokens, pa.binary())], names=["part", "node", "h"])
+
+        parts, nodes, tokens, held = [], [], [], 0
         for b in batches:
-            parts, nodes, tokens = [], [], []
             for node, packed, gs in zip(*(b.column(k).to_pylist() for k in range(3))):
                 h = np.frombuffer(packed, "<u8")
                 place = rank[(h >> T.U(64 - ORDER_BITS)).astype(np.int64)].astype(np.uint64) << T.U(56) | h >> T.U(8)
-                f = np.searchsorted(pivots, place, side="right")
+                edges = [0, *np.searchsorted(place, pivots).tolist(), len(h)]
+                own = [(f, packed[8 * lo:8 * hi]) for f, (lo, hi) in enumerate(zip(edges, edges[1:])) if lo < hi]
                 for g in gs:
-                    parts.append(g * fragments + f)
-                    nodes.append(np.full(len(h), node))
-                    tokens.append(h)
-            if parts:
-                yield X.rows("part", np.concatenate(parts), _TOKEN, [np.concatenate(nodes), np.concatenate(tokens)])
+                    for f, x in own:
+                        parts.append(g * fragments + f)
+                        nodes.append(node)
+                        tokens.append(x)
+                    held += len(h)
+                    if held >= HELD_GRAMS:
+                        yield rows()
+                        parts, nodes, tokens, held = [], [], [], 0
+        if parts:
+            yield rows()
 
     def spread(batches):
         for b in batches:
@@ -231,10 +240,11 @@ def _verify(pairs: DataFrame, sets: DataFrame, rank: np.ndarray, pivots: np.ndar
             yield X.rows("part", part, _PAIR, [np.repeat(v, fragments) for v in (a, c, na, nb)])
 
     def overlaps(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        node, h = X.entries(left, _TOKEN)
         a, b, na, nb = X.entries(right, _PAIR)
         if not len(a):
             return X.tables([], "part", _COUNT)
+        packed = left.column("h").to_pylist()
+        node, h = np.repeat(left.column("node").to_numpy(), [len(x) // 8 for x in packed]), np.frombuffer(b"".join(packed), "<u8")
         ids, node = np.unique(node, return_inverse=True)
         token = np.unique(h, return_inverse=True)[1] if len(h) else h.astype(np.int64)
         keys = np.sort(node.astype(np.int64) << 32 | token)
@@ -247,8 +257,8 @@ def _verify(pairs: DataFrame, sets: DataFrame, rank: np.ndarray, pivots: np.ndar
             n = np.where(here, first[ia + 1] - first[ia], 0)
             lo = 0
             ends = np.cumsum(n)
-            while lo < len(a):                            # pairs in pieces of about two million n-grams
-                hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + 2_000_000, side="right")))
+            while lo < len(a):                            # pairs in pieces of about HELD_GRAMS
+                hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + HELD_GRAMS, side="right")))
                 m = n[lo:hi]
                 own = np.repeat(np.arange(lo, hi), m)
                 step = np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m)
@@ -270,7 +280,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, rank: np.ndarray, pivots: np.ndar
         yes = both * den >= num * union
         return pa.table({"a": pa.array(a[yes]), "b": pa.array(b[yes])})
 
-    tokens = sets.join(need, "node").select("node", "tokens", "gs").mapInArrow(cut, X.schema("part", _TOKEN))
+    tokens = sets.join(need, "node").select("node", "tokens", "gs").mapInArrow(cut, "part int, node long, h binary")
     wanted = placed.mapInArrow(spread, X.schema("part", _PAIR))
     counted = tokens.groupBy("part").cogroup(wanted.groupBy("part")).applyInArrow(overlaps, X.schema("part", _COUNT))
     return counted.groupBy("part").applyInArrow(together, "a long, b long")

@@ -186,6 +186,24 @@ def test_jaccard_join(spark, texts):
         assert {(r.doc_id, r.n_shingles, r.component_id) for r in got} == _components(rows, k, num, den)
 
 
+def test_jaccard_groups_of_pairs_are_planned_by_their_sets(spark, monkeypatch):
+    """Fails where pairs of long texts share as few groups as those of short ones: 114 pairs of 796 n-grams in 16 groups are 5,600 on the mean."""
+    words = [f"w{i}" for i in range(6000)]
+    rows = [(10 * i + j, " ".join(words[150 * i:150 * i + 400] + [f"x{i} y{j}"])) for i in range(38) for j in range(4)]
+
+    def entries(table, cols):
+        out = exchange.entries(table, cols)
+        if list(cols) == ["a", "b", "na", "nb"] and int(out[2].sum() + out[3].sum()) > 5_500:
+            raise ValueError("a group holds too many n-grams")
+        return out
+
+    monkeypatch.setattr(jaccard_join, "X", SimpleNamespace(**{k: v for k, v in vars(exchange).items() if not k.startswith("__")} | {"entries": entries}))
+    monkeypatch.setattr(jaccard_join, "GROUP_GRAMS", 1000, raising=False)
+    monkeypatch.setattr(jaccard_join, "HELD_GRAMS", 300, raising=False)
+    got = jaccard_join.near_duplicates(frame(spark, rows), 5, 4, 5, links=False).collect()
+    assert {(r.doc_id, r.n_shingles, r.component_id) for r in got} == _components(rows, 5, 4, 5)
+
+
 def test_jaccard_chain_of_near_copies(spark):
     """Documents that only link to their neighbours, so no hub sees them all."""
     words = [f"w{i}" for i in range(400)]
